@@ -45,7 +45,7 @@ def slot_number(ts: Column | str, step: int = 900) -> Column:
 
 def shift(ts: Column | str, seconds: Column | int) -> Column:
     offset = F.lit(seconds) if isinstance(seconds, (int, float)) else seconds
-    return F.timestamp_micros(F.unix_micros(_col(ts)) + (offset * MICROS).cast("long"))
+    return F.timestamp_micros(F.unix_micros(_col(ts)) + (offset.cast("double") * float(MICROS)).cast("long"))
 
 
 def seconds_between(later: Column | str, earlier: Column | str) -> Column:

@@ -86,8 +86,12 @@ def calibration_reports(df: DataFrame, html: str) -> DataFrame:
     divs = F.regexp_extract_all(html, F.lit(r"(?is)<div(?:\s[^>]*)?>(.*?)</div>"), 1)
     sections = F.transform(divs, lambda d: F.regexp_replace(F.regexp_replace(d, r"(?s)<[^>]*>", ""), r"\s", ""))
     out = df.withColumn("_sections", sections)
+
+    def section_of(sensor: str) -> Column:
+        return F.try_element_at(F.filter("_sections", lambda s: s.contains(sensor)), F.lit(1))
+
     for name, (sensor, pattern) in REPORT_FIELDS.items():
-        section = F.try_element_at(F.filter("_sections", lambda s, k=sensor: s.contains(k)), F.lit(1))
+        section = section_of(sensor)
         found = F.regexp_extract(section, pattern, 1)
         out = out.withColumn(name, F.when(F.regexp_like(section, F.lit(pattern)), found).try_cast("double"))
     missing = [F.when(F.col(field).isNull(), F.lit(sensor)) for sensor, field in FACTORY_DEFAULT_FIELDS.items()]
