@@ -105,6 +105,17 @@ SELECT *, CAST(year(dt_round) AS BIGINT) AS year, CAST((dayofyear(dt_round) - 1)
   coalesce(spread > 60, false) AS brush_omit, site NOT IN ('s03', 's07') AS is_verified,
   site IN ('s01', 's03', 's05') AS is_finalized
 FROM fx_flagged""",
+    "fx_state": """
+SELECT site, parameter, dt_round, mean, spread, n_obs, hv IS NOT NULL AS has_visit, og IS NOT NULL AS on_grid,
+  coalesce(last_value(employed IGNORE NULLS) OVER w, 1) AS sonde_employed,
+  last_value(CASE WHEN hv THEN dt_round END IGNORE NULLS) OVER w AS last_site_visit
+FROM (SELECT *, true AS og FROM fx_series) s FULL JOIN (
+  SELECT q.site, q.parameter, v.dt_round, v.employed, true AS hv FROM (SELECT DISTINCT site, parameter FROM fx_series) q
+  JOIN (SELECT site, dt_round, CAST(max_by((sensor_pulled IS NOT NULL AND sensor_deployed IS NULL)::INT, start_dt) AS BIGINT) AS employed
+    FROM fx_visits GROUP BY 1, 2) v USING (site)) p USING (site, parameter, dt_round)
+WINDOW w AS (PARTITION BY site, parameter ORDER BY dt_round)""",
+    "fx_pairs": """
+SELECT a.site, b.site AS neighbour FROM fx_network a JOIN fx_network b ON abs(a.pos - b.pos) = 1""",
     "fx_steps": f"""
 SELECT *, lag(mean) OVER w AS back1, lead(mean) OVER w AS front1 FROM fx_series
 WINDOW w AS (PARTITION BY site, parameter ORDER BY dt_round)""",
@@ -243,6 +254,18 @@ class Tables:
     def visit_slots(self) -> DataFrame:
         return self.visits.select("site", "dt_round").distinct()
 
+    @cached_property
+    def state(self) -> DataFrame:
+        from sensorqc.operators import visits as vz
+
+        return vz.attach_visits(self.series, self.visits, S)
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        from sensorqc.operators import visits as vz
+
+        return vz.neighbour_pairs(self.network)
+
     @cached_property
     def flagged(self) -> DataFrame:
         s = self.series.join(self.visit_slots.withColumn("_v", F.lit(True)), ["site", "dt_round"], "left")
