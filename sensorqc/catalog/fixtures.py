@@ -116,6 +116,12 @@ FROM (SELECT *, true AS og FROM fx_series) s FULL JOIN (
 WINDOW w AS (PARTITION BY site, parameter ORDER BY dt_round)""",
     "fx_pairs": """
 SELECT a.site, b.site AS neighbour FROM fx_network a JOIN fx_network b ON abs(a.pos - b.pos) = 1""",
+    "fx_drift": """
+SELECT site, parameter, dt_round, mean, flag AS user_flag, verification_status, coalesce(contains(flag, 'drift'), false) AS drift,
+  CASE WHEN verification_status IN ('FLAGGED', 'PASS') THEN mean END AS mean_analysis FROM fx_verification""",
+    "fx_notes": """
+SELECT site, parameter, start_dt AS note_dt, avg(pre_clean) AS pre_clean, CASE WHEN max(sensor_pulled) IS NOT NULL THEN avg(post_clean) END AS post_clean
+FROM fx_visits GROUP BY 1, 2, 3""",
     "fx_steps": f"""
 SELECT *, lag(mean) OVER w AS back1, lead(mean) OVER w AS front1 FROM fx_series
 WINDOW w AS (PARTITION BY site, parameter ORDER BY dt_round)""",
@@ -281,6 +287,19 @@ class Tables:
         )
         return s.select("site", "parameter", "dt_round", "mean", "spread", "n_obs", tokens.render(flags).alias("flag"))
 
+    @cached_property
+    def drift(self) -> DataFrame:
+        from sensorqc.operators import drift as dr
+
+        v = self.verification.select("site", "parameter", "dt_round", "mean", F.col("flag").alias("user_flag"), "verification_status")
+        return dr.analysis_columns(v)
+
+    @cached_property
+    def notes(self) -> DataFrame:
+        post = F.when(F.max("sensor_pulled").isNotNull(), F.avg("post_clean"))
+        v = self.visits.groupBy("site", "parameter", F.col("start_dt").alias("note_dt"))
+        return v.agg(F.avg("pre_clean").alias("pre_clean"), post.alias("post_clean"))
+
     @cached_property
     def verification(self) -> DataFrame:
         f = self.flagged

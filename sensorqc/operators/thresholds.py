@@ -34,12 +34,32 @@ def old_scheme(flag: Column, verified: Column, value: Column) -> dict[str, Colum
     """Older truth table of flag and PASS/FAIL to a clean value and a clean flag."""
     flagged, passed = flag.isNotNull(), verified == "PASS"
     good = (~flagged & passed) | (flagged & ~passed)
-    text = F.when(good, F.lit(None)).when(flagged, flag).otherwise(F.lit("manual flag"))
-    return {"clean_mean": F.when(good, value), "clean_flag": text.cast("string")}
-
-
-# Flag classes whose values never enter the thresholds.
-NULLING_CLASSES = "drift|frozen|sonde not employed|unsubmerged|burial|malfunction|missing data|site visit|sv window"
+    text = F.when(flagged & passed, flag).when(~flagged & ~passed, F.lit("MANUAL FLAG"))
+    return {"clean_mean": F.when(good, value), "clean_flag": text}
+
+
+# Flag texts whose values never enter the thresholds.
+NULLING_TEXTS = (
+    "site visit",
+    "sv window",
+    "sonde unsubmerged",
+    "sensor malfunction",
+    "sonde burial",
+    "frozen",
+    "suspect data",
+    "repeated value",
+    "missing data",
+    "DO interference",
+    "baro issue",
+    "baro noise",
+    "do noise",
+    "wiper issue",
+    "wiper interference",
+    "Possible burial",
+    "drift",
+    "sensor biofouling",
+)
+NULLING_CLASSES = "|".join(NULLING_TEXTS)
 
 
 def null_by_flag(df: DataFrame, keep_calibration_year: int, time: str = "dt_round", flag: str = "flag", value: str = "mean", pattern: str = NULLING_CLASSES) -> DataFrame:
@@ -65,21 +85,24 @@ def combination_grid(sites: DataFrame, parameters: list[str], seasons: list[str]
     return sites.select("site", F.explode(p).alias("parameter")).select("site", "parameter", F.explode(s).alias("season"))
 
 
-def finalise(grid_df: DataFrame, computed: DataFrame, sufficient: DataFrame, realistic: DataFrame, cap: float = 4000.0, cap_to: float = 2000.0) -> DataFrame:
+def finalise(grid_df: DataFrame, computed: DataFrame, sufficient: DataFrame, realistic: DataFrame, cap: float = 4000.0, cap_to: float = 2000.0, realistic_on=("parameter",)) -> DataFrame:
     """Failing combinations take the realistic range; values are capped and clipped; missing slopes
     take the widest of the same parameter and season."""
     ok = sufficient.select(*KEYS, "sufficient")
-    d = grid_df.join(computed, KEYS, "left").join(ok, KEYS, "left").join(realistic.select("parameter", "lo", "hi"), "parameter", "left")
+    d = grid_df.join(computed, KEYS, "left").join(ok, KEYS, "left")
+    d = d.join(realistic.select(*realistic_on, "lo", "hi"), list(realistic_on), "left")
+    wide = d.groupBy("parameter", "season").agg(F.min("t_slope_behind_01").alias("_a"), F.max("t_slope_behind_99").alias("_b"))
+    d = d.join(wide, ["parameter", "season"], "left")
     use = F.coalesce("sufficient", F.lit(False))
-    low, high = F.when(use, F.col("t_mean01")), F.when(use, F.col("t_mean99"))
-    low, high = F.coalesce(low, "lo"), F.coalesce(high, "hi")
+    low, high = F.when(use, F.col("t_mean01")).otherwise(F.col("lo")), F.when(use, F.col("t_mean99")).otherwise(F.col("hi"))
     high = F.when(high >= cap, F.lit(cap_to)).otherwise(high)
-    d = d.withColumns({"t_mean01": F.greatest(low, "lo"), "t_mean99": F.least(high, "hi")})
-    d = d.withColumns({c: F.when(use, F.col(c)) for c in ("t_slope_behind_01", "t_slope_behind_99")})
-    wide = d.groupBy("parameter", "season").agg(F.min("t_slope_behind_01").alias("_a"), F.max("t_slope_behind_99").alias("_b"))
-    d = d.join(wide, ["parameter", "season"])
-    filled = {"t_slope_behind_01": F.coalesce("t_slope_behind_01", "_a"), "t_slope_behind_99": F.coalesce("t_slope_behind_99", "_b")}
-    return d.withColumns(filled).select(*KEYS, "t_mean01", "t_mean99", "t_slope_behind_01", "t_slope_behind_99")
+    return d.select(
+        *KEYS,
+        F.when(low < F.col("lo"), F.col("lo")).otherwise(low).alias("t_mean01"),
+        F.when(high > F.col("hi"), F.col("hi")).otherwise(high).alias("t_mean99"),
+        F.coalesce("t_slope_behind_01", "_a").alias("t_slope_behind_01"),
+        F.coalesce("t_slope_behind_99", "_b").alias("t_slope_behind_99"),
+    )
 
 
 def backfill(new: DataFrame, old: DataFrame, grid_df: DataFrame) -> DataFrame:
