@@ -24,7 +24,7 @@ def canon(df: pd.DataFrame) -> pd.DataFrame:
     for c in df.columns:
         out[c] = [None if (x is None or x is pd.NaT or (isinstance(x, float) and x != x)) else x for x in df[c].astype(object)]
     out = pd.DataFrame(out, dtype=object)
-    text = out.map(lambda x: "~" if x is None else f"{x:.5f}" if isinstance(x, float) else str(x))
+    text = out.map(lambda x: "~" if x is None else f"{x:.6f}" if isinstance(x, float) else str(x))
     return text.sort_values(list(text.columns)).reset_index(drop=True)
 
 
