@@ -184,22 +184,22 @@ def _(t):
 
 
 def _trunc(unit, agg):
-    return f"SELECT site, parameter, date_trunc('{unit}', dt_round) AS dt_round, round({agg}(mean), 6) AS mean, count(mean) AS n FROM fx_series GROUP BY 1, 2, 3"
+    return f"SELECT site, parameter, date_trunc('{unit}', dt_round) AS dt_round, round({agg}(mean), 4) AS mean, count(mean) AS n FROM fx_series GROUP BY 1, 2, 3"
 
 
 @query("g15_daily_mean", _trunc("day", "avg"))
 def _(t):
-    return grid.resample(t.series, S, "day")
+    return grid.resample(t.series, S, "day").withColumn("mean", F.round("mean", 4))
 
 
 @query("g15_daily_median", _trunc("day", "median"))
 def _(t):
-    return grid.resample(t.series, S, "day", how="median")
+    return grid.resample(t.series, S, "day", how="median").withColumn("mean", F.round("mean", 4))
 
 
 @query("g15_weekly_mean", _trunc("week", "avg"))
 def _(t):
-    return grid.resample(t.series, S, "week")
+    return grid.resample(t.series, S, "week").withColumn("mean", F.round("mean", 4))
 
 
 @query(

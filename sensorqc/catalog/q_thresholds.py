@@ -14,7 +14,7 @@ MIN = STEP // 60
 KEYS = ["site", "parameter", "dt_round"]
 # orders as a long series over years: (site, parameter, dt_round, mean)
 YEARS = """SELECT 's' || lpad(CAST(o_custkey % 15 AS VARCHAR), 2, '0') AS site, o_orderpriority AS parameter, o_orderdate AS dt_round,
-  CASE WHEN o_orderstatus <> 'P' THEN o_totalprice / 1000 END AS mean FROM orders"""
+  CASE WHEN o_orderstatus <> 'P' THEN o_totalprice / 100 END AS mean FROM orders"""
 SEASON = """CASE WHEN month(dt_round) IN (12,1,2,3,4) THEN 'winter_baseflow' WHEN month(dt_round) IN (5,6) THEN 'snowmelt'
   WHEN month(dt_round) IN (7,8,9) THEN 'monsoon' ELSE 'fall_baseflow' END"""
 
@@ -24,7 +24,7 @@ def years(t):
         F.concat(F.lit("s"), F.lpad((F.col("o_custkey") % 15).cast("string"), 2, "0")).alias("site"),
         F.col("o_orderpriority").alias("parameter"),
         F.col("o_orderdate").alias("dt_round"),
-        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice") / 1000).alias("mean"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice") / 100).alias("mean"),
     )
 
 

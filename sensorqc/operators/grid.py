@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
 from sensorqc.functions import time as tm
 from sensorqc.plans.chunks import carry_series, over_index, over_slots
+from sensorqc.plans.quantiles import exact_quantiles
 from sensorqc.series import Series
 
 DEFAULT = Series()
@@ -226,9 +227,13 @@ def gaussian_smooth(df: DataFrame, keys, x: str, y: str, bandwidth: float = 3.0,
 
 
 def resample(df: DataFrame, spec: Series, unit: str, value: str = "mean", how: str = "mean") -> DataFrame:
-    """Coarser slots ('hour', 'day', 'week'); the group is a bounded stretch of one gridded series."""
-    agg = F.median(value) if how == "median" else F.avg(value)
-    return df.groupBy(*spec.keys, F.date_trunc(unit, spec.time).alias(spec.time)).agg(agg.alias(value), F.count(value).alias("n"))
+    """Coarser slots ('hour', 'day', 'week'); medians are exact for any number of readings per slot."""
+    d = df.select(*spec.keys, F.date_trunc(unit, spec.time).alias(spec.time), value)
+    keys = [*spec.keys, spec.time]
+    if how != "median":
+        return d.groupBy(*keys).agg(F.avg(value).alias(value), F.count(value).alias("n"))
+    n = d.groupBy(*keys).agg(F.count(value).alias("n"))
+    return n.join(exact_quantiles(d, keys, value, {value: 0.5}, cells=16), keys, "left")
 
 
 def moving_average(df: DataFrame, keys, time: str, value: str, width: int, step: int = 86400, chunk: int = 4096, name: str = "rolled") -> DataFrame:
@@ -250,7 +255,3 @@ def rescale_to(df: DataFrame, target: DataFrame, on: list[str], value: str, targ
     width = F.col("_b") - F.col("_a")
     scaled = F.when(width != 0, (F.col(value) - F.col("_a")) / width * (F.col("_d") - F.col("_c")) + F.col("_c"))
     return out.withColumn(name, scaled).drop("_a", "_b", "_c", "_d")
-
-
-def keyed_window(keys, order) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(order)
