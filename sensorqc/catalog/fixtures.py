@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sensorqc.functions import time as tm, tokens
 from sensorqc.operators import grid
 from sensorqc.series import Series
+from sensorqc.session import materialise
 
 STEP = 6 * 3600
 S = Series(step=STEP, chunk=32)
@@ -129,7 +130,11 @@ WINDOW w AS (PARTITION BY site, parameter ORDER BY dt_round)""",
 
 
 class Tables:
-    """The driver's tables and the sensor tables derived from them."""
+    """The driver's tables and the sensor tables derived from them.
+
+    ``stored`` and ``drift`` are written once per query, as the operators that read a series from
+    several sides expect a table.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -140,6 +145,9 @@ class Tables:
         zoned = {f.name: F.col(f.name).cast("timestamp") for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"}
         return df.withColumns(zoned) if zoned else df
 
+    def stored(self, name: str) -> DataFrame:
+        return materialise(getattr(self, name), name)
+
     @cached_property
     def events(self) -> DataFrame:
         e = self.table("events")
@@ -292,7 +300,7 @@ class Tables:
         from sensorqc.operators import drift as dr
 
         v = self.verification.select("site", "parameter", "dt_round", "mean", F.col("flag").alias("user_flag"), "verification_status")
-        return dr.analysis_columns(v)
+        return materialise(dr.analysis_columns(v), "drift")
 
     @cached_property
     def notes(self) -> DataFrame:

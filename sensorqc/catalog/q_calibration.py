@@ -9,7 +9,7 @@ from sensorqc.catalog.registry import query
 from sensorqc.functions import time as tm
 from sensorqc.operators import calibration as cal
 
-WEEK = 7 * 86400
+CHUNK = 6 * 3600
 KEYS = ["site", "parameter", "dt_round"]
 LL = """SELECT *, lag(slope) OVER w AS slope_lag, lag("offset") OVER w AS offset_lag, lag(sensor_date) OVER w AS sensor_date_lag,
   lead(slope) OVER w AS slope_lead, lead("offset") OVER w AS offset_lead, lead(sensor_date) OVER w AS sensor_date_lead
@@ -23,7 +23,7 @@ COEFS = ["slope", "offset", "slope_lag", "offset_lag", "slope_lead", "offset_lea
 
 
 def joined(t):
-    c = cal.lag_lead(t.calibrations, ["site", "parameter"], chunk_seconds=WEEK)
+    c = cal.lag_lead(t.calibrations, ["site", "parameter"], chunk_seconds=CHUNK)
     return cal.join_calibration(t.series.select(*KEYS, "mean"), c, S, ["sensor_date", *COEFS])
 
 
@@ -48,7 +48,7 @@ def _(t):
     f"""SELECT id, site, parameter, sensor_date, @slope_lag, @offset_lag, sensor_date_lag, @slope_lead, @offset_lead, sensor_date_lead FROM ({LL})""",
 )
 def _(t):
-    return cal.lag_lead(t.calibrations, ["site", "parameter"], chunk_seconds=WEEK).drop("slope", "offset")
+    return cal.lag_lead(t.calibrations, ["site", "parameter"], chunk_seconds=CHUNK).drop("slope", "offset")
 
 
 @query(

@@ -85,17 +85,18 @@ def _(t):
     return ranges(t).select("seq", "pre_post_source", "pre_val", "post_val")
 
 
-ARGS = [F.col(c) for c in ("_y", "wt", "pre_val", "post_val")]
+def args():
+    return [F.col(c) for c in ("_y", "wt", "pre_val", "post_val")]
 
 
 @query("d07_linear_additive", f"WITH {ROWS} SELECT seq, dt_round, round(y + wt * (post - pre), 6) AS corrected FROM r2")
 def _(t):
-    return rows(t).select("seq", "dt_round", dr.additive(*ARGS).alias("corrected"))
+    return rows(t).select("seq", "dt_round", dr.additive(*args()).alias("corrected"))
 
 
 @query("d08_linear_multiplicative", f"WITH {ROWS} SELECT seq, dt_round, round(y * (1 - wt + wt * post / pre), 6) AS corrected FROM r2")
 def _(t):
-    return rows(t).select("seq", "dt_round", dr.multiplicative(*ARGS).alias("corrected"))
+    return rows(t).select("seq", "dt_round", dr.multiplicative(*args()).alias("corrected"))
 
 
 @query(
@@ -115,7 +116,7 @@ FIT = "CASE WHEN np >= 3 AND pre IS NOT NULL AND post IS NOT NULL AND bs IS NOT
 def _(t):
     d = rows(t)
     d = d.join(dr.window_slopes(d, ["site", "parameter"]), ["site", "parameter", "seq"])
-    out = dr.fitted(*ARGS, F.col("b_slope"), F.col("n_points"), dr.additive(*ARGS))
+    out = dr.fitted(*args(), F.col("b_slope"), F.col("n_points"), dr.additive(*args()))
     return d.select("seq", "dt_round", F.round("b_slope", 5).alias("b_slope"), "n_points", F.round(out, 5).alias("corrected"))
 
 

@@ -379,6 +379,7 @@ def _(t):
 def _(t):
     settings = fl.FlagSettings(do_noise=40.0, anomaly_half=4, drift=WIN, freezing=5.0, burial_half=2, network_reach=1)
     v = t.visits.withColumn("depth_change", F.when(F.col("sensor_pulled").isNull(), 0.0).otherwise(F.col("pre_clean") / 100))
+    t.series = t.stored("series")
     return fl.flag_pass(t.series, v, t.spec, thresholds(t), t.malfunctions, t.pairs, S, settings)
 
 

@@ -64,7 +64,7 @@ def _(t):
     site = F.when(F.col("user_id") % 2 == 0, F.concat("site", F.lit("_virridy"))).otherwise(F.col("site"))
     r = t.events.select("id", site.alias("site"), "parameter", "ts")
     rules = t.windows.select(F.concat("site", F.lit("_virridy")).alias("site"), "parameter", F.col("start_dt").alias("from_dt"), F.col("end_dt").alias("to_dt"))
-    return nz.merge_owner_suffix(r, rules, "ts", bucket_seconds=7 * 86400)
+    return nz.merge_owner_suffix(r, rules, "ts", bucket_seconds=86400)
 
 
 @query("n06_dedupe_rows", "SELECT DISTINCT l_partkey, l_suppkey, l_returnflag FROM lineitem")
@@ -152,7 +152,7 @@ def _(t):
     """SELECT id, site, parameter, ts FROM fx_readings r WHERE NOT EXISTS (SELECT 1 FROM fx_malfunctions m WHERE m.site = r.site AND r.ts BETWEEN m.start_dt AND m.end_dt)""",
 )
 def _(t):
-    return nz.drop_outages(t.readings, t.malfunctions, "ts", 7 * 86400).drop("value")
+    return nz.drop_outages(t.readings, t.malfunctions, "ts", 86400).drop("value")
 
 
 @query(
@@ -182,7 +182,7 @@ def _(t):
     for name, ahead in (("anchor2", 1), ("end_dt", 6)):
         nth = later.select("site", "parameter", (F.col("row_index") - ahead).alias("row_index"), F.col("_ts").alias(name))
         starts = starts.join(nth, ["site", "parameter", "row_index"])
-    return nz.step_shifts(t.readings, starts, spec, bucket_seconds=7 * 86400).drop("ts")
+    return nz.step_shifts(t.readings, starts, spec, bucket_seconds=86400).drop("ts")
 
 
 @query(

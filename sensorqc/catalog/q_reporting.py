@@ -338,7 +338,7 @@ SUPPRESSED = f"""WITH {ALARM} SELECT id, site, ts, "trigger", CASE WHEN "trigger
 @query("r26_alarm_suppression", SUPPRESSED)
 def _(t):
     d = rp.classify_alarms(t.readings, limits(t), "value")
-    return rp.suppress_alarms(d, ["site"], ["ts", "id"], time_chunk("ts", 7 * DAY)).select("id", "site", "ts", "trigger", "trigger_reduced")
+    return rp.suppress_alarms(d, ["site"], ["ts", "id"], time_chunk("ts", 6 * 3600)).select("id", "site", "ts", "trigger", "trigger_reduced")
 
 
 CHARGE = """ch AS (SELECT category, staff, sum(hours) AS hours, sum(hours * rate) AS cost, string_agg(DISTINCT note, '; ' ORDER BY note) AS notes FROM

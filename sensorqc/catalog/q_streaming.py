@@ -83,7 +83,7 @@ def _(t):
 @query("x07_alarm_stream", SUPPRESSED)
 def _(t):
     fixed = limits(t)
-    out = live.alarm_stream(stream(t), lambda b: rp.classify_alarms(b, fixed, "value"), ["site"], ["ts", "id"], chunk_seconds=7 * 86400)
+    out = live.alarm_stream(stream(t), lambda b: rp.classify_alarms(b, fixed, "value"), ["site"], ["ts", "id"], chunk_seconds=6 * 3600)
     return out.select("id", "site", "ts", "trigger", "trigger_reduced")
 
 

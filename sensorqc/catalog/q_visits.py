@@ -11,7 +11,7 @@ from sensorqc.operators import visits as vz
 from sensorqc.plans.chunks import carry, time_chunk
 from sensorqc.plans.joins import asof_join, nearest_join
 
-WEEK = 7 * 86400
+CHUNK = 6 * 3600
 
 
 @query("j01_select_visits", "SELECT visit_id, site, start_dt, visit_type FROM fx_visits WHERE regexp_matches(lower(visit_type), 'sensor cleaning or check|sensor calibration')")
@@ -155,7 +155,7 @@ SWAP_SQL = """SELECT id, site, parameter, ts AS swap_time, id AS deployed,
 
 def _swaps(t):
     e = t.events.filter("k between 40 and 49").select("id", "site", "parameter", "user_id", F.col("ts").alias("swap_time"), F.col("id").alias("deployed"))
-    e = carry(e, ["site", "parameter"], time_chunk("swap_time", WEEK), ["swap_time", "id"], fills={"_b": F.col("id")}, exclusive=True)
+    e = carry(e, ["site", "parameter"], time_chunk("swap_time", CHUNK), ["swap_time", "id"], fills={"_b": F.col("id")}, exclusive=True)
     removed = F.when(F.col("user_id") % 10 == 0, -1).otherwise(F.coalesce("_b", F.lit(0)))
     return e.withColumn("removed", removed.cast("long")).drop("_b", "user_id")
 
@@ -165,13 +165,13 @@ def _swaps(t):
     f"SELECT id, site, parameter, swap_time, coalesce(expected, -5) AS expected, coalesce(expected IS NOT NULL AND removed <> expected, false) AS mismatch FROM ({SWAP_SQL})",
 )
 def _(t):
-    out = vz.swap_audit(_swaps(t), ["site", "parameter"], chunk_seconds=WEEK)
+    out = vz.swap_audit(_swaps(t), ["site", "parameter"], chunk_seconds=CHUNK)
     return out.select("id", "site", "parameter", "swap_time", F.coalesce("expected", F.lit(-5)).alias("expected"), "mismatch")
 
 
 @query("j14_swap_history", f"SELECT site, parameter, deployed AS serial, swap_time AS since, until, until IS NULL AS is_current FROM ({SWAP_SQL})")
 def _(t):
-    return vz.swap_history(_swaps(t), ["site", "parameter"], chunk_seconds=WEEK)
+    return vz.swap_history(_swaps(t), ["site", "parameter"], chunk_seconds=CHUNK)
 
 
 @query(
@@ -180,7 +180,7 @@ def _(t):
       AND r.ts BETWEEN m.data_start - INTERVAL 1 DAY AND m.data_end + INTERVAL 1 DAY""",
 )
 def _(t):
-    return vz.metadata_join(t.readings.select("id", "site", "ts"), t.metadata, "ts", WEEK).select("id", "site", "ts", "label")
+    return vz.metadata_join(t.readings.select("id", "site", "ts"), t.metadata, "ts", CHUNK).select("id", "site", "ts", "label")
 
 
 @query(
@@ -191,7 +191,7 @@ def _(t):
 def _(t):
     r = t.readings.select("id", "site", "parameter", "ts")
     c = t.calibrations.withColumn("t", F.col("sensor_date"))
-    return asof_join(r, c, ["site", "parameter"], "ts", "t", ["sensor_date", "slope"], WEEK)
+    return asof_join(r, c, ["site", "parameter"], "ts", "t", ["sensor_date", "slope"], CHUNK)
 
 
 @query(
@@ -202,7 +202,7 @@ def _(t):
 )
 def _(t):
     v = t.visits.select("site", F.col("start_dt").alias("nearest_dt"), "visit_id")
-    return nearest_join(t.readings.select("id", "site", "ts"), v, ["site"], "ts", "nearest_dt", ["nearest_dt", "visit_id"], WEEK).drop("site", "ts")
+    return nearest_join(t.readings.select("id", "site", "ts"), v, ["site"], "ts", "nearest_dt", ["nearest_dt", "visit_id"], CHUNK).drop("site", "ts")
 
 
 @query(

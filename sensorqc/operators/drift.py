@@ -51,7 +51,7 @@ def range_values(
     """
     keys = list(spec.keys)
     clean = series.filter(F.col("mean_analysis").isNotNull()).select(*keys, spec.time, "mean_analysis")
-    ranked = rank_rows(clean, spec)
+    ranked = materialise(rank_rows(clean, spec), "ranked")
     w = windows.select(*keys, "seq", "start_dt", "end_dt")
     pos = ranked.select(*keys, F.col(spec.time).alias("_rt"), F.col("row_index").alias("_rank"))
     w = asof_join(w, pos, keys, "end_dt", "_rt", ["_rank"], spec.chunk_seconds).withColumn("_rank", F.coalesce("_rank", F.lit(0)))

@@ -15,6 +15,7 @@ from sensorqc.operators import grid, visits as vz
 from sensorqc.plans.chunks import over_slots
 from sensorqc.plans.joins import asof_join, mark_covered
 from sensorqc.series import Series
+from sensorqc.session import materialise
 
 # Flag texts.
 NOT_EMPLOYED = "sonde not employed"
@@ -295,9 +296,10 @@ def time_drift_steps(spec: Series, win: DriftWindows, value: str = "mean"):
     return [linear, collect, fit_exp, tightest, failed]
 
 
-def time_drift(df: DataFrame, spec: Series, visit: Column, win: DriftWindows = DriftWindows()) -> DataFrame:
-    """Adds the fits and ``failed``; ``visit`` marks rows that start a new visit group."""
-    grouped = vz.visit_groups(df, spec, visit)
+def time_drift(df: DataFrame, spec: Series, visit: Column | None = None, win: DriftWindows = DriftWindows()) -> DataFrame:
+    """Adds the fits and ``failed``; ``visit`` marks rows that start a new visit group (without it
+    the rows already carry ``visit_group``)."""
+    grouped = df if visit is None else vz.visit_groups(df, spec, visit)
     back = max(win.short_back, win.long_back, win.long_half, win.exp_back, win.exp_half) + win.trail
     ahead = max(win.short_half, win.long_half, win.exp_half)
     out = over_slots(grouped, spec.by(*spec.keys, "visit_group"), back, ahead, *time_drift_steps(spec, win))
@@ -460,38 +462,38 @@ def flag_pass(
     """All flags in order: one series, one sonde, the network, suspects.
 
     The series rules share one (series, chunk) partitioning, the sonde rules one (site, slot)
-    partitioning.
+    partitioning. Visits and malfunctions are carried along the bare series first, so nothing
+    expensive is computed twice; the flagged rows are written once before the network check, which
+    reads them from two sides.
     """
     s = settings
-    d = vz.attach_visits(series, visits, spec).filter("on_grid").drop("on_grid", "has_visit")
-    if "depth_change" in visits.columns:
-        d = depth_shift(d, visits, spec)
-    d = d.withColumn("flags", tokens.empty())
+    d = malfunction_flag(series, malfunction_records, spec)
+    d = vz.visit_state(d, visits, spec)
     d = d.join(limits.select("parameter", F.col("lo").alias("_lo"), F.col("hi").alias("_hi")), "parameter", "left")
     d = with_thresholds(d, thresholds, spec.time)
-    first = [*grid.summary_steps(spec), *field_steps(spec.time), missing_step(), do_noise_step(s.do_noise), repeated_step()]
+    field = [(F.col("sonde_employed") == 1, NOT_EMPLOYED), (F.col("has_visit"), SITE_VISIT), (F.col("in_sv_window"), SV_WINDOW)]
+    d = d.withColumn("flags", tokens.add_all(tokens.empty(), field))
+    first = [*grid.summary_steps(spec), missing_step(), do_noise_step(s.do_noise), repeated_step()]
     second = [rule(outside("_lo", "_hi"), SPEC_RANGE), *seasonal_steps(), burial_step(s.burial_half, s.burial_share)]
     if s.drift is None:
         d = over_slots(d, spec, 3 + s.burial_half, 3 + s.burial_half, *first, *second)
     else:
-        d = over_slots(d, spec, 3, 3, *first)
-        visit = tokens.has("flags", SITE_VISIT) | tokens.has("flags", SV_WINDOW)
-        d = time_drift(d, spec, visit, s.drift)
+        d = time_drift(over_slots(d, spec, 3, 3, *first), spec, None, s.drift)
         drifting = (F.col("failed") == 1) & F.col("parameter").isin(*s.drift_parameters)
         d = d.withColumn("flags", tokens.add("flags", drifting, DRIFT))
         d = over_slots(d, spec, s.burial_half, s.burial_half, *second)
+    keep = [c for c in ("sonde_employed", "last_site_visit", "season", "depth_change", "sonde_moved", "mal_flag") if c in d.columns]
+    d = d.select(*series.columns, *keep, "flags", "_buried")
     w = _at_slot(spec.time)
     frozen, dry = intrasensor_rules(spec.time, s.freezing, s.min_depth, s.min_conductivity)
     reference = F.col("parameter").isin("Temperature", "Depth")
     d = d.withColumns({"_frozen": frozen, "_dry": dry, "_shared": _any(reference & tokens.has("flags", SLOPE), w), "_burial": _any(F.col("_buried"), w)})
-    flags = tokens.add("flags", F.col("_frozen"), FROZEN)
-    d = d.withColumn("flags", flags)
+    d = d.withColumn("flags", tokens.add("flags", F.col("_frozen"), FROZEN))
     d = d.withColumn("flags", tokens.remove("flags", SLOPE, when=F.col("_shared") & ~reference))
     d = d.withColumn("flags", tokens.add_all("flags", [(F.col("_burial"), BURIAL), (F.col("_dry"), UNSUBMERGED)]))
-    d = malfunction_flag(d, malfunction_records, spec)
+    d = materialise(d.select(*series.columns, *keep, "flags"), "intrasensor-flags")
     d = network_check(d, pairs, spec, s.network_reach)
     reach = 2 * s.anomaly_half + s.suspect_half + 1
     last = [*anomaly_steps(s.anomaly_half), *suspect_steps(s.suspect_half), lone_suspect_step]
     d = over_slots(d, spec, reach, reach, *last)
-    keep = [c for c in ("sonde_employed", "last_site_visit", "season", "depth_change", "sonde_moved", "mal_flag") if c in d.columns]
     return d.select(*series.columns, tokens.render("flags").alias("auto_flag"), *keep)

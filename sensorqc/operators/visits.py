@@ -58,6 +58,39 @@ def attach_visits(series: DataFrame, visits: DataFrame, spec: Series) -> DataFra
     return fill_state(join_visits(series, slots, spec), spec)
 
 
+def visit_state(series: DataFrame, visits: DataFrame, spec: Series, window_slots: int = 3) -> DataFrame:
+    """Everything the flag pass needs to know about visits, from one carry.
+
+    Adds ``sonde_employed``, ``last_site_visit``, ``has_visit``, ``in_sv_window``, ``visit_group``
+    (rows since the same flagged visit row share it) and, if the visits carry it, ``depth_change``
+    with ``sonde_moved``. Visit slots outside the series' grid act on the state only.
+    """
+    with_depth = "depth_change" in visits.columns
+    extra = ["depth_change"] if with_depth else []
+    state = visits.withColumn("sonde_employed", deployment_state())
+    slots = visit_slots(state, columns=["sonde_employed", *extra]).drop("start_dt")
+    joined = join_visits(series, slots, spec)
+    visit, here = F.col("has_visit"), F.col(spec.time)
+    employed = F.coalesce(F.col("sonde_employed"), F.lit(0).cast("long"))
+    fills = {"_visit": F.when(visit, here), "_employed": F.when(visit, employed), **{f"_{c}": F.col(c) for c in extra}}
+    d = carry_series(joined, spec, fills=fills, exclusive=True).filter("on_grid")
+    reach = spec.step * window_slots
+    d = d.withColumns(
+        {
+            "sonde_employed": F.when(visit, employed).otherwise(F.coalesce("_employed", F.lit(1).cast("long"))),
+            "last_site_visit": F.when(visit, here).otherwise(F.col("_visit")),
+            "in_sv_window": F.coalesce(tm.seconds_between(here, "_visit") <= reach, F.lit(False)),
+            **{c: F.coalesce(c, f"_{c}") for c in extra},
+        }
+    )
+    flagged = visit | F.col("in_sv_window")
+    since = F.when(flagged, here).otherwise(tm.shift("last_site_visit", reach))
+    d = d.withColumn("visit_group", F.coalesce(F.unix_seconds(since), F.lit(0).cast("long")))
+    if with_depth:
+        d = d.withColumn("sonde_moved", F.coalesce(F.col("depth_change") != 0, F.lit(False)))
+    return d.drop("_visit", "_employed", "on_grid", *[f"_{c}" for c in extra])
+
+
 def fill_down(df: DataFrame, spec: Series, columns: list[str]) -> DataFrame:
     return carry_series(df, spec, fills={c: F.col(c) for c in columns})
 

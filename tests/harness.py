@@ -54,9 +54,9 @@ def main(prefixes: list[str], sf_dir: str = "/root/testdata/sf0.01") -> int:
     from sensorqc import catalog
     from sensorqc.session import build_session
 
+    catalog.load()
     spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("OFF")
-    catalog.load()
     con = duck(sf_dir)
     bad = 0
     for name in sorted(catalog.QUERIES):
