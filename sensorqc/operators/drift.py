@@ -421,7 +421,7 @@ def train_drift_classifier(df: DataFrame, features: list[str], label: str, train
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    d = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
+    d = materialise(df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features}), "classifier-rows")
     train = d.filter(F.col("site").isin(*train_sites))
     share = train.agg(F.avg(F.col(label).cast("double")).alias("p")).first()["p"] or 0.5
     w = F.when(F.col(label) == 1, F.lit(1.0 - share)).otherwise(F.lit(share))

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from sensorqc.functions import time as tm, tokens
+from sensorqc.functions.fits import window_fit
 from sensorqc.operators import grid, visits as vz
-from sensorqc.plans.chunks import over_slots
+from sensorqc.plans.chunks import frame_total, full_frame, over_slots, over_slots_in_arrow, running_total
 from sensorqc.plans.joins import asof_join, mark_covered
 from sensorqc.series import Series
 from sensorqc.session import materialise
@@ -54,9 +56,6 @@ QUIET_SETS = [
     {SV_WINDOW, MISSING, ANOMALY_24H, ANOMALY_WINDOW},
 ]
 
-Step = "Callable[[WindowSpec], dict[str, Column]]"
-
-
 def rule(condition: Column, text: str):
     """A step that appends ``text`` where a plain column condition is TRUE."""
     return lambda w: {"flags": tokens.add("flags", condition, text)}
@@ -149,58 +148,63 @@ def anomaly_steps(half: int = 48, skip_unflagged: bool = True):
         loud = (F.size("flags") > 0) & ~tokens.equals_any_set("flags", QUIET_SETS)
         return {"_loud": loud.cast("int")}
 
+    def loud_total(w):
+        return {"_total": running_total("_loud", w)}
+
     def day(w):
-        frame = w.rowsBetween(-half, half)
-        full = F.count(F.lit(1)).over(frame) == width
-        return {"flags": tokens.add("flags", full & (F.sum("_loud").over(frame) >= width * 0.5), ANOMALY_24H)}
+        hits = frame_total("_total", w, half, half)
+        return {"flags": tokens.add("flags", full_frame(w, half, half) & (hits >= width * 0.5), ANOMALY_24H)}
 
     def marked(w):
         return {"_day": tokens.has("flags", ANOMALY_24H).cast("int")}
 
+    def day_total(w):
+        return {"_total": running_total("_day", w)}
+
     def around(w):
-        near = F.greatest(F.max("_day").over(w.rowsBetween(-half, -1)), F.max("_day").over(w.rowsBetween(1, half))) == 1
+        near = (frame_total("_total", w, half, half) - F.col("_day")) > 0
         if skip_unflagged:
             near = near & (F.size("flags") > 0)
         return {"flags": tokens.add("flags", near & ~tokens.has("flags", ANOMALY_WINDOW), ANOMALY_WINDOW)}
 
-    return [binary, day, marked, around]
+    return [binary, loud_total, day, marked, day_total, around]
 
 
 def large_anomalies(df: DataFrame, spec: Series, half: int = 48, skip_unflagged: bool = True) -> DataFrame:
-    return over_slots(df, spec, 2 * half, 2 * half, *anomaly_steps(half, skip_unflagged)).drop("_loud", "_day")
+    return over_slots(df, spec, 2 * half, 2 * half, *anomaly_steps(half, skip_unflagged)).drop("_loud", "_day", "_total")
 
 
 # --- drift tests -----------------------------------------------------------------------------
 
 
-def rolling_r2_steps(index: Column, short: int = 96, long: int = 288, value: str = "mean", share: float = 0.6):
-    """R2 of the value against time over full windows to the left and right; then its trailing mean."""
+def rolling_r2(df: DataFrame, spec: Series, short: int = 96, long: int = 288, share: float = 0.6, value: str = "mean") -> DataFrame:
+    """R2 of the value against time over full windows to the left and right; then its trailing mean.
+
+    Windows with a tenth or more missing count as 0, incomplete windows as NULL.
+    """
+    frames = {"r2_s_right": (short - 1, 0), "r2_s_left": (0, short - 1), "r2_l_right": (long - 1, 0), "r2_l_left": (0, long - 1)}
+
+    def fit(table):
+        y = table[value].to_numpy()
+        out = {}
+        for name, (before, after) in frames.items():
+            width = before + after + 1
+            _, r2, present, rows = window_fit(y, before, after)
+            r2 = np.where(present > width - 0.1 * width, r2, 0.0)
+            out[name] = np.where(rows == width, r2, np.nan)
+        return out
 
-    def fits(w):
-        cols = {}
-        for n, label in ((short, "s"), (long, "l")):
-            for side, frame in (("right", w.rowsBetween(-(n - 1), 0)), ("left", w.rowsBetween(0, n - 1))):
-                full = F.count(F.lit(1)).over(frame) == n
-                enough = F.count(value).over(frame) > n - 0.1 * n
-                slope = F.regr_slope(F.col(value), index).over(frame)
-                r2 = F.when(enough & (slope != 0), F.nanvl(F.regr_r2(F.col(value), index).over(frame), F.lit(0.0))).otherwise(0.0)
-                cols[f"r2_{label}_{side}"] = F.when(full, r2)
-        return cols
+    d = over_slots_in_arrow(df, spec, long - 1, long - 1, fit, {n: "double" for n in frames})
 
     def tightest(w):
-        return {"tightest_r": F.greatest("r2_s_right", "r2_s_left", "r2_l_right", "r2_l_left")}
+        return {"tightest_r": F.greatest(*frames)}
 
     def failed(w):
         frame = w.rowsBetween(-(short - 1), 0)
         full = F.count("tightest_r").over(frame) == short
         return {"steady": F.when(full, (F.avg("tightest_r").over(frame) >= share).cast("long"))}
 
-    return [fits, tightest, failed]
-
-
-def rolling_r2(df: DataFrame, spec: Series, short: int = 96, long: int = 288, share: float = 0.6) -> DataFrame:
-    reach = short + long
-    return over_slots(df, spec, reach, long, *rolling_r2_steps(tm.slot_number(spec.time, spec.step), short, long, share=share))
+    return over_slots(d, spec, short, 0, tightest, failed)
 
 
 def biofouling_contrast(df: DataFrame, time: str = "dt_round") -> DataFrame:
@@ -227,83 +231,49 @@ class DriftWindows:
     share: float = 0.5
 
 
-def time_drift_steps(spec: Series, win: DriftWindows, value: str = "mean"):
-    """Linear and exponential fits inside visit groups; falling FDOM and rising others count."""
-    index = tm.slot_number(spec.time, spec.step)
-    fdom = F.col("parameter") == "FDOM Fluorescence"
-
-    def linear(w):
-        cols = {}
-        frames = {
-            "s_center": (-win.short_half, win.short_half),
-            "s_right": (-win.short_back, 0),
-            "l_center": (-win.long_half, win.long_half),
-            "l_right": (-win.long_back, 0),
-        }
-        for name, (a, b) in frames.items():
-            frame = w.rowsBetween(a, b)
-            n, present = F.count(F.lit(1)).over(frame), F.count(value).over(frame)
-            slope = F.regr_slope(F.col(value), index).over(frame)
-            usable = (n >= win.min_points) & (present >= F.ceil(0.9 * n)) & F.when(fdom, slope <= 0).otherwise(slope > 0)
-            r2 = F.nanvl(F.regr_r2(F.col(value), index).over(frame), F.lit(0.0))
-            cols[f"r2_{name}"] = F.when(F.coalesce(usable, F.lit(False)) & (slope != 0), r2).otherwise(0.0)
-        return cols
-
-    def collect(w):
-        point = F.when(F.col(value).isNotNull(), F.struct(index.cast("double").alias("x"), F.col(value).alias("y")))
-        return {
-            "_exp_right": F.collect_list(point).over(w.rowsBetween(-win.exp_back, 0)),
-            "_exp_center": F.collect_list(point).over(w.rowsBetween(-win.exp_half, win.exp_half)),
-        }
-
-    def exponential(points: str) -> Column:
-        """R2 of log(y - min + 0.1) on x over one bounded frame, 0 unless rising."""
-        p = F.col(points)
-        low = F.array_min(F.transform(p, lambda q: q["y"]))
-        x0 = F.element_at(p, 1)["x"]
-        zero = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "x", "y", "xx", "xy", "yy")])
-
-        def add(acc, q):
-            x, y = q["x"] - x0, F.log(q["y"] - low + 0.1)
-            return F.struct(
-                (acc["n"] + 1).alias("n"),
-                (acc["x"] + x).alias("x"),
-                (acc["y"] + y).alias("y"),
-                (acc["xx"] + x * x).alias("xx"),
-                (acc["xy"] + x * y).alias("xy"),
-                (acc["yy"] + y * y).alias("yy"),
-            )
-
-        def finish(a):
-            sxx = a["xx"] - a["x"] * a["x"] / a["n"]
-            sxy = a["xy"] - a["x"] * a["y"] / a["n"]
-            syy = a["yy"] - a["y"] * a["y"] / a["n"]
-            return F.when((sxy > 0) & (sxx > 0) & (syy > 0), sxy * sxy / (sxx * syy)).otherwise(0.0)
-
-        return F.when((F.size(p) >= win.min_points) & ~fdom, F.aggregate(p, zero, add, finish)).otherwise(0.0)
-
-    def fit_exp(w):
-        return {"r2_l_right_exp": exponential("_exp_right"), "r2_l_center_exp": exponential("_exp_center")}
-
-    names = ["r2_s_center", "r2_s_right", "r2_l_center", "r2_l_right", "r2_l_right_exp", "r2_l_center_exp"]
+FITS = ["r2_s_center", "r2_s_right", "r2_l_center", "r2_l_right", "r2_l_right_exp", "r2_l_center_exp"]
 
-    def tightest(w):
-        return {"tightest_r": F.greatest(*names)}
 
-    def failed(w):
-        return {"failed": (F.avg("tightest_r").over(w.rowsBetween(-win.trail, 0)) >= win.share).cast("long")}
+def time_drift(df: DataFrame, spec: Series, visit: Column | None = None, win: DriftWindows = DriftWindows(), value: str = "mean") -> DataFrame:
+    """Linear and exponential fits inside visit groups; falling FDOM and rising others count.
 
-    return [linear, collect, fit_exp, tightest, failed]
+    Adds the fits and ``failed``; ``visit`` marks rows that start a new visit group (without it the
+    rows already carry ``visit_group``).
+    """
+    grouped = df if visit is None else vz.visit_groups(df, spec, visit)
+    linear = {
+        "r2_s_center": (win.short_half, win.short_half),
+        "r2_s_right": (win.short_back, 0),
+        "r2_l_center": (win.long_half, win.long_half),
+        "r2_l_right": (win.long_back, 0),
+    }
+    exponential = {"r2_l_right_exp": (win.exp_back, 0), "r2_l_center_exp": (win.exp_half, win.exp_half)}
+    back = max(b for b, _ in [*linear.values(), *exponential.values()])
+    ahead = max(a for _, a in [*linear.values(), *exponential.values()])
+
+    def fit(table):
+        y, group = table[value].to_numpy(), table["visit_group"].to_numpy()
+        fdom = table["parameter"][0].as_py() == "FDOM Fluorescence"
+        out = {}
+        for name, (before, after) in linear.items():
+            slope, r2, present, rows = window_fit(y, before, after, group)
+            good = (rows >= win.min_points) & (present >= np.ceil(0.9 * rows)) & ((slope <= 0) if fdom else (slope > 0))
+            out[name] = np.where(good, r2, 0.0)
+        for name, (before, after) in exponential.items():
+            if fdom:
+                out[name] = np.zeros(len(y))
+                continue
+            slope, r2, present, _ = window_fit(y, before, after, group, log_from_min=True)
+            out[name] = np.where((present >= win.min_points) & (slope > 0), r2, 0.0)
+        return out
+
+    d = over_slots_in_arrow(grouped, spec, back, ahead, fit, {n: "double" for n in FITS})
+    d = d.withColumn("tightest_r", F.greatest(*FITS))
 
+    def failed(w):
+        return {"failed": (F.avg("tightest_r").over(w.rowsBetween(-win.trail, 0)) >= win.share).cast("long")}
 
-def time_drift(df: DataFrame, spec: Series, visit: Column | None = None, win: DriftWindows = DriftWindows()) -> DataFrame:
-    """Adds the fits and ``failed``; ``visit`` marks rows that start a new visit group (without it
-    the rows already carry ``visit_group``)."""
-    grouped = df if visit is None else vz.visit_groups(df, spec, visit)
-    back = max(win.short_back, win.long_back, win.long_half, win.exp_back, win.exp_half) + win.trail
-    ahead = max(win.short_half, win.long_half, win.exp_half)
-    out = over_slots(grouped, spec.by(*spec.keys, "visit_group"), back, ahead, *time_drift_steps(spec, win))
-    return out.drop("_exp_right", "_exp_center")
+    return over_slots(d, spec.by(*spec.keys, "visit_group"), win.trail, 0, failed)
 
 
 # --- several parameters of one sonde -----------------------------------------------------------
@@ -349,20 +319,24 @@ def intersensor_check(df: DataFrame, time: str = "dt_round", references=("Temper
     return df.withColumn("_x", shared).withColumn("flags", tokens.remove("flags", SLOPE, when=F.col("_x") & ~F.col("parameter").isin(*references))).drop("_x")
 
 
-def burial_step(half: int = 48, share: float = 0.5):
+def burial_steps(half: int = 48, share: float = 0.5):
     """Share of noisy DO slots around each slot of the DO series."""
 
-    def step(w):
-        noisy = F.when(F.col("parameter") == "DO", tokens.has("flags", DO_INTERFERENCE).cast("double"))
-        return {"_buried": F.coalesce(F.avg(noisy).over(w.rowsBetween(-half, half)) >= share, F.lit(False))}
+    def totals(w):
+        noisy = ((F.col("parameter") == "DO") & tokens.has("flags", DO_INTERFERENCE)).cast("int")
+        return {"_noisy": running_total(noisy, w), "_rows": running_total(F.lit(1), w)}
 
-    return step
+    def buried(w):
+        part = frame_total("_noisy", w, half, half) / frame_total("_rows", w, half, half)
+        return {"_buried": (F.col("parameter") == "DO") & (part >= share)}
+
+    return [totals, buried]
 
 
 def burial_flag(df: DataFrame, spec: Series, half: int = 48, share: float = 0.5) -> DataFrame:
-    d = over_slots(df, spec, half, half, burial_step(half, share))
+    d = over_slots(df, spec, half, half, *burial_steps(half, share))
     hit = _any(F.col("_buried"), _at_slot(spec.time))
-    return d.withColumn("_x", hit).withColumn("flags", tokens.add("flags", F.col("_x"), BURIAL)).drop("_x", "_buried")
+    return d.withColumn("_x", hit).withColumn("flags", tokens.add("flags", F.col("_x"), BURIAL)).drop("_x", "_buried", "_noisy", "_rows")
 
 
 def malfunction_flag(df: DataFrame, records: DataFrame, spec: Series, on=("site", "parameter"), text: str = "sensor malfunction") -> DataFrame:
@@ -474,7 +448,7 @@ def flag_pass(
     field = [(F.col("sonde_employed") == 1, NOT_EMPLOYED), (F.col("has_visit"), SITE_VISIT), (F.col("in_sv_window"), SV_WINDOW)]
     d = d.withColumn("flags", tokens.add_all(tokens.empty(), field))
     first = [*grid.summary_steps(spec), missing_step(), do_noise_step(s.do_noise), repeated_step()]
-    second = [rule(outside("_lo", "_hi"), SPEC_RANGE), *seasonal_steps(), burial_step(s.burial_half, s.burial_share)]
+    second = [rule(outside("_lo", "_hi"), SPEC_RANGE), *seasonal_steps(), *burial_steps(s.burial_half, s.burial_share)]
     if s.drift is None:
         d = over_slots(d, spec, 3 + s.burial_half, 3 + s.burial_half, *first, *second)
     else:

@@ -233,7 +233,7 @@ def resample(df: DataFrame, spec: Series, unit: str, value: str = "mean", how: s
     if how != "median":
         return d.groupBy(*keys).agg(F.avg(value).alias(value), F.count(value).alias("n"))
     n = d.groupBy(*keys).agg(F.count(value).alias("n"))
-    return n.join(exact_quantiles(d, keys, value, {value: 0.5}, cells=16), keys, "left")
+    return n.join(exact_quantiles(d, keys, value, {value: 0.5}), keys, "left")
 
 
 def moving_average(df: DataFrame, keys, time: str, value: str, width: int, step: int = 86400, chunk: int = 4096, name: str = "rolled") -> DataFrame:

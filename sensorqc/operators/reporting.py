@@ -183,13 +183,13 @@ def plausible(df: DataFrame, verified: bool) -> DataFrame:
 
 def climatology(df: DataFrame, time: str = "dt_round", value: str = "mean", keys=("site", "parameter")) -> DataFrame:
     d = df.withColumn("doy", F.dayofyear(time).cast("long"))
-    return exact_quantiles(d, [*keys, "doy"], value, {"median": 0.5, "min": 0.0, "max": 1.0}, cells=16)
+    return exact_quantiles(d, [*keys, "doy"], value, {"median": 0.5, "min": 0.0, "max": 1.0})
 
 
 def event_slice(readings: DataFrame, spec: Series, ts: str, value: str, start: str, end: str) -> DataFrame:
     """Median per slot of a coarser step, padded to the grid and clipped to the event."""
     d = readings.select(*spec.keys, tm.round_slot(ts, spec.step).alias(spec.time), value)
-    m = exact_quantiles(d, [*spec.keys, spec.time], value, {"median": 0.5}, cells=16)
+    m = exact_quantiles(d, [*spec.keys, spec.time], value, {"median": 0.5})
     return grid.pad_grid(m, spec).filter(F.col(spec.time).between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
 
 
@@ -271,14 +271,14 @@ def standards_check(df: DataFrame, standards: DataFrame, time: str, value: str =
 
 def monthly_box(df: DataFrame, time: str, value: str = "mean") -> DataFrame:
     d = df.withColumn("month", F.month(time).cast("long"))
-    return exact_quantiles(d, ["site", "parameter", "month"], value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, cells=64)
+    return exact_quantiles(d, ["site", "parameter", "month"], value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
 
 
 def water_year_compare(df: DataFrame, keys: list[str], time: str, value: str, current: int) -> DataFrame:
     """Median, least and largest of past water years per calendar day beside the current year."""
     d = df.withColumns({"water_year": tm.water_year(time), "month_day": F.date_format(time, "MM-dd")})
     k = [*keys, "month_day"]
-    past = exact_quantiles(d.filter(F.col("water_year") != current), k, value, {"past_median": 0.5, "past_min": 0.0, "past_max": 1.0}, cells=16)
+    past = exact_quantiles(d.filter(F.col("water_year") != current), k, value, {"past_median": 0.5, "past_min": 0.0, "past_max": 1.0})
     now = d.filter(F.col("water_year") == current).groupBy(*k).agg(F.avg(value).alias("current_mean"))
     return past.join(now, k, "left")
 

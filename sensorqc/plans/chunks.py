@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import types as T
 
 from sensorqc.functions.time import slot_number
 from sensorqc.series import Series
@@ -54,6 +55,46 @@ def over_index(df: DataFrame, keys, index: str, before: int, after: int, chunk:
     return _apply(_halo(df, F.col(index).cast("long"), before, after, chunk), keys, index, steps)
 
 
+def over_slots_in_arrow(df: DataFrame, spec: Series, before: int, after: int, fn, columns: dict[str, str]) -> DataFrame:
+    """``over_slots`` for frames that need numpy: ``fn(arrow table sorted by time) -> {name: array}``.
+
+    One call sees one chunk with its halo, a bounded number of rows; other columns stay in Arrow.
+    """
+    keys = list(spec.keys)
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T._parse_datatype_string(t)) for n, t in columns.items()]])
+    out = _halo(df, slot_number(spec.time, spec.step), before, after, max(spec.chunk, 1))
+    names = df.columns
+
+    def call(table):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        table = table.take(pc.sort_indices(table["_index"]))
+        got = fn(table)
+        result = table.select(names)
+        for n in columns:
+            result = result.append_column(n, pa.array(got[n], from_pandas=True))
+        return result.filter(table["_core"])
+
+    return out.groupBy(*keys, "_chunk").applyInArrow(call, schema)
+
+
+def running_total(column: str | Column, w: WindowSpec) -> Column:
+    return F.sum(column).over(w.rowsBetween(Window.unboundedPreceding, 0))
+
+
+def frame_total(running: str, w: WindowSpec, before: int, after: int) -> Column:
+    """Sum over rows [-before, after] from a running total, whatever the width of the frame."""
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    upto = F.coalesce(F.lead(running, after).over(w), F.last(running).over(whole))
+    return upto - F.coalesce(F.lag(running, before + 1).over(w), F.lit(0))
+
+
+def full_frame(w: WindowSpec, before: int, after: int) -> Column:
+    one = F.lit(1)
+    return F.lag(one, before).over(w).isNotNull() & F.lead(one, after).over(w).isNotNull()
+
+
 def carry(
     df: DataFrame,
     keys,

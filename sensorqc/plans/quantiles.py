@@ -4,41 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+ACCURACY = 10_000
+MARGIN = 20 / ACCURACY  # twenty times the rank error of the sketch
+SMALL = 5_000  # groups up to this size are ranked whole
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float], cells: int = 512) -> DataFrame:
-    """``keys`` plus one column per named probability, linear interpolation between order statistics.
 
-    A bounded sketch gives cell edges per group, cell counts locate the cells that hold the wanted
-    ranks, and only those cells are ranked. No task ever holds a whole group, equal values are
-    collapsed before the shuffle, and the result does not depend on the sketch.
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """``keys`` plus one column per named probability, linear between order statistics.
+
+    A bounded sketch brackets each wanted rank; rows below the bracket are only counted, and only
+    the few rows inside it (equal values collapsed) are ranked. No task holds a whole group, and
+    the result does not depend on the sketch.
     """
-    d = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    d = d.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    cuts = [i / cells for i in range(1, cells)]
-    edges = d.groupBy(*keys).agg(F.percentile_approx("_v", F.array(*[F.lit(c) for c in cuts]), F.lit(10 * cells)).alias("_edges"))
-    celled = d.join(edges, keys).withColumn("_cell", F.size(F.filter("_edges", lambda e: e < F.col("_v")))).drop("_edges")
-    counts = celled.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_c"))
-    by_cell = Window.partitionBy(*keys).orderBy("_cell")
-    counts = counts.withColumns(
-        {
-            "_below": F.sum("_c").over(by_cell) - F.col("_c"),
-            "_total": F.sum("_c").over(Window.partitionBy(*keys)),
-        }
-    )
-    ranks = []
-    for name, p in probs.items():
-        pos = F.lit(float(p)) * (F.col("_total") - 1)
-        ranks.append(F.struct(F.lit(name).alias("name"), F.floor(pos).alias("rank"), (1 - (pos - F.floor(pos))).alias("weight")))
-        ranks.append(F.struct(F.lit(name).alias("name"), F.ceil(pos).alias("rank"), (pos - F.floor(pos)).alias("weight")))
-    wanted = counts.withColumn(
-        "_want",
-        F.filter(F.array(*ranks), lambda r: (r["rank"] >= F.col("_below")) & (r["rank"] < F.col("_below") + F.col("_c"))),
-    ).filter(F.size("_want") > 0)
-    inside = celled.join(wanted.select(*keys, "_cell", "_below", "_want"), [*keys, "_cell"])
-    in_cell = Window.partitionBy(*keys, "_cell").orderBy("_v")
-    inside = inside.withColumn("_hi", F.col("_below") + F.sum("_n").over(in_cell)).withColumn("_lo", F.col("_hi") - F.col("_n"))
-    hits = inside.withColumn("_hit", F.explode(F.filter("_want", lambda r: (r["rank"] >= F.col("_lo")) & (r["rank"] < F.col("_hi")))))
-    out = hits.groupBy(*keys).agg(
-        *[F.sum(F.when(F.col("_hit.name") == n, F.col("_v") * F.col("_hit.weight"))).alias(n) for n in probs]
-    )
-    return out
+    v, inf = F.col("_v"), float("inf")
+    d = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(v.isNotNull() & ~F.isnan(v))
+    cuts = [min(1.0, max(0.0, p + s * MARGIN)) for p in probs.values() for s in (-1, 1)]
+    sketch = F.percentile_approx("_v", F.array(*[F.lit(c) for c in cuts]), F.lit(ACCURACY))
+    s = d.groupBy(*keys).agg(F.count("_v").alias("_n"), sketch.alias("_q"))
+    wanted = []
+    for i, p in enumerate(probs.values()):
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        small = F.col("_n") <= SMALL
+        wanted.append(
+            F.struct(
+                F.lit(i).alias("i"),
+                F.when(small | F.lit(p <= MARGIN), F.lit(-inf)).otherwise(F.col("_q")[2 * i]).alias("lo"),
+                F.when(small | F.lit(p >= 1 - MARGIN), F.lit(inf)).otherwise(F.col("_q")[2 * i + 1]).alias("hi"),
+                F.floor(pos).alias("first"),
+                F.ceil(pos).alias("last"),
+                (pos - F.floor(pos)).alias("part"),
+            )
+        )
+    marked = d.join(s.select(*keys, F.array(*wanted).alias("_w")), keys)
+    below = marked.groupBy(*keys).agg(F.array(*[F.count(F.when(v < F.col("_w")[i]["lo"], 1)) for i in range(len(probs))]).alias("_below"))
+    inside = marked.select(*keys, "_v", F.explode(F.filter("_w", lambda w: (F.col("_v") >= w["lo"]) & (F.col("_v") <= w["hi"]))).alias("_w"))
+    inside = inside.groupBy(*keys, "_w", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    order = Window.partitionBy(*keys, "_w.i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = inside.withColumn("_hi", F.sum("_c").over(order)).join(below, keys)
+    hi = F.col("_hi") + F.col("_below")[F.col("_w.i")]
+    lo = hi - F.col("_c")
+
+    def holds(rank: str):
+        return (F.col(f"_w.{rank}") >= lo) & (F.col(f"_w.{rank}") < hi)
+
+    share = F.when(holds("first"), 1 - F.col("_w.part")).otherwise(0.0) + F.when(holds("last"), F.col("_w.part")).otherwise(0.0)
+    hits = inside.filter(holds("first") | holds("last")).withColumn("_x", v * share)
+    return hits.groupBy(*keys).agg(*[F.sum(F.when(F.col("_w.i") == i, F.col("_x"))).alias(n) for i, n in enumerate(probs)])
