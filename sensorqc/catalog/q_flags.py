@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sensorqc.catalog.fixtures import S, STEP
+from sensorqc.catalog.fixtures import S, SPEC, STEP
 from sensorqc.catalog.registry import query
 from sensorqc.functions import tokens
 from sensorqc.operators import flags as fl, grid
@@ -114,7 +114,7 @@ def _(t):
 )
 def _(t):
     sites = t.sites.withColumn("n", F.substring("site", 2, 9).cast("int"))
-    parameters = [F.struct(F.lit(r["parameter"]).alias("parameter"), F.lit(r["lo"]).alias("a"), F.lit(r["hi"]).alias("b")) for r in t.spec.collect()]
+    parameters = [F.struct(F.lit(p).alias("parameter"), F.lit(lo).alias("a"), F.lit(hi).alias("b")) for p, (lo, hi, _) in SPEC.items()]
     limits = sites.select("site", "n", F.inline(F.array(*parameters))).select("site", "parameter", (F.col("a") * 2).alias("lo"), (F.col("b") - F.col("n")).alias("hi"))
     return bare(fl.range_flag(unflagged(t.series), limits, ["site", "parameter"], fl.REALISTIC_RANGE))
 
