@@ -9,6 +9,7 @@ from sensorqc.catalog.registry import query
 from sensorqc.functions import tokens
 from sensorqc.operators import flags as fl, grid
 from sensorqc.plans.chunks import over_slots
+from sensorqc.session import materialise
 
 MIN = STEP // 60
 SEP = "';' || chr(10)"
@@ -341,7 +342,7 @@ def _(t):
     SELECT site, parameter, dt_round, nullif(concat_ws({SEP}, CASE WHEN odd AND NOT echo THEN 'outside of seasonal range' END, CASE WHEN steep AND NOT echo THEN 'slope violation' END), '') AS flag FROM y""",
 )
 def _(t):
-    return bare(fl.network_check(_sloped(t), t.pairs, S, reach=1))
+    return bare(fl.network_check(materialise(_sloped(t), "sloped"), t.pairs, S, reach=1))
 
 
 SUSPECT_SQL = f"""c AS (SELECT *, (flag IS NOT NULL)::INT AS fl FROM fx_flagged),

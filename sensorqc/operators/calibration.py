@@ -8,6 +8,7 @@ from sensorqc.functions import time as tm
 from sensorqc.plans.chunks import carry, carry_series, over_slots, time_chunk
 from sensorqc.plans.joins import asof_join, newest_per_key
 from sensorqc.series import Series
+from sensorqc.session import materialise
 
 CAL_CHUNK = 31_536_000
 
@@ -22,8 +23,7 @@ def lag_lead(calibrations: DataFrame, keys: list[str], time: str = "sensor_date"
     """Previous and next slope, offset and date of the same sensor."""
     here = F.struct(F.col("slope").alias("slope"), F.col("offset").alias("offset"), F.col(time).alias("date"))
     order, chunk = [time, tie], time_chunk(time, chunk_seconds)
-    d = carry(calibrations, keys, chunk, order, fills={"_lag": here}, exclusive=True)
-    d = carry(d, keys, chunk, order, fills={"_lead": here}, exclusive=True, backward=True)
+    d = carry(calibrations, keys, chunk, order, fills={"_lag": here}, next_fills={"_lead": here}, exclusive=True)
     cols = {}
     for side in ("lag", "lead"):
         cols |= {f"slope_{side}": F.col(f"_{side}.slope"), f"offset_{side}": F.col(f"_{side}.offset"), f"{time}_{side}": F.col(f"_{side}.date")}
@@ -87,11 +87,10 @@ def recalibrate(df: DataFrame) -> DataFrame:
 
 def choose_coefficients(df: DataFrame, decisions: DataFrame, spec: Series) -> DataFrame:
     """Reviewer's Original/Lag/Lead choice per calibration, filled down then up along the series."""
-    d = df.join(decisions, [*spec.keys, "sensor_date", spec.time], "left")
-    for c in ("from", "to"):
-        d = carry_series(d, spec, fills={"_down": F.col(c)})
-        d = carry_series(d, spec, fills={"_up": F.col(c)}, backward=True)
-        d = d.withColumn(c, F.coalesce("_down", "_up")).drop("_down", "_up")
+    d = materialise(df.join(decisions, [*spec.keys, "sensor_date", spec.time], "left"), "calibration-choices")
+    down, up = ({f"_{way}_{c}": F.col(c) for c in ("from", "to")} for way in ("down", "up"))
+    d = carry_series(d, spec, fills=down, next_fills=up)
+    d = d.withColumns({c: F.coalesce(f"_down_{c}", f"_up_{c}") for c in ("from", "to")}).drop(*down, *up)
     cols = {}
     for side, default in (("from", "final"), ("to", "lead")):
         for v in ("slope", "offset"):
@@ -153,9 +152,7 @@ def fill_calibration(df: DataFrame, calibrations: DataFrame, spec: Series, colum
     (``forward_first`` swaps the order)."""
     keys = [*spec.keys, spec.time]
     d = df.join(calibrations.select(*keys, *columns), keys, "full")
-    fills = {f"_d_{c}": F.col(c) for c in columns}
-    d = carry_series(d, spec, fills=fills)
-    d = carry_series(d, spec, fills={f"_u_{c}": F.col(c) for c in columns}, backward=True)
+    d = carry_series(d, spec, fills={f"_d_{c}": F.col(c) for c in columns}, next_fills={f"_u_{c}": F.col(c) for c in columns})
     pair = (lambda c: (f"_d_{c}", f"_u_{c}")) if forward_first else (lambda c: (f"_u_{c}", f"_d_{c}"))
     d = d.withColumns({c: F.coalesce(*pair(c)) for c in columns})
     return d.drop(*[f"_d_{c}" for c in columns], *[f"_u_{c}" for c in columns])

@@ -71,9 +71,8 @@ def range_values(
     out = w.drop("_rank").join(agg, [*keys, "seq"], "left")
     out = out.withColumn("gap_minutes", tm.seconds_between("_next", "end_dt") / 60).drop("_next")
     if notes is not None:
-        for col, name in (("pre_clean", "from_b"), ("post_clean", "to_b")):
-            n = notes.filter(F.col(col).isNotNull()).select(*keys, F.col("note_dt").alias("_nt"), F.col(col).alias(name))
-            out = asof_join(out, n, keys, "end_dt", "_nt", [name], spec.chunk_seconds)
+        n = notes.select(*keys, F.col("note_dt").alias("_nt"), F.col("pre_clean").alias("from_b"), F.col("post_clean").alias("to_b"))
+        out = asof_join(out, n, keys, "end_dt", "_nt", ["from_b", "to_b"], spec.chunk_seconds, each=True)
     else:
         out = out.withColumns({c: F.lit(None).cast("double") for c in ("from_b", "to_b")})
     if network is not None:
@@ -221,8 +220,9 @@ def scenario_grid(series: DataFrame, windows: DataFrame, ranged: DataFrame, spec
     one (by ``seq``) counts.
     """
     keys = list(spec.keys)
+    ranged = materialise(ranged, "ranges")
     w = windows.filter("drift_type <> 'non_resolved'").join(ranged.select(*keys, "seq", "pre_val", "post_val", "pre_post_source"), [*keys, "seq"])
-    rows = window_rows(series, w, spec, value)
+    rows = materialise(window_rows(series, w, spec, value), "window-rows")
     stats = window_slopes(rows, keys)
     if fit:
         stats = stats.join(fit_rate(rows, keys), [*keys, "seq"], "left")
@@ -311,7 +311,7 @@ def stitch(grid_df: DataFrame, windows: DataFrame, spec: Series) -> DataFrame:
 def correct_series(series: DataFrame, windows: DataFrame, notes: DataFrame, network: DataFrame, spec: Series, before_seconds: int = 3600, gap_minutes: float = 120.0) -> DataFrame:
     """Unflag, scenario grid, stitch, short gaps interpolated, Turbidity smoothed."""
     d = unflag_windows(series, windows.filter("drift_type = 'unflag'"), spec)
-    ranged = materialise(range_values(d, windows, notes, network, spec, before_seconds, gap_minutes=gap_minutes), "range-values")
+    ranged = range_values(d, windows, notes, network, spec, before_seconds, gap_minutes=gap_minutes)
     d = stitch(scenario_grid(d, windows, ranged, spec), windows, spec)
     d = materialise(d, "stitched")
     d = grid.interpolate_gaps(d, spec, "mean_drift_trans", 4, "mean_filled")

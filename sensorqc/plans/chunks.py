@@ -103,38 +103,47 @@ def carry(
     fills: dict[str, Column] | None = None,
     sums: dict[str, Column] | None = None,
     maxes: dict[str, Column] | None = None,
+    next_fills: dict[str, Column] | None = None,
     backward: bool = False,
     exclusive: bool = False,
 ) -> DataFrame:
     """Running last-non-null / sum / max per key in the given order, split by chunk.
 
-    ``chunk`` must grow with the order. ``exclusive`` leaves the current row out of the frame.
+    ``chunk`` must grow with the order. ``next_fills`` look the other way in the same pass.
+    ``exclusive`` leaves the current row out of the frames. The input is read twice (summary and
+    rows), so hand in a stored table where it is costly.
     """
-    fills, sums, maxes = fills or {}, sums or {}, maxes or {}
+    fills, sums, maxes, next_fills = fills or {}, sums or {}, maxes or {}, next_fills or {}
     keys = list(keys)
     d = df.withColumn("_chunk", chunk)
     position = F.struct(*[F.col(c) for c in order])
-    pick = F.min_by if backward else F.max_by
+    pick, other = (F.min_by, F.max_by) if backward else (F.max_by, F.min_by)
     aggs = [pick(c, F.when(c.isNotNull(), position)).alias(f"_f_{n}") for n, c in fills.items()]
+    aggs += [other(c, F.when(c.isNotNull(), position)).alias(f"_f_{n}") for n, c in next_fills.items()]
     aggs += [F.sum(c).alias(f"_s_{n}") for n, c in sums.items()]
     aggs += [F.max(c).alias(f"_m_{n}") for n, c in maxes.items()]
     summary = d.groupBy(*keys, "_chunk").agg(*aggs)
     chunk_order = F.col("_chunk").desc() if backward else F.col("_chunk").asc()
     wc = Window.partitionBy(*keys).orderBy(chunk_order).rowsBetween(Window.unboundedPreceding, -1)
+    wn = Window.partitionBy(*keys).orderBy(chunk_order).rowsBetween(1, Window.unboundedFollowing)
     summary = summary.select(
         *keys,
         "_chunk",
+        *[F.first(f"_f_{n}", ignorenulls=True).over(wn).alias(f"_f_{n}") for n in next_fills],
         *[F.last(f"_f_{n}", ignorenulls=True).over(wc).alias(f"_f_{n}") for n in fills],
         *[F.sum(f"_s_{n}").over(wc).alias(f"_s_{n}") for n in sums],
         *[F.max(f"_m_{n}").over(wc).alias(f"_m_{n}") for n in maxes],
     )
     ordering = [F.col(c).desc() if backward else F.col(c).asc() for c in order]
-    w = Window.partitionBy(*keys, "_chunk").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    ordered = Window.partitionBy(*keys, "_chunk").orderBy(*ordering)
+    w = ordered.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    ahead = ordered.rowsBetween(1 if exclusive else 0, Window.unboundedFollowing)
     out = d.join(summary, [*keys, "_chunk"], "left")
     cols = {n: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_f_{n}")) for n, c in fills.items()}
+    cols |= {n: F.coalesce(F.first(c, ignorenulls=True).over(ahead), F.col(f"_f_{n}")) for n, c in next_fills.items()}
     cols |= {n: F.coalesce(F.sum(c).over(w), F.lit(0)) + F.coalesce(F.col(f"_s_{n}"), F.lit(0)) for n, c in sums.items()}
     cols |= {n: F.greatest(F.max(c).over(w), F.col(f"_m_{n}")) for n, c in maxes.items()}
-    drop = [f"_f_{n}" for n in fills] + [f"_s_{n}" for n in sums] + [f"_m_{n}" for n in maxes]
+    drop = [f"_f_{n}" for n in [*fills, *next_fills]] + [f"_s_{n}" for n in sums] + [f"_m_{n}" for n in maxes]
     return out.withColumns(cols).drop("_chunk", *drop)
 
 

@@ -17,36 +17,37 @@ def asof_join(
     payload: list[str],
     chunk_seconds: int,
     following: bool = False,
+    each: bool = False,
 ) -> DataFrame:
     """For each left row the latest right row at or before it (``following``: earliest at or after).
 
     Both sides are stacked and the payload is carried along time, so no pair of rows is formed and
-    a hot key is split by time chunk. Right rows at equal times are ordered by their payload.
+    a hot key is split by time chunk. Right rows at equal times are ordered by their payload. With
+    ``each`` every payload column takes its own latest non-null value.
     """
     match = F.struct(*[F.col(c).alias(c) for c in payload])
     left_type = F.struct(*[F.col(c) for c in left.columns])
     l = left.select(*on, F.col(left_time).alias("_t"), F.lit(0 if following else 1).alias("_side"), left_type.alias("_l"))
     r = right.select(*on, F.col(right_time).alias("_t"), F.lit(1 if following else 0).alias("_side"), match.alias("_r"))
     both = l.unionByName(r, allowMissingColumns=True)
-    filled = carry(both, on, time_chunk("_t", chunk_seconds), ["_t", "_side", "_r"], fills={"_match": F.col("_r")}, backward=following)
-    return filled.filter(F.col("_l").isNotNull()).select("_l.*", *[F.col("_match")[c].alias(c) for c in payload])
+    fills = {f"_v{i}": F.col("_r")[c] for i, c in enumerate(payload)} if each else {"_match": F.col("_r")}
+    filled = carry(both, on, time_chunk("_t", chunk_seconds), ["_t", "_side", "_r"], fills=fills, backward=following)
+    got = [(F.col(f"_v{i}") if each else F.col("_match")[c]).alias(c) for i, c in enumerate(payload)]
+    return filled.filter(F.col("_l").isNotNull()).select("_l.*", *got)
 
 
 def nearest_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str, right_time: str, payload: list[str], chunk_seconds: int) -> DataFrame:
     """Right row with the smallest time distance; the earlier one on ties."""
-    names = [right_time, *[c for c in payload if c != right_time]]
-    prev = {c: f"_p_{c}" for c in names}
-    nxt = {c: f"_n_{c}" for c in names}
-
-    def renamed(mapping):
-        return right.select(*on, F.col(right_time).alias("_rt"), *[F.col(c).alias(a) for c, a in mapping.items()])
-
-    out = asof_join(left, renamed(prev), on, left_time, "_rt", list(prev.values()), chunk_seconds)
-    out = asof_join(out, renamed(nxt), on, left_time, "_rt", list(nxt.values()), chunk_seconds, following=True)
-    back = seconds_between(left_time, prev[right_time])
-    ahead = seconds_between(nxt[right_time], left_time)
-    use_prev = F.col(nxt[right_time]).isNull() | (back <= ahead)
-    return out.select(*left.columns, *[F.when(use_prev, F.col(prev[c])).otherwise(F.col(nxt[c])).alias(c) for c in payload])
+    here = F.struct(F.col(right_time).alias("_rt"), *[F.col(c).alias(c) for c in payload])
+    rows = F.struct(*[F.col(c) for c in left.columns])
+    l = left.select(*on, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), rows.alias("_l"))
+    r = right.select(*on, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), here.alias("_r"))
+    both = l.unionByName(r, allowMissingColumns=True)
+    out = carry(both, on, time_chunk("_t", chunk_seconds), ["_t", "_side", "_r"], fills={"_p": F.col("_r")}, next_fills={"_n": F.col("_r")})
+    back, ahead = seconds_between("_t", "_p._rt"), seconds_between("_n._rt", "_t")
+    use_prev = F.col("_n").isNull() | (back <= ahead)
+    best = [F.when(use_prev, F.col("_p")[c]).otherwise(F.col("_n")[c]).alias(c) for c in payload]
+    return out.filter(F.col("_l").isNotNull()).select("_l.*", *best)
 
 
 def interval_join(
