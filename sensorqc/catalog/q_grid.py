@@ -12,6 +12,7 @@ from sensorqc.plans.chunks import over_slots
 
 W = "WINDOW w AS (PARTITION BY site, parameter ORDER BY dt_round)"
 MIN = STEP // 60
+TIE = 1e-9  # moves exact decimal ties off the rounding border in both engines
 
 
 @query("g01_slot_agg", "SELECT site, parameter, dt_round, @mean, @spread, n_obs FROM fx_slots")
@@ -136,19 +137,19 @@ def _pass(src: str, out: str, base: str) -> str:
     "g12_lowpass",
     f"""WITH p0 AS (SELECT site, parameter, dt_round, mean, mean AS x FROM fx_series), p1 AS ({_pass('p0', 'x', 'x')}),
       p2 AS ({_pass('p1', 'x', 'x')}), p3 AS ({_pass('p2', 'x', 'x')})
-    SELECT site, parameter, dt_round, round(CASE WHEN parameter = 'Turbidity' THEN x ELSE mean END, 6) AS smoothed FROM p3""",
+    SELECT site, parameter, dt_round, round(CASE WHEN parameter = 'Turbidity' THEN x ELSE mean END + {TIE}, 6) AS smoothed FROM p3""",
 )
 def _(t):
-    return grid.low_pass(t.series, S).select("site", "parameter", "dt_round", "smoothed")
+    return grid.low_pass(t.series, S).select("site", "parameter", "dt_round", (F.col("smoothed") + TIE).alias("smoothed"))
 
 
 @query(
     "g12_lowpass_single",
     f"""WITH p0 AS (SELECT site, parameter, dt_round, mean, mean AS x FROM fx_series), p1 AS ({_pass('p0', 'x', 'x')})
-    SELECT site, parameter, dt_round, round(CASE WHEN parameter = 'Turbidity' THEN x ELSE mean END, 6) AS smoothed FROM p1""",
+    SELECT site, parameter, dt_round, round(CASE WHEN parameter = 'Turbidity' THEN x ELSE mean END + {TIE}, 6) AS smoothed FROM p1""",
 )
 def _(t):
-    return grid.low_pass(t.series, S, passes=1).select("site", "parameter", "dt_round", "smoothed")
+    return grid.low_pass(t.series, S, passes=1).select("site", "parameter", "dt_round", (F.col("smoothed") + TIE).alias("smoothed"))
 
 
 @query(
@@ -183,9 +184,6 @@ def _(t):
     return grid.gaussian_smooth(weekly, ["site", "year"], "week", "mean").drop("mean")
 
 
-TIE = 1e-9  # moves exact decimal ties off the rounding border in both engines
-
-
 def _trunc(unit, agg):
     return f"SELECT site, parameter, date_trunc('{unit}', dt_round) AS dt_round, round({agg}(mean) + {TIE}, 6) AS mean, count(mean) AS n FROM fx_series GROUP BY 1, 2, 3"
 
