@@ -84,9 +84,9 @@ SEASON_SQL = """CASE WHEN month({0}) IN (12,1,2,3,4) THEN 'winter_baseflow' WHEN
     "g08_calendar",
     f"""SELECT o_orderkey, o_orderdate, CAST(year(o_orderdate) AS BIGINT) AS year, CAST(month(o_orderdate) AS BIGINT) AS month,
       CAST((dayofyear(o_orderdate) - 1) // 7 + 1 AS BIGINT) AS week, CAST(dayofweek(o_orderdate) + 1 AS BIGINT) AS weekday,
-      CAST(dayofyear(o_orderdate) AS BIGINT) AS day, concat_ws('-', year(o_orderdate), month(o_orderdate)) AS y_m,
-      concat_ws('-', year(o_orderdate), (dayofyear(o_orderdate) - 1) // 7 + 1) AS y_w,
-      concat_ws('-', year(o_orderdate), dayofyear(o_orderdate)) AS y_d, {SEASON_SQL.format('o_orderdate')} AS season FROM orders""",
+      CAST(dayofyear(o_orderdate) AS BIGINT) AS day, concat_ws(' - ', year(o_orderdate), month(o_orderdate)) AS y_m,
+      concat_ws(' - ', year(o_orderdate), (dayofyear(o_orderdate) - 1) // 7 + 1) AS y_w,
+      concat_ws(' - ', year(o_orderdate), dayofyear(o_orderdate)) AS y_d, {SEASON_SQL.format('o_orderdate')} AS season FROM orders""",
 )
 def _(t):
     return t.table("orders").select("o_orderkey", "o_orderdate").withColumns(tm.calendar("o_orderdate"))

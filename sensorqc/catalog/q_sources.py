@@ -213,10 +213,10 @@ def _(t):
 @query(
     "s18_normalise_upload",
     """SELECT site, parameter, dt_round, @mean, flag AS auto_flag, CASE WHEN n_obs >= 3 THEN 'busy' END AS mal_flag,
-      nullif(concat_ws(';' || chr(10), flag, CASE WHEN n_obs >= 3 THEN 'busy' END), '') AS flag, CAST(2024 AS BIGINT) AS year, CAST(1 AS BIGINT) AS month,
+      nullif(concat_ws(';', flag, CASE WHEN n_obs >= 3 THEN 'busy' END), '') AS flag, CAST(2024 AS BIGINT) AS year, CAST(1 AS BIGINT) AS month,
       CAST((dayofyear(dt_round) - 1) // 7 + 1 AS BIGINT) AS week, CAST(dayofweek(dt_round) + 1 AS BIGINT) AS weekday, CAST(dayofyear(dt_round) AS BIGINT) AS day,
-      'winter_baseflow' AS season, round(mean, 6) AS mean_verified, false AS is_verified, 'SKIP' AS verification_status,
-      nullif(concat_ws(';' || chr(10), flag, CASE WHEN n_obs >= 3 THEN 'busy' END), '') AS user_flag, false AS brush_omit,
+      'winter_baseflow' AS season, round(mean, 6) AS mean_verified, false AS is_verified, CAST(NULL AS VARCHAR) AS verification_status, CAST(NULL AS VARCHAR) AS "user",
+      nullif(concat_ws(';', flag, CASE WHEN n_obs >= 3 THEN 'busy' END), '') AS user_flag, false AS brush_omit,
       CAST(NULL AS VARCHAR) AS final_status, CAST(NULL AS VARCHAR) AS week_decision, false AS is_finalized FROM fx_flagged""",
 )
 def _(t):

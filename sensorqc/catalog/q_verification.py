@@ -61,12 +61,13 @@ def _(t):
 @query(
     "v03_reset_week",
     f"""WITH {VER} SELECT site, parameter, dt_round, CASE WHEN week % 2 = 0 THEN flag ELSE upper(user_flag) END AS user_flag, CASE WHEN week % 2 = 0 THEN false ELSE brush_omit END AS brush_omit,
-      CASE WHEN week % 2 = 0 THEN false ELSE is_verified END AS is_verified, CASE WHEN week % 2 = 0 THEN 'SKIP' ELSE verification_status END AS verification_status FROM vx""",
+      week % 2 <> 0 AND is_verified AS is_verified, verification_status FROM vx""",
 )
 def _(t):
     d = t.verification.withColumn("user_flag", F.upper("flag"))
     weeks = t.verification.select("site", "parameter", "year", "week").distinct().filter("week % 2 = 0")
-    return vf.reset_weeks(d, weeks).select(*KEYS, "user_flag", "brush_omit", "is_verified", "verification_status")
+    out = vf.reset_weeks(d, weeks).withColumn("is_verified", F.coalesce("is_verified", F.lit(False)))
+    return out.select(*KEYS, "user_flag", "brush_omit", "is_verified", "verification_status")
 
 
 NAMES9 = list(vf.OLD_DECISIONS)
@@ -94,8 +95,8 @@ def _(t):
 
 @query(
     "v05_non_removable",
-    f"""WITH {OLDX} SELECT site, parameter, dt_round, CASE WHEN NOT coalesce(regexp_matches(flag, 'site visit|missing data'), false) THEN round(mv, 6) END AS mean_verified,
-      CASE WHEN coalesce(regexp_matches(flag, 'site visit|missing data'), false) THEN 'PASS' ELSE vs END AS verification_status FROM y""",
+    f"""WITH {OLDX} SELECT site, parameter, dt_round, CASE WHEN NOT coalesce(regexp_matches(flag, 'missing data'), false) THEN round(mv, 6) END AS mean_verified,
+      CASE WHEN coalesce(regexp_matches(flag, 'missing data'), false) THEN 'PASS' ELSE vs END AS verification_status FROM y""",
 )
 def _(t):
     return vf.keep_non_removable(_old(t)).select(*KEYS, "mean_verified", "verification_status")

@@ -84,9 +84,9 @@ def calendar(ts: Column | str) -> dict[str, Column]:
         "week": week,
         "weekday": F.dayofweek(t).cast("long"),
         "day": day,
-        "y_m": F.concat_ws("-", year, F.month(t)),
-        "y_w": F.concat_ws("-", year, week),
-        "y_d": F.concat_ws("-", year, day),
+        "y_m": F.concat_ws(" - ", year, F.month(t)),
+        "y_w": F.concat_ws(" - ", year, week),
+        "y_d": F.concat_ws(" - ", year, day),
         "season": season(t),
     }
 

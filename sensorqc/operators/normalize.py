@@ -15,8 +15,8 @@ def localise(df: DataFrame, ts: str, step: int = 900, zone: str = "MST") -> Data
     return out.withColumn("dt_join", F.date_format("dt_round", "yyyy-MM-dd HH:mm:ss"))
 
 
-# Names of devices that are not part of the network.
-EXCLUDED_NAMES = "vulink|virridy|2022|2021"
+# Names of devices and old years that are not part of the network.
+EXCLUDED_NAMES = "vulink|virridy|2023|2024"
 
 
 def exclude_names(df: DataFrame, name: str, pattern: str = EXCLUDED_NAMES) -> DataFrame:

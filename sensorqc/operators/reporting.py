@@ -146,7 +146,7 @@ def seasonal_statistics(df: DataFrame, keys: list[str], time: str, value: str =
 
 
 # Bin width by parameter; others use 1.
-BIN_WIDTHS = {"Specific Conductivity": 10.0, "Turbidity": 10.0, "pH": 0.05, "ORP": 10.0, "Depth": 0.05}
+BIN_WIDTHS = {"Specific Conductivity": 10.0, "Actual Conductivity": 10.0, "Turbidity": 10.0, "ORP": 0.05, "pH": 0.05, "Depth": 0.05}
 
 
 def histogram(df: DataFrame, keys: list[str], value: str = "mean", widths: dict[str, float] | None = None) -> DataFrame:

@@ -72,9 +72,8 @@ def reset_weeks(df: DataFrame, weeks: DataFrame) -> DataFrame:
         "brush_omit": F.lit(False),
         "final_status": none,
         "week_decision": none,
-        "is_verified": F.lit(False),
-        "verification_status": F.lit("SKIP"),
-        "mean_verified": F.col("mean"),
+        "user": none,
+        "is_verified": F.lit(None).cast("boolean"),
     }
     return d.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in initial.items() if c in df.columns}).drop("_r")
 
@@ -104,7 +103,16 @@ def old_decision(df: DataFrame, decision: str = "decision", flag: str = "flag",
 
 
 # Flags a reviewer cannot lift.
-NON_REMOVABLE = ("sonde not employed", "missing data", "site visit", "sv window")
+NON_REMOVABLE = (
+    "sensor biofouling",
+    "sonde burial",
+    "sensor malfunction",
+    "frozen",
+    "missing data",
+    "sonde not employed",
+    "sonde unsubmerged",
+    "depth calibration malfunction",
+)
 
 
 def keep_non_removable(df: DataFrame, flag: str = "flag", listed=NON_REMOVABLE) -> DataFrame:

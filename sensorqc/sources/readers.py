@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sensorqc.functions import time as tm, tokens
+from sensorqc.functions import time as tm
 from sensorqc.plans.joins import newest_per_key
 from sensorqc.series import Series
 
@@ -185,13 +185,14 @@ def normalise_upload(df: DataFrame, spec: Series = Series()) -> DataFrame:
     require_columns(df, "site", "parameter", spec.time, "mean")
     optional = {c: F.lit(None).cast("string") for c in ("auto_flag", "mal_flag") if c not in df.columns}
     out = df.withColumns(optional) if optional else df
-    flag = F.nullif(F.concat_ws(tokens.SEPARATOR, "auto_flag", "mal_flag"), F.lit(""))
+    flag = F.nullif(F.concat_ws(";", "auto_flag", "mal_flag"), F.lit(""))
     out = out.withColumns({"flag": flag, **{k: v for k, v in tm.calendar(spec.time).items() if not k.startswith("y_")}})
     return out.withColumns(
         {
             "mean_verified": F.col("mean"),
             "is_verified": F.lit(False),
-            "verification_status": F.lit("SKIP"),
+            "verification_status": F.lit(None).cast("string"),
+            "user": F.lit(None).cast("string"),
             "user_flag": F.col("flag"),
             "brush_omit": F.lit(False),
             "final_status": F.lit(None).cast("string"),
