@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from sensorqc.catalog.fixtures import CTES, Tables
+from sensorqc.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,6 +55,7 @@ def expand(body: str) -> str:
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return emit(fn(Tables(spark, sf_dir)))
 
         assert name not in QUERIES, name

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,3 +48,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give every Python worker this package, wherever the driver was started; once per session."""
+    context = spark.sparkContext
+    if getattr(context, "_sensorqc_shipped", False):
+        return
+    top = Path(__file__).resolve().parent
+    if top.parent.suffix != ".zip":
+        target = Path(tempfile.mkdtemp(prefix="sensorqc-package-")) / "sensorqc_package.zip"
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(top.rglob("*.py")):
+                z.write(f, f.relative_to(top.parent))
+        context.addPyFile(str(target))
+    context._sensorqc_shipped = True
