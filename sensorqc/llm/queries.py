@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorqc.llm import line_dedup, toxicity
+from sensorqc.llm import line_dedup, ngram_join, toxicity
 from sensorqc.llm.base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op6_ngram_jaccard_join")
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: four-word shingles, Jaccard 0.85."""
+    out = ngram_join.jaccard_components(table(spark, sf_dir, "documents"), ngram_join.JoinSettings(words=4, percent=85))
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 @query("op8_toxicity")
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a classifier learned from the labels outside the held-out fold."""
