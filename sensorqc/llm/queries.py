@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorqc.llm import line_dedup, ngram_join, toxicity
+from sensorqc.llm import line_dedup, ngram_join, packing, pii, toxicity
 from sensorqc.llm.base import table
 
+#: Key of the surrogates in the named queries; a real run passes its own secret.
+PII_KEY = b"sensorqc-named-query-key"
+
+#: Vocabulary file of the packing queries, by its public name.
+WORD_TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = fn
@@ -38,6 +50,19 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+@query("op2_pii_surrogates")
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates in place of personal data."""
+    out = pii.anonymise(table(spark, sf_dir, "documents"), PII_KEY)
+    return out.select("doc_id", F.col("_pi_entities").alias("n_entities"), "text")
+
+
+@query("op9_packing")
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows of 4096 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), packing.PackSettings(tokenizer_file(WORD_TOKENIZER)))
+
+
 OP10_SQL = r"""
 WITH split_lines AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
