@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorqc.llm import line_dedup, ngram_join, packing, pii, toxicity
+from sensorqc.llm import line_dedup, ngram_join, packing, pii, quality, topk, toxicity, unigram, warc
 from sensorqc.llm.base import table
+from sensorqc.session import work_dir
 
 #: Key of the surrogates in the named queries; a real run passes its own secret.
 PII_KEY = b"sensorqc-named-query-key"
 
-#: Vocabulary file of the packing queries, by its public name.
+#: Vocabulary files, by their public names.
 WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +37,97 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+OP1_SQL = r"""
+WITH listed(lang, words) AS (VALUES
+  ('en', string_split('the of and to in a is that for it was on are as with be', ' ')),
+  ('de', string_split('der die und in den von zu das mit sich des auf für ist im dem', ' ')),
+  ('fr', string_split('de la le et les des en un du une que est pour qui dans par', ' ')),
+  ('es', string_split('de la que el en y a los del se las por un para con una', ' '))),
+split_words AS (
+  SELECT doc_id, coalesce(lang_key, 'other') AS lang_key, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS lines
+  FROM (SELECT *, CASE WHEN lang IN ('en', 'de', 'fr', 'es') THEN lang END AS lang_key FROM documents)),
+grams AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM split_words)),
+twice AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1),
+repeated AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM twice, range(0, 5) r(j) GROUP BY doc_id),
+base AS (
+  SELECT s.doc_id, lang_key, text, w, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM split_words s LEFT JOIN repeated USING (doc_id)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base),
+classed AS (
+  SELECT *, [length(regexp_replace(text, '[^ \t-\r]', '', 'g')), length(regexp_replace(text, '[^a-z]', '', 'g')), length(regexp_replace(text, '[^A-Z]', '', 'g')),
+             length(regexp_replace(text, '[^0-9]', '', 'g')), n_symbols, length(regexp_replace(text, '[^.,;:!?''"()\-]', '', 'g')),
+             length(regexp_replace(regexp_replace(text, '[a-zA-Z]', '', 'g'), '\P{L}', '', 'g'))] AS classes
+  FROM judged),
+counted AS (SELECT * EXCLUDE (text, classes), list_append(classes, length(text) - list_sum(classes)::BIGINT) AS chars FROM classed),
+hist AS (
+  SELECT c.*, list_append(list_transform(words, lambda x: len(list_filter(w, lambda y: y = x OR y = upper(x[1]) || x[2:]))), n_words - list_sum(list_transform(words, lambda x: len(list_filter(w, lambda y: y = x OR y = upper(x[1]) || x[2:]))))) AS common
+  FROM counted c LEFT JOIN listed ON lang = lang_key),
+char_ref AS (SELECT lang_key, i, sum(chars[i]) AS r FROM hist, range(1, 9) t(i) WHERE NOT base_failed GROUP BY ALL),
+word_ref AS (SELECT lang_key, i, sum(common[i]) AS r FROM hist, range(1, 18) t(i) WHERE NOT base_failed AND common IS NOT NULL GROUP BY ALL),
+size_ref AS (SELECT lang_key, sum(n_words) AS ref_words FROM hist WHERE NOT base_failed GROUP BY lang_key),
+char_dist AS (
+  SELECT doc_id, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / m) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / m) ELSE 0 END) / 2, 0)) AS d
+  FROM (SELECT *, (p + q) / 2 AS m FROM (SELECT doc_id, chars[i] / list_sum(chars) AS p, r / sum(r) OVER (PARTITION BY doc_id) AS q FROM hist JOIN char_ref USING (lang_key) WHERE word_chars >= 200))
+  GROUP BY doc_id),
+word_dist AS (
+  SELECT doc_id, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / m) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / m) ELSE 0 END) / 2, 0)) AS d
+  FROM (SELECT *, (p + q) / 2 AS m FROM (SELECT doc_id, common[i] / n_words AS p, r / sum(r) OVER (PARTITION BY doc_id) AS q FROM hist JOIN word_ref USING (lang_key) WHERE n_words >= 60 AND common IS NOT NULL))
+  GROUP BY doc_id)
+SELECT h.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (ref_words IS NULL OR ref_words < 2000 OR (coalesce(round(c.d, 6), 0) <= 0.30 AND coalesce(round(v.d, 6), 0) <= 0.42)) AS kept,
+       CASE WHEN ref_words >= 2000 THEN round(c.d, 6) END AS char_distance, CASE WHEN ref_words >= 2000 THEN round(v.d, 6) END AS word_distance
+FROM hist h LEFT JOIN size_ref USING (lang_key) LEFT JOIN char_dist c ON c.doc_id = h.doc_id LEFT JOIN word_dist v ON v.doc_id = h.doc_id
+"""
+
+
+@query("op1_quality_divergence", OP1_SQL)
+def op1_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the divergence verdict of all documents."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op3_exact_topk", OP3_SQL)
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vectors of every fiftieth vector."""
+    cfg = topk.SearchSettings()
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", cfg.scale)
+    return topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), cfg)
+
+
+@query("op4_sentencepiece")
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, and whether decoding gives the text back."""
+    model = unigram.Model.load(tokenizer_file(PIECE_MODEL))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = unigram.decode(unigram.encode(docs, model), model)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@query("op5_warc")
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through WARC archives and the splittable reader."""
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    records = warc.read_warc(warc.write_warc(pages, work_dir(spark, "warc")), payloads=False)
+    return records.select(F.col("record_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
 @query("op6_ngram_jaccard_join")
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: four-word shingles, Jaccard 0.85."""
