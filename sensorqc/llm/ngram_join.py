@@ -12,11 +12,12 @@ tokens are asked for). Tokens with over ``hot`` postings are never enumerated: a
 holds h of them asks for l - h shared other tokens, so l grows until that is at least 1.
 
 Dominated documents, whose longest prefix is full of hot tokens, are matched with the others through
-their other tokens as above. Among themselves they are first gathered into stars: documents that share
-a min-hash are verified against one leader, one row each. Jaccard distance is a metric, so members of
-two stars can link only if their leaders are within three times the allowed distance; leaders are joined
-by the same prefix method at that bound and only close leaders whose stars aren't connected yet are
-opened. Leaders that are still dominated are joined over all their tokens, so the result is whole.
+their other tokens as above. Among themselves they are first gathered around central documents: those that
+share a min-hash are verified against the one with the fewest rare tokens, one row each. Then they are joined
+over prefixes in the order of rising frequency, but only across the components found so far, only where the
+positions of the first shared token leave room for the overlap, and only where their parity sketches differ in
+no more bits than linked sets may differ in tokens. All three tests keep every linked pair, so the result is
+whole, and pairs inside a large group of copies are never formed.
 
 Candidates are verified on the whole sets; pairs already in one component need no verification.
 
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorqc.llm.base import arrow_map, id_filter, materialise, texts_of
 from sensorqc.llm.graph import components
-from sensorqc.llm.shingles import WordHashes, min_hashes, set_key, shingle_set
+from sensorqc.llm.shingles import WordHashes, min_hashes, parity_sketch, set_key, shingle_set
 
 
 @dataclass(frozen=True)
@@ -49,6 +50,7 @@ class JoinSettings:
     slack_part: int = 20
     verify_cost: float = 40.0
     star_rounds: int = 4
+    sketch_bits: int = 512
 
 
 def overlap_bound(n, percent: int):
@@ -84,7 +86,7 @@ def sketch(docs: DataFrame, cfg: JoinSettings) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, cfg: JoinSettings) -> DataFrame:
-    """rid, n, tokens (all), anchors (min-hashes) of the documents in ``wanted`` (rid, doc_id, key)."""
+    """rid, n, tokens (all), anchors (min-hashes), parity (sketch) of the documents in ``wanted`` (rid, doc_id, key)."""
     wanted = materialise(wanted, "wanted-sets")
     maybe = id_filter(wanted.select("doc_id"))
     text = docs.select("doc_id", F.col("text").alias("_nj_text"))
@@ -98,9 +100,10 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, cfg: JoinSettings) -> DataFra
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64)))
             anchors = pa.array([min_hashes(s, cfg.star_rounds) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), tokens, anchors], ["key", "n", "tokens", "anchors"])
+            parity = pa.array([parity_sketch(s, cfg.sketch_bits) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), tokens, anchors, parity], ["key", "n", "tokens", "anchors", "parity"])
 
-    found = arrow_map(text, run, "key binary, n long, tokens array<long>, anchors array<long>")
+    found = arrow_map(text, run, "key binary, n long, tokens array<long>, anchors array<long>, parity array<long>")
     found = found.join(wanted.select("rid", "key"), "key").drop("key")
     return materialise(found.dropDuplicates(["rid"]), "shingle-sets")
 
@@ -129,11 +132,10 @@ def _bounded(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def prefix_candidates(nodes: DataFrame, cfg: JoinSettings, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+def prefix_candidates(nodes: DataFrame, cfg: JoinSettings) -> tuple[DataFrame, DataFrame]:
     """Candidate pairs (a, b, shared) between nodes (rid, n, tokens), and the dominated nodes (rid).
 
     Every linked pair is among the candidates, except pairs of two dominated nodes.
-    ``whole``: tokens hold the whole sets, so prefixes may grow up to them.
     """
     posts = nodes.select("rid", "n", F.posexplode("tokens").alias("pos", "token"))
     counts = posts.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
@@ -148,10 +150,9 @@ def prefix_candidates(nodes: DataFrame, cfg: JoinSettings, whole: bool = False)
                 order = np.argsort(pos, kind="stable")
                 pos, df, tok = pos[order], df[order], tok[order]
                 o = int(overlap_bound(n, cfg.percent))
-                top = o if whole else int(longest(n, cfg))
-                # a shorter partner is indexed less far, and l may not pass what it is indexed with
-                small = int(overlap_bound(n, cfg.percent))
-                limit = max(1, min(top, int(overlap_bound(small, cfg.percent)) if whole else int(longest(small, cfg))))
+                top = int(longest(n, cfg))
+                # a shorter partner, of o tokens at least, is indexed less far, and l may not pass that
+                limit = max(1, min(top, int(longest(o, cfg))))
                 l, need = choose_prefix(pos, df, n, limit, cfg)
                 end = np.searchsorted(pos, n - o + (l or top), "left")
                 keep = tok[:end][df[:end] <= cfg.hot]
@@ -172,14 +173,6 @@ def prefix_candidates(nodes: DataFrame, cfg: JoinSettings, whole: bool = False)
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.max("need").alias("need")).filter("shared >= need").drop("need"), dominated
 
 
-def all_token_candidates(nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share any token; only for what the prefixes can't tell apart."""
-    posts = nodes.select("rid", "n", F.explode("tokens").alias("token"))
-    x, y = posts.alias("x"), posts.alias("y")
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.rid") < F.col("y.rid")) & _bounded(F.col("x.n"), F.col("y.n"), percent))
-    return pairs.groupBy(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-
-
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b, distance of the pairs that reach ``percent``, by the exact sizes of intersection and union."""
     both = pairs.select("a", "b").join(sets.select(F.col("rid").alias("a"), F.col("tokens").alias("_nj_a")), "a")
@@ -219,42 +212,42 @@ def verified_links(pairs: DataFrame, sets: DataFrame, percent: int, known: DataF
     return first.unionByName(materialise(verify(rest, sets, percent).select("a", "b"), "links"))
 
 
-def stars(sets: DataFrame, cfg: JoinSettings) -> DataFrame:
-    """Satellites (rid, leader, distance): each within the allowed distance of a leader that is no satellite."""
-    spark = sets.sparkSession
-    out = spark.createDataFrame([], "rid long, leader long, distance double")
+def central_links(sets: DataFrame, cfg: JoinSettings) -> DataFrame:
+    """Verified links (a, b) from documents (with ``rare``) to the most central one that shares a min-hash."""
+    out = None
     for i in range(cfg.star_rounds):
-        leaders = out.select(F.col("leader").alias("rid")).distinct().withColumn("led", F.lit(True))
-        free = sets.select("rid", "n", F.col("anchors")[i].alias("anchor")).join(out.select("rid"), "rid", "left_anti").join(leaders, "rid", "left")
-        head = free.groupBy("anchor").agg(F.min(F.struct(F.col("led").isNull().alias("new"), F.col("rid"))).alias("head")).select("anchor", F.col("head.rid").alias("b"))
-        pairs = free.filter("led is null").join(head, "anchor").filter("rid <> b").select(F.col("rid").alias("a"), "b")
-        near = verify(pairs, sets, cfg.percent).select(F.col("a").alias("rid"), F.col("b").alias("leader"), "distance")
-        out = out.unionByName(materialise(near, "stars"))
-    return out
+        rows = sets.select("rid", "rare", F.col("anchors")[i].alias("anchor"))
+        head = rows.groupBy("anchor").agg(F.min(F.struct("rare", "rid")).alias("head")).select("anchor", F.col("head.rid").alias("b"))
+        pairs = rows.join(head, "anchor").filter("rid <> b").select(F.col("rid").alias("a"), "b")
+        out = pairs if out is None else out.unionByName(pairs)
+    return materialise(verify(materialise(out.distinct(), "candidates"), sets, cfg.percent).select("a", "b"), "links")
 
 
 def _dominated_links(sets: DataFrame, cfg: JoinSettings) -> DataFrame:
     """Links that connect the dominated nodes whose whole ``sets`` are given."""
-    sat = stars(sets, cfg)
-    spokes = sat.select(F.col("rid").alias("a"), F.col("leader").alias("b"))
-    gap = 100 - cfg.percent
-    wide = JoinSettings(**{**cfg.__dict__, "percent": max(1, 100 - 3 * gap), "hot": 4 * cfg.hot})
-    heads = sets.join(sat.select("rid"), "rid", "left_anti")
-    pairs, stuck = prefix_candidates(heads, wide, whole=True)
-    left = heads.join(stuck, "rid", "left_semi")
-    pairs = pairs.select("a", "b").unionByName(all_token_candidates(left, wide.percent).select("a", "b"))
-    near = materialise(verify(pairs, sets, wide.percent), "leader-pairs")
-    links = spokes.unionByName(near.filter(F.col("distance") <= gap / 100 + 1e-12).select("a", "b"))
-    # the same test as everywhere, in whole numbers, is made once more for the close pairs
-    links = materialise(spokes.unionByName(verify(links.join(spokes, ["a", "b"], "left_anti"), sets, cfg.percent).select("a", "b")), "links")
+    posts = sets.select("rid", F.explode("tokens").alias("token"))
+    counts = posts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    ordered = posts.join(counts, "token").groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ordered"))
+    rare = F.size(F.filter("ordered", lambda x: x["df"] <= cfg.hot)) / F.col("n")
+    # the plain prefix: the n - o + 1 rarest tokens, with o = ceil(percent * n / 100)
+    reach = F.col("n") - F.ceil(F.col("n") * cfg.percent / F.lit(100)) + 1
+    rows = sets.join(ordered, "rid").select("rid", "n", "tokens", "anchors", "parity", rare.alias("rare"), F.slice("ordered", F.lit(1), reach.cast("int")).alias("prefix"))
+    rows = materialise(rows, "dominated")
+    links = central_links(rows, cfg)
     known = components(links)
-    members = sat.select(F.col("leader").alias("head"), "rid", "distance").unionByName(heads.select(F.col("rid").alias("head"), "rid", F.lit(0.0).alias("distance")))
-    open_pairs = _apart(near.filter(F.col("distance") > gap / 100 - 1e-12), known)
-    x = members.select(F.col("head").alias("a"), F.col("rid").alias("x"), F.col("distance").alias("dx"))
-    y = members.select(F.col("head").alias("b"), F.col("rid").alias("y"), F.col("distance").alias("dy"))
-    cross = open_pairs.join(x, "a").join(y, "b").filter(F.col("dx") + F.col("dy") >= F.col("distance") - gap / 100 - 1e-9)
-    cross = verify(cross.select(F.col("x").alias("a"), F.col("y").alias("b")), sets, cfg.percent).select("a", "b")
-    return links.unionByName(materialise(cross, "links"))
+    named = rows.join(known.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+    heads = named.select("rid", "n", "root", "parity", F.posexplode("prefix").alias("pos", "t")).select("rid", "n", "root", "parity", "pos", F.col("t.token").alias("token"))
+    # tokens of one component can't add a link
+    mixed = heads.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("token")
+    heads = materialise(heads.join(mixed, "token", "left_semi"), "dominated-prefixes")
+    x, y = heads.alias("x"), heads.alias("y")
+    total = F.col("x.n") + F.col("y.n")
+    differ = total - 2 * F.ceil(total * cfg.percent / F.lit(100 + cfg.percent))  # most tokens in which linked sets differ
+    bits = reduce(lambda p, q: p + q, [F.bit_count(F.col("x.parity")[i].bitwiseXOR(F.col("y.parity")[i])) for i in range(cfg.sketch_bits // 64)])
+    fits = (F.col("x.rid") < F.col("y.rid")) & (F.col("x.root") != F.col("y.root")) & _bounded(F.col("x.n"), F.col("y.n"), cfg.percent)
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & fits & (F.col("x.pos") + F.col("y.pos") <= differ) & (bits <= differ))
+    pairs = materialise(pairs.select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct(), "candidates")
+    return links.unionByName(materialise(verify(pairs, rows, cfg.percent).select("a", "b"), "links"))
 
 
 def jaccard_components(docs: DataFrame, cfg: JoinSettings = JoinSettings()) -> DataFrame:

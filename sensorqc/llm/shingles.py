@@ -54,3 +54,14 @@ def min_hashes(tokens: np.ndarray, rounds: int) -> list[int]:
     with np.errstate(over="ignore"):
         u = tokens.view(np.uint64)
         return [int(((u ^ (u >> np.uint64(31))) * np.uint64(2 * (i * 0x1B873593 + 0xCC9E2D51) + 1)).min().view(np.int64)) for i in range(rounds)]
+
+
+def parity_sketch(tokens: np.ndarray, bits: int) -> list[int]:
+    """``bits`` / 64 words: a bit is set if an odd number of tokens fall on it.
+
+    The sketches of two sets differ in at most as many bits as the sets differ in tokens.
+    """
+    with np.errstate(over="ignore"):
+        at = (tokens.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(65 - bits.bit_length())
+    odd = np.bincount(at.astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
