@@ -100,7 +100,8 @@ def removed_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """``docs`` with repeated runs cut from ``text``, plus ``_ld_lines`` (lines with a word) and ``_ld_removed`` (how many of them went)."""
     gone = materialise(removed_lines(docs, min_words), "lines-removed")
-    joined = _identity(docs).join(gone, _DOC, "left")
+    # always by a shuffle that hashes the small side: the texts needn't be sorted, and no size changes the plan
+    joined = _identity(docs).join(gone.hint("shuffle_hash"), _DOC, "left")
     lines = F.split(F.col("text"), "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_ld_removed"))
     text = F.when(F.col("_ld_removed").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: lines[i]), "\n"))

@@ -14,6 +14,8 @@ documents; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -35,31 +37,71 @@ class PackSettings:
     fan_in: int = 64
 
 
-class WordTokens:
-    """Ids of whole texts by a tokenizer that never joins tokens across white space; each word is encoded once.
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies use for each byte: printable ones stand for themselves, the others follow from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(others)}
 
-    ``path`` is a tokenizers file. Words are remembered up to ``limit``.
+
+class WordTokens(dict):
+    """Ids of whole texts by a tokenizer that never joins tokens across white space; maps words to their ids.
+
+    ``path`` is a tokenizers file. A word of plain Latin letters, with a tail of plain stops or without, goes
+    straight to the tokenizer's model, letters and tail apart, if the file splits words that way; every other
+    word goes through the whole tokenizer. The last ``limit`` to twice ``limit`` words
+    are remembered.
     """
 
     limit = 200_000
+    # letters up to U+024F except the capital that lower-cases to two characters
+    _plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[bytes, bytes] = {}
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.before: dict[bytes, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        # the short way is taken only if it gives what the whole tokenizer gives
+        probe = ["Ab", "the", "Über", "ÉTÉ", "naïve", "x", "word", "zzzqx"]
+        tails = [".", ",", "!?", ";:", "..."]
+        self.short = all(self._core(w) + self._core(t) == self._whole(w + t) for w in probe for t in tails)
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _core(self, part: str) -> bytes:
+        low = part.lower()
+        text = low if low.isascii() else "".join(map(self.letters.__getitem__, low.encode()))
+        found = [t.id for t in self.model.tokenize(text)]
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= self.limit:
+            self.before = dict(self)
+            self.clear()
+        ids = self.before.get(word)
+        if ids is None:
+            text = word.decode("utf-8", "replace")
+            m = self._plain.fullmatch(text) if self.short else None
+            ids = self._whole(text) if m is None else self._core(m[1]) if not m[2] else self._core(m[1]) + self.tail(m[2])
+        self[word] = ids
+        return ids
+
+    def tail(self, stops: str) -> bytes:
+        ids = self.tails.get(stops)
+        if ids is None:
+            ids = self._core(stops)
+            if len(stops) < 4:
+                self.tails[stops] = ids
+        return ids
 
     def __call__(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         for text in texts:
-            words = text.split()
-            new = [w for w in set(words) if w not in self.memo]
-            if new:
-                if len(self.memo) > self.limit:
-                    self.memo.clear()
-                    new = list(set(words))
-                found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-                self.memo.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found), strict=True))
-            yield np.frombuffer(b"".join(map(self.memo.__getitem__, words)), "<u4")
+            yield np.frombuffer(b"".join(map(self.__getitem__, text.split())), "<u4")
 
 
 #: A piece: doc_id, start, ids, tokens of its document.

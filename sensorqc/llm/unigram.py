@@ -19,6 +19,7 @@ columns pass through. Models with a character map or white-space trimming are re
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
@@ -176,8 +177,8 @@ class Model:
         chunked = not any(MARKER in pieces[i].lstrip(MARKER) for i in matched)
         return cls(pieces, values, kinds, unknown, dummy_prefix, codes, base, check, value, max((len(pieces[i]) for i in matched), default=0), lowest, byte_ids, chunked)
 
-    def segment(self, chunks: list[str]) -> list[np.ndarray]:
-        """Ids (int32) of each chunk; white space is already marked."""
+    def segment(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk as little-endian int32; white space is already marked."""
         lengths = np.array([len(c) for c in chunks], np.int64)
         points = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
         total = len(points)
@@ -229,13 +230,14 @@ class Model:
             win = np.flatnonzero(value == top[group])
             win = win[np.concatenate([[True], group[win][1:] != group[win][:-1]])]  # the earliest start of equals
             best[end[win]], back_n[end[win]], back_piece[end[win]] = value[win], n[lo:hi][win], piece[lo:hi][win]
-        return [self._walk(int(first[i] + i), int(lengths[i]), back_n, back_piece, chunks[i]) for i in range(len(chunks))]
+        steps, pieces = back_n.tolist(), back_piece.tolist()
+        return [self._walk(origin, length, steps, pieces, c) for origin, length, c in zip((first[:-1] + np.arange(len(chunks))).tolist(), lengths.tolist(), chunks, strict=True)]
 
-    def _walk(self, origin: int, length: int, back_n: np.ndarray, back_piece: np.ndarray, chunk: str) -> np.ndarray:
+    def _walk(self, origin: int, length: int, steps: list[int], pieces: list[int], chunk: str) -> bytes:
         out: list[int] = []
         end = length
         while end:
-            n, piece = int(back_n[origin + end]), int(back_piece[origin + end])
+            n, piece = steps[origin + end], pieces[origin + end]
             if piece >= 0:
                 out.append(piece)
             elif self.byte_ids is not None:
@@ -243,7 +245,7 @@ class Model:
             elif not (end < length and out and out[-1] == self.unknown_id):
                 out.append(self.unknown_id)
             end -= n
-        return np.array(out[::-1], "<i4")
+        return struct.pack(f"<{len(out)}i", *reversed(out))
 
     def surfaces(self) -> list[bytes]:
         """Bytes that each id stands for; control pieces stand for none."""
@@ -257,24 +259,35 @@ class Encoder:
     """Encodes texts one by one; remembers the ids of chunks."""
 
     limit = 150_000
+    group = 2_000_000  # characters
     _chunks = re.compile(" +[^ ]*|[^ ]+")
 
     def __init__(self, model: Model):
-        self.model, self.memo = model, {}
+        self.model, self.memo, self.before = model, {}, {}
+
+    def _cut(self, text: str) -> list[str]:
+        marked = (" " if self.model.dummy_prefix and text else "") + text.replace(MARKER, " ")
+        return self._chunks.findall(marked) if self.model.chunked else [marked] if marked else []
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian int32 ids."""
-        for text in texts:
-            marked = (" " if self.model.dummy_prefix and text else "") + text.replace(MARKER, " ")
-            chunks = self._chunks.findall(marked) if self.model.chunked else [marked] if marked else []
-            new = list({c for c in chunks if c not in self.memo})
-            if new:
-                if len(self.memo) > self.limit:
-                    self.memo.clear()
-                    new = list(set(chunks))
-                found = self.model.segment([c.replace(" ", MARKER) for c in new])
-                self.memo.update(zip(new, (f.tobytes() for f in found), strict=True))
-            yield b"".join(map(self.memo.__getitem__, chunks))
+        """Little-endian int32 ids of each text; new chunks of a group of texts are segmented together."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= self.group):
+                size += len(texts[end])
+                end += 1
+            cut = [self._cut(t) for t in texts[at:end]]
+            if len(self.memo) > self.limit:
+                self.before, self.memo = self.memo, {}
+            unseen = {c for chunks in cut for c in chunks if c not in self.memo}
+            self.memo.update((c, self.before[c]) for c in unseen if c in self.before)
+            new = [c for c in unseen if c not in self.memo]
+            found = self.model.segment([c.replace(" ", MARKER) for c in new]) if new else []
+            self.memo.update(zip(new, found, strict=True))
+            for chunks in cut:
+                yield b"".join(map(self.memo.__getitem__, chunks))
+            at = end
 
 
 def decode_ids(ids: np.ndarray, surfaces: list[bytes], dummy_prefix: bool) -> str:
