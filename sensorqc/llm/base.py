@@ -51,17 +51,17 @@ def split_words(text) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAKS), lambda w: w != "")
 
 
-def _cells(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _cells(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Word and bit of each id in the filter of ``id_filter``."""
     with np.errstate(over="ignore"):
-        h = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - FILTER_BITS)
+        h = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - size)
     return (h >> np.uint64(6)).astype(np.int64), h & np.uint64(63)
 
 
-def id_filter(ids: DataFrame) -> Callable[[pa.Array], np.ndarray]:
+def id_filter(ids: DataFrame, size: int = FILTER_BITS) -> Callable[[pa.Array], np.ndarray]:
     """A test that is true for every id of the one-column ``ids`` and for few others.
 
-    It is a bit map of 2^FILTER_BITS bits whatever the number of ids (2 MB), so it may be sent to all
+    It is a bit map of 2^size bits whatever the number of ids (2 MB, if not told otherwise), so it may be sent to all
     tasks; with very many ids it lets more through, and the join that follows does the rest. Nulls and
     ids that aren't integers always pass.
     """
@@ -70,22 +70,22 @@ def id_filter(ids: DataFrame) -> Callable[[pa.Array], np.ndarray]:
         return lambda column: np.ones(len(column), bool)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+        bits = np.zeros(1 << (size - 6), np.uint64)
         for b in batches:
-            word, bit = _cells(b.column(0).drop_null().to_numpy(zero_copy_only=False))
+            word, bit = _cells(b.column(0).drop_null().to_numpy(zero_copy_only=False), size)
             np.bitwise_or.at(bits, word, np.uint64(1) << bit)
         at = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits[at].view(np.int64))], ["word", "bits"])
 
     words = arrow_map(ids, mark, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
     row = words.agg(F.collect_list("word").alias("word"), F.collect_list("bits").alias("bits")).first()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    bits = np.zeros(1 << (size - 6), np.uint64)
     bits[np.array(row["word"], np.int64)] = np.array(row["bits"], np.int64).view(np.uint64)
     shared = spark.sparkContext.broadcast(bits)
 
     def test(column: pa.Array) -> np.ndarray:
         values = column.fill_null(0).to_numpy(zero_copy_only=False)
-        word, bit = _cells(values)
+        word, bit = _cells(values, size)
         return ((shared.value[word] >> bit) & np.uint64(1)).astype(bool) | column.is_null().to_numpy(zero_copy_only=False)
 
     return test

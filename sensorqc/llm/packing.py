@@ -55,7 +55,7 @@ class WordTokens(dict):
 
     limit = 200_000
     # letters up to U+024F except the capital that lower-cases to two characters
-    _plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?]*)")
+    _plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer

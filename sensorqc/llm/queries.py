@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorqc.llm import line_dedup, ngram_join, packing, pii, quality, topk, toxicity, unigram, warc
+from sensorqc.llm import line_dedup, ngram_join, packing, pii, quality, suffix_dedup, topk, toxicity, unigram, warc
 from sensorqc.llm.base import table
 from sensorqc.session import work_dir
 
@@ -135,6 +135,12 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+@query("op7_suffix_array_dedup")
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 50-byte strings that also start in a smaller document."""
+    return suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query("op8_toxicity")
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a classifier learned from the labels outside the held-out fold."""
