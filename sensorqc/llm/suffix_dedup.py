@@ -38,7 +38,7 @@ from sensorqc.llm.base import arrow_map, id_filter, materialise, texts_of
 @dataclass(frozen=True)
 class SuffixSettings:
     length: int = 50
-    gram: int = 12
+    gram: int = 18
     bucket_bytes: int = 3 << 20
     group_bytes: int = 4 << 20
     filter_bits: int = 26
@@ -189,13 +189,14 @@ def equal_windows(w8: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     offs = [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]
     by = np.argsort(h, kind="stable")
 
-    def differs(by: np.ndarray) -> np.ndarray:
-        return np.logical_or.reduce([w8[at[by[1:]] + o] != w8[at[by[:-1]] + o] for o in offs])
+    def equal(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return np.logical_and.reduce([w8[at[i] + o] == w8[at[j] + o] for o in offs])
 
-    new = differs(by)
-    if (new & (h[by[1:]] == h[by[:-1]])).any():  # two windows of one hash: sort by all bytes
+    new = h[by[1:]] != h[by[:-1]]
+    alike = np.flatnonzero(~new)
+    if not equal(by[alike + 1], by[alike]).all():  # two windows of one hash: sort by all bytes
         by = np.lexsort([w8[at + o] for o in offs])
-        new = differs(by)
+        new = ~equal(by[1:], by[:-1])
     names = np.empty(len(at), np.int64)
     names[by] = np.concatenate([[0], np.cumsum(new)])
     return names
@@ -203,22 +204,34 @@ def equal_windows(w8: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 
 def mark_bucket(heads: np.ndarray, raw: bytes, cfg: SuffixSettings) -> tuple[np.ndarray, ...]:
     """(order, hash, first, last) of runs of windows that also start in a smaller document."""
-    buf = np.frombuffer(raw, np.uint8)
-    size = heads["size"].astype(np.int64)
+    order, text, at = (heads[c].tolist() for c in ("order", "text", "at"))
+    ends = np.cumsum(heads["size"].astype(np.int64)).tolist()
+    same: dict[bytes, list[int]] = {}
+    begin = 0
+    for e, end in enumerate(ends):
+        same.setdefault(raw[begin:end], []).append(e)
+        begin = end
+    # whole contexts first: all but those of the smallest document are marked, and one is compared on
+    out, least, owners = [], [], []
+    for context, entries in same.items():
+        low = min(order[e] for e in entries)
+        out += [(order[e], text[e], at[e], at[e] + len(context) - cfg.length) for e in entries if order[e] != low]
+        least.append(low)
+        owners.append([e for e in entries if order[e] == low])
+    size = np.array([len(c) for c in same], np.int64)
     count = size - cfg.length + 1
-    begin = np.cumsum(size) - size
-    entry = np.repeat(np.arange(len(heads)), count)
+    entry = np.repeat(np.arange(len(size)), count)
     step = np.arange(len(entry)) - np.repeat(np.cumsum(count) - count, count)
-    names = equal_windows(words8(buf), begin[entry] + step, cfg.length)
-    order = heads["order"][entry]
-    least = np.full(names.max(initial=-1) + 1, _LAST)
-    np.minimum.at(least, names, order)
-    hit = order > least[names]
+    names = equal_windows(words8(np.frombuffer(b"".join(same), np.uint8)), (np.cumsum(size) - size)[entry] + step, cfg.length)
+    mine = np.array(least, np.int64)[entry]
+    first = np.full(names.max(initial=-1) + 1, _LAST)
+    np.minimum.at(first, names, mine)
+    hit = mine > first[names]
     opens = hit & ~(np.concatenate([[False], hit[:-1]]) & (step > 0))
     closes = hit & ~(np.concatenate([hit[1:], [False]]) & np.concatenate([step[1:] > 0, [False]]))
-    a, b = np.flatnonzero(opens), np.flatnonzero(closes)
-    at = heads["at"][entry]
-    return order[a], heads["text"][entry[a]], at[a] + step[a], at[b] + step[b]
+    for a, b in zip(np.flatnonzero(opens).tolist(), np.flatnonzero(closes).tolist(), strict=True):
+        out += [(order[e], text[e], at[e] + int(step[a]), at[e] + int(step[b])) for e in owners[entry[a]]]
+    return tuple(np.array([r[i] for r in out], np.int64) for i in range(4))
 
 
 def marks(docs: DataFrame, cfg: SuffixSettings = SuffixSettings()) -> DataFrame:
