@@ -27,7 +27,7 @@ def decisions(t):
     code = F.lit(None).cast("string")
     for i, c in enumerate(CODES):
         code = F.when(n == i, F.lit(c)).otherwise(code)
-    return blocks.select("*", code.alias("decision"), F.lit("kw").alias("user")).filter("decision is not null")
+    return blocks.select("*", code.alias("decision"), F.lit("reviewer1").alias("user")).filter("decision is not null")
 
 
 WEEKLY = f"""{VER}, d AS (SELECT *, {CODE_SQL} AS c FROM vx),
@@ -37,7 +37,7 @@ WEEKLY = f"""{VER}, d AS (SELECT *, {CODE_SQL} AS c FROM vx),
 @query(
     "v01_weekly_decision",
     f"""WITH {WEEKLY} SELECT site, parameter, dt_round, fs AS final_status, CASE WHEN c = 'aa' THEN false WHEN c = 'oa' THEN true WHEN c = 'of' AND user_flag IS NOT NULL AND NOT brush_omit THEN true ELSE brush_omit END AS brush_omit,
-      CASE WHEN c = 'aa' THEN NULL ELSE user_flag END AS user_flag, CASE WHEN c IS NOT NULL THEN 'kw' END AS "user", c AS week_decision, c IS NOT NULL OR is_verified AS is_verified,
+      CASE WHEN c = 'aa' THEN NULL ELSE user_flag END AS user_flag, CASE WHEN c IS NOT NULL THEN 'reviewer1' END AS "user", c AS week_decision, c IS NOT NULL OR is_verified AS is_verified,
       CASE WHEN c IS NOT NULL THEN fs ELSE verification_status END AS verification_status, CASE WHEN fs = 'PASS' THEN round(mean, 6) END AS mean_verified FROM e""",
 )
 def _(t):

@@ -272,8 +272,12 @@ COLUMN_OF = {"linear": "linear", "exponential": "exp", "uniform": "uniform", "fi
 
 
 def stitch(grid_df: DataFrame, windows: DataFrame, spec: Series) -> DataFrame:
-    """Chosen column per window, the last window wins; unresolved windows become OMIT."""
+    """Chosen column per window, the last window wins; unresolved windows become OMIT.
+
+    A window of any type, also an undecided one, keeps the drift flag of its rows.
+    """
     keys = list(spec.keys)
+    grid_df = mark_covered(grid_df, windows, keys, spec.time, "start_dt", "end_dt", spec.chunk_seconds, "_any")
     known = windows.filter(F.col("drift_type").isin(*COLUMN_OF, "non_resolved", "unflag"))
     hit = interval_join(grid_df.select(*keys, spec.time), known.select(*keys, "seq", "start_dt", "end_dt", "drift_type", "correction_type"), keys, spec.time, "start_dt", "end_dt", spec.chunk_seconds, "inner")
     agg = hit.groupBy(*keys, spec.time).agg(
@@ -288,7 +292,7 @@ def stitch(grid_df: DataFrame, windows: DataFrame, spec: Series) -> DataFrame:
     value = F.when(kind.isNull() | (kind == "unflag"), analysis)
     for s, label in COLUMN_OF.items():
         value = value.when((kind == s) & (form == "multiplicative"), F.col(f"{label}_mult")).when(kind == s, F.col(f"{label}_add"))
-    clear = unflag | (F.col("drift") & kind.isNull())
+    clear = unflag | (F.col("drift") & ~F.col("_any"))
     flag = F.when(clear, tokens.render(tokens.remove(tokens.parse("user_flag"), DRIFT))).otherwise(F.col("user_flag"))
     d = d.withColumns(
         {
@@ -305,7 +309,7 @@ def stitch(grid_df: DataFrame, windows: DataFrame, spec: Series) -> DataFrame:
     statuses = {c: status(c) for c in ("verification_status", "final_status") if c in d.columns}
     source = F.when(~(omit | unflag), F.col("pre_post_source")) if "pre_post_source" in d.columns else F.lit(None).cast("string")
     d = d.withColumns({**statuses, "mean_analysis": analysis, "user_flag": F.col("_flag"), "drift": F.col("drift") & ~clear, "pre_post_source": source})
-    return d.drop("_flag", "_last", "_omit", "_unflag", *GRID_COLUMNS)
+    return d.drop("_flag", "_last", "_omit", "_unflag", "_any", *GRID_COLUMNS)
 
 
 def correct_series(series: DataFrame, windows: DataFrame, notes: DataFrame, network: DataFrame, spec: Series, before_seconds: int = 3600, gap_minutes: float = 120.0) -> DataFrame:

@@ -79,11 +79,12 @@ def mark_covered(df: DataFrame, intervals: DataFrame, on: list[str], time: str,
     """TRUE where any interval of the key contains the row.
 
     Starts are stacked with the rows and the running maximum of the ends is carried forward, so
-    heavily overlapping intervals cost nothing extra.
+    heavily overlapping intervals cost nothing extra. An interval without an end stays open.
     """
     packed = F.struct(*[F.col(c) for c in df.columns])
     rows = df.select(*on, F.col(time).alias("_t"), F.lit(1).alias("_side"), packed.alias("_l"))
-    starts = intervals.select(*on, F.col(start).alias("_t"), F.lit(0).alias("_side"), F.col(end).alias("_end"))
+    open_end = F.lit("9999-12-31 00:00:00").cast(intervals.schema[end].dataType)
+    starts = intervals.select(*on, F.col(start).alias("_t"), F.lit(0).alias("_side"), F.coalesce(F.col(end), open_end).alias("_end")).filter("_t is not null")
     both = rows.unionByName(starts, allowMissingColumns=True)
     out = carry(both, on, time_chunk("_t", chunk_seconds), ["_t", "_side"], maxes={"_reach": F.col("_end")})
     hit = F.coalesce(F.col("_reach") >= F.col("_t"), F.lit(False))

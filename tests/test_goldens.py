@@ -239,3 +239,24 @@ def test_network_check_clears_shared_events(spark):
 
 def test_fixed_date_of_epoch():
     assert T0 == datetime(2024, 3, 1, tzinfo=timezone.utc)
+
+
+def test_open_interval_covers_everything_after_its_start(spark):
+    from sensorqc.plans.joins import mark_covered
+
+    df = series(spark, [1.0] * 6)
+    gaps = spark.createDataFrame([("a", "DO", at(3), None), ("a", "DO", at(0), at(0))], "site string, parameter string, start_dt timestamp, end_dt timestamp")
+    out = mark_covered(df, gaps, ["site", "parameter"], "dt_round", "start_dt", "end_dt", 1800)
+    assert column(out, "covered") == [True, False, False, True, True, True]
+
+
+def test_undecided_windows_keep_the_drift_flag(spark):
+    from sensorqc import Series
+    from sensorqc.operators import drift as dr
+
+    cols = {c: F.lit(0.0) for c in dr.GRID_COLUMNS}
+    df = series(spark, [1.0] * 4).withColumns({"mean_analysis": F.lit(1.0), "drift": F.lit(True), "user_flag": F.lit("drift"), "verification_status": F.lit("FLAGGED"), **cols})
+    windows = spark.createDataFrame([("a", "DO", 1, at(0), at(0), "None", None), ("a", "DO", 2, at(1), at(1), "log", None), ("a", "DO", 3, at(2), at(2), "unflag", None)], "site string, parameter string, seq int, start_dt timestamp, end_dt timestamp, drift_type string, correction_type string")
+    out = dr.stitch(df, windows, Series())
+    assert column(out, "drift") == [True, True, False, False]
+    assert column(out, "verification_status") == ["FLAGGED", "FLAGGED", "PASS", "PASS"]
