@@ -56,10 +56,11 @@ def _(t):
     return rp.flag_combinations(t.flagged)
 
 
+COUNTED = "(SELECT * FROM fx_verification WHERE coalesce(parameter, '') NOT IN ('Depth', 'FDOM Fluorescence', 'Chl-a Fluorescence'))"
 BAD = """b AS (SELECT site, parameter, CAST(dt_round AS DATE) AS date, count(*) FILTER (flag IS NOT NULL AND mean IS NOT NULL AND (regexp_matches(flag, 'sonde unsubmerged|outside of sensor specification range|sensor malfunction|sonde burial')
-    OR (parameter = 'Turbidity' AND contains(flag, 'drift') AND mean >= 40) OR verification_status = 'OMIT')) AS nb, count(*) FILTER (parameter = 'Temperature' AND mean IS NULL) AS ng FROM fx_verification {} GROUP BY 1, 2, 3),
+    OR (parameter = 'Turbidity' AND contains(flag, 'drift') AND mean >= 40) OR verification_status = 'OMIT')) AS nb, count(*) FILTER (parameter = 'Temperature' AND mean IS NULL) AS ng FROM """ + COUNTED + """ {} GROUP BY 1, 2, 3),
   bd AS (SELECT DISTINCT site, date FROM b WHERE nb >= 2 OR ng >= 2)"""
-DOWN = BAD + """, dn AS (SELECT site, days, coalesce(bad_days, 0) AS bad_days, coalesce(bad_days, 0) / days * 100 AS perc_days FROM (SELECT site, count(DISTINCT CAST(dt_round AS DATE)) AS days FROM fx_verification {} GROUP BY 1)
+DOWN = BAD + """, dn AS (SELECT site, days, coalesce(bad_days, 0) AS bad_days, coalesce(bad_days, 0) / days * 100 AS perc_days FROM (SELECT site, count(DISTINCT CAST(dt_round AS DATE)) AS days FROM """ + COUNTED + """ {} GROUP BY 1)
   LEFT JOIN (SELECT site, count(*) AS bad_days FROM bd GROUP BY 1) USING (site))"""
 
 

@@ -124,12 +124,14 @@ def _(t):
 
 @query(
     "s09_telemetry",
-    f"""SELECT site, parameter, {slot_sql("date_trunc('second', ts)")} AS dt_round, round(avg(value), 6) AS value FROM fx_events
-     WHERE k NOT IN (20, 21) AND {slot_sql("date_trunc('second', ts)")} >= TIMESTAMP '2024-01-03' + INTERVAL 1 DAY * CAST(substr(site, 2) AS INT) GROUP BY 1, 2, 3""",
+    f"""WITH s AS (SELECT site, parameter, {slot_sql("date_trunc('second', ts)", nearest=True)} AS dt_round,
+       avg(CASE k WHEN 20 THEN -9999 WHEN 21 THEN 638.30 ELSE value END::DOUBLE) AS value FROM fx_events GROUP BY 1, 2, 3)
+     SELECT site, parameter, dt_round, round(value, 6) AS value FROM s WHERE value NOT IN (-9999, 638.30)
+       AND dt_round > TIMESTAMP '2024-01-03' + INTERVAL 1 DAY * CAST(substr(site, 2) AS INT)""",
 )
 def _(t):
     v = F.when(F.col("k") == 20, F.lit("-9999")).when(F.col("k") == 21, F.lit("638.30")).otherwise(F.col("value").cast("string"))
-    line = F.concat_ws("  ", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), v)
+    line = F.concat_ws("  ", F.date_format("ts", "MM/dd/yyyy HH:mm:ss"), v)
     live = t.sites.select("site", tm.shift(F.lit("2024-01-03").cast("timestamp"), F.substring("site", 2, 9).cast("long") * 86400).alias("go_live"))
     return readers.telemetry_rows(t.events.select("site", "parameter", line.alias("line")), live, S)
 
@@ -215,6 +217,7 @@ def _(t):
     """SELECT site, parameter, dt_round, @mean, flag AS auto_flag, CASE WHEN n_obs >= 3 THEN 'busy' END AS mal_flag,
       nullif(concat_ws(';', flag, CASE WHEN n_obs >= 3 THEN 'busy' END), '') AS flag, CAST(2024 AS BIGINT) AS year, CAST(1 AS BIGINT) AS month,
       CAST((dayofyear(dt_round) - 1) // 7 + 1 AS BIGINT) AS week, CAST(dayofweek(dt_round) + 1 AS BIGINT) AS weekday, CAST(dayofyear(dt_round) AS BIGINT) AS day,
+      concat('2024 - ', (dayofyear(dt_round) - 1) // 7 + 1) AS y_w, concat('2024 - ', dayofyear(dt_round)) AS y_d,
       'winter_baseflow' AS season, round(mean, 6) AS mean_verified, false AS is_verified, CAST(NULL AS VARCHAR) AS verification_status, CAST(NULL AS VARCHAR) AS "user",
       nullif(concat_ws(';', flag, CASE WHEN n_obs >= 3 THEN 'busy' END), '') AS user_flag, false AS brush_omit,
       CAST(NULL AS VARCHAR) AS final_status, CAST(NULL AS VARCHAR) AS week_decision, false AS is_finalized FROM fx_flagged""",

@@ -93,9 +93,17 @@ def flag_combinations(df: DataFrame, flag: str = "flag") -> DataFrame:
 DOWN_TEXTS = "sonde unsubmerged|outside of sensor specification range|sensor malfunction|sonde burial"  # fixed value
 
 
+# Parameters that the report of down days leaves out.
+UNCOUNTED = ("Depth", "FDOM Fluorescence", "Chl-a Fluorescence")
+
+
+def counted(df: DataFrame) -> DataFrame:
+    return df.filter(F.col("parameter").isNull() | ~F.col("parameter").isin(*UNCOUNTED))
+
+
 def bad_days(df: DataFrame, time: str = "dt_round", flag: str = "flag", status: str = "verification_status", min_rows: int = 64, turbidity: float = 40.0) -> DataFrame:
     """Distinct (site, date) with many bad rows of a parameter or much missing temperature."""
-    d = df.withColumn("date", F.to_date(time))
+    d = counted(df).withColumn("date", F.to_date(time))
     f, omit = F.col(flag), F.col(status) == "OMIT"
     bad = f.rlike(DOWN_TEXTS) | ((F.col("parameter") == "Turbidity") & f.contains("drift") & (F.col("mean") >= turbidity)) | omit
     bad = f.isNotNull() & F.coalesce(bad, F.lit(False)) & F.col("mean").isNotNull()
@@ -106,7 +114,7 @@ def bad_days(df: DataFrame, time: str = "dt_round", flag: str = "flag", status:
 
 def down_days(df: DataFrame, time: str = "dt_round", **kwargs) -> DataFrame:
     bad = bad_days(df, time, **kwargs).groupBy("site").agg(F.count(F.lit(1)).alias("bad_days"))
-    total = df.groupBy("site").agg(F.count_distinct(F.to_date(time)).alias("days"))
+    total = counted(df).groupBy("site").agg(F.count_distinct(F.to_date(time)).alias("days"))
     out = total.join(bad, "site", "left").fillna(0, ["bad_days"])
     return out.withColumn("perc_days", F.col("bad_days") / F.col("days") * 100)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorqc.functions import time as tm, tokens
@@ -116,7 +118,8 @@ NON_REMOVABLE = (
 
 
 def keep_non_removable(df: DataFrame, flag: str = "flag", listed=NON_REMOVABLE) -> DataFrame:
-    hit = tokens.has_any(tokens.parse(flag), listed)
+    """Rows whose flag holds a listed text anywhere, in any case, lose their value and pass."""
+    hit = F.coalesce(F.lower(flag).rlike("|".join(re.escape(t.lower()) for t in listed)), F.lit(False))
     return df.withColumns(
         {
             "mean_verified": F.when(~hit, F.col("mean_verified")),

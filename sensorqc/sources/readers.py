@@ -134,16 +134,19 @@ SENTINELS = (-9999.0, 638.30)
 
 
 def telemetry_rows(lines: DataFrame, go_live: DataFrame, spec: Series, text: str = "line") -> DataFrame:
-    """'date time value' lines to slot means; sentinels, unparsable rows and rows before go-live drop."""
+    """'date time value' lines to means of the nearest slot.
+
+    Unparsable rows drop; slots whose mean is a sentinel drop, as do slots up to go-live and sites without one.
+    """
     parts = F.split(F.trim(F.col(text)), r"\s+")
     parsed = lines.select(
         *spec.keys,
-        F.try_to_timestamp(F.concat_ws(" ", parts[0], F.try_element_at(parts, F.lit(2))), F.lit("yyyy-MM-dd HH:mm:ss")).alias("_t"),
+        F.try_to_timestamp(F.concat_ws(" ", parts[0], F.try_element_at(parts, F.lit(2))), F.lit("MM/dd/yyyy HH:mm:ss")).alias("_t"),
         F.try_element_at(parts, F.lit(3)).try_cast("double").alias("_v"),
-    ).filter(F.col("_t").isNotNull() & F.col("_v").isNotNull() & ~F.col("_v").isin(*SENTINELS))
-    slots = parsed.groupBy(*spec.keys, tm.floor_slot("_t", spec.step).alias(spec.time)).agg(F.avg("_v").alias("value"))
-    live = slots.join(go_live.select("site", "go_live"), "site", "left")
-    return live.filter(F.col("go_live").isNull() | (F.col(spec.time) >= F.col("go_live"))).drop("go_live")
+    ).filter(F.col("_t").isNotNull() & F.col("_v").isNotNull())
+    slots = parsed.groupBy(*spec.keys, tm.round_slot("_t", spec.step).alias(spec.time)).agg(F.avg("_v").alias("value"))
+    live = slots.filter(~F.col("value").isin(*SENTINELS)).join(go_live.select("site", "go_live"), "site")
+    return live.filter(F.col(spec.time) > F.col("go_live")).drop("go_live")
 
 
 def attach_dictionaries(df: DataFrame, *dims: tuple[DataFrame, str]) -> DataFrame:
@@ -186,7 +189,7 @@ def normalise_upload(df: DataFrame, spec: Series = Series()) -> DataFrame:
     optional = {c: F.lit(None).cast("string") for c in ("auto_flag", "mal_flag") if c not in df.columns}
     out = df.withColumns(optional) if optional else df
     flag = F.nullif(F.concat_ws(";", "auto_flag", "mal_flag"), F.lit(""))
-    out = out.withColumns({"flag": flag, **{k: v for k, v in tm.calendar(spec.time).items() if not k.startswith("y_")}})
+    out = out.withColumns({"flag": flag, **{k: v for k, v in tm.calendar(spec.time).items() if k != "y_m"}})
     return out.withColumns(
         {
             "mean_verified": F.col("mean"),

@@ -228,6 +228,36 @@ def test_upload_needs_its_columns(spark):
         readers.normalise_upload(series(spark, [1.0]).drop("mean"))
 
 
+def test_telemetry_slots_sentinels_and_go_live(spark):
+    lines = [
+        ("a", "04/02/2024 10:07:30 1.0 x x"),  # nearest slot is 10:15
+        ("a", "04/02/2024 10:22:29 3.0 x x"),  # and here too
+        ("a", "04/02/2024 10:29:00 -9999 x x"),  # mean of sentinel and value stays
+        ("a", "04/02/2024 10:31:00 1.0 x x"),
+        ("a", "04/02/2024 10:45:00 638.30 x x"),
+        ("a", "04/02/2024 10:00:00 5.0 x x"),  # go-live itself is out
+        ("a", "2024-04-02 11:00:00 5.0 x x"),
+        ("b", "04/02/2024 10:15:00 1.0 x x"),  # no go-live
+    ]
+    d = spark.createDataFrame([(s, "Depth", t) for s, t in lines], "site string, parameter string, line string")
+    live = spark.createDataFrame([("a",)], "site string").withColumn("go_live", F.to_timestamp(F.lit("2024-04-02 10:00:00")))
+    out = readers.telemetry_rows(d, live, S).orderBy("dt_round").select(F.date_format("dt_round", "HH:mm").alias("t"), "value").collect()
+    assert [tuple(r) for r in out] == [("10:15", 2.0), ("10:30", -4999.0)]
+
+
+def test_non_removable_flags_match_in_any_case(spark):
+    rows = [("Missing Data (late)", 1.0), ("frozen;drift", 2.0), ("drift", 3.0), (None, 4.0)]
+    d = spark.createDataFrame(rows, "flag string, mean_verified double").withColumn("verification_status", F.lit("FAIL"))
+    out = {r["flag"]: (r["mean_verified"], r["verification_status"]) for r in vf.keep_non_removable(d).collect()}
+    assert out == {"Missing Data (late)": (None, "PASS"), "frozen;drift": (None, "PASS"), "drift": (3.0, "FAIL"), None: (4.0, "FAIL")}
+
+
+def test_down_days_leave_parameters_out(spark):
+    rows = [("Depth", 0), ("pH", 96), ("pH", 97)]
+    d = spark.createDataFrame([("a", p, at(i), 1.0, "sonde burial", None) for p, i in rows], "site string, parameter string, dt_round timestamp, mean double, flag string, verification_status string")
+    assert [tuple(r) for r in rp.down_days(d, min_rows=1).select("days", "bad_days").collect()] == [(1, 1)]
+
+
 def test_network_check_clears_shared_events(spark):
     rows = [("a", 5), ("b", 11), ("c", 40)]
     d = spark.createDataFrame([(s, "DO", at(i), 1.0) for s, i in rows], "site string, parameter string, dt_round timestamp, mean double")
