@@ -58,10 +58,10 @@ def _(t):
 
 @query(
     "x04_slot_stream",
-    f"SELECT site, parameter, dt_round, @mean, @spread, n_obs FROM fx_slots WHERE dt_round + INTERVAL {STEP} SECOND <= (SELECT max(ts) + INTERVAL {STEP // 2} SECOND - INTERVAL 24 HOUR FROM events)",
+    "SELECT site, parameter, dt_round, @mean, @spread, n_obs FROM fx_slots",
 )
 def _(t):
-    return live.run_to_table(live.slot_stream(stream(t), STEP), "slots")
+    return live.run_updates(live.slot_stream(stream(t), STEP), "slots", ["site", "parameter", "dt_round"])
 
 
 @query("x05_dedupe_stream", "SELECT id, site, parameter, ts, @value FROM fx_readings")
@@ -74,10 +74,12 @@ def _(t):
     "x06_gap_sessions",
     """WITH g AS (SELECT *, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w) >= 21600000000, true)::INT AS nw FROM fx_readings WINDOW w AS (PARTITION BY site, parameter ORDER BY ts)),
       s AS (SELECT *, sum(nw) OVER (PARTITION BY site, parameter ORDER BY ts) AS sid FROM g)
-    SELECT site, parameter, min(ts) AS start_dt, max(ts) + INTERVAL 6 HOUR AS end_dt, count(*) AS n FROM s GROUP BY site, parameter, sid HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 24 HOUR FROM events)""",
+    SELECT site, parameter, min(ts) AS start_dt, max(ts) + INTERVAL 6 HOUR AS end_dt, count(*) AS n FROM s GROUP BY site, parameter, sid""",
 )
 def _(t):
-    return live.run_to_table(live.session_stream(stream(t), "6 hours", ["site", "parameter"]), "sessions")
+    keys = ["site", "parameter"]
+    done = live.run_to_table(live.session_stream(stream(t), "6 hours", keys), "sessions")
+    return done.unionByName(live.open_sessions(t.readings, done, "6 hours", keys))
 
 
 @query("x07_alarm_stream", SUPPRESSED)

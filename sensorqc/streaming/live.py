@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from sensorqc.functions import time as tm, tokens
 from sensorqc.operators.reporting import suppress_alarms
 from sensorqc.plans.chunks import time_chunk
+from sensorqc.plans.joins import newest_per_key
 from sensorqc.session import work_dir
 
 WATERMARK = "24 hours"
@@ -30,6 +31,23 @@ def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def run_updates(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Run over everything available in update mode; each key's newest state, so slots still open are there too.
+
+    A batch writes its changed rows into a folder of its own, which a repeated batch overwrites.
+    """
+    spark = stream.sparkSession
+    out, state = work_dir(spark, name), work_dir(spark, f"{name}-state")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    q = stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).start()
+    q.awaitTermination()
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch_id", T.LongType())])
+    return newest_per_key(spark.read.schema(schema).parquet(out), keys, ["batch_id"]).drop("batch_id")
+
+
 def slot_stream(readings: DataFrame, step: int = 900, ts: str = "ts", value: str = "value", keys=("site", "parameter"), watermark: str = WATERMARK) -> DataFrame:
     """Tumbling slot statistics around the nearest slot; a slot is final once the watermark passed it."""
     half = step // 2
@@ -48,6 +66,18 @@ def session_stream(readings: DataFrame, gap: str, keys: list[str], ts: str = "ts
     return d.select(*keys, F.col("session_window.start").alias("start_dt"), F.col("session_window.end").alias("end_dt"), "n")
 
 
+def open_sessions(readings: DataFrame, done: DataFrame, gap: str, keys: list[str], ts: str = "ts") -> DataFrame:
+    """Sessions that a finished run of ``session_stream`` still held in state, from the readings as a batch.
+
+    ``done`` are the sessions it wrote; sessions close in the order of time, so a key's later rows are open.
+    """
+    last = done.groupBy(*keys).agg(F.max("end_dt").alias("_end"))
+    rest = readings.withColumn(ts, F.col(ts).cast("timestamp")).join(last, keys, "left")
+    rest = rest.filter(F.col("_end").isNull() | (F.col(ts) >= F.col("_end")))
+    d = rest.groupBy(*keys, F.session_window(ts, gap)).agg(F.count(F.lit(1)).alias("n"))
+    return d.select(*keys, F.col("session_window.start").alias("start_dt"), F.col("session_window.end").alias("end_dt"), "n")
+
+
 def flag_stream(readings: DataFrame, limits: DataFrame, visits: DataFrame, step: int, value: str = "value", ts: str = "ts") -> DataFrame:
     """Stream rows against static limits and visit slots."""
     d = readings.withColumn("dt_round", tm.floor_slot(ts, step))

@@ -39,6 +39,25 @@ def test_slots(spark, files):
     assert rows(got, "site", "dt_round", "n_obs", "mean") == rows(want, "site", "dt_round", "n_obs", "mean")
 
 
+def test_slots_still_open_over_several_batches(spark, files):
+    path, batch = files
+    slots = live.slot_stream(live.read_files(spark, path, batch.schema, files_per_trigger=1), 3600)
+    got = live.run_updates(slots, "u", ["site", "parameter", "dt_round"])
+    want = grid.slot_aggregate(batch, Series(step=3600), "ts")
+    assert rows(got, "site", "dt_round", "n_obs", "mean") == rows(want, "site", "dt_round", "n_obs", "mean")
+
+
+def test_sessions_written_and_open_make_all(spark, files):
+    path, batch = files
+    readings = live.read_files(spark, path, batch.schema, files_per_trigger=1)
+    done = live.run_to_table(live.session_stream(readings, "40 minutes", ["site"]), "s")
+    still = live.open_sessions(batch, done, "40 minutes", ["site"])
+    whole = batch.groupBy("site", F.session_window("ts", "40 minutes")).agg(F.count(F.lit(1)).alias("n"))
+    want = whole.select("site", F.col("session_window.start").alias("start_dt"), F.col("session_window.end").alias("end_dt"), "n")
+    assert still.count() > 0
+    assert rows(done.unionByName(still), "site", "start_dt", "end_dt", "n") == rows(want, "site", "start_dt", "end_dt", "n")
+
+
 def test_alarms_across_batches(spark, files):
     path, batch = files
     limits = batch.select("site").distinct().withColumns({"warning": F.lit(40.0), "alarm": F.lit(50.0)})
