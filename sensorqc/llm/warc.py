@@ -40,6 +40,7 @@ class WarcSettings:
     least_revisit_bytes: int = 0
     archive_bytes: int = 512 << 20
     split_bytes: int = 8 << 20
+    task_bytes: int = 64 << 20  # archive bytes a task reads, where there are many
     level: int = 5
     most_header: int = 1 << 16
 
@@ -192,10 +193,19 @@ def read_range(source, path: str, size: int, start: int, end: int, most_header:
         pos = found[1]
 
 
+def reading_tasks(archives: DataFrame, cfg: WarcSettings) -> int:
+    """Tasks for the ranges: one per ``task_bytes``, and several per core while there are ranges enough."""
+    told = archives.agg(F.sum(F.ceil(F.col("bytes") / cfg.split_bytes)).alias("ranges"), F.sum("bytes").alias("bytes")).first()
+    ranges, size = told["ranges"] or 0, told["bytes"] or 0
+    cores = archives.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(ranges, max(4 * cores, -(-size // cfg.task_bytes))))
+
+
 def read_warc(archives: DataFrame, cfg: WarcSettings = WarcSettings(), payloads: bool = True) -> DataFrame:
     """Records of the archives (path, bytes), one task row per byte range."""
     ranges = archives.filter("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(cfg.split_bytes).cast("long"))).alias("start"))
-    ranges = ranges.repartition("path", "start")
+    # the number is given, as Spark would merge the few bytes that name the ranges into one task
+    ranges = ranges.repartition(reading_tasks(archives, cfg))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs as pafs

@@ -284,6 +284,16 @@ def test_warc_round_trip(spark):
     assert warc.read_warc(none).count() == 0
 
 
+def test_warc_reading_is_spread(spark):
+    cfg = warc.WarcSettings(split_bytes=1000, task_bytes=4000)
+    cores = spark.sparkContext.defaultParallelism
+    table = lambda *sizes: spark.createDataFrame([("p", s) for s in sizes], "path string, bytes long")
+    assert warc.reading_tasks(table(2500, 1), cfg) == 4
+    assert warc.reading_tasks(table(4_000_000), cfg) == max(1000, 4 * cores)
+    assert warc.reading_tasks(table().limit(0), cfg) == 1
+    assert warc.read_warc(table(2500, 1), cfg).rdd.getNumPartitions() == 4
+
+
 def test_warc_skips_false_starts():
     import io
 
