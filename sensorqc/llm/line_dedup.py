@@ -14,7 +14,7 @@ so the number of levels is fixed. A window of m lines is named by its two overla
 largest level that fits, and all but the first window of a name are removed.
 
 Line ids are 128 bits of hash. Names are positions, so no later level can collide. Hot lines are
-aggregated before the shuffle and joined back by skew-splittable equi-joins.
+aggregated before the shuffle and joined back by equi-joins that Spark can split where they are skewed.
 
 Defined results: a null text counts as empty and comes back as it is; null ids sort as 0;
 rows that repeat both id and text count as one document and get the same result; ids with different
@@ -60,11 +60,20 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
     )
 
 
+def _first_of(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The first position of each key that occurs twice, as a written table to be joined by a merge.
+
+    Joined straight from the aggregate, all rows of a hot key would stay in its task: Spark splits a skewed
+    join only where both sides come from a shuffle of their own. The merge is asked for at every size.
+    """
+    pos = F.struct(*_POS)
+    first = rows.groupBy(*keys).agg(F.min(pos).alias(name), F.max(pos).alias("last")).filter(F.col(name) != F.col("last")).drop("last")
+    return materialise(first, "first-lines").hint("merge")
+
+
 def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The name of each row's key: its first position; rows whose key occurs once go."""
-    pos = F.struct(*_POS)
-    first = rows.groupBy(*keys).agg(F.min(pos).alias("name"), F.max(pos).alias("last")).filter("name != last").drop("last")
-    return rows.join(first, keys).drop(*keys)
+    return rows.join(_first_of(rows, keys, "name"), keys).drop(*keys)
 
 
 def block_names(lines: DataFrame, min_words: int) -> list[DataFrame]:
@@ -90,8 +99,7 @@ def removed_lines(docs: DataFrame, min_words: int = 50) -> DataFrame:
     left = left.withColumn("start", F.col("seq")).withColumn("seq", (F.col("start") + F.col("m") - F.pow(F.lit(2), F.col("level"))).cast("int"))
     both = left.join(names.withColumnRenamed("name", "right"), [*_POS, "level"]).select(*_DOC, F.col("start").alias("seq"), "m", "left", "right")
     both = materialise(both, "line-windows")
-    first = both.groupBy("left", "right", "m").agg(F.min(F.struct(*_POS)).alias("first"), F.max(F.struct(*_POS)).alias("last")).filter("first != last").drop("last")
-    later = both.join(first, ["left", "right", "m"]).filter(F.struct(*_POS) != F.col("first"))
+    later = both.join(_first_of(both, ["left", "right", "m"], "first"), ["left", "right", "m"]).filter(F.struct(*_POS) != F.col("first"))
     gone = later.select(*_DOC, F.explode(F.sequence(F.col("seq"), F.col("seq") + F.col("m") - 1)).alias("seq")).distinct()
     gone = gone.join(lines.select(*_POS, "line_no"), _POS)
     return gone.groupBy(*_DOC).agg(F.sort_array(F.collect_list("line_no")).alias("_ld_removed"))
