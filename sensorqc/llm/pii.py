@@ -9,8 +9,12 @@ phone numbers keep the country code; names keep form of address, gender, script
 
 Collision check. Over all distinct canonical forms, a surrogate must differ from every other surrogate
 of its type and from every real entity of its type; where two meet, the smaller form keeps it and the
-other draws again, until no two meet. Redrawn forms are rare; documents that hold one get its draw number
-through a join on doc_id (Spark broadcasts that table only while it is measured small).
+other draws again, until no two meet. Later draws may be longer than the real form (a given name alone
+becomes an invented one), so that no type runs out of surrogates, however many of its forms are taken.
+Redrawn forms are rare; documents that hold one get its draw number through a join on doc_id (Spark
+broadcasts that table only while it is measured small).
+
+A secret's letters and digits are drawn within their script; one that has none is drawn from signs.
 
 Defined results: null and empty texts come back unchanged with no entity; rows that repeat an id are
 treated one by one; null ids are allowed; other columns pass through.
@@ -19,7 +23,9 @@ treated one by one; null ids are allowed; other columns pass through.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -40,6 +46,11 @@ LATIN_SYLLABLES = "ba den cor mil ran sel tor ven wick ham ley ford mar lin gar
 CYRILLIC_SYLLABLES = "ба ве го ди ка ле ми но па ра се ту ши бор вол гор дан кир лов мар".split()
 GREEK_SYLLABLES = "πα κο λι μα νο ρε στα θε δη γα βα φι".split()
 
+SIGNS = "-_.~^!+?/"
+
+#: So many draws keep the length of the real form; each later one is a character longer.
+SAME_LENGTH = 3
+
 _TITLES = sorted({*MALE_TITLES, *FEMALE_TITLES, *OPEN_TITLES}, key=len, reverse=True)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
@@ -108,6 +119,17 @@ def _pick(stream: Iterator[int], n: int) -> int:
     return (next(stream) << 16 | next(stream) << 8 | next(stream)) % n
 
 
+@lru_cache(maxsize=4096)
+def _alphabet(ch: str) -> str:
+    """Letters or digits of the script and case of a character that is not ASCII; nothing for other characters."""
+    sort = unicodedata.category(ch)
+    if ch.isascii() or sort[0] not in "LN":
+        return ""
+    script, start = unicodedata.name(ch, "").split(" ")[0], ord(ch) & ~0x7F
+    near = "".join(c for c in map(chr, range(start, start + 128)) if unicodedata.category(c) == sort and unicodedata.name(c, "").split(" ")[0] == script)
+    return near if len(near) > 1 else "abcdefghijklmnopqrstuvwxyz"
+
+
 def _like(ch: str, stream: Iterator[int], hexadecimal: bool = False) -> str:
     if ch.isdigit() and ch.isascii():
         return str(_pick(stream, 10))
@@ -117,7 +139,18 @@ def _like(ch: str, stream: Iterator[int], hexadecimal: bool = False) -> str:
     if ch.isascii() and ch.isalpha():
         c = chr(97 + _pick(stream, 26))
         return c.upper() if ch.isupper() else c
-    return ch
+    near = _alphabet(ch)
+    return near[_pick(stream, len(near))] if near else ch
+
+
+def _secret(form: str, extra: int, s: Iterator[int]) -> str:
+    is_hex = all(c in "0123456789abcdefABCDEF" for c in form)
+    signs = not any(c.isascii() and c.isalnum() or _alphabet(c) for c in form)
+    drawn = form
+    while drawn == form:
+        drawn = "".join(SIGNS[_pick(s, len(SIGNS))] if signs else _like(c, s, is_hex) for c in form)
+    more = SIGNS if signs else "0123456789" if form.isdigit() else "abcdef" if is_hex else "abcdefghijklmnopqrstuvwxyz"
+    return drawn + "".join(more[_pick(s, len(more))] for _ in range(extra))
 
 
 def luhn_valid(digits: str) -> bool:
@@ -131,19 +164,24 @@ def luhn_valid(digits: str) -> bool:
 def surrogate(kind: str, form: str, attempt: int, key: bytes) -> str:
     """The canonical form of the surrogate; equal inputs give equal surrogates."""
     s = _stream(key, kind, form, str(attempt))
+    extra = max(0, attempt - SAME_LENGTH + 1)
+    digits = lambda n: "".join(str(_pick(s, 10)) for _ in range(n))
     if kind == "card":
-        body = form[0] + "".join(str(_pick(s, 10)) for _ in form[2:])
+        body = form[0] + digits(len(form) - 2 + extra)
         checks = {c: luhn_valid(body + c) for c in "0123456789"}
         wanted = [c for c in checks if checks[c] == luhn_valid(form)]
         return body + wanted[_pick(s, len(wanted))]
     if kind == "phone":
         keep = 1 if form[0] in "17" or len(form) <= 10 else 2
-        return form[:keep] + "".join(str(_pick(s, 10)) for _ in form[keep:])
+        return form[:keep] + digits(len(form) - keep + extra)
     if kind == "ssn":
-        return f"{900 + _pick(s, 100)}" + "".join(str(_pick(s, 10)) for _ in form[3:])
+        return f"{900 + _pick(s, 100)}" + digits(len(form) - 3 + extra)
     if kind == "ip":
         first = form.split(".")[0]
-        return ".".join([first if first in ("10", "127", "192", "172") else str(1 + _pick(s, 223)), *(str(_pick(s, 256)) for _ in range(2)), str(1 + _pick(s, 254))])
+        first = first if first in ("10", "127", "192", "172") else str(1 + _pick(s, 223))
+        if extra:  # octets over 255: no address at all, so never a real one
+            return ".".join([first, *(str(256 + _pick(s, 744 * 10 ** min(extra - 1, 3))) for _ in range(3))])
+        return ".".join([first, *(str(_pick(s, 256)) for _ in range(2)), str(1 + _pick(s, 254))])
     if kind == "email":
         local, _, domain = form.partition("@")
         host, _, top = domain.rpartition(".")
@@ -151,13 +189,12 @@ def surrogate(kind: str, form: str, attempt: int, key: bytes) -> str:
         grown = "".join(chr(97 + _pick(s, 26)) for _ in range(attempt))
         return "".join(_like(c, s) for c in local) + grown + "@" + "".join(_like(c, d) for c in host) + "." + top
     if kind == "access_key":
-        return form[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[_pick(s, 32)] for _ in form[4:])
+        return form[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[_pick(s, 32)] for _ in range(len(form) - 4 + extra))
     if kind == "iban":
-        return form[:2] + "".join(_like(c, s) for c in form[2:])
+        return form[:2] + "".join(_like(c, s) for c in form[2:]) + digits(extra)
     if kind.startswith("person_"):
         return _person(kind[-1], form, attempt, s)
-    is_hex = all(c in "0123456789abcdefABCDEF" for c in form)
-    return "".join(_like(c, s, is_hex) for c in form)
+    return _secret(form, extra, s)
 
 
 def _person(gender: str, form: str, attempt: int, s: Iterator[int]) -> str:
@@ -168,7 +205,8 @@ def _person(gender: str, form: str, attempt: int, s: Iterator[int]) -> str:
     known = {x.lower() for x in [*MALE_NAMES, *FEMALE_NAMES, *MALE_CYRILLIC, *FEMALE_CYRILLIC]}
     out = []
     for i, word in enumerate(words):
-        if i < len(words) - 1 and given and not greek or word in known and not greek:
+        listed = i < len(words) - 1 and given or word in known and not (attempt and i == len(words) - 1)
+        if listed and not greek:
             names = given or MALE_NAMES + FEMALE_NAMES
             out.append(names[_pick(s, len(names))].lower())
         else:
@@ -180,7 +218,7 @@ def render(kind: str, surface: str, form: str) -> str:
     """A surrogate written in the layout of a mention."""
     if kind in ("card", "phone", "ssn", "iban"):
         chars = iter(form)
-        return "".join(next(chars) if c.isalnum() else c for c in surface)
+        return "".join([*(next(chars) if c.isalnum() else c for c in surface), *chars])
     if kind.startswith("person_"):
         shape = surface.split(" ")
         return " ".join(w.upper() if a.isupper() and len(a) > 1 else w.capitalize() for a, w in zip(shape, form.split(" "), strict=True))
@@ -209,7 +247,7 @@ def mentions(docs: DataFrame) -> DataFrame:
     return arrow_map(rows, run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, kind string, form string")
 
 
-def settle(entities: DataFrame, key: bytes, most_rounds: int = 64) -> DataFrame:
+def settle(entities: DataFrame, key: bytes) -> DataFrame:
     """kind, form, attempt, sub for the distinct entities (kind, form): surrogates that no two share and that are no entity."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +258,7 @@ def settle(entities: DataFrame, key: bytes, most_rounds: int = 64) -> DataFrame:
     schema = "kind string, form string, attempt int, sub string"
     now = materialise(arrow_map(entities.select("kind", "form", F.lit(0).alias("attempt")), draw, schema), "surrogates")
     family = F.substring_index("kind", "_", 1)  # persons of all genders share one space
-    for _ in range(most_rounds):
+    while True:  # later draws are longer, so the number of clashes falls to none
         order = Window.partitionBy("family", "sub").orderBy("attempt", "kind", "form")
         taken = entities.select(family.alias("family"), F.col("form").alias("sub")).distinct().withColumn("real", F.lit(True))
         ranked = now.withColumn("family", family).withColumn("place", F.row_number().over(order)).join(taken, ["family", "sub"], "left")
@@ -229,7 +267,6 @@ def settle(entities: DataFrame, key: bytes, most_rounds: int = 64) -> DataFrame:
             return now
         again = arrow_map(ranked.filter("clash").select("kind", "form", (F.col("attempt") + 1).alias("attempt")), draw, schema)
         now = materialise(ranked.filter("not clash").select("kind", "form", "attempt", "sub").unionByName(again), "surrogates")
-    raise ValueError("surrogates still collide: the format of some entities has too few forms")
 
 
 def anonymise(docs: DataFrame, key: bytes) -> DataFrame:
