@@ -15,9 +15,15 @@ copies sends one each. (3) One bucket at a time, its suffixes are sorted by hash
 windows are compared byte by byte, and those of larger documents are marked. (4) Marks join their documents.
 A bucket holds ``bucket_bytes`` of text on average, whatever the size of the table.
 
+Hot grams. A gram whose contexts alone would fill a bucket (a phrase or a rule of dashes that many documents
+surround differently) sends windows instead, dealt by the hash of all their bytes. Equal windows hold the same
+gram and share that hash, so they still meet. Each batch marks all but the smallest document of a window at once
+and sends only that one, so a window costs a bucket a few rows per batch of text, however often it occurs.
+
 Defined results: a null text is empty; null ids come after all others; rows that repeat an id never mark each
 other; rows that repeat id and text get the same result; texts shorter than ``length`` keep every byte; other
-columns are ignored. The bit map lets more contexts through as grams fill it; results don't depend on it.
+columns are ignored. The bit maps let more contexts through, or send more of them as windows, as grams fill
+them; results don't depend on it.
 """
 
 from __future__ import annotations
@@ -42,6 +48,12 @@ class SuffixSettings:
     bucket_bytes: int = 3 << 20
     group_bytes: int = 4 << 20
     filter_bits: int = 26
+    hot_bits: int = 22
+
+    @property
+    def hot_contexts(self) -> int:
+        """So many contexts of one gram would fill a bucket."""
+        return max(1, self.bucket_bytes // (2 * self.length))
 
 
 _LAST = np.iinfo(np.int64).max
@@ -123,20 +135,27 @@ def _groups(batches: Iterator[pa.RecordBatch], cfg: SuffixSettings) -> Iterator[
 
 
 def shared_grams(rows: DataFrame, cfg: SuffixSettings) -> DataFrame:
-    """gram of every sampled gram that lies in two documents."""
+    """gram of every sampled gram that lies in two documents, and n, about the contexts that batches would send for it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for buf, ends, order, _, _ in _groups(batches, cfg):
-            first, _, gram = runs(buf, ends, cfg)
+            first, count, gram = runs(buf, ends, cfg)
             doc = order[np.searchsorted(ends, first, "right")]
             by = np.lexsort((doc, gram))
-            gram, doc = gram[by], doc[by]
+            gram, doc, first, count = gram[by], doc[by], first[by], count[by]
             head = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, np.int64)
             tail = np.concatenate([head[1:], [len(gram)]]) - 1 if len(gram) else head
-            yield pa.RecordBatch.from_arrays([pa.array(gram[head]), pa.array(doc[head]), pa.array(doc[tail])], ["gram", "lo", "hi"])
+            n = tail - head + 1
+            often = np.flatnonzero(n > 8)
+            if len(often):  # equal contexts are sent once
+                raw, tail_bytes = buf.tobytes(), cfg.length - 1
+                for i in often.tolist():
+                    at = range(head[i], tail[i] + 1)
+                    n[i] = len({raw[first[j] : first[j] + count[j] + tail_bytes] for j in at})
+            yield pa.RecordBatch.from_arrays([pa.array(gram[head]), pa.array(doc[head]), pa.array(doc[tail]), pa.array(n)], ["gram", "lo", "hi", "n"])
 
-    found = arrow_map(rows, run, "gram long, lo long, hi long").groupBy("gram").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    return materialise(found.filter("lo < hi").select("gram"), "shared-grams")
+    found = arrow_map(rows, run, "gram long, lo long, hi long, n long").groupBy("gram").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("n").alias("n"))
+    return materialise(found.filter("lo < hi").select("gram", "n"), "shared-grams")
 
 
 def _pack(entries: list[tuple[int, int, int, bytes]]) -> bytes:
@@ -150,9 +169,33 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, bytes]:
     return np.frombuffer(raw, _HEAD, n, 4), raw[4 + n * _HEAD.itemsize :]
 
 
+def _split(buf: np.ndarray, first: np.ndarray, count: np.ndarray, order: np.ndarray, cfg: SuffixSettings) -> tuple[np.ndarray, ...]:
+    """Windows of contexts: (context, first step, last step) of runs that a smaller document here holds too; (context, step, hash) of the others."""
+    entry = np.repeat(np.arange(len(first)), count)
+    step = np.arange(len(entry)) - np.repeat(np.cumsum(count) - count, count)
+    w8, at = words8(buf), first[entry] + step
+    names, mine = equal_windows(w8, at, cfg.length), order[entry]
+    least = np.full(names.max(initial=-1) + 1, _LAST)
+    np.minimum.at(least, names, mine)
+    hit = mine > least[names]
+    opens, closes = _run_ends(hit, step)
+    with np.errstate(over="ignore"):
+        h = block_hash(w8, at[~hit], cfg.length).view(np.int64)
+    return entry[opens], step[opens], step[closes], entry[~hit], step[~hit], h
+
+
+def _run_ends(hit: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of hits begin and end; a run stays within its context, whose steps count from 0."""
+    opens = hit & ~(np.concatenate([[False], hit[:-1]]) & (step > 0))
+    closes = hit & ~(np.concatenate([hit[1:], [False]]) & np.concatenate([step[1:] > 0, [False]]))
+    return np.flatnonzero(opens), np.flatnonzero(closes)
+
+
 def contexts(rows: DataFrame, grams: DataFrame, buckets: int, cfg: SuffixSettings) -> DataFrame:
     """bucket, blob: contexts to compare; and, with blob null, marks (order, hash, first, last) already known."""
-    maybe = id_filter(grams, cfg.filter_bits)
+    maybe = id_filter(grams.select("gram"), cfg.filter_bits)
+    # a bit map again: what it takes for hot besides is sent as windows too, which is as exact
+    hot = id_filter(grams.filter(F.col("n") > cfg.hot_contexts).select("gram"), cfg.hot_bits)
     tail = cfg.length - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,10 +206,19 @@ def contexts(rows: DataFrame, grams: DataFrame, buckets: int, cfg: SuffixSetting
             part = np.searchsorted(ends, first, "right")
             at = first - np.concatenate([[0], ends[:-1]])[part] + offset[part]
             raw, seen = buf.tobytes(), {}
-            for s, c, g, o, h, a in zip(first.tolist(), count.tolist(), gram.tolist(), order[part].tolist(), text[part].tolist(), at.tolist(), strict=True):
-                seen.setdefault(raw[s : s + c + tail], (g, []))[1].append((o, h, a))
             out: dict[int, list] = {}
             marks = []
+            split = hot(pa.array(gram)) if len(gram) else keep[:0]
+            if split.any():
+                orders, texts, ats, starts = order[part][split], text[part][split], at[split], first[split]
+                e, a, b, other, step, h = _split(buf, starts, count[split], orders, cfg)
+                marks += zip(orders[e].tolist(), texts[e].tolist(), (ats[e] + a).tolist(), (ats[e] + b).tolist(), strict=True)
+                begin = starts[other] + step
+                for to, o, t, i, s in zip((h % buckets).tolist(), orders[other].tolist(), texts[other].tolist(), (ats[other] + step).tolist(), begin.tolist(), strict=True):
+                    out.setdefault(to, []).append((o, t, i, raw[s : s + cfg.length]))
+                first, count, gram, part, at = first[~split], count[~split], gram[~split], part[~split], at[~split]
+            for s, c, g, o, h, a in zip(first.tolist(), count.tolist(), gram.tolist(), order[part].tolist(), text[part].tolist(), at.tolist(), strict=True):
+                seen.setdefault(raw[s : s + c + tail], (g, []))[1].append((o, h, a))
             for context, (g, places) in seen.items():
                 least = min(places)[0]
                 for o, h, a in places:
@@ -227,9 +279,7 @@ def mark_bucket(heads: np.ndarray, raw: bytes, cfg: SuffixSettings) -> tuple[np.
     first = np.full(names.max(initial=-1) + 1, _LAST)
     np.minimum.at(first, names, mine)
     hit = mine > first[names]
-    opens = hit & ~(np.concatenate([[False], hit[:-1]]) & (step > 0))
-    closes = hit & ~(np.concatenate([hit[1:], [False]]) & np.concatenate([step[1:] > 0, [False]]))
-    for a, b in zip(np.flatnonzero(opens).tolist(), np.flatnonzero(closes).tolist(), strict=True):
+    for a, b in zip(*(x.tolist() for x in _run_ends(hit, step)), strict=True):
         out += [(order[e], text[e], at[e] + int(step[a]), at[e] + int(step[b])) for e in owners[entry[a]]]
     return tuple(np.array([r[i] for r in out], np.int64) for i in range(4))
 

@@ -120,6 +120,23 @@ def test_suffix_dedup_equals_plain(spark, length, group):
     assert suffix_dedup.dedup_substrings(empty(spark)).count() == 0
 
 
+def test_suffix_dedup_splits_a_hot_gram(spark):
+    rng = random.Random(9)
+    phrase = "all rights reserved here"  # longer than a gram, shorter than a window
+    rows = [(i, f"{sentence(rng, 9)} {phrase} {sentence(rng, 9)}\n" + "-" * (60 + i % 7)) for i in range(240)]
+    rows += [(1000 + i, rows[i][1][20:-3]) for i in range(0, 240, 8)] + [(None, rows[3][1])]
+    cfg = suffix_dedup.SuffixSettings(bucket_bytes=4000)
+    docs = docs_of(spark, rows)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.dedup_substrings(docs, cfg).collect()}
+    assert got == {d: x for (d, _), x in zip(rows, plain.cut_substrings(rows, 50), strict=True)}
+    inner = suffix_dedup._rows(docs)
+    sent = suffix_dedup.contexts(inner, suffix_dedup.shared_grams(inner, cfg), 64, cfg).filter("blob is not null").collect()
+    held = {}
+    for r in sent:
+        held[r.bucket] = held.get(r.bucket, 0) + len(suffix_dedup._unpack(bytes(r.blob))[1])
+    assert max(held.values()) < 4 * sum(held.values()) / len(held)
+
+
 def test_equal_windows_survive_hash_collisions(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "block_hash", lambda w8, at, size: np.zeros(len(at), np.uint64))
     buf = np.frombuffer(b"abcdefghijklmnop" * 3, np.uint8)
