@@ -1,8 +1,9 @@
 """Toxicity: a counterfactual-regularised classifier over words and word stems.
 
 Logistic regression on the presence of words and their first letters. For every labelled text that
-names a group of people, the loss also holds the squared change of the score when that name is
-swapped for each other name of the same kind, so neutral mentions of a group do not raise a score.
+names a group of people, the loss also holds the squared change of the score (before the logistic
+function) when that name, with its stem, is swapped for each other name of the same kind, so neutral
+mentions of a group do not raise a score.
 
 Fitting reads at most ``sample_rows`` labelled texts (the documented bound, chosen by a hash of the
 id); their features are drawn in parallel and one bounded task fits the weights. The model holds at
@@ -61,8 +62,17 @@ def features_of(text: bytes, stem_letters: int) -> set[str]:
     """Lower-case words without edge punctuation, and ``stem*`` for the first letters of longer ones."""
     words = {w.strip(_EDGE) for w in set(text.split())}
     out = {w.decode("utf-8", "replace").lower() for w in words if 0 < len(w) <= 64}
-    out |= {w[:stem_letters] + "*" for w in out if len(w) > stem_letters}
-    return out
+    return out | _stems(out, stem_letters)
+
+
+def _stems(words: set[str], stem_letters: int) -> set[str]:
+    return {w[:stem_letters] + "*" for w in words if len(w) > stem_letters}
+
+
+def swapped(features: set[str], term: str, other: str, stem_letters: int) -> set[str]:
+    """The features of a text after a swap of one word; words have no ``*`` at their end, stems do."""
+    words = {f for f in features if not f.endswith("*")} - {term} | {other}
+    return words | _stems(words, stem_letters)
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, cfg: ToxicitySettings) -> DataFrame:
@@ -105,34 +115,37 @@ def fit_weights(samples: list[list[str]], labels: np.ndarray, cfg: ToxicitySetti
     lengths = np.array([len(r) for r in rows])
     cols = np.fromiter((i for r in rows for i in r), np.int64, int(lengths.sum()))
     row_of = np.repeat(np.arange(n), lengths)
-    # counterfactual pairs: the difference of two sentences is the difference of their identity features
-    swaps: dict[tuple[int, int], int] = {}
-    for feats in samples:
-        for f in feats:
-            for other in IDENTITY_TERMS.get(KIND_OF.get(f, ""), ()):
-                a, b = index.get(f, -1), index.get(other, -1)
-                if other != f and (a >= 0 or b >= 0):
-                    swaps[(a, b)] = swaps.get((a, b), 0) + 1
-    pairs = np.array(list(swaps), np.int64).reshape(-1, 2)
+    # counterfactual pairs: all features that a swap takes out of the text or puts into it
+    swaps: dict[tuple[tuple[int, ...], tuple[int, ...]], int] = {}
+    for sample in samples:
+        feats = set(sample)
+        for f in feats & KIND_OF.keys():
+            for other in IDENTITY_TERMS[KIND_OF[f]]:
+                after = swapped(feats, f, other, cfg.stem_letters)
+                gone, new = (tuple(sorted(index[x] for x in d if x in index)) for d in (feats - after, after - feats))
+                if other != f and (gone or new):
+                    swaps[(gone, new)] = swaps.get((gone, new), 0) + 1
     weight = np.array(list(swaps.values()), float) / n
-    w, b = np.zeros(len(names) + 1), bias  # the last entry stands for words without a weight and stays 0
+    pair_of = np.array([p for p, (gone, new) in enumerate(swaps) for _ in (*gone, *new)], np.int64)
+    swap_col = np.array([i for gone, new in swaps for i in (*gone, *new)], np.int64)
+    sign = np.array([x for gone, new in swaps for x in (*[1.0] * len(gone), *[-1.0] * len(new))])
+    w, b = np.zeros(len(names)), bias
     m, v = np.zeros_like(w), np.zeros_like(w)
     mb = vb = 0.0
     for step in range(1, cfg.steps + 1):
         z = b + np.bincount(row_of, w[cols], n)
         off = (1 / (1 + np.exp(-z)) - labels) / n
         g = np.bincount(cols, off[row_of], len(w)) + cfg.l2 * w
-        if len(pairs):
-            d = 2 * cfg.counterfactual * weight * (w[pairs[:, 0]] - w[pairs[:, 1]])
-            g += np.bincount(pairs[:, 0] % len(w), d, len(w)) - np.bincount(pairs[:, 1] % len(w), d, len(w))
-        g[-1] = 0
+        if len(weight):
+            change = np.bincount(pair_of, sign * w[swap_col], len(weight))
+            g += np.bincount(swap_col, sign * (2 * cfg.counterfactual * weight * change)[pair_of], len(w))
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         gb = off.sum()
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         lr = 0.1 * np.sqrt(1 - 0.999**step) / (1 - 0.9**step)
         w = w - lr * m / (np.sqrt(v) + 1e-9)
         b = b - lr * mb / (np.sqrt(vb) + 1e-9)
-    return names, w[:-1], float(b)
+    return names, w, float(b)
 
 
 def fit(docs: DataFrame, labels: DataFrame, cfg: ToxicitySettings = ToxicitySettings()) -> dict:

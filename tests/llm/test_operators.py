@@ -369,6 +369,25 @@ def test_toxicity_swaps_and_edge_rows(spark):
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in folds)
 
 
+def test_toxicity_scores_of_swapped_sentences():
+    rng = random.Random(8)
+    texts, labels = [], []
+    for i in range(300):
+        bad = i % 3 == 0
+        texts.append(f"{sentence(rng, 12)} {'muslims' if bad else rng.choice(['muslims', 'christians', 'jews'])} met")
+        labels.append(float(bad))
+
+    def change(counterfactual):
+        cfg = toxicity.ToxicitySettings(counterfactual=counterfactual)
+        names, weights, bias = toxicity.fit_weights([sorted(toxicity.features_of(t.encode(), 4)) for t in texts], np.array(labels), cfg)
+        scorer = toxicity.Scorer({"weights": dict(zip(names, weights, strict=True)), "bias": bias, "stem_letters": 4})
+        logit = lambda t: (lambda p: np.log(p / (1 - p)))(scorer(t.encode()))
+        return max(abs(logit(f"the {a} met here") - logit(f"the {b} met here")) for a in ("muslims", "Christians,") for b in ("jews", "hindus"))
+
+    assert change(20.0) < 0.1 * change(0.0)
+    assert toxicity.swapped({"muslims", "musl*", "muslim", "met"}, "muslims", "jews", 4) == {"jews", "musl*", "muslim", "met"}
+
+
 def test_operators_need_no_work_folder_of_their_own():
     top = Path(base.__file__).parent
     for path in top.glob("*.py"):
