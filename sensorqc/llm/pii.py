@@ -7,10 +7,16 @@ keyed hash, so all mentions in the corpus, however they are written, get one sur
 layout of each mention. Card numbers keep first digit, length and the validity of their check digit;
 phone numbers keep the country code; names keep form of address, gender, script and number of words.
 
+Persons. Surrogates are drawn by name part, a surname apart from its bearer's gender, so a shared surname
+stays shared in the whole corpus. Within a text, mentions are linked: a name of unknown gender takes the
+known gender of the same name, a single name after a title the part it has in the fullest titled name, and
+words of titled names are replaced where they stand without a title too (not initials, titles or the
+commonest words on their own). A person never named after a title isn't found.
+
 Collision check. Over all distinct canonical forms, a surrogate must differ from every other surrogate
 of its type and from every real entity of its type; where two meet, the smaller form keeps it and the
 other draws again, until no two meet. Later draws may be longer than the real form (a given name alone
-becomes an invented one), so that no type runs out of surrogates, however many of its forms are taken.
+gets an invented second half), so that no type runs out of surrogates, however many of its forms are taken.
 Redrawn forms are rare; documents that hold one get its draw number through a join on doc_id (Spark
 broadcasts that table only while it is measured small).
 
@@ -24,6 +30,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -33,6 +40,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from sensorqc.llm.base import arrow_map, materialise
+from sensorqc.llm.quality import COMMON_WORDS
 
 # Forms of address by gender, and given names by gender.
 MALE_TITLES = "Mr Sir Herr Señor Sr Monsieur Господин".split()
@@ -52,6 +60,9 @@ SIGNS = "-_.~^!+?/"
 SAME_LENGTH = 3
 
 _TITLES = sorted({*MALE_TITLES, *FEMALE_TITLES, *OPEN_TITLES}, key=len, reverse=True)
+KNOWN_NAMES = {x.lower() for x in [*MALE_NAMES, *FEMALE_NAMES, *MALE_CYRILLIC, *FEMALE_CYRILLIC]}
+#: No name on their own, though a titled name may have caught them.
+_NO_NAMES = {x.lower() for x in _TITLES} | {w for words in COMMON_WORDS.values() for w in words}
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 #: Type and pattern, in order of preference where two overlap; the group ``v``, if any, is the entity.
@@ -86,27 +97,80 @@ def gender_of(title: str, name: str) -> str:
     return "f" if title in FEMALE_TITLES or first in {*FEMALE_NAMES, *FEMALE_CYRILLIC} else "x"
 
 
+Part = tuple[str, str]
+
+
 def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical) of the entities, in order, not overlapping. The type of a person holds the gender."""
-    out: list[tuple[int, int, str, str]] = []
+    return [m[:4] for m in find_mentions(text)]
+
 
-    def add(start: int, end: int, kind: str, form: str) -> None:
-        if all(end <= s or start >= e for s, e, *_ in out):
-            out.append((start, end, kind, form))
+def find_mentions(text: str) -> list[tuple[int, int, str, str, tuple[Part, ...]]]:
+    """The entities, each with the (type, canonical) of the parts that get a surrogate: name words of a person, else itself."""
+    out: list[tuple[int, int, str, str, tuple[Part, ...]]] = []
+    starts, ends = [], []
+
+    def free(start: int, end: int) -> bool:
+        at = bisect_right(starts, start)
+        if at and ends[at - 1] > start or at < len(starts) and starts[at] < end:
+            return False
+        starts.insert(at, start)
+        ends.insert(at, end)
+        return True
 
     digits = bool(_DIGIT.search(text))
     for kind, pattern in PATTERNS:
         if digits or kind == "secret" and "=" in text or kind == "secret" and ":" in text and _ASSIGNED.search(text):
             for m in pattern.finditer(text):
                 start, end = m.span("v") if "v" in pattern.groupindex else m.span()
-                add(start, end, kind, canonical(kind, text[start:end]))
+                if free(start, end):
+                    form = canonical(kind, text[start:end])
+                    out.append((start, end, kind, form, ((kind, form),)))
     if any(t in text for t in _TITLES):
+        named = []
         for m in PERSON.finditer(text):
-            title = text[m.start() : m.start("v")].rstrip(" .")
-            add(m.start("v"), m.end("v"), f"person_{gender_of(title, m['v'])}", canonical("person", m["v"]))
+            if free(*m.span("v")):
+                named.append((*m.span("v"), gender_of(text[m.start() : m.start("v")].rstrip(" ."), m["v"])))
+        out += _people(text, named, free)
     return sorted(out)
 
 
+def _people(text: str, named: list[tuple[int, int, str]], free) -> Iterator[tuple[int, int, str, str, tuple[Part, ...]]]:
+    """Linked mentions: the titled names (start, end, gender), and their words elsewhere in the text."""
+    genders: dict[str, str] = {}
+    for start, end, g in named:
+        form = canonical("person", text[start:end])
+        if genders.get(form, "x") == "x":
+            genders[form] = g
+    part_of: dict[str, str] = {}  # type of a word on its own, by the fullest name that has it
+    sexes: dict[str, str] = {}
+    for form in sorted(genders, key=lambda f: (-f.count(" "), f)):
+        words, g = form.split(" "), genders[form]
+        for i, w in enumerate(words):
+            surname = i == len(words) - 1 and (i > 0 or w not in KNOWN_NAMES)
+            part_of.setdefault(w, "person_s" if surname else f"person_{g}")
+            if sexes.get(w, "x") == "x":
+                sexes[w] = g
+
+    def mention(start: int, end: int, g: str) -> tuple[int, int, str, str, tuple[Part, ...]]:
+        form = canonical("person", text[start:end])
+        words = form.split(" ")
+        g = g if g != "x" else genders.get(form, sexes[words[-1]])
+        kinds = [part_of[words[0]]] if len(words) == 1 else [f"person_{g}"] * (len(words) - 1) + ["person_s"]
+        return start, end, f"person_{g}", form, tuple(zip(kinds, words, strict=True))
+
+    for start, end, g in named:
+        yield mention(start, end, g)
+    spelled = {w for start, end, _ in named for w in text[start:end].split(" ")}
+    spelled |= {w.upper() for w in spelled if w.upper().lower() == w.lower()}
+    if spelled:
+        word = "|".join(re.escape(w) for w in sorted(spelled, key=lambda w: (-len(w), w)))
+        for m in re.finditer(rf"(?<!\w)(?:{word})(?!\w)(?: (?:{word})(?!\w)){{0,2}}", text):
+            telling = any(len(w) > 1 and w not in _NO_NAMES for w in canonical("person", m[0]).split(" "))
+            if telling and free(*m.span()):
+                yield mention(*m.span(), "x")
+
+
 def _stream(key: bytes, *parts: str) -> Iterator[int]:
     """Endless keyed pseudo-random bytes."""
     seed, block = "\x1f".join(parts).encode("utf-8", "replace"), 0
@@ -200,17 +264,21 @@ def surrogate(kind: str, form: str, attempt: int, key: bytes) -> str:
 def _person(gender: str, form: str, attempt: int, s: Iterator[int]) -> str:
     cyrillic, greek = (any(a <= c <= b for c in form) for a, b in (("а", "ё"), ("α", "ω")))
     syllables = CYRILLIC_SYLLABLES if cyrillic else GREEK_SYLLABLES if greek else LATIN_SYLLABLES
-    given = {"m": MALE_CYRILLIC if cyrillic else MALE_NAMES, "f": FEMALE_CYRILLIC if cyrillic else FEMALE_NAMES}.get(gender)
+    males, females = (MALE_CYRILLIC, FEMALE_CYRILLIC) if cyrillic else (MALE_NAMES, FEMALE_NAMES)
+    given = {"m": males, "f": females}.get(gender)
     words = form.split(" ")
-    known = {x.lower() for x in [*MALE_NAMES, *FEMALE_NAMES, *MALE_CYRILLIC, *FEMALE_CYRILLIC]}
+    alone = len(words) == 1
+    invented = lambda n: "".join(syllables[_pick(s, len(syllables))] for _ in range(n))
     out = []
     for i, word in enumerate(words):
-        listed = i < len(words) - 1 and given or word in known and not (attempt and i == len(words) - 1)
-        if listed and not greek:
-            names = given or MALE_NAMES + FEMALE_NAMES
-            out.append(names[_pick(s, len(names))].lower())
+        last = i == len(words) - 1
+        listed = bool(given) and (alone or not last) or word in KNOWN_NAMES and (alone or not (attempt and last))
+        if listed and gender != "s" and not greek:
+            names = given or males + females
+            name = names[_pick(s, len(names))].lower()
+            out.append(name + "-" + invented(attempt - 1) if alone and attempt >= SAME_LENGTH else name)
         else:
-            out.append("".join(syllables[_pick(s, len(syllables))] for _ in range(3 + attempt)))
+            out.append(invented(3 + attempt))
     return " ".join(out)
 
 
@@ -221,25 +289,26 @@ def render(kind: str, surface: str, form: str) -> str:
         return "".join([*(next(chars) if c.isalnum() else c for c in surface), *chars])
     if kind.startswith("person_"):
         shape = surface.split(" ")
-        return " ".join(w.upper() if a.isupper() and len(a) > 1 else w.capitalize() for a, w in zip(shape, form.split(" "), strict=True))
+        return " ".join(w.upper() if a.isupper() and len(a) > 1 else "-".join(x.capitalize() for x in w.split("-")) for a, w in zip(shape, form.split(" "), strict=True))
     return form
 
 
 def replace_entities(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str, int]:
-    found = find_entities(text)
+    found = find_mentions(text)
     parts, at = [], 0
-    for start, end, kind, form in found:
-        parts += [text[at:start], render(kind, text[start:end], surrogate(kind, form, attempts.get((kind, form), 0), key))]
+    for start, end, kind, _, of in found:
+        form = " ".join(surrogate(*part, attempts.get(part, 0), key) for part in of)
+        parts += [text[at:start], render(kind, text[start:end], form)]
         at = end
     return "".join([*parts, text[at:]]), len(found)
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """doc_id, kind, form: the distinct entities of each document."""
+    """doc_id, kind, form: the distinct entities of each document, persons by name part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [(i, *e) for i, t in enumerate(b.column("_pi_text").to_pylist()) if t for e in sorted({x[2:] for x in find_entities(t)})]
+            rows = [(i, *e) for i, t in enumerate(b.column("_pi_text").to_pylist()) if t for e in sorted({part for x in find_mentions(t) for part in x[4]})]
             take = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], ["doc_id", "kind", "form"])
 

@@ -281,6 +281,19 @@ def test_pii_collisions_are_drawn_again(spark):
     assert len(set(subs)) == len(subs) == 302 and not {s for _, s in subs} & {r.form for r in got}
 
 
+def test_pii_persons_are_linked_by_name_part(spark):
+    text = "Mrs Mary Smith came. Mary Smith spoke, SMITH left, Mary too. Mr John Smith, Mr Smith and Dr. Smith met Dr Alex Brown, Mr Alex Brown and Brown's dog. The smithy stayed."
+    got = {r.doc_id: r for r in pii.anonymise(docs_of(spark, [(1, text), (2, "Dr Smith and The Smith"), (3, "no title: Mary Smith")]), b"k").collect()}
+    new = got[1].text
+    assert not any(name.lower() in new.lower().replace("smithy", "") for name in ("Mary", "Smith", "John", "Alex", "Brown")) and new.endswith("The smithy stayed.")
+    words = new.replace(",", "").replace(".", "").replace("'s", "").split(" ")
+    mary, smith, alex, brown = words[1], words[2], words[21], words[22]
+    assert words[4:10] == [mary, smith, "spoke", smith.upper(), "left", mary]
+    assert words.count(smith) == 5 and words.count(alex) == 2 and words.count(brown) == 3
+    assert mary in pii.FEMALE_NAMES and alex in pii.MALE_NAMES
+    assert got[2].text == f"Dr {smith} and The {smith}" and got[3].text == "no title: Mary Smith"
+
+
 def test_pii_forms_that_redraw_to_themselves_settle(spark):
     texts = ["Password: ________ here", "password: ...... here", "token = ------ here", "Password: пароль here", "Mr James left", "Dr Paul left", "pwd: 123456", "call +1 22 33 now"]
     got = {r.doc_id: r for r in pii.anonymise(docs_of(spark, list(enumerate(texts))), b"k").collect()}
