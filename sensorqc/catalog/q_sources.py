@@ -92,6 +92,7 @@ REPORT = """concat('<html><div>RDO Slope ', slope, ' Offset ', offset, ' mg/L</d
 def _(t):
     html = t.calibrations.select("id", F.expr(REPORT).alias("html"))
     out = readers.calibration_reports(html, "html")
+    out = out.drop("rdo_100", "rdo_conc", "rdo_temp", "rdo_pressure", "ph_offset_post", "ph_7", "tds_conversion_ppm", "cond_pre", "cond_post")
     return out.drop("ph_offset_pre", "ntu_10", "ntu_100")
 
 

@@ -64,16 +64,28 @@ def instrument_log(df: DataFrame, html: str, header: str, fields: dict[int, str]
 REPORT_FIELDS = {
     "rdo_slope": ("RDO", r"Slope\s*(.*?)\s*Offset"),
     "rdo_offset": ("RDO", r"Offset\s*(.*?)\s*mg/L"),
+    "rdo_100": ("RDO", r"PreMeasurement\s*(.*?)\s*%SatPost"),
+    "rdo_conc": ("RDO", r"Concentration\s*(.*?)\s*mg/LPreMeasurement"),
+    "rdo_temp": ("RDO", r"Temperature\s*(.*?)\s*°C"),
+    "rdo_pressure": ("RDO", r"Pressure\s*(.*?)\s*mbar"),
     "ph_slope_pre": ("pH/ORP", r"Offset1Slope\s*(.*?)\s*mV/pH"),
     "ph_offset_pre": ("pH/ORP", r"mV/pHOffset\s*(.*?)\s*mVSlopeandOffset2"),
     "ph_slope_post": ("pH/ORP", r"Offset2Slope\s*(.*?)\s*mV/pH"),
+    "ph_offset_post": ("pH/ORP", r"Offset2Slope.*?mV/pHOffset\s*(.*?)\s*mVORPORP"),
+    "ph_7": ("pH/ORP", r"PostMeasurementpH7\s*(.*?)\s*mVCal"),
+    "ph_6": ("pH/ORP", r"PostMeasurementpH6\s*(.*?)\s*mVCal"),
     "orp_offset": ("pH/ORP", r"Zo[bB]ell'sOffset\s*(.*?)\s*mVTemperature"),
+    "tds_conversion_ppm": ("Conductivity", r"TDSConversionFactor\s*(.*?)\s*CellConstant"),
+    "cond_pre": ("Conductivity", r"PreMeasurementActual.*?SpecificConductivity\s*(.*?)\s*[µμ]S/cmPost"),
+    "cond_post": ("Conductivity", r"PostMeasurementActual.*?SpecificConductivity\s*(.*?)\s*[µμ]S/cm"),
     "cond_cell_constant": ("Conductivity", r"CellConstant\s*(.*?)\s*ReferenceTemperature"),
     "ntu_slope": ("Turbidity", r"Slope\s*(.*?)\s*Offset"),
     "ntu_offset": ("Turbidity", r"Offset\s*(.*?)\s*NTU"),
     "ntu_10": ("Turbidity", r"CalibrationPoint1PreMeasurement\s*(.*?)\s*NTUPost"),
     "ntu_100": ("Turbidity", r"CalibrationPoint2PreMeasurement\s*(.*?)\s*NTUPost"),
 }
+# Characters of a label before the number; ph_6 stands in where a report has no ph_7.
+REPORT_LABELS = {"ph_7": 9, "ph_6": 9, "tds_conversion_ppm": 5}
 # A sensor without this field kept its factory calibration.
 FACTORY_DEFAULT_FIELDS = {"Turbidity": "ntu_slope", "RDO": "rdo_slope", "pH": "ph_slope_post", "ORP": "orp_offset", "Conductivity": "cond_cell_constant"}
 
@@ -93,7 +105,9 @@ def calibration_reports(df: DataFrame, html: str) -> DataFrame:
     for name, (sensor, pattern) in REPORT_FIELDS.items():
         section = section_of(sensor)
         found = F.regexp_extract(section, pattern, 1)
-        out = out.withColumn(name, F.when(F.regexp_like(section, F.lit(pattern)), found).try_cast("double"))
+        number = F.substr(found, F.lit(REPORT_LABELS[name] + 1)) if name in REPORT_LABELS else found
+        out = out.withColumn(name, F.when(F.regexp_like(section, F.lit(pattern)), number).try_cast("double"))
+    out = out.withColumn("ph_7", F.coalesce("ph_7", "ph_6")).drop("ph_6")
     missing = [F.when(F.col(field).isNull(), F.lit(sensor)) for sensor, field in FACTORY_DEFAULT_FIELDS.items()]
     return out.withColumn("factory_defaults", F.concat_ws(" ", *missing)).drop("_sections", html)
 

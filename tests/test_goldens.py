@@ -198,6 +198,19 @@ def test_report_with_a_missing_section(spark):
     assert r["factory_defaults"] == "Turbidity pH ORP"
 
 
+def test_report_with_all_fields(spark):
+    ph = "<div>pH/ORP Offset 1 Slope -57 mV/pH Offset 10 mV Slope and Offset 2 Slope -57 mV/pH Offset 11.5 mV ORP ORP Post Measurement pH {} 7.000 pH mV -12.5 mV Cal</div>"
+    html = (
+        "<div>RDO Slope 1.05 Offset 0.2 mg/L Concentration 8.1 mg/L Pre Measurement 99.5 %Sat Post Measurement Temperature 21.5 °C Pressure 840 mbar</div>"
+        "<div>Conductivity TDS Conversion Factor (ppm) 0.65 Cell Constant 1.01 Reference Temperature 25 Pre Measurement Actual 1400 Specific Conductivity 1410 µS/cm"
+        " Post Measurement Actual 1405 Specific Conductivity 1413 µS/cm</div>"
+    )
+    rows = [(i, html + ph.format(n)) for i, n in enumerate(("7", "6"))]
+    want = {"rdo_100": 99.5, "rdo_conc": 8.1, "rdo_temp": 21.5, "rdo_pressure": 840.0, "ph_offset_post": 11.5, "ph_7": -12.5, "tds_conversion_ppm": 0.65, "cond_pre": 1410.0, "cond_post": 1413.0}
+    for r in readers.calibration_reports(spark.createDataFrame(rows, "id int, html string"), "html").collect():
+        assert {k: r[k] for k in want} == want
+
+
 def test_calibration_transforms(spark):
     r = one(
         spark,
