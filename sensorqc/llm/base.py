@@ -14,6 +14,9 @@ from sensorqc.session import materialise, ship_package
 #: Rows of one Arrow batch; whole texts travel in them, so they stay small.
 BATCH_ROWS = 1000
 
+#: Bytes of one Arrow batch; a batch ends with the row that passes them.
+BATCH_BYTES = 4 << 20
+
 #: Size of the id filter: 2^24 bits.
 FILTER_BITS = 24
 
@@ -24,6 +27,7 @@ WORD_BREAKS = r"[ \t-\r]+"
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings that the Python parts rely on, and the package on every worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship_package(spark)
     return spark
 
@@ -91,4 +95,4 @@ def id_filter(ids: DataFrame, size: int = FILTER_BITS) -> Callable[[pa.Array], n
     return test
 
 
-__all__ = ["BATCH_ROWS", "WORD_BREAKS", "arrow_map", "id_filter", "materialise", "prepare", "split_words", "table", "texts_of", "words_of"]
+__all__ = ["BATCH_BYTES", "BATCH_ROWS", "WORD_BREAKS", "arrow_map", "id_filter", "materialise", "prepare", "split_words", "table", "texts_of", "words_of"]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorqc.llm import line_dedup, ngram_join, packing, pii, quality, suffix_dedup, topk, toxicity, unigram, warc
+from sensorqc.llm import bpe, line_dedup, ngram_join, packing, pii, quality, suffix_dedup, topk, toxicity, unigram, warc
 from sensorqc.llm.base import table
 from sensorqc.session import work_dir
 
@@ -198,3 +198,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its later copies of repeated line runs cut out."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("_ld_lines").alias("n_lines"), F.col("_ld_removed").alias("n_removed"), F.col("text").alias("kept_text"))
+
+
+@query("op13_bpe")
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by exact merges, and the texts that they decode to."""
+    return bpe.digests(table(spark, sf_dir, "documents"), bpe.BpeFile.load(tokenizer_file(WORD_TOKENIZER)))
