@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorqc.llm import bpe, line_dedup, ngram_join, packing, pii, quality, suffix_dedup, topk, toxicity, unigram, warc
+from sensorqc.llm import bpe, conversation_repair, line_dedup, ngram_join, packing, pii, quality, suffix_dedup, topk, toxicity, unigram, warc
 from sensorqc.llm.base import table
 from sensorqc.session import work_dir
 
@@ -204,3 +204,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents by exact merges, and the texts that they decode to."""
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.BpeFile.load(tokenizer_file(WORD_TOKENIZER)))
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by its row ids, with its faults, cheapest edits and repaired rows."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversation_repair.damage(rows), rows)
