@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensorqc.llm import bpe, conversation_repair, line_dedup, ngram_join, packing, pii, quality, suffix_dedup, topk, toxicity, unigram, warc
+from sensorqc.llm import bpe, conversation_repair, lexical_search, line_dedup, ngram_join, packing, pii, quality, suffix_dedup, topk, toxicity, unigram, warc
 from sensorqc.llm.base import table
 from sensorqc.session import work_dir
 
@@ -211,3 +211,31 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, damaged by its row ids, with its faults, cheapest edits and repaired rows."""
     rows = table(spark, sf_dir, "conversations")
     return conversation_repair.report(conversation_repair.damage(rows), rows)
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT row_number() OVER () AS q, item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+asked AS (SELECT DISTINCT q, item_id, unnest(w) AS t FROM items),
+times AS (SELECT d, t, count(*) AS tf FROM (SELECT d, unnest(w) AS t FROM docs) WHERE t IN (SELECT t FROM asked) GROUP BY d, t),
+size AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS N, sum(len(w))::BIGINT AS L FROM docs),
+weight AS (SELECT t, floor(1000 * ln((2 * N + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM times, size GROUP BY t, N),
+scored AS (
+  SELECT q, item_id, d, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * len(w) * N) // L)))))::BIGINT AS score
+  FROM asked JOIN times USING (t) JOIN weight USING (t) JOIN docs USING (d), size GROUP BY q, item_id, d, doc_id)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50
+"""
+
+
+@query("op12_lexical_search", OP12_SQL)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents of every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
