@@ -9,8 +9,10 @@ the time is linear in the text. Which pairs are compatible is found by undoing t
 remembered in a table.
 
 The file's own normalizer and pre-tokenizer cut texts into pieces; that files of this kind drop white space is
-checked from the file, so texts can be cut at white space first and words can be remembered. Words of printable
-ASCII take the file's pattern directly. Everything that a worker needs is sent with the model.
+checked from the file, so long texts can be cut at white space. Texts of Latin characters are cut by the file's
+pattern directly, if that agrees with the library on every such character (checked when the file is read); others go
+through the library word by word. The ids of short pieces are remembered. Everything that a worker needs is sent with
+the model.
 
 Defined results: null and empty texts have no ids and decode to the empty text; rows of one id are encoded each
 for itself; an empty table gives no rows; other columns are kept unless they are named like an output (``ids``,
@@ -40,9 +42,13 @@ from sensorqc.llm.base import arrow_map, texts_of
 #: Letters at the end of a word are other symbols than within it: their code points are moved by this much.
 END_SHIFT = 0x1000
 
-#: Parts of a normalizer that leave printable ASCII as it is, but for its case.
+#: Parts of a normalizer that leave characters below PLAIN_END as they are, but for case and white space.
 _PLAIN_NORMALIZERS = {"NFC", "Lowercase", "Replace"}
 
+#: Texts of characters below this one (Latin letters with their accents, no combining marks) take the short way.
+PLAIN_END = 0x250
+_NOT_PLAIN = re.compile(f"[^\\x00-\\u{PLAIN_END - 1:04x}]")
+
 
 def byte_letters() -> list[str]:
     """The letter that byte-level vocabularies use for each byte: printable ones stand for themselves, the others follow from U+0100 on."""
@@ -86,7 +92,7 @@ class BpeModel:
         vocab: dict[str, int] = model["vocab"]
         self._load_merges(vocab, [m.split(" ") if isinstance(m, str) else m for m in model["merges"]])
         self._load_specials(spec["added_tokens"])
-        self.ascii_pieces = self._check_pieces(spec)
+        self.plain_pieces = self._check_pieces(spec)
         names = {i: t for t, i in vocab.items()} | self.specials_by_id
         blob = [(" " + names[i]).encode() if i in names else b"" for i in range(max(names) + 1)]
         self.offsets = np.concatenate([[0], np.cumsum([len(b) for b in blob])]).astype(np.int64)
@@ -126,12 +132,13 @@ class BpeModel:
         self.automaton.make_automaton()
         self.longest_key = max(map(len, own))
         self.pairs: dict[int, bool] = {}
-        self.remembered = Memo(lambda letters: _raw(self.merge(letters)))
+        self.remembered = Memo(lambda piece: _raw(self.merge(self._letters(piece))))
+        self.words = Memo(self._encode_word)
 
     def forget(self) -> None:
         self.pairs.clear()
-        self.remembered.clear()
-        self.remembered.before = {}
+        self.remembered.forget()
+        self.words.forget()
 
     def _apart(self, a: int, b: int, limit: int) -> bool:
         """Whether no merge of a rank below ``limit`` joins a's end with b's start before a and b are made."""
@@ -166,7 +173,7 @@ class BpeModel:
         self.special_pattern = re.compile(f"({ways})") if ways else None
 
     def _check_pieces(self, spec: dict) -> regex.Pattern | None:
-        """The file's pattern, if its normalizer and pre-tokenizer let printable ASCII words be cut by it alone.
+        """The file's pattern, if it alone cuts lower-cased texts of plain characters as the library does.
 
         Refuses files whose pieces hold white space, as texts are cut there first.
         """
@@ -181,16 +188,19 @@ class BpeModel:
             raise ValueError("the file's pieces hold white space")
         norm = spec["normalizer"]
         parts = norm["normalizers"] if norm and norm["type"] == "Sequence" else [norm] if norm else []
-        plain = all(p["type"] in _PLAIN_NORMALIZERS and (p["type"] != "Replace" or p["pattern"] == {"Regex": r"\s+"} and p["content"] == " ") for p in parts)
+        known = all(p["type"] in _PLAIN_NORMALIZERS and (p["type"] != "Replace" or p["pattern"] == {"Regex": r"\s+"} and p["content"] == " ") for p in parts)
         self.lower = any(p["type"] == "Lowercase" for p in parts)
-        return pattern if plain else None
+        self.letters = byte_letters()
+        probes = (f"{x}{chr(c)}{y}{chr(c)}" for c in range(PLAIN_END) for x, y in (("a", "1"), (".", "a")))
+        same = known and all([self._letters(m) for m in pattern.findall(t.lower() if self.lower else t)] == self.library_pieces(t) for t in probes)
+        return pattern if same else None
+
+    def _letters(self, piece: str) -> str:
+        return piece if piece.isascii() and piece.isprintable() else "".join(map(self.letters.__getitem__, piece.encode()))
 
-    def pieces(self, text: str) -> Iterable[str]:
-        """Letters of the pieces of a text without special tokens."""
-        if self.ascii_pieces and text.isascii() and text.isprintable():
-            return self.ascii_pieces.findall(text.lower() if self.lower else text)
-        norm, pre = self.library.normalizer, self.library.pre_tokenizer
-        return (letters for letters, _ in pre.pre_tokenize_str(norm.normalize_str(text) if norm else text))
+    def library_pieces(self, text: str) -> list[str]:
+        norm = self.library.normalizer
+        return [letters for letters, _ in self.library.pre_tokenizer.pre_tokenize_str(norm.normalize_str(text) if norm else text)]
 
     def merge(self, letters: str) -> array:
         """Ids of one piece."""
@@ -237,12 +247,26 @@ class BpeModel:
     def encode(self, text: str) -> bytes:
         """Ids of a text, little-endian unsigned 32 bits each."""
         if self.special_pattern is None or self.special_pattern.search(text) is None:
-            return b"".join(map(self.remembered.__getitem__, self.pieces(text)))
+            return self._encode_part(text)
         out = []
         for i, part in enumerate(self.special_pattern.split(text)):
-            out += [_raw(array("I", [self.specials[part]]))] if i % 2 else map(self.remembered.__getitem__, self.pieces(part))
+            out.append(_raw(array("I", [self.specials[part]])) if i % 2 else self._encode_part(part))
         return b"".join(out)
 
+    def _encode_part(self, text: str) -> bytes:
+        if self.plain_pieces and _NOT_PLAIN.search(text) is None:
+            return b"".join(map(self.remembered.__getitem__, self.plain_pieces.findall(text.lower() if self.lower else text)))
+        return b"".join(self.words[w] for w in text.split(" "))  # the library, word by word
+
+    def _encode_word(self, word: str) -> bytes:
+        return b"".join(_raw(self.merge(letters)) for letters in self.library_pieces(word))
+
+    def encode_long(self, text: bytes, span: int = 1 << 20) -> bytes:
+        """Ids of a whole text, whose pieces are listed at most about ``span`` bytes at a time."""
+        if len(text) <= span:
+            return self.encode(text.decode("utf-8", "replace"))
+        return b"".join(self.encode(part.decode("utf-8", "replace")) for part in cut_at_blanks(text, span))
+
     def decode(self, ids: bytes, span: int = 1 << 20) -> bytes:
         """UTF-8 text: each id's bytes, copied from the places that the offset table gives, joined by blanks."""
         every, out = np.frombuffer(ids, "<u4"), []
@@ -264,7 +288,7 @@ def _raw(ids: array) -> bytes:
 class Memo(dict):
     """Values of the last ``limit`` to twice ``limit`` short keys."""
 
-    limit = 80_000
+    limit = 120_000
     longest = 48
 
     def __init__(self, value: Callable):
@@ -282,21 +306,9 @@ class Memo(dict):
             self[key] = found
         return found
 
-
-class WordMemo(Memo):
-    """Ids of words, and of whole texts."""
-
-    def __init__(self, model: BpeModel):
-        super().__init__(lambda word: model.encode(word.decode("utf-8", "replace")))
-
-    def text_ids(self, text: bytes, span: int = 1 << 20) -> bytes:
-        """Ids of a whole text, whose words are listed at most about ``span`` bytes at a time."""
-        if len(text) <= span:
-            return b"".join(map(self.__getitem__, text.split()))
-        out = []
-        for part in cut_at_blanks(text, span):
-            out.append(b"".join(map(self.__getitem__, part.split())))
-        return b"".join(out)
+    def forget(self) -> None:
+        self.clear()
+        self.before = {}
 
 
 _BLANK = re.compile(rb"[ \t-\r]")
@@ -323,10 +335,9 @@ def encode(docs: DataFrame, file: BpeFile, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value.model()
-        memo = WordMemo(model)
         try:
             for b in batches:
-                ids = [memo.text_ids(t) for t in texts_of(b.column(text))]
+                ids = [model.encode_long(t) for t in texts_of(b.column(text))]
                 names = [f.name for f in schema.fields]
                 yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names[:-1]), pa.array(ids, pa.binary())], names)
         finally:  # the model stays with the worker, what it remembers doesn't

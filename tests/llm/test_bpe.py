@@ -70,14 +70,14 @@ def test_toy_merges_equal_step_by_step(path, merges):
 
 def test_real_file_equals_library(path, library):
     model = bpe.BpeFile.load(path).model()
-    memo = bpe.WordMemo(model)
+    assert model.plain_pieces is not None
     rng = random.Random(7)
     letters = [chr(c) for c in [*range(0x20, 0x250), *range(0x300, 0x320), 0x3A3, 0x3C2, 0x1F642, 0x4E2D, 0x2028, 0xA0, 0x85, 0x1C, 0, 0x1E9E]]
     texts = ["", " \t\n", "a<|startoftext|>b <|EndOfText|><|endoftext|>", "É", "Σίσυφος ΣΑΣ", "it's WE'LL 'S", "x" * 3000, "12 345", "é́"]
     texts += ["".join(rng.choice(letters) if rng.random() < 0.3 else rng.choice("abehinorst'sl 1.!") for _ in range(rng.randrange(1, 40))) for _ in range(3000)]
     for t in texts:
         want = library.encode(t, add_special_tokens=False).ids
-        got = memo.text_ids(t.encode())
+        got = model.encode_long(t.encode())
         assert ids_of(got) == want, t
         assert model.decode(got).decode() == library.decode(want, skip_special_tokens=False)
 
@@ -85,7 +85,7 @@ def test_real_file_equals_library(path, library):
 def test_long_texts_and_words(path, library):
     model = bpe.BpeFile.load(path).model()
     text = "日本語" * 60_000 + " word" * 300_000 + " " + "abc" * 50_000
-    got = bpe.WordMemo(model).text_ids(text.encode())
+    got = model.encode_long(text.encode())
     want = library.encode(text, add_special_tokens=False).ids
     assert ids_of(got) == want
     assert model.decode(got, span=1000).decode() == library.decode(want, skip_special_tokens=False)
