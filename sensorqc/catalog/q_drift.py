@@ -12,6 +12,7 @@ from sensorqc.plans.chunks import over_slots
 KEYS = ["site", "parameter", "dt_round"]
 SEP = "';' || chr(10)"
 BEFORE, GAP = 12 * 3600, 500.0
+TIE = 1e-9  # moves exact decimal ties off the rounding border in both engines
 
 RANGES = """cl AS (SELECT site, parameter, dt_round, mean_analysis AS v, row_number() OVER (PARTITION BY site, parameter ORDER BY dt_round) AS rk FROM fx_drift WHERE mean_analysis IS NOT NULL),
   wr AS (SELECT w.*, coalesce((SELECT max(rk) FROM cl WHERE cl.site = w.site AND cl.parameter = w.parameter AND cl.dt_round <= w.end_dt), 0) AS r FROM fx_windows w),
@@ -112,47 +113,72 @@ def _(t):
 FIT = "CASE WHEN np >= 3 AND pre IS NOT NULL AND post IS NOT NULL AND bs IS NOT NULL THEN y * post / (post + bs * wt) ELSE {} END"
 
 
-@query("d10_fitted_linear", f"WITH {ROWS} SELECT seq, dt_round, round(bs, 5) AS b_slope, np AS n_points, round({FIT.format('y + wt * (post - pre)')}, 5) AS corrected FROM r2")
+@query("d10_fitted_linear", f"WITH {ROWS} SELECT seq, dt_round, round(bs + {TIE}, 5) AS b_slope, np AS n_points, round({FIT.format('y + wt * (post - pre)')} + {TIE}, 5) AS corrected FROM r2")
 def _(t):
     d = rows(t)
     d = d.join(dr.window_slopes(d, ["site", "parameter"]), ["site", "parameter", "seq"])
     out = dr.fitted(*args(), F.col("b_slope"), F.col("n_points"), dr.additive(*args()))
-    return d.select("seq", "dt_round", F.round("b_slope", 5).alias("b_slope"), "n_points", F.round(out, 5).alias("corrected"))
+    return d.select("seq", "dt_round", F.round(F.col("b_slope") + TIE, 5).alias("b_slope"), "n_points", F.round(out + TIE, 5).alias("corrected"))
 
 
-def _rate_pass(prev: str, name: str, reach: float, step: float) -> str:
-    m = round(reach / step)
-    curve = "CASE WHEN kk = 0 THEN wt ELSE (exp(kk * wt) - 1) / (exp(kk) - 1) END"
-    return f"""{name}e AS (SELECT seq, i, kk, sum(power({curve} - f, 2)) AS s FROM (SELECT d.seq, d.wt, d.f, q.i, round(p.k + q.i * {step}, 4) AS kk FROM fd d JOIN {prev} p USING (seq), (SELECT unnest(range({-m}, {m + 1})) AS i) q) GROUP BY 1, 2, 3),
-  {name} AS (SELECT seq, min_by(kk, (s, i)) AS k, min_by(i, (s, i)) AS i, min(s) AS s FROM {name}e GROUP BY seq)"""
+def _rate_pass(prev: str, name: str, points: int = 30) -> str:
+    """The check's own search: more and other rates than the operator tries, written out as plain sums."""
+    curve = "CASE WHEN kk = 0 THEN wt WHEN kk > 0 THEN exp(kk * (wt - 1)) * (1 - exp(-kk * wt)) / (1 - exp(-kk)) ELSE (1 - exp(kk * wt)) / (1 - exp(kk)) END"
+    return f"""{name}e AS (SELECT seq, i, s0, w, sum(power({curve} - f, 2)) AS e
+      FROM (SELECT d.seq, d.wt, d.f, q.i, p.s AS s0, p.w, sinh(p.s + p.w * q.i / {points}) AS kk FROM fa d JOIN {prev} p USING (seq), (SELECT unnest(range({-points}, {points + 1})) AS i) q WHERE d.f IS NOT NULL) GROUP BY 1, 2, 3, 4),
+  {name} AS (SELECT seq, min_by(s0 + w * i / {points}, (e, i)) AS s, any_value(w) / {points} AS w, min_by(i, (e, i)) AS i, min(e) AS e FROM {name}e GROUP BY seq)"""
 
 
-@query(
-    "d11_fit_rate",
-    f"""WITH {ROWS}, fd AS (SELECT seq, wt, (y - post) / nullif(pre - post, 0) AS f FROM r2 WHERE (y - post) / nullif(pre - post, 0) IS NOT NULL), k0 AS (SELECT seq, 0.0::DOUBLE AS k, count(*) AS n FROM fd GROUP BY seq),
-      {_rate_pass('k0', 'k1', *dr.RATE_PASSES[0])}, {_rate_pass('k1', 'k2', *dr.RATE_PASSES[1])}, {_rate_pass('k2', 'k3', *dr.RATE_PASSES[2])}
-    SELECT k3.seq, round(CASE WHEN n >= 3 THEN k3.k + CASE WHEN a.s - 2 * k3.s + c.s > 0 THEN 0.0025 * (a.s - c.s) / (a.s - 2 * k3.s + c.s) ELSE 0 END ELSE 1 END, 3) AS k
-    FROM k3 JOIN k0 USING (seq) LEFT JOIN k3e a ON a.seq = k3.seq AND a.i = k3.i - 1 LEFT JOIN k3e c ON c.seq = k3.seq AND c.i = k3.i + 1""",
+RATES = (
+    ROWS
+    + """, fa AS (SELECT seq, wt, (y - post) / nullif(pre - post, 0) AS f FROM r2),
+  fw AS (SELECT seq, count(f) AS nf, asinh(60.0::DOUBLE * greatest(count(*), 2)) AS w, 0.0::DOUBLE AS s FROM fa GROUP BY seq),
+  k0 AS (SELECT seq, s, w FROM fw WHERE nf >= 3), """
+    + _rate_pass("k0", "k1")
+    + ", ki AS (SELECT k1.* FROM k1 JOIN (SELECT seq, min(e) FILTER (abs(i) = 30) AS far FROM k1e GROUP BY seq) USING (seq) WHERE e < far * (1 - 1e-6)), "
+    + ", ".join(_rate_pass(a, b) for a, b in (("ki", "k2"), ("k2", "k3"), ("k3", "k4")))
+    + """, ks AS (SELECT k4.seq, k4.s + CASE WHEN a.e - 2 * k4.e + c.e > 0 THEN k4.w / 2 * (a.e - c.e) / (a.e - 2 * k4.e + c.e) ELSE 0 END AS s
+    FROM k4 LEFT JOIN k4e a ON a.seq = k4.seq AND a.i = k4.i - 1 LEFT JOIN k4e c ON c.seq = k4.seq AND c.i = k4.i + 1),
+  kr AS (SELECT fw.seq, coalesce(sinh(round(ks.s, 5)), 1) AS k,
+    CASE WHEN ks.seq IS NOT NULL THEN 'fitted' WHEN nf = 0 THEN 'no drift' WHEN nf < 3 THEN 'too few rows' ELSE 'diverged' END AS reason FROM fw LEFT JOIN ks USING (seq))"""
 )
+
+
+@query("d11_fit_rate", f"WITH {RATES} SELECT seq, round(asinh(k), 4) AS asinh_k, reason FROM kr")
 def _(t):
-    return dr.fit_rate(rows(t), ["site", "parameter"]).select("seq", F.round("k", 3).alias("k"))
+    return dr.fit_rate(rows(t), ["site", "parameter"]).select("seq", F.round(F.asinh("k"), 4).alias("asinh_k"), "reason")
 
 
-STRATEGY = """CASE WHEN drift_type = 'linear' AND correction_type = 'additive' THEN y + wt * (post - pre) WHEN drift_type = 'linear' THEN y * (1 - wt + wt * post / pre)
-  WHEN drift_type = 'exponential' AND correction_type = 'additive' THEN y + (exp(wt) - 1) / (exp(1) - 1) * (post - pre)
-  WHEN drift_type = 'exponential' THEN y * (1 - (exp(wt) - 1) / (exp(1) - 1) + (exp(wt) - 1) / (exp(1) - 1) * post / pre)
-  WHEN drift_type = 'uniform' AND correction_type = 'additive' THEN y + (post - pre) WHEN drift_type = 'uniform' THEN y * post / pre
-  WHEN drift_type = 'fitted_linear' THEN """ + FIT.format("CASE WHEN correction_type = 'additive' THEN y + wt * (post - pre) ELSE y * (1 - wt + wt * post / pre) END") + " END"
+LOGW = "(CASE WHEN k = 0 OR wt <= 0 OR wt >= 1 THEN wt WHEN k > 0 THEN 1 + ln(wt + (1 - wt) * exp(-k)) / k ELSE ln(1 + wt * (exp(k) - 1)) / k END)"
+GRID_EXPR = {
+    "linear_add": "y + wt * (post - pre)",
+    "linear_mult": "y * (1 - wt + wt * post / pre)",
+    "exp_add": f"y + {LOGW} * (post - pre)",
+    "exp_mult": f"y * (1 - {LOGW} + {LOGW} * post / pre)",
+    "uniform_add": "y + (post - pre)",
+    "uniform_mult": "y * post / pre",
+    "fitted_add": FIT.format("y + wt * (post - pre)"),
+    "fitted_mult": FIT.format("y * (1 - wt + wt * post / pre)"),
+}
+STRATEGY = (
+    "CASE "
+    + " ".join(
+        f"WHEN drift_type = '{kind}' AND correction_type {'=' if form == 'mult' else '<>'} 'multiplicative' THEN {GRID_EXPR[f'{label}_{form}']}"
+        for kind, label in (("linear", "linear"), ("exponential", "exp"), ("uniform", "uniform"), ("fitted_linear", "fitted"))
+        for form in ("add", "mult")
+    )
+    + " END"
+)
 
 
 @query(
     "d12_apply_corrections",
-    f"""WITH {ROWS}, cc AS (SELECT site, parameter, dt_round, min_by(ROW({STRATEGY}), seq) AS g FROM r2 GROUP BY 1, 2, 3)
-    SELECT d.site, d.parameter, d.dt_round, round(coalesce(struct_extract_at(g, 1), d.mean_analysis), 6) AS mean_drift_trans FROM fx_drift d LEFT JOIN cc ON cc.site = d.site AND cc.parameter = d.parameter AND cc.dt_round = d.dt_round""",
+    f"""WITH {RATES}, cc AS (SELECT site, parameter, dt_round, min_by(ROW({STRATEGY}), seq) AS g FROM r2 JOIN kr USING (seq) GROUP BY 1, 2, 3)
+    SELECT d.site, d.parameter, d.dt_round, round(coalesce(struct_extract_at(g, 1), d.mean_analysis) + {TIE}, 6) AS mean_drift_trans FROM fx_drift d LEFT JOIN cc ON cc.site = d.site AND cc.parameter = d.parameter AND cc.dt_round = d.dt_round""",
 )
 def _(t):
     out = dr.apply_corrections(t.drift, t.windows, ranges(t), S)
-    return out.select(*KEYS, "mean_drift_trans")
+    return out.select(*KEYS, (F.col("mean_drift_trans") + TIE).alias("mean_drift_trans"))
 
 
 NODRIFT = f"nullif(array_to_string(list_filter(string_split(coalesce(user_flag, ''), {SEP}), lambda x: x NOT IN ('drift', '')), {SEP}), '')"
@@ -166,31 +192,20 @@ def _(t):
     return dr.unflag_windows(t.drift, t.windows, S).select(*KEYS, "user_flag", "drift")
 
 
-EXPW = "(exp(wt) - 1) / (exp(1) - 1)"
-GRID_EXPR = {
-    "linear_add": "y + wt * (post - pre)",
-    "linear_mult": "y * (1 - wt + wt * post / pre)",
-    "exp_add": f"y + {EXPW} * (post - pre)",
-    "exp_mult": f"y * (1 - {EXPW} + {EXPW} * post / pre)",
-    "uniform_add": "y + (post - pre)",
-    "uniform_mult": "y * post / pre",
-    "fitted_add": FIT.format("y + wt * (post - pre)"),
-    "fitted_mult": FIT.format("y * (1 - wt + wt * post / pre)"),
-}
 GRID = (
-    ROWS
+    RATES
     + ", gr AS (SELECT site, parameter, dt_round, arg_min(pre_post_source, seq) AS pre_post_source, "
     + ", ".join(f"min_by(ROW({e}), seq) AS {n}" for n, e in GRID_EXPR.items())
-    + " FROM r2 WHERE drift_type <> 'non_resolved' GROUP BY 1, 2, 3), gd AS (SELECT d.*, pre_post_source, "
+    + " FROM r2 JOIN kr USING (seq) WHERE drift_type <> 'non_resolved' GROUP BY 1, 2, 3), gd AS (SELECT d.*, pre_post_source, "
     + ", ".join(f"coalesce(struct_extract_at({n}, 1), mean_analysis) AS {n}" for n in GRID_EXPR)
     + " FROM fx_drift d LEFT JOIN gr USING (site, parameter, dt_round))"
 )
 
 
-@query("d14_scenario_grid", f"WITH {GRID} SELECT site, parameter, dt_round, pre_post_source, " + ", ".join(f"round({n}, 6) AS {n}" for n in GRID_EXPR) + " FROM gd")
+@query("d14_scenario_grid", f"WITH {GRID} SELECT site, parameter, dt_round, pre_post_source, " + ", ".join(f"round({n} + {TIE}, 6) AS {n}" for n in GRID_EXPR) + " FROM gd")
 def _(t):
-    out = dr.scenario_grid(t.drift, t.windows, ranges(t), S, fit=False)
-    return out.select(*KEYS, "pre_post_source", *dr.GRID_COLUMNS)
+    out = dr.scenario_grid(t.drift, t.windows, ranges(t), S)
+    return out.select(*KEYS, "pre_post_source", *[(F.col(c) + TIE).alias(c) for c in dr.GRID_COLUMNS])
 
 
 @query(
@@ -219,19 +234,44 @@ def _(t):
       CASE WHEN kind IS NULL OR kind = 'unflag' THEN 'raw' ELSE kind END AS correction_type, CASE WHEN NOT (om OR un) THEN pre_post_source END AS pre_post_source,
       round(CASE WHEN kind IS NULL OR kind = 'unflag' THEN ma WHEN kind = 'linear' AND form = 'multiplicative' THEN linear_mult WHEN kind = 'linear' THEN linear_add
         WHEN kind = 'exponential' AND form = 'multiplicative' THEN exp_mult WHEN kind = 'exponential' THEN exp_add WHEN kind = 'uniform' AND form = 'multiplicative' THEN uniform_mult
-        WHEN kind = 'uniform' THEN uniform_add WHEN kind = 'fitted_linear' AND form = 'multiplicative' THEN fitted_mult WHEN kind = 'fitted_linear' THEN fitted_add END, 6) AS mean_drift_trans FROM s1""",
+        WHEN kind = 'uniform' THEN uniform_add WHEN kind = 'fitted_linear' AND form = 'multiplicative' THEN fitted_mult WHEN kind = 'fitted_linear' THEN fitted_add END + {TIE}, 6) AS mean_drift_trans FROM s1""",
 )
 def _(t):
-    g = dr.scenario_grid(t.drift, t.windows, ranges(t), S, fit=False)
+    g = dr.scenario_grid(t.drift, t.windows, ranges(t), S)
     out = dr.stitch(g, t.windows, S)
     cols = ["user_flag", "drift", "verification_status", "correction_type", "pre_post_source"]
-    return out.select(*KEYS, *cols, "mean_drift_trans")
+    return out.select(*KEYS, *cols, (F.col("mean_drift_trans") + TIE).alias("mean_drift_trans"))
+
+
+def _smooth(src: str) -> str:
+    return f"""SELECT * EXCLUDE x, CASE WHEN parameter = 'Turbidity' THEN (lag(x, 2) OVER w + 4 * lag(x) OVER w + 6 * x + 4 * lead(x) OVER w + lead(x, 2) OVER w) / 16 ELSE x END AS x
+    FROM {src} WINDOW w AS (PARTITION BY site, parameter ORDER BY dt_round)"""
+
+
+CHAIN = (
+    RATES
+    + f""", w1 AS (SELECT site, parameter, dt_round, min_by(ROW(y, {STRATEGY}), seq) FILTER (drift_type = 'linear') AS lin, min_by(ROW(y, {STRATEGY}), seq) FILTER (drift_type = 'exponential') AS ex,
+      bool_or(drift_type = 'unflag') AS un FROM r2 JOIN kr USING (seq) GROUP BY 1, 2, 3),
+  c0 AS (SELECT d.*, lin, ex, coalesce(un, false) AS un FROM fx_drift d LEFT JOIN w1 USING (site, parameter, dt_round)),
+  c1 AS (SELECT site, parameter, dt_round, CASE WHEN un THEN {{NODRIFT}} ELSE user_flag END AS user_flag, drift AND NOT un AS drift,
+      CASE WHEN lin IS NOT NULL THEN 'linear' WHEN ex IS NOT NULL THEN 'exponential' WHEN un THEN 'unflagged' ELSE 'raw' END AS correction_type,
+      CASE WHEN lin IS NOT NULL THEN coalesce(struct_extract_at(lin, 2), mean_analysis) WHEN ex IS NOT NULL THEN coalesce(struct_extract_at(ex, 2), mean_analysis) ELSE mean_analysis END AS v FROM c0),
+  c2 AS (SELECT *, last_value(v IGNORE NULLS) OVER p AS bv, last_value(CASE WHEN v IS NOT NULL THEN epoch(dt_round) END IGNORE NULLS) OVER p AS bt,
+      first_value(v IGNORE NULLS) OVER n AS av, first_value(CASE WHEN v IS NOT NULL THEN epoch(dt_round) END IGNORE NULLS) OVER n AS at_ FROM c1
+    WINDOW p AS (PARTITION BY site, parameter ORDER BY dt_round ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), n AS (PARTITION BY site, parameter ORDER BY dt_round ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+  c3 AS (SELECT site, parameter, dt_round, user_flag, drift, correction_type, v, CASE WHEN v IS NOT NULL THEN v WHEN at_ - bt <= {STEP * 5} THEN bv + (av - bv) * (epoch(dt_round) - bt) / (at_ - bt) END AS filled FROM c2),
+  c4 AS (SELECT *, filled AS x FROM c3), c5 AS ({_smooth('c4')}), c6 AS ({_smooth('c5')}), c7 AS ({_smooth('c6')})"""
+)
 
 
-@query("d17_correct_series")
+@query(
+    "d17_correct_series",
+    f"""WITH {CHAIN.replace('{NODRIFT}', NODRIFT)} SELECT site, parameter, dt_round, user_flag, drift, correction_type, round(v + {TIE}, 6) AS mean_drift_trans, round(filled + {TIE}, 6) AS mean_filled, round(x + {TIE}, 6) AS mean_smoothed FROM c7""",
+)
 def _(t):
     out = dr.correct_series(t.drift, t.windows, t.notes, t.network, S, BEFORE, GAP)
-    return out.select(*KEYS, "verification_status", "correction_type", "mean_drift_trans", "mean_filled", "mean_smoothed")
+    values = [(F.col(c) + TIE).alias(c) for c in ("mean_drift_trans", "mean_filled", "mean_smoothed")]
+    return out.select(*KEYS, "user_flag", "drift", "correction_type", *values)
 
 
 CALM = "SELECT *, drift AND user_flag IS NOT NULL AND site < 's04' AS dx FROM fx_drift"

@@ -49,7 +49,7 @@ def _(t):
 )
 def _(t):
     moves = t.windows.select("site", F.col("start_dt").alias("from_dt"), F.col("end_dt").alias("to_dt"), F.concat(F.lit("moved-"), F.col("seq").cast("string")).alias("new_site"), "seq")
-    return nz.move_sites(t.readings.select("id", "site", "parameter", "ts"), moves, "ts", 86400, ["id"])
+    return nz.move_sites(t.readings.select("id", "site", "parameter", "ts"), moves, "ts", 86400)
 
 
 @query(

@@ -10,6 +10,7 @@ from sensorqc.operators.calibration import weight
 from sensorqc.operators.visits import chain_neighbours
 from sensorqc.plans.chunks import carry_series, over_slots, rank_rows
 from sensorqc.plans.joins import asof_join, interval_join, mark_covered
+from sensorqc.plans.segments import pick_winners
 from sensorqc.series import Series
 from sensorqc.session import materialise
 
@@ -124,12 +125,16 @@ def select_range(df: DataFrame, gap_minutes: float = 120.0) -> DataFrame:
 
 
 def weight_curve(kind: str, wt: Column, k: Column) -> Column:
-    """Share of the drift reached at ``wt``; ``k = 0`` is the straight line."""
-    e = F.exp(k) - 1
+    """Share of the drift reached at ``wt``; ``k = 0`` is the straight line.
+
+    Written so that no rate, however large, overflows; the log curve is the inverse of the exponential one.
+    """
     if kind == "exponential":
-        return F.when(k == 0, wt).otherwise((F.exp(k * wt) - 1) / e)
+        rising = F.exp(k * (wt - 1)) * F.expm1(-k * wt) / F.expm1(-k)
+        return F.when(k == 0, wt).when(k > 0, rising).otherwise(F.expm1(k * wt) / F.expm1(k))
     if kind == "log":
-        return F.when(k == 0, wt).otherwise(F.log(1 + wt * e) / k)
+        rising = 1 + F.log(wt + (1 - wt) * F.exp(-k)) / k
+        return F.when((k == 0) | (wt <= 0) | (wt >= 1), wt).when(k > 0, rising).otherwise(F.log1p(wt * F.expm1(k)) / k)
     return F.lit(1.0) if kind == "uniform" else wt
 
 
@@ -158,108 +163,137 @@ def window_rows(series: DataFrame, windows: DataFrame, spec: Series, value: str
 
 
 def window_slopes(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """OLS slope of the value on ``wt`` and the number of points per window."""
-    y, x = F.col("_y"), F.col("wt")
-    return rows.groupBy(*keys, "seq").agg(F.regr_slope(y, x).alias("b_slope"), F.count(y).alias("n_points"))
+    """OLS slope of the value on ``wt`` and the number of points per window.
+
+    The sums are decimals, so they don't depend on the order in which partial sums meet.
+    """
+    y, x = F.col("_y").cast("decimal(27,13)"), F.col("wt").cast("decimal(16,15)")
+    both = F.col("_y").isNotNull() & F.col("wt").isNotNull()
+    sums = {"_sx": x, "_sy": y, "_sxy": x * y, "_sxx": x * x}
+    s = rows.groupBy(*keys, "seq").agg(F.count("_y").alias("n_points"), F.count(F.when(both, 1)).alias("_n"), *[F.sum(F.when(both, c)).cast("double").alias(n) for n, c in sums.items()])
+    spread = F.col("_n") * F.col("_sxx") - F.col("_sx") * F.col("_sx")
+    slope = F.when((F.col("_n") > 1) & (spread > 1e-9), (F.col("_n") * F.col("_sxy") - F.col("_sx") * F.col("_sy")) / spread)
+    return s.select(*keys, "seq", slope.alias("b_slope"), "n_points")
 
 
-# Fixed value: rate grid of the first pass and its refinements (reach, step).
-RATE_PASSES = ((10.0, 0.5), (0.5, 0.05), (0.05, 0.005))
+#: Rates are sought evenly in asinh(k), in so many steps to each side, so often; then a parabola gives the last digits.
+RATE_STEPS, RATE_PASSES, RATE_DIGITS = 20, 4, 5
+
+#: A rate must lower the squared errors of the steepest curves by this share, else it can't be told from them.
+RATE_GAIN = 1e-6
+
+#: With this many times as steep a curve as a window has rows, all but one of its rows lie where the curve is flat to the last bit.
+STEEPEST = 40.0
 
 
 def fit_rate(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Exponential rate k per window by least squares, 1 when it cannot be fitted.
+    """Exponential rate k per window by least squares, and the reason where it is 1 by default.
 
-    Each pass sums the squared errors of a grid of rates in one partial aggregate, so a window may
-    hold any number of rows; the last pass ends with a parabola through the best three points.
+    No bound cuts the rates: a window's search reaches as far as its rows can tell two curves apart, in steps that are
+    even in asinh(k). The errors of a grid of rates are summed in one partial aggregate, so a window may hold any number
+    of rows, and the grid is narrowed around the best rate; a window whose errors are no lower than those of the steepest
+    curves diverges and leaves the search. ``reason`` is 'fitted', 'no drift' (ends equal or unknown), 'too few rows' (under three) or 'diverged'.
     """
     ids = [*keys, "seq"]
     frac = (F.col("_y") - F.col("post_val")) / F.when(F.col("pre_val") != F.col("post_val"), F.col("pre_val") - F.col("post_val"))
-    data = rows.select(*ids, "wt", frac.alias("_f")).filter("_f is not null")
-    data = materialise(data, "rate-rows")
-    best = data.groupBy(*ids).agg(F.count(F.lit(1)).alias("_n")).withColumn("k", F.lit(0.0))
-    for n_pass, (reach, step) in enumerate(RATE_PASSES):
-        m = round(reach / step)
-        d = data.join(best.select(*ids, "k"), ids)
+    data = materialise(rows.select(*ids, "wt", frac.alias("_f")), "rate-rows")
+    windows = data.groupBy(*ids).agg(F.count("_f").alias("_n"), F.asinh(STEEPEST * F.greatest(F.count(F.lit(1)), F.lit(2)).cast("double")).alias("_far"))
+    data = data.filter("_f is not null")
+    m = RATE_STEPS
+    state = windows.filter("_n >= 3").select(*ids, F.lit(0.0).alias("_s"), F.col("_far").alias("_reach"))
+    for n_pass in range(RATE_PASSES):
         sums = []
         for i in range(-m, m + 1):
-            rate = F.round(F.col("k") + i * step, 4)
-            err = weight_curve("exponential", F.col("wt"), rate) - F.col("_f")
-            sums.append(F.sum(err * err).alias(f"s{i + m}"))
-        got = d.groupBy(*ids, F.col("k").alias("_k0")).agg(*sums)
-        got = got.withColumn("_s", F.array(*[F.col(f"s{j}") for j in range(2 * m + 1)])).withColumn("_j", F.array_position("_s", F.array_min("_s")).cast("int"))
-        k = F.round(F.col("_k0") + (F.col("_j") - 1 - m) * step, 4)
-        if n_pass == len(RATE_PASSES) - 1:
-            a, b, c = (F.try_element_at("_s", F.col("_j") + o) for o in (-1, 0, 1))
+            err = weight_curve("exponential", F.col("wt"), F.sinh(F.col("_s") + F.col("_reach") * (i / m))) - F.col("_f")
+            sums.append(F.sum(err * err))
+        got = data.join(state, ids).groupBy(*ids, "_s", "_reach").agg(F.array(*sums).alias("_e"))
+        got = got.withColumn("_j", F.array_position("_e", F.array_min("_e")).cast("int"))
+        step = F.col("_reach") / m
+        if n_pass == 0:
+            limit = F.least(F.col("_e")[0], F.col("_e")[2 * m])  # the errors of a step at the end or at the start
+            got = got.filter(F.array_min("_e") < limit * (1 - RATE_GAIN))  # the others diverge
+        here = F.col("_s") + (F.col("_j") - 1 - m) * step
+        if n_pass == RATE_PASSES - 1:
+            a, b, c = (F.try_element_at("_e", F.col("_j") + o) for o in (-1, 0, 1))
             inner = (F.col("_j") > 1) & (F.col("_j") <= 2 * m) & ((a - 2 * b + c) > 0)
-            k = k + F.when(inner, step / 2 * (a - c) / (a - 2 * b + c)).otherwise(0.0)
-        best = best.drop("k").join(got.select(*ids, k.alias("k")), ids)
-    return best.select(*ids, F.when(F.col("_n") >= 3, F.col("k")).otherwise(1.0).alias("k"))
+            here = here + F.when(inner, step / 2 * (a - c) / (a - 2 * b + c)).otherwise(0.0)
+        state = got.select(*ids, here.alias("_s"), step.alias("_reach"))
+    out = windows.join(state.select(*ids, F.sinh(F.round("_s", RATE_DIGITS)).alias("k")), ids, "left")
+    reason = F.when(F.col("k").isNotNull(), "fitted").when(F.col("_n") == 0, "no drift").when(F.col("_n") < 3, "too few rows").otherwise("diverged")
+    return out.select(*ids, F.coalesce("k", F.lit(1.0)).alias("k"), reason.alias("reason"))
 
 
+COLUMN_OF = {"linear": "linear", "exponential": "exp", "uniform": "uniform", "fitted_linear": "fitted"}
 GRID_COLUMNS = ("linear_add", "linear_mult", "exp_add", "exp_mult", "uniform_add", "uniform_mult", "fitted_add", "fitted_mult")
 
+#: Windows of the exponential strategy fit an exponential rate and correct along the log curve of that rate.
+CURVES = (("linear", "linear"), ("exp", "log"), ("uniform", "uniform"))
 
-def correction_columns(y: Column) -> dict[str, Column]:
-    """All eight strategies as expressions over one joined row."""
-    wt, pre, post, k = F.col("wt"), F.col("pre_val"), F.col("post_val"), F.coalesce("k", F.lit(1.0))
+
+def correction_columns(y: Column, window: Column, wt: Column) -> dict[str, Column]:
+    """All eight strategies as expressions over a row and the struct of its window's facts."""
+    pre, post, k = window["pre_val"], window["post_val"], F.coalesce(window["k"], F.lit(1.0))
     cols = {}
-    for label, kind in (("linear", "linear"), ("exp", "exponential"), ("uniform", "uniform")):
+    for label, kind in CURVES:
         curve = weight_curve(kind, wt, k)
         cols[f"{label}_add"] = additive(y, curve, pre, post)
         cols[f"{label}_mult"] = multiplicative(y, curve, pre, post)
     for form in ("add", "mult"):
-        cols[f"fitted_{form}"] = fitted(y, wt, pre, post, F.col("b_slope"), F.col("n_points"), cols[f"linear_{form}"])
+        cols[f"fitted_{form}"] = fitted(y, wt, pre, post, window["b_slope"], window["n_points"], cols[f"linear_{form}"])
     return cols
 
 
+def window_facts(series: DataFrame, windows: DataFrame, ranged: DataFrame, spec: Series, value: str, fit: bool = True) -> DataFrame:
+    """Windows with range values, first and last slot, slope and fitted rate: all that a row's correction needs.
+
+    Fits read each window's rows; everything else is one row per window.
+    """
+    keys = list(spec.keys)
+    w = windows.join(ranged.select(*keys, "seq", "pre_val", "post_val", "pre_post_source"), [*keys, "seq"])
+    rows = materialise(window_rows(series, w, spec, value), "window-rows")
+    ends = rows.groupBy(*keys, "seq").agg(F.min(spec.time).alias("_first"), F.max(spec.time).alias("_last"))
+    stats = ends.join(window_slopes(rows, keys), [*keys, "seq"])
+    rates = fit_rate(rows, keys).drop("reason") if fit else stats.select(*keys, "seq", F.lit(1.0).alias("k"))
+    return materialise(w.join(stats, [*keys, "seq"]).join(rates, [*keys, "seq"]), "window-facts")
+
+
+FACTS = ("pre_val", "post_val", "pre_post_source", "_first", "_last", "b_slope", "n_points", "k", "drift_type", "correction_type")
+
+
 def scenario_grid(series: DataFrame, windows: DataFrame, ranged: DataFrame, spec: Series, fit: bool = True, value: str = "mean_analysis") -> DataFrame:
     """Series with the eight corrected columns; outside windows they equal the input.
 
     Range values, slopes and rates are computed once per window; of overlapping windows the first
-    one (by ``seq``) counts.
+    one (by ``seq``) counts, found by segments, so each row meets one window.
     """
-    keys = list(spec.keys)
-    ranged = materialise(ranged, "ranges")
-    w = windows.filter("drift_type <> 'non_resolved'").join(ranged.select(*keys, "seq", "pre_val", "post_val", "pre_post_source"), [*keys, "seq"])
-    rows = materialise(window_rows(series, w, spec, value), "window-rows")
-    stats = window_slopes(rows, keys)
-    if fit:
-        stats = stats.join(fit_rate(rows, keys), [*keys, "seq"], "left")
-    else:
-        stats = stats.withColumn("k", F.lit(1.0))
-    d = rows.join(stats, [*keys, "seq"], "left").withColumns(correction_columns(F.col("_y")))
-    picked = d.groupBy(*keys, spec.time).agg(F.min_by(F.struct(*GRID_COLUMNS, "pre_post_source"), "seq").alias("_g"))
-    out = series.join(picked, [*keys, spec.time], "left")
-    cols = {c: F.coalesce(F.col("_g")[c], F.col(value)) for c in GRID_COLUMNS}
-    return out.withColumns({**cols, "pre_post_source": F.col("_g.pre_post_source")}).drop("_g")
+    facts = window_facts(series, windows.filter("drift_type <> 'non_resolved'"), materialise(ranged, "ranges"), spec, value, fit)
+    d, wt = _with_first_window(series, facts, spec)
+    cols = {c: F.coalesce(x, F.col(value)) for c, x in correction_columns(F.col(value), F.col("_w"), wt).items()}
+    return d.withColumns({**cols, "pre_post_source": F.col("_w.pre_post_source")}).drop("_w")
+
+
+def _with_first_window(series: DataFrame, facts: DataFrame, spec: Series) -> tuple[DataFrame, Column]:
+    """Each row with the facts of the first window that holds it (``_w``, null outside), and its weight there."""
+    first = {"_w": (F.struct(*FACTS), -F.col("seq"))}
+    d = pick_winners(series, facts, list(spec.keys), spec.time, "start_dt", "end_dt", first, spec.chunk_seconds)
+    return d, weight(F.col(spec.time), F.col("_w._first"), F.col("_w._last"))
 
 
-def apply_corrections(series: DataFrame, windows: DataFrame, ranged: DataFrame, spec: Series, value: str = "mean_analysis", kind: str | None = None, name: str = "mean_drift_trans", rates: DataFrame | None = None) -> DataFrame:
-    """Each window's own strategy; rows outside windows keep the input.
+def apply_corrections(series: DataFrame, windows: DataFrame, ranged: DataFrame, spec: Series, value: str = "mean_analysis", kind: str | None = None, name: str = "mean_drift_trans") -> DataFrame:
+    """Each window's own strategy with its fitted rate; rows outside windows keep the input.
 
     Overlapping windows give the value of the first one. ``kind`` forces one strategy.
     """
-    keys = list(spec.keys)
-    w = windows.join(ranged.select(*keys, "seq", "pre_val", "post_val"), [*keys, "seq"])
-    rows = window_rows(series, w, spec, value)
-    stats = window_slopes(rows, keys)
-    rates = rates if rates is not None else windows.select(*keys, "seq", F.lit(1.0).alias("k"))
-    d = rows.join(stats, [*keys, "seq"], "left").join(rates, [*keys, "seq"], "left")
-    cols = correction_columns(F.col("_y"))
-    curve = weight_curve("log", F.col("wt"), F.coalesce("k", F.lit(1.0)))
-    cols["log_add"] = additive(F.col("_y"), curve, F.col("pre_val"), F.col("post_val"))
-    cols["log_mult"] = multiplicative(F.col("_y"), curve, F.col("pre_val"), F.col("post_val"))
-    strategy = F.lit(kind) if kind else F.col("drift_type")
-    form = F.when(F.col("correction_type") == "multiplicative", "mult").otherwise("add")
+    facts = window_facts(series, windows, ranged, spec, value)
+    d, wt = _with_first_window(series, facts, spec)
+    cols = correction_columns(F.col(value), F.col("_w"), wt)
+    strategy = F.when(F.col("_w").isNotNull(), F.lit(kind)) if kind else F.col("_w.drift_type")
+    form = F.when(F.col("_w.correction_type") == "multiplicative", "mult").otherwise("add")
     chosen = F.lit(None).cast("double")
-    for label, s in (("linear", "linear"), ("exp", "exponential"), ("log", "log"), ("uniform", "uniform"), ("fitted", "fitted_linear")):
+    for s, label in COLUMN_OF.items():
         for f in ("add", "mult"):
             chosen = F.when((strategy == s) & (form == f), cols[f"{label}_{f}"]).otherwise(chosen)
-    d = d.withColumn("_c", chosen)
-    picked = d.groupBy(*keys, spec.time).agg(F.min_by(F.struct(F.col("_c").alias("c")), "seq").alias("_g"))
-    out = series.join(picked, [*keys, spec.time], "left")
-    return out.withColumn(name, F.coalesce(F.col("_g.c"), F.col(value))).drop("_g")
+    return d.withColumn(name, F.coalesce(chosen, F.col(value))).drop("_w")
 
 
 def unflag_windows(df: DataFrame, windows: DataFrame, spec: Series, flag: str = "user_flag") -> DataFrame:
@@ -268,24 +302,21 @@ def unflag_windows(df: DataFrame, windows: DataFrame, spec: Series, flag: str =
     return m.withColumns({flag: F.when(F.col("_in"), text).otherwise(F.col(flag)), "drift": F.when(F.col("_in"), F.lit(False)).otherwise(F.col("drift"))}).drop("_in")
 
 
-COLUMN_OF = {"linear": "linear", "exponential": "exp", "uniform": "uniform", "fitted_linear": "fitted"}
-
-
 def stitch(grid_df: DataFrame, windows: DataFrame, spec: Series) -> DataFrame:
     """Chosen column per window, the last window wins; unresolved windows become OMIT.
 
     A window of any type, also an undecided one, keeps the drift flag of its rows.
     """
-    keys = list(spec.keys)
-    grid_df = mark_covered(grid_df, windows, keys, spec.time, "start_dt", "end_dt", spec.chunk_seconds, "_any")
-    known = windows.filter(F.col("drift_type").isin(*COLUMN_OF, "non_resolved", "unflag"))
-    hit = interval_join(grid_df.select(*keys, spec.time), known.select(*keys, "seq", "start_dt", "end_dt", "drift_type", "correction_type"), keys, spec.time, "start_dt", "end_dt", spec.chunk_seconds, "inner")
-    agg = hit.groupBy(*keys, spec.time).agg(
-        F.max_by(F.struct("drift_type", "correction_type"), "seq").alias("_last"),
-        F.bool_or(F.col("drift_type") == "non_resolved").alias("_omit"),
-        F.bool_or(F.col("drift_type") == "unflag").alias("_unflag"),
-    )
-    d = grid_df.join(agg, [*keys, spec.time], "left")
+    seq, kind = F.col("seq"), F.col("drift_type")
+    known = F.when(kind.isin(*COLUMN_OF, "non_resolved", "unflag"), F.struct("drift_type", "correction_type"))
+    picks = {
+        "_last": (known, seq),
+        "_omit": (F.when(kind == "non_resolved", True), seq),
+        "_unflag": (F.when(kind == "unflag", True), seq),
+        "_any": (F.lit(True), seq),
+    }
+    d = pick_winners(grid_df, windows, list(spec.keys), spec.time, "start_dt", "end_dt", picks, spec.chunk_seconds)
+    d = d.withColumn("_any", F.coalesce("_any", F.lit(False)))
     kind, form = F.col("_last.drift_type"), F.col("_last.correction_type")
     omit, unflag = (F.coalesce(c, F.lit(False)) for c in ("_omit", "_unflag"))
     analysis = F.when(~omit, F.col("mean_analysis"))
@@ -313,11 +344,24 @@ def stitch(grid_df: DataFrame, windows: DataFrame, spec: Series) -> DataFrame:
 
 
 def correct_series(series: DataFrame, windows: DataFrame, notes: DataFrame, network: DataFrame, spec: Series, before_seconds: int = 3600, gap_minutes: float = 120.0) -> DataFrame:
-    """Unflag, scenario grid, stitch, short gaps interpolated, Turbidity smoothed."""
-    d = unflag_windows(series, windows.filter("drift_type = 'unflag'"), spec)
-    ranged = range_values(d, windows, notes, network, spec, before_seconds, gap_minutes=gap_minutes)
-    d = stitch(scenario_grid(d, windows, ranged, spec), windows, spec)
-    d = materialise(d, "stitched")
+    """Unflag, correct linear windows and exponential ones (linear wins), fill short gaps, smooth Turbidity."""
+    d = materialise(unflag_windows(series, windows.filter("drift_type = 'unflag'"), spec), "unflagged")
+    ranged = materialise(range_values(d, windows, notes, network, spec, before_seconds, gap_minutes=gap_minutes), "ranges")
+    facts = window_facts(d, windows.filter(F.col("drift_type").isin("linear", "exponential")), ranged, spec, "mean_analysis")
+    both = facts.unionByName(windows.filter("drift_type = 'unflag'"), allowMissingColumns=True)
+    kind, earlier = F.col("drift_type"), -F.col("seq")
+    picks = {f"_{k}": (F.when(kind == k, F.struct(*FACTS)), earlier) for k in ("linear", "exponential", "unflag")}
+    d = pick_winners(d, both, list(spec.keys), spec.time, "start_dt", "end_dt", picks, spec.chunk_seconds)
+    y = F.col("mean_analysis")
+    value, label = y, F.when(F.col("_unflag").isNotNull(), "unflagged").otherwise("raw")
+    for k in ("exponential", "linear"):
+        w = F.col(f"_{k}")
+        cols = correction_columns(y, w, weight(F.col(spec.time), w["_first"], w["_last"]))
+        short = COLUMN_OF[k]
+        own = F.when(w["correction_type"] == "multiplicative", cols[f"{short}_mult"]).otherwise(cols[f"{short}_add"])
+        value = F.when(w.isNotNull(), F.coalesce(own, y)).otherwise(value)
+        label = F.when(w.isNotNull(), k).otherwise(label)
+    d = materialise(d.withColumns({"mean_drift_trans": value, "correction_type": label}).drop(*picks), "corrected")
     d = grid.interpolate_gaps(d, spec, "mean_drift_trans", 4, "mean_filled")
     return grid.low_pass(d, spec, "mean_filled", 3, name="mean_smoothed")
 

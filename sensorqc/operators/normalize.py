@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorqc.functions import time as tm
-from sensorqc.plans.joins import interval_join, mark_covered, newest_per_key
+from sensorqc.plans.joins import mark_covered, newest_per_key
+from sensorqc.plans.segments import pick_winners
 from sensorqc.series import Series
 
 
@@ -30,11 +31,9 @@ def apply_aliases(df: DataFrame, aliases: DataFrame, column: str = "site") -> Da
     return df.join(a, column, "left").withColumn(column, F.coalesce("_canonical", column)).drop("_canonical").select(*df.columns)
 
 
-def move_sites(df: DataFrame, moves: DataFrame, time: str, bucket_seconds: int, row_key: list[str]) -> DataFrame:
+def move_sites(df: DataFrame, moves: DataFrame, time: str, bucket_seconds: int) -> DataFrame:
     """Rename a site inside date ranges; ``moves`` has (site, from_dt, to_dt, new_site, seq), last wins."""
-    hit = interval_join(df, moves, ["site"], time, "from_dt", "to_dt", bucket_seconds, "inner")
-    chosen = hit.groupBy(*row_key).agg(F.max_by("new_site", "seq").alias("_new"))
-    out = df.join(chosen, row_key, "left")
+    out = pick_winners(df, moves, ["site"], time, "from_dt", "to_dt", {"_new": (F.col("new_site"), F.col("seq"))}, bucket_seconds)
     return out.withColumn("site", F.coalesce("_new", "site")).drop("_new").select(*df.columns)
 
 

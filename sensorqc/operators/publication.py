@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorqc.functions import time as tm
-from sensorqc.plans.joins import interval_join, mark_covered
+from sensorqc.plans.joins import mark_covered
+from sensorqc.plans.segments import pick_winners
 from sensorqc.series import Series
 
 VALUES = ["value_raw", "value_post_cal_corr", "value_post_ver", "value_post_drift_corr"]
@@ -58,9 +59,8 @@ def manual_overrides(df: DataFrame, overrides: DataFrame, spec: Series) -> DataF
     'subtract'; rows without a verified value are left alone; the first window counts.
     """
     keys = list(spec.keys)
-    hit = interval_join(df.select(*keys, spec.time), overrides, keys, spec.time, "start_dt", "end_dt", spec.chunk_seconds, "inner")
-    hit = hit.groupBy(*keys, spec.time).agg(F.min_by(F.struct("action", "amount"), "seq").alias("_o"))
-    d = df.join(hit, [*keys, spec.time], "left")
+    first = {"_o": (F.struct("action", "amount"), -F.col("seq"))}
+    d = pick_winners(df, overrides, keys, spec.time, "start_dt", "end_dt", first, spec.chunk_seconds)
     raw, cal, ver, drift = (F.col(c) for c in VALUES)
     act = F.when(ver.isNotNull(), F.col("_o.action"))
     by = F.col("_o.amount")

@@ -103,3 +103,38 @@ def test_spline_follows_a_cubic_across_chunks(spark):
     out = spline_gaps(series(spark, values), Series(chunk=10))
     assert column(out, "splined") == pytest.approx([f(i) for i in range(402)], rel=1e-8, abs=1e-6)
     assert cubic_through(np.array([0.0, 1.0]), np.array([0.0, 2.0]), np.array([0.5]))[0] == 1.0
+
+
+def test_winner_segments_equal_pairs(spark):
+    """Many overlapping, open, backward and equal intervals: the winner of each row as by all pairs."""
+    from sensorqc.plans.segments import pick_winners, winner_segments
+
+    r = random.Random(6)
+    rows = [(s, at(i * 15)) for s in ("a", "b", "c") for i in range(400)]
+    left = spark.createDataFrame(rows, "site string, t timestamp").withColumn("id", F.monotonically_increasing_id())
+    spans = []
+    for seq in range(1000):
+        start = r.randrange(-50, 420) * 15 + r.choice([0, 7])
+        end = None if r.random() < 0.05 else start + r.choice([0, 15, 100, 2000, -30])
+        spans.append(("a" if seq % 3 else "b", at(start) if r.random() < 0.97 else None, None if end is None else at(end), seq, r.choice(["x", "y", None])))
+    iv = spark.createDataFrame(spans, "site string, s timestamp, e timestamp, seq long, kind string")
+    picks = {"last": (F.col("seq"), F.col("seq")), "first": (F.col("seq"), -F.col("seq")), "x": (F.when(F.col("kind") == "x", F.struct("seq", "kind")), F.col("seq"))}
+    got = {q.id: (q.site, q.t, q["last"], q["first"], q.x and q.x.seq) for q in pick_winners(left, iv, ["site"], "t", "s", "e", picks, 3600).collect()}
+    assert len(got) == 1200
+    for site, t, last, first, x in got.values():
+        t = t.replace(tzinfo=at(0).tzinfo)
+        hit = [q for q in spans if q[0] == site and q[1] is not None and q[1] <= t and (q[2] is None or t <= q[2])]
+        seqs = [q[3] for q in hit]
+        assert (last, first) == ((max(seqs), min(seqs)) if seqs else (None, None))
+        assert x == max((q[3] for q in hit if q[4] == "x"), default=None)
+    # at most two segments for each interval, whatever the overlap
+    assert winner_segments(iv, ["site"], "s", "e", picks, 3600).count() <= 2000
+
+
+def test_open_intervals_join_like_covered_ones(spark):
+    left = spark.createDataFrame([("a", at(i * 60)) for i in range(50)], "site string, t timestamp")
+    iv = spark.createDataFrame([("a", at(300), None, 1), ("a", None, at(900), 2), ("a", at(900), at(300), 3), ("z", at(0), None, 4)], "site string, s timestamp, e timestamp, seq int")
+    joined = interval_join(left, iv, ["site"], "t", "s", "e", 3600, "inner")
+    covered = mark_covered(left, iv.filter("s is not null"), ["site"], "t", "s", "e", 3600).filter("covered")
+    assert joined.count() == covered.count() == 45
+    assert interval_join(left, iv, ["site"], "t", "s", "e", 3600, "left").count() == 50

@@ -123,11 +123,43 @@ def test_range_selection(spark, row, source):
     assert dr.select_range(d).first()["pre_post_source"] == source
 
 
-def test_rate_fit_recovers_the_rate(spark):
-    k, n = 2.37, 60
-    rows = [("a", "DO", 1, (math.exp(k * i / n) - 1) / (math.exp(k) - 1) * 7 + 3, i / n, 10.0, 3.0) for i in range(n + 1)]
-    d = spark.createDataFrame(rows, "site string, parameter string, seq int, _y double, wt double, pre_val double, post_val double")
-    assert dr.fit_rate(d, ["site", "parameter"]).first()["k"] == pytest.approx(k, abs=1e-3)
+@pytest.mark.parametrize("k", [-40.0, -25.0, -1.5, 0.0, 0.3, 2.5, 25.0, 60.0])
+def test_rate_fit_recovers_the_rate(spark, k):
+    d = spark.range(1, 200).withColumns({"site": F.lit("a"), "parameter": F.lit("p"), "seq": F.lit(1), "wt": F.col("id") / 200, "pre_val": F.lit(10.0), "post_val": F.lit(4.0)})
+    d = d.withColumn("_y", 4.0 + 6.0 * dr.weight_curve("exponential", F.col("wt"), F.lit(k)))
+    row = dr.fit_rate(d, ["site", "parameter"]).first()
+    assert row["k"] == pytest.approx(k, rel=1e-4, abs=1e-4) and row["reason"] == "fitted"
+
+
+def test_rates_that_cannot_be_fitted(spark):
+    rows = [(1, i / 9, 4.0, 10.0, 4.0) for i in range(9)] + [(1, 1.0, 10.0, 10.0, 4.0)]  # a step at the end
+    rows += [(2, i / 9, 10.0 if i else 4.0, 10.0, 4.0) for i in range(10)]  # a step at the start
+    rows += [(3, i / 9, float(i), 5.0, 5.0) for i in range(10)] + [(4, i / 9, float(i), None, 5.0) for i in range(10)]
+    rows += [(5, 0.0, 1.0, 10.0, 4.0), (5, 0.5, None, 10.0, 4.0), (5, 1.0, 2.0, 10.0, 4.0)]
+    d = spark.createDataFrame(rows, "seq long, wt double, _y double, pre_val double, post_val double").withColumns({"site": F.lit("a"), "parameter": F.lit("p")})
+    got = {r.seq: (r.k, r.reason) for r in dr.fit_rate(d, ["site", "parameter"]).collect()}
+    assert got == {1: (1.0, "diverged"), 2: (1.0, "diverged"), 3: (1.0, "no drift"), 4: (1.0, "no drift"), 5: (1.0, "too few rows")}
+
+
+def test_slopes_do_not_depend_on_partitions(spark):
+    import random
+
+    r = random.Random(4)
+    rows = [("a", "p", w, i / 300, r.uniform(-50, 90) if r.random() < 0.9 else None) for w in range(3) for i in range(301)]
+    d = spark.createDataFrame(rows, "site string, parameter string, seq int, wt double, _y double")
+    seen = {tuple((x.seq, x.b_slope, x.n_points) for x in dr.window_slopes(d.repartition(n, "wt"), ["site", "parameter"]).orderBy("seq").collect()) for n in (1, 7, 64)}
+    assert len(seen) == 1
+    plain = {x.seq: x.s for x in d.groupBy("seq").agg(F.regr_slope("_y", "wt").alias("s")).collect()}
+    assert all(slope == pytest.approx(plain[seq], rel=1e-9) for seq, slope, _ in seen.pop())
+
+
+def test_log_curve_inverts_the_exponential_one(spark):
+    for k in (-800.0, -3.0, 1e-3, 4.0, 900.0):
+        x = one(spark, *[dr.weight_curve("log", dr.weight_curve("exponential", F.lit(w), F.lit(k)), F.lit(k)) for w in (0.0, 0.3, 0.5, 1.0)])
+        ends = one(spark, *[dr.weight_curve(c, F.lit(w), F.lit(k)) for c in ("log", "exponential") for w in (0.0, 1.0)])
+        assert list(ends) == pytest.approx([0.0, 1.0, 0.0, 1.0])
+        if abs(k) < 30:
+            assert list(x) == pytest.approx([0.0, 0.3, 0.5, 1.0])
 
 
 def test_isolated_predictions_with_an_even_window(spark):
