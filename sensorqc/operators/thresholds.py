@@ -19,9 +19,8 @@ def build_thresholds(df: DataFrame, spec: Series, value: str = "mean", low: floa
         pair = F.array(F.lit(low), F.lit(high))
         a = d.groupBy(*KEYS).agg(F.percentile_approx("mean", pair, 10000).alias("m"), F.percentile_approx("slope_behind", pair, 10000).alias("s"))
         return a.select(*KEYS, *[F.col(c)[i].alias(n) for c, i, n in (("m", 0, "t_mean01"), ("m", 1, "t_mean99"), ("s", 0, "t_slope_behind_01"), ("s", 1, "t_slope_behind_99"))])
-    means = exact_quantiles(d, KEYS, "mean", {"t_mean01": low, "t_mean99": high})
-    slopes = exact_quantiles(d, KEYS, "slope_behind", {"t_slope_behind_01": low, "t_slope_behind_99": high})
-    return means.join(slopes, KEYS, "left")
+    ends = {"mean": {"t_mean01": low, "t_mean99": high}, "slope_behind": {"t_slope_behind_01": low, "t_slope_behind_99": high}}
+    return exact_quantiles(d, KEYS, ends)
 
 
 def clean_for_thresholds(df: DataFrame, value: str = "mean") -> DataFrame:

@@ -1,52 +1,80 @@
-"""Exact type-7 quantiles of groups of any size."""
+"""Exact type-7 quantiles of groups of any size, by histograms that narrow around the wanted ranks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
 
-ACCURACY = 10_000
-MARGIN = 20 / ACCURACY  # twenty times the rank error of the sketch
-SMALL = 5_000  # groups up to this size are ranked whole
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sensorqc.session import materialise
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+#: Bins of one histogram, and the number of values that may be sorted in one cell.
+BINS, CELL = 1024, 4096
+_MOST = 1.7976931348623157e308
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str | dict[str, dict[str, float]], probs: dict[str, float] | None = None, cell: int = CELL, bins: int = BINS) -> DataFrame:
     """``keys`` plus one column per named probability, linear between order statistics.
 
-    A bounded sketch brackets each wanted rank; rows below the bracket are only counted, and only
-    the few rows inside it (equal values collapsed) are ranked. No task holds a whole group, and
-    the result does not depend on the sketch.
+    ``value`` is a column with ``probs`` {name: probability}, or several columns {column: {name: probability}} that
+    are looked up together. Every group starts with the range from its least to its greatest value. A round counts the
+    values of each range by bins, in one partial aggregate for all groups, columns and ranks, and a rank's bin is its
+    next range; a range is left as soon as it holds one distinct value or at most ``cell`` values, which are then
+    sorted. So no task holds more than a cell of a group, whatever its size, and rounds read only what lies in ranges.
     """
-    v, inf = F.col("_v"), float("inf")
-    d = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(v.isNotNull() & ~F.isnan(v))
-    cuts = [min(1.0, max(0.0, p + s * MARGIN)) for p in probs.values() for s in (-1, 1)]
-    sketch = F.percentile_approx("_v", F.array(*[F.lit(c) for c in cuts]), F.lit(ACCURACY))
-    s = d.groupBy(*keys).agg(F.count("_v").alias("_n"), sketch.alias("_q"))
-    wanted = []
-    for i, p in enumerate(probs.values()):
-        pos = F.lit(float(p)) * (F.col("_n") - 1)
-        small = F.col("_n") <= SMALL
-        wanted.append(
-            F.struct(
-                F.lit(i).alias("i"),
-                F.when(small | F.lit(p <= MARGIN), F.lit(-inf)).otherwise(F.col("_q")[2 * i]).alias("lo"),
-                F.when(small | F.lit(p >= 1 - MARGIN), F.lit(inf)).otherwise(F.col("_q")[2 * i + 1]).alias("hi"),
-                F.floor(pos).alias("first"),
-                F.ceil(pos).alias("last"),
-                (pos - F.floor(pos)).alias("part"),
-            )
-        )
-    marked = d.join(s.select(*keys, F.array(*wanted).alias("_w")), keys)
-    below = marked.groupBy(*keys).agg(F.array(*[F.count(F.when(v < F.col("_w")[i]["lo"], 1)) for i in range(len(probs))]).alias("_below"))
-    inside = marked.select(*keys, "_v", F.explode(F.filter("_w", lambda w: (F.col("_v") >= w["lo"]) & (F.col("_v") <= w["hi"]))).alias("_w"))
-    inside = inside.groupBy(*keys, "_w", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    order = Window.partitionBy(*keys, "_w.i").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("_hi", F.sum("_c").over(order)).join(below, keys)
-    hi = F.col("_hi") + F.col("_below")[F.col("_w.i")]
-    lo = hi - F.col("_c")
-
-    def holds(rank: str):
-        return (F.col(f"_w.{rank}") >= lo) & (F.col(f"_w.{rank}") < hi)
-
-    share = F.when(holds("first"), 1 - F.col("_w.part")).otherwise(0.0) + F.when(holds("last"), F.col("_w.part")).otherwise(0.0)
-    hits = inside.filter(holds("first") | holds("last")).withColumn("_x", v * share)
-    return hits.groupBy(*keys).agg(*[F.sum(F.when(F.col("_w.i") == i, F.col("_x"))).alias(n) for i, n in enumerate(probs)])
+    wanted = {value: probs} if isinstance(value, str) else value
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(v).cast("double").alias("v")) for i, v in enumerate(wanted)])
+    d = df.select(*keys, F.explode(cells).alias("_x")).select(*keys, F.col("_x.c").alias("_c"), F.col("_x.v").alias("_v"))
+    d = materialise(d.filter(F.col("_v").isNotNull() & ~F.isnan("_v")), "quantile-values")
+    by = [*keys, "_c"]
+    n, ranks = F.col("_n"), F.lit(None).cast("array<bigint>")
+    for i, ps in enumerate(wanted.values()):
+        ends = [f(F.lit(float(p)) * (n - 1)).cast("long") for p in ps.values() for f in (F.floor, F.ceil)]
+        ranks = F.when(F.col("_c") == i, F.array_distinct(F.array(*ends))).otherwise(ranks)
+    state = d.groupBy(*by).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    state = state.withColumns({"_in": n, "_below": F.lit(0).cast("long"), "_ranks": ranks})
+    done = []
+    while True:
+        state = materialise(state, "quantile-ranges")
+        wide = (F.col("_in") > cell) & (F.col("_lo") < F.col("_hi"))
+        done.append(state.filter(~wide))
+        state = state.filter(wide)
+        if state.isEmpty():
+            break
+        state = _narrow(d, state, by, bins)
+    ranges = reduce(DataFrame.unionByName, done)
+    single = F.col("_lo") == F.col("_hi")
+    held = _inside(d, ranges.filter(~single), by).groupBy(*by, "_n", "_below", "_ranks").agg(F.sort_array(F.collect_list("_v")).alias("_vs"))
+    held = held.select(*by, "_n", F.explode("_ranks").alias("_r"), "_vs", "_below")
+    found = held.select(*by, "_n", "_r", F.get("_vs", (F.col("_r") - F.col("_below")).cast("int")).alias("_v"))
+    found = found.unionByName(ranges.filter(single).select(*by, "_n", F.explode("_ranks").alias("_r"), F.col("_lo").alias("_v")))
+    out = []
+    for i, ps in enumerate(wanted.values()):
+        for name, p in ps.items():
+            pos = F.lit(float(p)) * (n - 1)
+            part = pos - F.floor(pos)
+            share = F.when(F.col("_r") == F.floor(pos), 1 - part).otherwise(0.0) + F.when(F.col("_r") == F.ceil(pos), part).otherwise(0.0)
+            mine = (F.col("_c") == i) & ((F.col("_r") == F.floor(pos)) | (F.col("_r") == F.ceil(pos)))
+            # a share of an infinite neighbour that isn't wanted is not a number
+            out.append(F.sum(F.when(mine, F.when(share > 0, F.col("_v") * share).otherwise(0.0))).alias(name))
+    return found.groupBy(*keys).agg(*out)
+
+
+def _inside(d: DataFrame, ranges: DataFrame, by: list[str]) -> DataFrame:
+    return d.join(ranges, by).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+
+
+def _half(c: str) -> Column:
+    return F.greatest(F.least(F.col(c), F.lit(_MOST)), F.lit(-_MOST)) / 2
+
+
+def _narrow(d: DataFrame, state: DataFrame, by: list[str], bins: int) -> DataFrame:
+    """The bins that hold the wanted ranks, as ranges from their least to their greatest value."""
+    # bins rise with the value, so a bin is just the values between its ends
+    bin_ = F.floor((_half("_v") - _half("_lo")) / (_half("_hi") - _half("_lo")) * bins).cast("int")
+    old = [*by, "_n", "_lo", "_hi", "_below", "_ranks"]
+    b = _inside(d, state, by).groupBy(*old, bin_.alias("_bin")).agg(F.count(F.lit(1)).alias("_in"), F.min("_v").alias("_a"), F.max("_v").alias("_b"))
+    upto = Window.partitionBy(*by, "_lo").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)  # at most ``bins`` + 1 rows
+    b = b.withColumn("_below", F.col("_below") + F.coalesce(F.sum("_in").over(upto), F.lit(0)))
+    b = b.withColumn("_ranks", F.filter("_ranks", lambda r: (r >= F.col("_below")) & (r < F.col("_below") + F.col("_in"))))
+    return b.filter(F.size("_ranks") > 0).select(*by, "_n", F.col("_a").alias("_lo"), F.col("_b").alias("_hi"), "_in", "_below", "_ranks")

@@ -97,6 +97,21 @@ def test_quantiles_of_a_hot_group(spark):
         assert [got[k][n] for n in probs] == pytest.approx(want)
 
 
+@pytest.mark.parametrize(("cell", "bins"), [(1, 2), (3, 4), (50, 16)])
+def test_quantiles_narrow_over_many_rounds(spark, cell, bins):
+    """Outliers, ties, infinite and missing values, several columns; the result doesn't depend on the cells."""
+    r = random.Random(9)
+    rows = [("a", r.choice([1.0, 2.0, r.gauss(0, 1), 1e12 * r.random(), 1e-9]), r.random() if r.random() < 0.5 else None) for _ in range(300)]
+    rows += [("b", 4.0, float("nan"))] * 40 + [("b", float("inf"), None), ("b", float("-inf"), None), ("c", None, None), (None, 1.0, 1.0)]
+    d = spark.createDataFrame(rows, "k string, x double, y double")
+    want = {"x": {"x0": 0.0, "x1": 0.1, "x5": 0.5}, "y": {"y9": 0.9, "y10": 1.0}}
+    got = {q.k: q for q in exact_quantiles(d, ["k"], want, cell=cell, bins=bins).collect()}
+    xs, ys = ([v for k, *v2 in rows if k == "a" and (v := v2[i]) is not None] for i in (0, 1))
+    assert [got["a"][n] for n in ("x0", "x1", "x5")] == pytest.approx(list(np.quantile(xs, [0.0, 0.1, 0.5])))
+    assert [got["a"][n] for n in ("y9", "y10")] == pytest.approx(list(np.quantile(ys, [0.9, 1.0])))
+    assert (got["b"].x0, got["b"].x5, got["b"].y9) == (float("-inf"), 4.0, None) and "c" not in got
+
+
 def test_spline_follows_a_cubic_across_chunks(spark):
     f = lambda i: 0.001 * i**3 - 0.1 * i**2 + i
     values = [None if i % 9 in (3, 4) else f(i) for i in range(402)]
@@ -138,3 +153,37 @@ def test_open_intervals_join_like_covered_ones(spark):
     covered = mark_covered(left, iv.filter("s is not null"), ["site"], "t", "s", "e", 3600).filter("covered")
     assert joined.count() == covered.count() == 45
     assert interval_join(left, iv, ["site"], "t", "s", "e", 3600, "left").count() == 50
+
+
+def dense_sides(spark):
+    """One key with nine tenths of the rows, half of them at one instant on either side."""
+    r = random.Random(12)
+    times = lambda n: [(("hot" if i % 10 else "cold"), at(r.choice([40, 40, r.randrange(90)]))) for i in range(n)]
+    left = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(times(900))], "k string, t timestamp, id int")
+    right = spark.createDataFrame([(k, t, i, None if i % 3 else i * 2) for i, (k, t) in enumerate(times(700))], "k string, u timestamp, a int, b int")
+    return left, right
+
+
+@pytest.mark.parametrize("following", [False, True])
+@pytest.mark.parametrize("each", [False, True])
+def test_dense_chunks_are_cut_in_asof_joins(spark, following, each):
+    left, right = dense_sides(spark)
+    whole, cut = (asof_join(left, right, ["k"], "t", "u", ["a", "b"], 3600 * 6, following, each, n) for n in (10**9, 40))
+    want = sorted(map(tuple, whole.collect()))
+    assert len(want) == 900 and sorted(map(tuple, cut.collect())) == want
+
+
+def test_dense_chunks_are_cut_in_nearest_and_covered(spark):
+    from sensorqc.plans import joins
+
+    left, right = dense_sides(spark)
+    near = [sorted(map(tuple, nearest_join(left, right, ["k"], "t", "u", ["a"], 3600 * 6, n).collect())) for n in (10**9, 40)]
+    assert near[0] == near[1]
+    spans = right.withColumn("e", F.expr("u + make_interval(0, 0, 0, 0, 0, a % 40)"))
+    hits = [sorted(map(tuple, mark_covered(left, spans, ["k"], "t", "u", "e", 3600 * 6, chunk_rows=n).collect())) for n in (10**9, 40)]
+    assert hits[0] == hits[1]
+    l = left.select("k", F.col("t").alias("_t"), F.lit(1).alias("_side"), F.struct("id").alias("_l"))
+    r = right.select("k", F.col("u").alias("_t"), F.lit(0).alias("_side"), F.struct("a").alias("_r"))
+    both, chunk = joins._stacked(l, r, ["k"], 3600 * 6, lambda x: x.groupBy("k", "_t", "_side").agg(F.max("_r").alias("_r")), rows=40)
+    largest = both.groupBy("k", chunk.alias("c")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    assert largest <= 60  # of 900 left rows, half at one instant
