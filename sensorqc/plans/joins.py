@@ -115,16 +115,16 @@ def interval_join(
     equi-join on (keys, bucket); whether a side is broadcast is left to its measured size. An interval
     without an end stays open, one without a start holds no row.
     """
-    span = left.groupBy(*on).agg(F.min(time).alias("_lo"), F.max(time).alias("_hi"))
-    r = right.join(span, on).withColumns({"_first": F.greatest(F.col(start), "_lo"), "_last": F.least(F.col(end), "_hi")})
-    r = r.filter(F.col(start).isNotNull() & (F.col("_first") <= F.col("_last")) & (F.col(end).isNull() | (F.col(start) <= F.col(end))))
-    r = r.withColumn("_bucket", F.explode(F.sequence(time_chunk("_first", bucket_seconds), time_chunk("_last", bucket_seconds))))
-    r = r.select(*[F.col(c).alias(f"_k_{c}") for c in on], "_bucket", "_first", "_last", *[F.col(c) for c in right.columns if c not in on])
+    span = left.groupBy(*on).agg(F.min(time).alias("_iv_lo"), F.max(time).alias("_iv_hi"))
+    r = right.join(span, on).withColumns({"_iv_first": F.greatest(F.col(start), "_iv_lo"), "_iv_last": F.least(F.col(end), "_iv_hi")})
+    r = r.filter(F.col(start).isNotNull() & (F.col("_iv_first") <= F.col("_iv_last")) & (F.col(end).isNull() | (F.col(start) <= F.col(end))))
+    r = r.withColumn("_bucket", F.explode(F.sequence(time_chunk("_iv_first", bucket_seconds), time_chunk("_iv_last", bucket_seconds))))
+    r = r.select(*[F.col(c).alias(f"_k_{c}") for c in on], "_bucket", "_iv_first", "_iv_last", *[F.col(c) for c in right.columns if c not in on])
     l = left.withColumn("_lb", time_chunk(time, bucket_seconds))
-    cond: Column = (F.col("_lb") == F.col("_bucket")) & F.col(time).between(F.col("_first"), F.col("_last"))
+    cond: Column = (F.col("_lb") == F.col("_bucket")) & F.col(time).between(F.col("_iv_first"), F.col("_iv_last"))
     for c in on:
         cond = cond & (F.col(c) == F.col(f"_k_{c}"))
-    return l.join(r, cond, how).drop("_lb", "_bucket", "_first", "_last", *[f"_k_{c}" for c in on])
+    return l.join(r, cond, how).drop("_lb", "_bucket", "_iv_first", "_iv_last", *[f"_k_{c}" for c in on])
 
 
 def mark_covered(df: DataFrame, intervals: DataFrame, on: list[str], time: str, start: str, end: str, chunk_seconds: int, name: str = "covered", chunk_rows: int | None = None) -> DataFrame:
