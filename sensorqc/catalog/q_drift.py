@@ -208,22 +208,38 @@ def _(t):
     return out.select(*KEYS, "pre_post_source", *[(F.col(c) + TIE).alias(c) for c in dr.GRID_COLUMNS])
 
 
-@query(
-    "d15_prediction_cleanup",
-    """WITH p AS (SELECT *, CASE WHEN mean IS NULL THEN NULL ELSE drift::INT END AS pr FROM fx_drift),
-      a AS (SELECT *, CASE WHEN count(*) OVER f = 8 THEN coalesce(sum(pr) OVER f, 0) / 8.0 END AS dd FROM p WINDOW f AS (PARTITION BY site, parameter ORDER BY dt_round ROWS BETWEEN 3 PRECEDING AND 4 FOLLOWING)),
+def _cleanup_sql(high: str) -> str:
+    f = "WINDOW f AS (PARTITION BY site, parameter, vg ORDER BY dt_round ROWS BETWEEN 3 PRECEDING AND 4 FOLLOWING)"
+    return f"""WITH q AS (SELECT *, sum(coalesce(contains(user_flag, 'site visit'), false)::INT) OVER (PARTITION BY site, parameter ORDER BY dt_round) AS vg FROM fx_drift),
+      p AS (SELECT *, CASE WHEN mean IS NULL OR (epoch(dt_round) // {STEP}) % 5 < 2 THEN NULL ELSE drift::INT END AS pr FROM q),
+      a AS (SELECT *, CASE WHEN count(*) OVER f = 8 THEN coalesce(sum(pr) OVER f, 0) / 8.0 END AS dd FROM p {f}),
       b AS (SELECT *, CASE WHEN pr IS NULL OR (pr = 1 AND dd IS NULL) THEN NULL WHEN pr = 1 AND dd < 0.25 THEN 0 ELSE pr END AS pc FROM a),
       c AS (SELECT *, (mean IS NULL OR pc IS NULL)::INT AS gone FROM b),
-      e AS (SELECT *, CASE WHEN count(*) OVER f = 8 THEN sum(gone) OVER f / 8.0 END AS ms FROM c WINDOW f AS (PARTITION BY site, parameter ORDER BY dt_round ROWS BETWEEN 3 PRECEDING AND 4 FOLLOWING))
-    SELECT site, parameter, dt_round, round(dd, 6) AS drift_density, CAST(coalesce(pc, -1) AS BIGINT) AS drift_pred_clean, coalesce(mean IS NOT NULL AND ms >= 0.75, false) AS is_isolated,
-      CAST(coalesce(CASE WHEN NOT coalesce(mean IS NOT NULL AND ms >= 0.75, false) THEN pc END, -1) AS BIGINT) AS drift_pred_final FROM e""",
-)
-def _(t):
-    d = t.drift.withColumn("drift_pred", F.when(F.col("mean").isNotNull(), F.col("drift").cast("long")))
-    out = dr.clean_predictions(d, S, high=0.75)
+      e AS (SELECT *, CASE WHEN count(*) OVER f = 8 THEN sum(gone) OVER f / 8.0 END AS ms FROM c {f})
+    SELECT site, parameter, dt_round, round(dd, 6) AS drift_density, CAST(coalesce(pc, -1) AS BIGINT) AS drift_pred_clean, coalesce(mean IS NOT NULL AND ms >= {high}, false) AS is_isolated,
+      CAST(coalesce(CASE WHEN NOT coalesce(mean IS NOT NULL AND ms >= {high}, false) THEN pc END, -1) AS BIGINT) AS drift_pred_final FROM e"""
+
+
+def _cleanup(t, **limits):
+    from sensorqc.operators import visits as vz
+
+    skipped = F.pmod(F.floor(F.unix_seconds("dt_round") / STEP), F.lit(5)) < 2
+    d = vz.visit_groups(t.drift, S, F.coalesce(F.col("user_flag").contains("site visit"), F.lit(False)))
+    d = d.withColumn("drift_pred", F.when(F.col("mean").isNotNull() & ~skipped, F.col("drift").cast("long")))
+    out = dr.clean_predictions(d, S, group="visit_group", **limits)
     return out.select(*KEYS, "drift_density", "drift_pred_clean", "is_isolated", "drift_pred_final").fillna(-1, ["drift_pred_clean", "drift_pred_final"])
 
 
+@query("d15_prediction_cleanup", _cleanup_sql("8.0 / 9"))
+def _(t):
+    return _cleanup(t)
+
+
+@query("d15_prediction_cleanup_wide", _cleanup_sql("0.5"))
+def _(t):
+    return _cleanup(t, high=0.5)
+
+
 @query(
     "d16_stitch",
     f"""WITH {GRID}, hw AS (SELECT d.site, d.parameter, d.dt_round, max_by(w.drift_type, w.seq) AS kind, max_by(w.correction_type, w.seq) AS form, bool_or(w.drift_type = 'non_resolved') AS om, bool_or(w.drift_type = 'unflag') AS un

@@ -167,10 +167,16 @@ def _(t):
 
 @query(
     "n14_step_shift",
-    """WITH a AS (SELECT site, parameter, ts, value, lead(ts) OVER w AS nt, lead(value) OVER w AS nv, lead(ts, 6) OVER w AS e, k FROM fx_events WINDOW w AS (PARTITION BY site, parameter ORDER BY ts)),
-      s AS (SELECT site, parameter, ts AS start_dt, e AS end_dt, abs(value - nv) AS step FROM a WHERE k BETWEEN 30 AND 33 AND e IS NOT NULL)
-    SELECT r.site, r.parameter, r.id, round(r.value + coalesce(sum(s.step), 0), 6) AS value FROM fx_readings r
-    LEFT JOIN s ON s.site = r.site AND s.parameter = r.parameter AND r.ts BETWEEN s.start_dt AND s.end_dt GROUP BY r.site, r.parameter, r.id, r.value""",
+    """WITH RECURSIVE a AS (SELECT site, parameter, id, ts, value, lead(ts) OVER w AS nt, lead(value) OVER w AS nv, lead(ts, 6) OVER w AS e, k FROM fx_events WINDOW w AS (PARTITION BY site, parameter ORDER BY ts)),
+      s AS (SELECT site, parameter, ts AS a1, value AS v1, nt AS a2, nv AS v2, e, row_number() OVER (PARTITION BY site, parameter ORDER BY id) AS n FROM a WHERE k BETWEEN 30 AND 37 AND e IS NOT NULL),
+      f AS (SELECT site, parameter, 0 AS n, []::STRUCT(a TIMESTAMP, e TIMESTAMP, d DECIMAL(27, 9))[] AS done FROM s GROUP BY 1, 2
+        UNION ALL SELECT f.site, f.parameter, f.n + 1, list_append(done, {'a': a1, 'e': e, 'd':
+          abs((v1::DECIMAL(27, 9) + coalesce(list_sum(list_transform(list_filter(done, lambda x: x.a <= a1 AND a1 < x.e), lambda x: x.d)), 0))
+            - (v2::DECIMAL(27, 9) + coalesce(list_sum(list_transform(list_filter(done, lambda x: x.a <= a2 AND a2 < x.e), lambda x: x.d)), 0)))::DECIMAL(27, 9)})
+        FROM f JOIN s ON s.site = f.site AND s.parameter = f.parameter AND s.n = f.n + 1),
+      z AS (SELECT site, parameter, unnest(max_by(done, n), recursive := true) FROM f GROUP BY 1, 2)
+    SELECT r.site, r.parameter, r.id, round(r.value + coalesce(sum(z.d), 0)::DOUBLE, 6) AS value FROM fx_readings r
+    LEFT JOIN z ON z.site = r.site AND z.parameter = r.parameter AND r.ts >= z.a AND r.ts < z.e GROUP BY r.site, r.parameter, r.id, r.value""",
 )
 def _(t):
     from sensorqc.plans.chunks import rank_rows
@@ -178,7 +184,7 @@ def _(t):
     spec = S.at("ts")
     ranked = rank_rows(t.events.select("site", "parameter", "id", "ts", "k", "value"), spec, ("id",))
     later = ranked.select("site", "parameter", "row_index", F.col("ts").alias("_ts"))
-    starts = ranked.filter("k between 30 and 33").select("site", "parameter", "row_index", F.col("ts").alias("start_dt"), F.col("ts").alias("anchor1"))
+    starts = ranked.filter("k between 30 and 37").select("site", "parameter", "row_index", F.col("id").alias("seq"), F.col("ts").alias("start_dt"), F.col("ts").alias("anchor1"))
     for name, ahead in (("anchor2", 1), ("end_dt", 6)):
         nth = later.select("site", "parameter", (F.col("row_index") - ahead).alias("row_index"), F.col("_ts").alias(name))
         starts = starts.join(nth, ["site", "parameter", "row_index"])

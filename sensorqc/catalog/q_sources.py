@@ -226,3 +226,40 @@ def _(t):
 def _(t):
     up = t.flagged.withColumnRenamed("flag", "auto_flag").withColumn("mal_flag", F.when(F.col("n_obs") >= 3, "busy"))
     return readers.normalise_upload(up, S).drop("spread", "n_obs")
+
+
+def _replies(t):
+    """One reply per site and day, as the service writes them; some are cut off, some have no station."""
+    e = t.events.withColumns({"day": F.to_date("ts"), "sec": F.date_format("ts", "yyyy-MM-dd HH:mm:ss")})
+    v = F.when(F.col("id") % 11 == 0, "n/a").otherwise(F.col("value").cast("string"))
+    cell = F.struct(F.col("sec").alias("dt"), v.alias("v"), F.when(F.col("id") % 5 == 0, "E").otherwise("").alias("f"))
+    series = lambda p: F.struct(F.array_sort(F.collect_list(F.when(F.col("parameter") == p, cell))).alias("data"))
+    names = [F.struct(F.lit(n).alias("name")) for n in ("Battery", "DischargeRiver", "Battery", "Precip")]
+    d = e.groupBy("site", "day").agg(series("FDOM Fluorescence").alias("b"), series("Temperature").alias("q"), series("DO").alias("p"))
+    station = F.struct(F.col("site").alias("id"), F.lit("7").alias("numId"), F.concat(F.lit("at "), "site").alias("name"), F.array(*names).alias("dataTypes"), F.array("b", "q", "p").alias("ts"))
+    whole = F.to_json(F.struct(F.array(station).alias("stationSummaries")))
+    cut = (F.col("site") == "s03") & (F.dayofmonth("day") % 4 == 0)
+    body = F.when(F.col("site") == "s09", '{"stationSummaries": []}').when(cut, F.expr("substr(body, 1, length(body) - 9)")).otherwise(F.col("body"))
+    return d.withColumn("body", whole).select("site", "day", body.alias("body"))
+
+
+@query(
+    "s19_station_replies",
+    """SELECT site, site AS station_id, 'at ' || site AS station_name, date_trunc('second', ts) AS ts, CASE parameter WHEN 'DO' THEN 'p_cm' ELSE 'q_cfs' END AS parameter,
+      round(CASE WHEN id % 11 <> 0 THEN value * CASE parameter WHEN 'DO' THEN 2.54 ELSE 1 END END, 6) AS value, CASE WHEN id % 5 = 0 THEN 'E' ELSE '' END AS flag
+    FROM fx_readings WHERE parameter IN ('DO', 'Temperature') AND site <> 's09' AND NOT (site = 's03' AND day(ts) % 4 = 0)""",
+)
+def _(t):
+    from sensorqc.sources import replies
+
+    return replies.station_series(_replies(t)).select("site", "station_id", "station_name", "ts", "parameter", "value", "flag")
+
+
+@query(
+    "s19_broken_replies",
+    "SELECT site, date_trunc('day', ts) AS day, site = 's03' AND day(any_value(ts)) % 4 = 0 AS is_broken, site <> 's09' AND NOT (site = 's03' AND day(any_value(ts)) % 4 = 0) AS has_station FROM fx_readings GROUP BY 1, 2",
+)
+def _(t):
+    from sensorqc.sources import replies
+
+    return replies.parse_replies(_replies(t)).select("site", F.col("day").cast("timestamp").alias("day"), "is_broken", F.col("station").isNotNull().alias("has_station"))

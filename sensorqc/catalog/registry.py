@@ -47,6 +47,8 @@ def expand(body: str) -> str:
     ctes = ",\n".join(f"{n} AS ({CTES[n]})" for n in names)
     if not ctes:
         return body
+    if body.lstrip().upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body.lstrip()[15:]}"
     if body.lstrip().upper().startswith("WITH "):
         return f"WITH {ctes},\n{body.lstrip()[5:]}"
     return f"WITH {ctes}\n{body}"

@@ -391,15 +391,21 @@ def upsert_decisions(table: DataFrame, fresh: DataFrame, keys: list[str]) -> Dat
 # --- evaluation -----------------------------------------------------------------------------------
 
 
-def clean_predictions(df: DataFrame, spec: Series, prediction: str = "drift_pred", value: str = "mean", width: int = 8, low: float = 0.25, high: float = 8 / 9) -> DataFrame:
-    """Drop lone hits and void hits on isolated points; even windows reach one row further ahead."""
+def clean_predictions(df: DataFrame, spec: Series, prediction: str = "drift_pred", value: str = "mean", width: int = 8, low: float = 0.25, high: float = 8 / 9, group: str | None = None) -> DataFrame:
+    """Drop lone hits and void hits on isolated points; even windows reach one row further ahead.
+
+    Windows end where a visit group ends: a frame counts only if all its rows are of the row's own ``group``
+    (the running number of visits; None: the whole series is one group).
+    """
     before, after = (width - 1) // 2, width // 2
 
+    def whole(frame):
+        full = F.count(F.lit(1)).over(frame) == width
+        return full if group is None else full & (F.min(group).over(frame) == F.max(group).over(frame))
+
     def density(w):
         frame = w.rowsBetween(-before, after)
-        full = F.count(F.lit(1)).over(frame) == width
-        d = F.when(full, F.coalesce(F.sum(prediction).over(frame), F.lit(0)) / width)
-        return {"drift_density": d}
+        return {"drift_density": F.when(whole(frame), F.coalesce(F.sum(prediction).over(frame), F.lit(0)) / width)}
 
     def clean(w):
         blip = (F.col(prediction) == 1) & (F.col("drift_density") < low)
@@ -412,8 +418,7 @@ def clean_predictions(df: DataFrame, spec: Series, prediction: str = "drift_pred
 
     def isolated(w):
         frame = w.rowsBetween(-before, after)
-        full = F.count(F.lit(1)).over(frame) == width
-        share = F.when(full, F.sum("_gone").over(frame) / width)
+        share = F.when(whole(frame), F.sum("_gone").over(frame) / width)
         return {"is_isolated": F.coalesce(F.col(value).isNotNull() & (share >= high), F.lit(False))}
 
     def final(w):

@@ -125,33 +125,55 @@ def recode_maintenance(df: DataFrame, windows: DataFrame, time: str, chunk_secon
     return m.withColumns({value: F.when(~F.col("covered"), F.col(value)), "flag": F.when(F.col("covered"), text).otherwise(F.col("flag"))}).drop("covered")
 
 
+#: Offsets are sums of whole units of 10^-9, so what is added at a start goes in full at the end.
+_UNIT = "decimal(27,9)"
+
+
 def step_shifts(df: DataFrame, shifts: DataFrame, spec: Series, value: str = "value", bucket_seconds: int = 86400 * 30) -> DataFrame:
-    """Add |v(anchor1) - v(anchor2)| inside each shift window; overlapping shifts add up.
+    """Add |v(anchor1) - v(anchor2)| inside each shift window [start, end); overlapping shifts add up.
 
-    ``shifts`` has (keys, start_dt, end_dt, anchor1, anchor2) with anchors on reading times. The
-    offset becomes +/- events on the series' own time line, so no row-by-window pairs are formed.
+    ``shifts`` has (keys, start_dt, end_dt, anchor1, anchor2, seq) with anchors on reading times; one without an end
+    stays open, one with an anchor that has no reading is left out. Shifts are made in the order of ``seq``, and an
+    anchor has the value that earlier shifts have given it. The steps of one series follow from each other, so
+    they are folded over its list of shifts (made by hand); the readings see the offsets as +/- events on their own
+    time line, so no row-by-window pairs are formed and a long series is split by time.
     """
     from sensorqc.plans.chunks import carry, time_chunk
 
     keys = list(spec.keys)
-    anchors = df.groupBy(*keys, F.col(spec.time)).agg(F.avg(value).alias("_v"))
+    anchors = df.groupBy(*keys, F.col(spec.time)).agg(F.avg(value).alias("_v")).filter("_v is not null")
     one = anchors.select(*keys, F.col(spec.time).alias("anchor1"), F.col("_v").alias("_v1"))
     two = anchors.select(*keys, F.col(spec.time).alias("anchor2"), F.col("_v").alias("_v2"))
-    s = shifts.join(one, [*keys, "anchor1"]).join(two, [*keys, "anchor2"]).withColumn("_step", F.abs(F.col("_v1") - F.col("_v2")))
-    edges = s.select(
+    s = shifts.join(one, [*keys, "anchor1"]).join(two, [*keys, "anchor2"])
+    row = F.struct("seq", "start_dt", "end_dt", "anchor1", "anchor2", F.col("_v1").cast(_UNIT).alias("v1"), F.col("_v2").cast(_UNIT).alias("v2"))
+    listed = s.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_list"))
+    zero = F.lit(0).cast(_UNIT)
+
+    def moved(v: Column, at: Column, done: Column) -> Column:
+        inside = F.filter(done, lambda d: (d["start_dt"] <= at) & (d["end_dt"].isNull() | (at < d["end_dt"])))
+        return (v + F.aggregate(inside, zero, lambda a, d: (a + d["step"]).cast(_UNIT))).cast(_UNIT)
+
+    def fold(done: Column, x: Column) -> Column:
+        step = F.abs(moved(x["v1"], x["anchor1"], done) - moved(x["v2"], x["anchor2"], done)).cast(_UNIT)
+        return F.concat(done, F.array(F.struct(x["start_dt"].alias("start_dt"), x["end_dt"].alias("end_dt"), step.alias("step"))))
+
+    kind = shifts.schema["start_dt"].dataType.simpleString()
+    none = F.array().cast(f"array<struct<start_dt:{kind},end_dt:{kind},step:{_UNIT}>>")
+    steps = listed.select(*keys, F.inline(F.aggregate("_list", none, fold)))
+    edges = steps.select(
         *keys,
         F.inline(
             F.array(
-                F.struct(F.col("start_dt").alias("_t"), F.lit(0).alias("_side"), F.col("_step").alias("_d")),
-                F.struct(F.col("end_dt").alias("_t"), F.lit(2).alias("_side"), (-F.col("_step")).alias("_d")),
+                F.struct(F.col("start_dt").alias("_t"), F.lit(0).alias("_side"), F.col("step").alias("_d")),
+                F.struct(F.col("end_dt").alias("_t"), F.lit(0).alias("_side"), (-F.col("step")).cast(_UNIT).alias("_d")),
             )
         ),
-    )
+    ).filter("_t is not null")
     rows = df.select(*keys, F.col(spec.time).alias("_t"), F.lit(1).alias("_side"), F.struct(*df.columns).alias("_l"))
     both = rows.unionByName(edges, allowMissingColumns=True)
-    out = carry(both, keys, time_chunk("_t", bucket_seconds), ["_t", "_side"], sums={"_offset": F.coalesce("_d", F.lit(0.0))})
+    out = carry(both, keys, time_chunk("_t", bucket_seconds), ["_t", "_side"], sums={"_offset": F.coalesce("_d", zero)})
     out = out.filter(F.col("_l").isNotNull()).select("_l.*", "_offset")
-    return out.withColumn(value, F.col(value) + F.col("_offset")).drop("_offset")
+    return out.withColumn(value, F.when(F.col("_offset") == 0, F.col(value)).otherwise(F.col(value) + F.col("_offset").cast("double"))).drop("_offset")
 
 
 def drop_where_wide(df: DataFrame, ids: list[str], parameters: list[str], condition: str, value: str = "value") -> DataFrame:

@@ -335,3 +335,47 @@ def test_undecided_windows_keep_the_drift_flag(spark):
     out = dr.stitch(df, windows, Series())
     assert column(out, "drift") == [True, True, False, False]
     assert column(out, "verification_status") == ["FLAGGED", "FLAGGED", "PASS", "PASS"]
+
+
+def test_chained_step_shifts(spark):
+    """The second shift's anchors see the first shift; ends are excluded; a shift without an end stays open."""
+    from sensorqc import Series
+    from sensorqc.operators import normalize as nz
+
+    df = series(spark, [1.0, 1.0, 3.0, 3.1, 3.0, 7.0, 7.0, 2.0]).withColumnRenamed("mean", "value")
+    rows = [("a", "DO", at(0), at(2), at(1), at(2), 1), ("a", "DO", at(4), None, at(1), at(5), 2), ("a", "DO", at(0), at(9), at(0), at(40), 3), ("z", "DO", at(0), None, at(0), at(1), 4)]
+    shifts = spark.createDataFrame(rows, "site string, parameter string, start_dt timestamp, end_dt timestamp, anchor1 timestamp, anchor2 timestamp, seq int")
+    out = nz.step_shifts(df, shifts, Series())
+    # first: |1 - 3| = 2 on rows 0 and 1; second: |(1 + 2) - 7| = 4 from row 4 on; the third has no reading at an anchor
+    assert column(out, "value") == [3.0, 3.0, 3.0, 3.1, 7.0, 11.0, 11.0, 6.0]
+    assert column(nz.step_shifts(df, shifts.filter("seq = 2"), Series()), "value")[4:] == [9.0, 13.0, 13.0, 8.0]
+
+
+def test_prediction_windows_end_at_visits(spark):
+    from sensorqc import Series
+    from sensorqc.operators import drift as dr
+
+    groups = [0] * 9 + [1] * 9
+    df = series(spark, [1.0] * 18, extra=[(None,)] * 18).withColumn("i", F.expr("(unix_seconds(dt_round) - unix_seconds(timestamp'2024-03-01 00:00:00')) / 900"))
+    df = df.withColumns({"visit_group": (F.col("i") >= 9).cast("long"), "drift_pred": F.when(F.col("i").isin(4, 8, 9, 13), 1).otherwise(0).cast("long")})
+    out = dr.clean_predictions(df, Series(chunk=5), group="visit_group")
+    density = column(out, "drift_density")
+    assert [d is None for d in density] == [not (3 <= i <= 4) if g == 0 else not (12 <= i <= 13) for i, g in enumerate(groups)]
+    assert density[3] == 1 / 8 and density[4] == 2 / 8
+    assert column(dr.clean_predictions(df, Series(chunk=5)), "drift_density")[9] == 3 / 8
+
+
+def test_station_replies(spark):
+    from sensorqc.sources import replies
+
+    station = '{"id":"s","numId":"1","name":"n","elevation":1.5,"latitude":null,"longitude":2,"extra":[1],"dataTypes":[%s],"ts":[%s]}'
+    data = '{"data":[{"dt":"2024-03-01 00:15:00","v":"2","f":"E"},{"dt":"soon","v":"x","f":null}]}'
+    empty = '{"data":[]}'
+    good = '{"stationSummaries":[%s, %s]}' % (station % ('{"name":"A"},{"name":"A"},{"name":"Precip"}', f"{empty},{data}"), station % ('{"name":"Precip"}', data))
+    rows = [(1, good), (2, good[:-5]), (3, '{"stationSummaries":[]}'), (4, None), (5, "[]"), (6, '{"stationSummaries":[' + station % ('{"name":"B"}', data) + "]}"), (7, "")]
+    df = spark.createDataFrame(rows, "rid int, body string")
+    told = {r.rid: (r.is_broken, r.station is not None) for r in replies.parse_replies(df).collect()}
+    assert told == {1: (False, True), 2: (True, False), 3: (False, False), 4: (False, False), 5: (told[5][0], False), 6: (False, True), 7: (True, False)}
+    got = replies.station_series(df).orderBy("ts").collect()
+    assert [(r.rid, r.parameter, r.value, r.flag, r.ts and r.ts.minute) for r in got] == [(1, "p_cm", None, None, None), (1, "p_cm", 5.08, "E", 15)]
+    assert got[0].station_elevation == 1.5 and got[0].station_longitude == 2.0
