@@ -29,6 +29,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings that the Python parts rely on, and the package on every worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # joins are hashed instead of sorted where every partition of one side has turned out small
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
     ship_package(spark)
     return spark
 

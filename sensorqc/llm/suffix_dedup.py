@@ -18,7 +18,9 @@ A bucket holds ``bucket_bytes`` of text on average, whatever the size of the tab
 Hot grams. A gram whose contexts alone would fill a bucket (a phrase or a rule of dashes that many documents
 surround differently) sends windows instead, dealt by the hash of all their bytes. Equal windows hold the same
 gram and share that hash, so they still meet. Each batch marks all but the smallest document of a window at once
-and sends only that one, so a window costs a bucket a few rows per batch of text, however often it occurs.
+and sends only that one, with one of its places: a mark of such a place stands for ``every`` equal window of its
+text, and the last step finds the others there. So a window costs a bucket a row or so per batch of text, however
+often it occurs, also within one document (runs of blanks, rules, padding).
 
 Defined results: a null text is empty; null ids come after all others; rows that repeat an id never mark each
 other; rows that repeat id and text get the same result; texts shorter than ``length`` keep every byte; other
@@ -58,12 +60,18 @@ class SuffixSettings:
 
 _LAST = np.iinfo(np.int64).max
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_HEAD = np.dtype([("order", "<i8"), ("text", "<i8"), ("at", "<i8"), ("size", "<i4")])
+_HEAD = np.dtype([("order", "<i8"), ("text", "<i8"), ("at", "<i8"), ("size", "<i4"), ("every", "<i4")])
+
+#: Marks: the document, the hash of its text, first and last window, and whether windows elsewhere in it that equal one of these count too.
+MARK = ["order", "hash", "first", "last", "every"]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _MULT
-    return x ^ (x >> np.uint64(29))
+    y = x >> np.uint64(32)
+    y ^= x
+    y *= _MULT
+    y ^= y >> np.uint64(29)
+    return y
 
 
 def words8(buf: np.ndarray) -> np.ndarray:
@@ -74,21 +82,35 @@ def words8(buf: np.ndarray) -> np.ndarray:
     return x[: len(buf)]
 
 
+def _offsets(size: int) -> list[int]:
+    """Where the 8-byte words after the first lie that cover ``size`` (8 at least) bytes."""
+    return [*range(8, size - 7, 8), *([size - 8] if size % 8 else [])]
+
+
 def block_hash(w8: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the ``size`` (8 at least) bytes from each position."""
+    """Hash of the ``size`` bytes from each position."""
     h = _mix(w8[at])
-    for off in [*range(8, size - 7, 8), *([size - 8] if size % 8 else [])]:
+    for off in _offsets(size):
         h = _mix(h ^ w8[at + off])
     return h
 
 
+def all_hashes(w8: np.ndarray, size: int) -> np.ndarray:
+    """``block_hash`` of every position with so many bytes behind it."""
+    n = len(w8) - size + 1
+    h = _mix(w8[:n])
+    for off in _offsets(size):
+        h = _mix(h ^ w8[off : off + n])
+    return h
+
+
 def runs(buf: np.ndarray, ends: np.ndarray, cfg: SuffixSettings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window, windows, gram hash) of each run of windows with one minimiser; texts end at ``ends``."""
     n, span = len(buf), cfg.length - cfg.gram + 1
     if n < cfg.length:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     with np.errstate(over="ignore"):
-        grams = block_hash(words8(buf), np.arange(n - cfg.gram + 1), cfg.gram)
+        grams = all_hashes(words8(buf), cfg.gram)
     low = np.uint64((1 << 24) - 1)
     key = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
     width = 1
@@ -158,9 +180,26 @@ def shared_grams(rows: DataFrame, cfg: SuffixSettings) -> DataFrame:
     return materialise(found.filter("lo < hi").select("gram", "n"), "shared-grams")
 
 
-def _pack(entries: list[tuple[int, int, int, bytes]]) -> bytes:
-    head = np.array([(o, h, a, len(c)) for o, h, a, c in entries], _HEAD)
-    return zlib.compress(len(entries).to_bytes(4, "little") + head.tobytes() + b"".join(e[3] for e in entries), 1)
+def merged(marks: list[tuple[int, ...]]) -> np.ndarray:
+    """Marks as rows, those of one text that touch or overlap as one."""
+    m = np.array(marks, np.int64).reshape(-1, 5)
+    m = m[np.lexsort((m[:, 2], m[:, 4], m[:, 1], m[:, 0]))]
+    if len(m) < 2:
+        return m
+    fresh = np.ones(len(m), bool)
+    fresh[1:] = (m[1:, [0, 1, 4]] != m[:-1, [0, 1, 4]]).any(1)
+    group = np.cumsum(fresh) << 40  # beyond any position
+    reach = np.maximum.accumulate(group + m[:, 3])
+    fresh[1:] |= m[1:, 2] + group[1:] > reach[:-1] + 1
+    head = np.flatnonzero(fresh)
+    out = m[head]
+    out[:, 3] = (reach - group)[np.concatenate([head[1:] - 1, [len(m) - 1]])]
+    return out
+
+
+def _pack(entries: list[tuple[int, int, int, int, bytes]]) -> bytes:
+    head = np.array([(o, h, a, len(c), x) for o, h, a, x, c in entries], _HEAD)
+    return zlib.compress(len(entries).to_bytes(4, "little") + head.tobytes() + b"".join(e[4] for e in entries), 1)
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, bytes]:
@@ -169,8 +208,9 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, bytes]:
     return np.frombuffer(raw, _HEAD, n, 4), raw[4 + n * _HEAD.itemsize :]
 
 
-def _split(buf: np.ndarray, first: np.ndarray, count: np.ndarray, order: np.ndarray, cfg: SuffixSettings) -> tuple[np.ndarray, ...]:
-    """Windows of contexts: (context, first step, last step) of runs that a smaller document here holds too; (context, step, hash) of the others."""
+def _split(buf: np.ndarray, first: np.ndarray, count: np.ndarray, order: np.ndarray, text: np.ndarray, cfg: SuffixSettings) -> tuple[np.ndarray, ...]:
+    """Windows of contexts: (context, first step, last step) of runs that a smaller document here holds too; of the
+    others, one for each window and text, (context, step, hash, whether it is there more than once)."""
     entry = np.repeat(np.arange(len(first)), count)
     step = np.arange(len(entry)) - np.repeat(np.cumsum(count) - count, count)
     w8, at = words8(buf), first[entry] + step
@@ -179,9 +219,15 @@ def _split(buf: np.ndarray, first: np.ndarray, count: np.ndarray, order: np.ndar
     np.minimum.at(least, names, mine)
     hit = mine > least[names]
     opens, closes = _run_ends(hit, step)
+    rest = np.flatnonzero(~hit)
+    by = rest[np.lexsort((text[entry[rest]], mine[rest], names[rest]))]
+    fresh = np.ones(len(by), bool)
+    fresh[1:] = (names[by[1:]] != names[by[:-1]]) | (mine[by[1:]] != mine[by[:-1]]) | (text[entry[by[1:]]] != text[entry[by[:-1]]])
+    head = np.flatnonzero(fresh)
+    one = by[head]
     with np.errstate(over="ignore"):
-        h = block_hash(w8, at[~hit], cfg.length).view(np.int64)
-    return entry[opens], step[opens], step[closes], entry[~hit], step[~hit], h
+        h = block_hash(w8, at[one], cfg.length).view(np.int64)
+    return entry[opens], step[opens], step[closes], entry[one], step[one], h, np.diff(head, append=len(by)) > 1
 
 
 def _run_ends(hit: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +238,7 @@ def _run_ends(hit: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def contexts(rows: DataFrame, grams: DataFrame, buckets: int, cfg: SuffixSettings) -> DataFrame:
-    """bucket, blob: contexts to compare; and, with blob null, marks (order, hash, first, last) already known."""
+    """bucket, known, blob: contexts to compare or, where ``known``, marks that need no more comparing."""
     maybe = id_filter(grams.select("gram"), cfg.filter_bits)
     # a bit map again: what it takes for hot besides is sent as windows too, which is as exact
     hot = id_filter(grams.filter(F.col("n") > cfg.hot_contexts).select("gram"), cfg.hot_bits)
@@ -211,34 +257,40 @@ def contexts(rows: DataFrame, grams: DataFrame, buckets: int, cfg: SuffixSetting
             split = hot(pa.array(gram)) if len(gram) else keep[:0]
             if split.any():
                 orders, texts, ats, starts = order[part][split], text[part][split], at[split], first[split]
-                e, a, b, other, step, h = _split(buf, starts, count[split], orders, cfg)
-                marks += zip(orders[e].tolist(), texts[e].tolist(), (ats[e] + a).tolist(), (ats[e] + b).tolist(), strict=True)
+                e, a, b, other, step, h, more = _split(buf, starts, count[split], orders, texts, cfg)
+                marks += zip(orders[e].tolist(), texts[e].tolist(), (ats[e] + a).tolist(), (ats[e] + b).tolist(), [0] * len(e), strict=True)
                 begin = starts[other] + step
-                for to, o, t, i, s in zip((h % buckets).tolist(), orders[other].tolist(), texts[other].tolist(), (ats[other] + step).tolist(), begin.tolist(), strict=True):
-                    out.setdefault(to, []).append((o, t, i, raw[s : s + cfg.length]))
+                for to, o, t, i, x, s in zip((h % buckets).tolist(), orders[other].tolist(), texts[other].tolist(), (ats[other] + step).tolist(), more.tolist(), begin.tolist(), strict=True):
+                    out.setdefault(to, []).append((o, t, i, x, raw[s : s + cfg.length]))
                 first, count, gram, part, at = first[~split], count[~split], gram[~split], part[~split], at[~split]
             for s, c, g, o, h, a in zip(first.tolist(), count.tolist(), gram.tolist(), order[part].tolist(), text[part].tolist(), at.tolist(), strict=True):
                 seen.setdefault(raw[s : s + c + tail], (g, []))[1].append((o, h, a))
             for context, (g, places) in seen.items():
-                least = min(places)[0]
+                if len(places) == 1:
+                    o, h, a = places[0]
+                    out.setdefault(g % buckets, []).append((o, h, a, 0, context))
+                    continue
+                least, sent = min(places)[0], {}
                 for o, h, a in places:
                     if o == least:
-                        out.setdefault(g % buckets, []).append((o, h, a, context))
+                        sent.setdefault((o, h), []).append(a)
                     else:
-                        marks.append((o, h, a, a + len(context) - cfg.length))
-            ids = [*out, *[m[0] % buckets for m in marks]]
-            blobs = [_pack(x) for x in out.values()] + [None] * len(marks)
-            cols = [[None] * len(out) + [m[i] for m in marks] for i in range(4)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary()), *(pa.array(c, pa.int64()) for c in cols)], ["bucket", "blob", "order", "hash", "first", "last"])
+                        marks.append((o, h, a, a + len(context) - cfg.length, 0))
+                for (o, h), ats in sent.items():
+                    out.setdefault(g % buckets, []).append((o, h, ats[0], len(ats) > 1, context))
+            blobs = [_pack(x) for x in out.values()]
+            known = [zlib.compress(merged(marks).astype("<i8").tobytes(), 1)] if marks else []
+            ids = [*out, *(m[0] % buckets for m in marks[: len(known)])]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([False] * len(blobs) + [True] * len(known), pa.bool_()), pa.array(blobs + known, pa.binary())], ["bucket", "known", "blob"])
 
-    return arrow_map(rows, run, "bucket long, blob binary, order long, hash long, first long, last long")
+    return arrow_map(rows, run, "bucket long, known boolean, blob binary")
 
 
 def equal_windows(w8: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """A number for each window such that equal windows, and only they, share it."""
     with np.errstate(over="ignore"):
         h = block_hash(w8, at, length)
-    offs = [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]
+    offs = [0, *_offsets(length)]
     by = np.argsort(h, kind="stable")
 
     def equal(i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -254,9 +306,9 @@ def equal_windows(w8: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return names
 
 
-def mark_bucket(heads: np.ndarray, raw: bytes, cfg: SuffixSettings) -> tuple[np.ndarray, ...]:
-    """(order, hash, first, last) of runs of windows that also start in a smaller document."""
-    order, text, at = (heads[c].tolist() for c in ("order", "text", "at"))
+def mark_bucket(heads: np.ndarray, raw: bytes, cfg: SuffixSettings) -> np.ndarray:
+    """Marks of runs of windows that also start in a smaller document."""
+    order, text, at, every = (heads[c].tolist() for c in ("order", "text", "at", "every"))
     ends = np.cumsum(heads["size"].astype(np.int64)).tolist()
     same: dict[bytes, list[int]] = {}
     begin = 0
@@ -267,7 +319,7 @@ def mark_bucket(heads: np.ndarray, raw: bytes, cfg: SuffixSettings) -> tuple[np.
     out, least, owners = [], [], []
     for context, entries in same.items():
         low = min(order[e] for e in entries)
-        out += [(order[e], text[e], at[e], at[e] + len(context) - cfg.length) for e in entries if order[e] != low]
+        out += [(order[e], text[e], at[e], at[e] + len(context) - cfg.length, every[e]) for e in entries if order[e] != low]
         least.append(low)
         owners.append([e for e in entries if order[e] == low])
     size = np.array([len(c) for c in same], np.int64)
@@ -280,31 +332,31 @@ def mark_bucket(heads: np.ndarray, raw: bytes, cfg: SuffixSettings) -> tuple[np.
     np.minimum.at(first, names, mine)
     hit = mine > first[names]
     for a, b in zip(*(x.tolist() for x in _run_ends(hit, step)), strict=True):
-        out += [(order[e], text[e], at[e] + int(step[a]), at[e] + int(step[b])) for e in owners[entry[a]]]
-    return tuple(np.array([r[i] for r in out], np.int64) for i in range(4))
+        out += [(order[e], text[e], at[e] + int(step[a]), at[e] + int(step[b]), every[e]) for e in owners[entry[a]]]
+    return merged(out)
 
 
 def marks(docs: DataFrame, cfg: SuffixSettings = SuffixSettings()) -> DataFrame:
-    """order, hash, first, last: starts of repeated windows, as ranges."""
+    """order, hash, first, last, every: starts of repeated windows, as ranges."""
     rows = _rows(docs)
     total = rows.agg(F.sum(F.octet_length("_sd_text"))).first()[0] or 0
     buckets = max(16, -(-total // cfg.bucket_bytes))
     found = contexts(rows, shared_grams(rows, cfg), buckets, cfg)
-    names = ["order", "hash", "first", "last"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, bucket = [], None
 
+        def batch(rows: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*(pa.array(rows[:, i].astype(np.int64)) for i in range(4)), pa.array(rows[:, 4] != 0)], MARK)
+
         def finish() -> pa.RecordBatch:
             heads, raws = zip(*held, strict=True)
-            cols = mark_bucket(np.concatenate(heads), b"".join(raws), cfg)
-            return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names)
+            return batch(mark_bucket(np.concatenate(heads), b"".join(raws), cfg))
 
         for b in batches:
-            known = b.filter(b.column("blob").is_null())
-            yield pa.RecordBatch.from_arrays([known.column(c) for c in names], names)
-            for i, blob in zip(b.column("bucket").to_pylist(), b.column("blob").to_pylist(), strict=True):
-                if blob is None:
+            for i, known, blob in zip(*(b.column(c).to_pylist() for c in ("bucket", "known", "blob")), strict=True):
+                if known:
+                    yield batch(np.frombuffer(zlib.decompress(blob), "<i8").reshape(-1, 5))
                     continue
                 if bucket is not None and i != bucket:
                     yield finish()
@@ -315,7 +367,7 @@ def marks(docs: DataFrame, cfg: SuffixSettings = SuffixSettings()) -> DataFrame:
             yield finish()
 
     dealt = found.repartition("bucket").sortWithinPartitions("bucket")
-    return arrow_map(dealt, run, "order long, hash long, first long, last long")
+    return arrow_map(dealt, run, "order long, hash long, first long, last long, every boolean")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -323,10 +375,33 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("order"), F.xxhash64(text, F.col("doc_id").isNull()).alias("hash"), text.alias("_sd_text"))
 
 
-def _cover(spans: list[dict], length: int) -> list[tuple[int, int]]:
+def _elsewhere(text: bytes, spans: list[dict], length: int) -> list[tuple[int, int]]:
+    """Ranges of the windows that equal one of the given ranges' windows, wherever they start in the text."""
+    every = [s for s in spans if s["every"]]
+    if not every:
+        return []
+    w8 = words8(np.frombuffer(text, np.uint8))
+    with np.errstate(over="ignore"):
+        h = all_hashes(w8, length)
+    known = np.unique(np.concatenate([np.arange(s["first"], s["last"] + 1) for s in every]))
+    # windows of one hash are equal unless another window shares it: compare with the first of that hash
+    names, first = np.unique(h[known], return_index=True)
+    like = np.flatnonzero(np.isin(h, names))
+    model = known[first[np.searchsorted(names, h[like])]]
+    same = np.logical_and.reduce([w8[like + o] == w8[model + o] for o in [0, *_offsets(length)]])
+    rest = like[~same]  # other windows of a shared hash, one by one
+    texts = {text[i : i + length] for i in known.tolist()} if len(rest) else set()
+    also = [i for i in rest.tolist() if text[i : i + length] in texts]
+    at = np.sort(np.concatenate([like[same], np.array(also, np.int64)]))
+    cut = np.flatnonzero(np.diff(at) > 1)
+    return list(zip(at[np.concatenate([[0], cut + 1])].tolist(), at[np.concatenate([cut, [len(at) - 1]])].tolist(), strict=True))
+
+
+def _cover(text: bytes, spans: list[dict], length: int) -> list[tuple[int, int]]:
     """Maximal byte ranges [from, to) covered by windows that start in the given ranges."""
     out: list[list[int]] = []
-    for a, b in sorted((s["first"], s["last"] + length) for s in spans):
+    ranges = [(s["first"], s["last"]) for s in spans] + _elsewhere(text, spans, length)
+    for a, b in sorted((a, b + length) for a, b in ranges):
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
         else:
@@ -336,15 +411,15 @@ def _cover(spans: list[dict], length: int) -> list[tuple[int, int]]:
 
 def dedup_substrings(docs: DataFrame, cfg: SuffixSettings = SuffixSettings()) -> DataFrame:
     """doc_id, kept (bytes), n_bytes, n_removed, n_spans, kept_sha256 of every row."""
-    spans = marks(docs, cfg).groupBy("order", "hash").agg(F.collect_list(F.struct("first", "last")).alias("_sd_spans"))
+    spans = marks(docs, cfg).groupBy("order", "hash").agg(F.collect_set(F.struct("first", "last", "every")).alias("_sd_spans"))
     rows = _rows(docs).withColumn("doc_id", F.when(F.col("order") != _LAST, F.col("order")).cast(docs.schema["doc_id"].dataType))
-    joined = rows.join(spans.hint("shuffle_hash"), ["order", "hash"], "left").select("doc_id", "_sd_text", "_sd_spans")
+    joined = rows.join(spans, ["order", "hash"], "left").select("doc_id", "_sd_text", "_sd_spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept, sizes, removed, counts = [], [], [], []
             for text, spans in zip(texts_of(b.column("_sd_text")), b.column("_sd_spans").to_pylist(), strict=True):
-                cover, parts, at = _cover(spans or [], cfg.length), [], 0
+                cover, parts, at = _cover(text, spans or [], cfg.length), [], 0
                 for a, e in cover:
                     parts.append(text[at:a])
                     at = e

@@ -130,13 +130,33 @@ def test_suffix_dedup_splits_a_hot_gram(spark):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.dedup_substrings(docs, cfg).collect()}
     assert got == {d: x for (d, _), x in zip(rows, plain.cut_substrings(rows, 50), strict=True)}
     inner = suffix_dedup._rows(docs)
-    sent = suffix_dedup.contexts(inner, suffix_dedup.shared_grams(inner, cfg), 64, cfg).filter("blob is not null").collect()
+    sent = suffix_dedup.contexts(inner, suffix_dedup.shared_grams(inner, cfg), 64, cfg).filter("not known").collect()
     held = {}
     for r in sent:
         held[r.bucket] = held.get(r.bucket, 0) + len(suffix_dedup._unpack(bytes(r.blob))[1])
     assert max(held.values()) < 4 * sum(held.values()) / len(held)
 
 
+def test_suffix_dedup_of_runs_within_documents(spark):
+    """Blanks, rules and periods that fill whole documents cost a bucket a few rows, and go everywhere they occur."""
+    blanks, mb = " " * 50, 5 << 20
+    rows = [(1, "head" + " " * mb), (2, " " * mb + "tail"), (3, "=-" * (mb // 2)), (None, "x" + " " * mb), (4, "=-" * 300), (5, "a" * 49 + " " * 49 + "b")]
+    docs = docs_of(spark, rows)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.dedup_substrings(docs).collect()}
+    assert got == {1: (mb + 4, 0, 0), 2: (mb + 4, mb, 1), 3: (mb, 0, 0), None: (mb + 1, mb, 1), 4: (600, 600, 1), 5: (99, 0, 0)}
+    inner = suffix_dedup._rows(docs)
+    cfg = suffix_dedup.SuffixSettings()
+    sent = suffix_dedup.contexts(inner, suffix_dedup.shared_grams(inner, cfg), 16, cfg).filter("not known").collect()
+    assert sum(len(suffix_dedup._unpack(bytes(r.blob))[0]) for r in sent) < 1000
+    # repeats between which other text lies, in small parts
+    rng = random.Random(31)
+    notice = "this notice is longer than a window of fifty bytes, it is"
+    rows = [(i, blanks.join(f"{notice}{rng.randrange(9)}" for _ in range(40 - 10 * i))) for i in range(3)] + [(9, notice), (9, notice), (None, "y" + notice * 3)]
+    small = suffix_dedup.SuffixSettings(group_bytes=300, bucket_bytes=2000)
+    got = sorted((r.doc_id or 99, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.dedup_substrings(docs_of(spark, rows), small).collect())
+    assert got == sorted((d or 99, *x) for (d, _), x in zip(rows, plain.cut_substrings(rows, 50), strict=True))
+
+
 def test_equal_windows_survive_hash_collisions(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "block_hash", lambda w8, at, size: np.zeros(len(at), np.uint64))
     buf = np.frombuffer(b"abcdefghijklmnop" * 3, np.uint8)
