@@ -8,7 +8,7 @@ from sensorqc.catalog.fixtures import PARAMETERS, S, STEP, slot_sql
 from sensorqc.catalog.q_reporting import SUPPRESSED, limits
 from sensorqc.catalog.registry import query
 from sensorqc.operators import reporting as rp
-from sensorqc.streaming import incremental as inc, live
+from sensorqc.streaming import incremental as inc, live, stateful
 
 KEYS = ["site", "parameter", "dt_round"]
 CUT = "2024-01-20"
@@ -43,17 +43,32 @@ def _(t):
     return inc.overlap_combine(h, n, S, ["sonde_employed"])
 
 
-@query(
-    "x03_restate_tail",
-    f"""WITH h AS (SELECT site, parameter, dt_round, mean, 'old' AS flag FROM fx_slots WHERE dt_round < TIMESTAMP '{CUT}'), m AS (SELECT site, parameter, max(dt_round) AS m FROM h GROUP BY 1, 2),
+RESTATED = f"""WITH h AS (SELECT site, parameter, dt_round, mean, 'old' AS flag FROM fx_slots WHERE dt_round < TIMESTAMP '{CUT}'), m AS (SELECT site, parameter, max(dt_round) AS m FROM h GROUP BY 1, 2),
       n AS (SELECT site, parameter, dt_round, mean, 'new' AS flag FROM fx_slots JOIN m USING (site, parameter) WHERE dt_round >= m - INTERVAL 1 DAY AND site <> 's04')
-    SELECT site, parameter, dt_round, @mean, flag FROM h JOIN m USING (site, parameter) WHERE dt_round < m - INTERVAL 1 DAY OR site = 's04' UNION ALL SELECT site, parameter, dt_round, @mean, flag FROM n""",
-)
-def _(t):
+    SELECT site, parameter, dt_round, @mean, flag FROM h JOIN m USING (site, parameter) WHERE dt_round < m - INTERVAL 1 DAY OR site = 's04' UNION ALL SELECT site, parameter, dt_round, @mean, flag FROM n"""
+
+
+def _tails(t):
     h = t.slots.filter(f"dt_round < '{CUT}'").select(*KEYS, "mean", F.lit("old").alias("flag"))
     last = h.groupBy("site", "parameter").agg(F.max("dt_round").alias("_m"))
     n = t.slots.filter("site <> 's04'").join(last, ["site", "parameter"]).filter(F.col("dt_round") >= F.col("_m") - F.expr("interval 1 day"))
-    return inc.restate_tail(h, n.select(*KEYS, "mean", F.lit("new").alias("flag")), S)
+    return h, n.select(*KEYS, "mean", F.lit("new").alias("flag"))
+
+
+@query("x03_restate_tail", RESTATED)
+def _(t):
+    return inc.restate_tail(*_tails(t), S)
+
+
+@query("x03_restate_store", RESTATED)
+def _(t):
+    from sensorqc.session import work_dir
+    from sensorqc.sources.store import SeriesStore
+
+    h, n = _tails(t)
+    store = SeriesStore(t.spark, work_dir(t.spark, "history"), h.schema).create(h)
+    store.restate(n, "tail")
+    return store.read()
 
 
 @query(
@@ -70,18 +85,31 @@ def _(t):
     return live.run_to_table(live.dedupe_stream(twice, ["id"]), "dedupe")
 
 
-@query(
-    "x06_gap_sessions",
-    """WITH g AS (SELECT *, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w) >= 21600000000, true)::INT AS nw FROM fx_readings WINDOW w AS (PARTITION BY site, parameter ORDER BY ts)),
+SESSIONS = """WITH g AS (SELECT *, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w) >= 21600000000, true)::INT AS nw FROM fx_readings WINDOW w AS (PARTITION BY site, parameter ORDER BY ts)),
       s AS (SELECT *, sum(nw) OVER (PARTITION BY site, parameter ORDER BY ts) AS sid FROM g)
-    SELECT site, parameter, min(ts) AS start_dt, max(ts) + INTERVAL 6 HOUR AS end_dt, count(*) AS n FROM s GROUP BY site, parameter, sid""",
-)
+    SELECT site, parameter, min(ts) AS start_dt, max(ts) + INTERVAL 6 HOUR AS end_dt, count(*) AS n FROM s GROUP BY site, parameter, sid"""
+
+
+@query("x06_session_state", SESSIONS)
+def _(t):
+    keys = ["site", "parameter"]
+    changes = stateful.session_updates(stream(t), 6 * 3600, keys)
+    return live.run_updates(changes, "session-state", [*keys, "start_dt"]).filter("n > 0")
+
+
+@query("x06_gap_sessions", SESSIONS)
 def _(t):
     keys = ["site", "parameter"]
     done = live.run_to_table(live.session_stream(stream(t), "6 hours", keys), "sessions")
     return done.unionByName(live.open_sessions(t.readings, done, "6 hours", keys))
 
 
+@query("x07_alarm_state", SUPPRESSED)
+def _(t):
+    classified = rp.classify_alarms(stream(t), limits(t), "value").select("id", "site", "ts", "trigger")
+    return live.run_to_table(stateful.alarm_states(classified, ["site"], ["ts", "id"]), "alarm-state")
+
+
 @query("x07_alarm_stream", SUPPRESSED)
 def _(t):
     fixed = limits(t)

@@ -22,22 +22,28 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, time: str =
     return d.withColumn(time, F.col(time).cast("timestamp"))
 
 
-def run_to_table(stream: DataFrame, name: str) -> DataFrame:
-    """Run over everything available and read the written table back."""
+def run_to_table(stream: DataFrame, name: str, place: str | None = None) -> DataFrame:
+    """Run over everything available and read the written table back.
+
+    ``place`` is the folder of table and checkpoint; a run at the place of an earlier one goes on from there.
+    """
     spark = stream.sparkSession
-    out, state = work_dir(spark, name), work_dir(spark, f"{name}-state")
+    place = place or work_dir(spark, name)
+    out, state = f"{place}/table", f"{place}/state"
     q = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", state).trigger(availableNow=True).start(out)
     q.awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def run_updates(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
+def run_updates(stream: DataFrame, name: str, keys: list[str], place: str | None = None) -> DataFrame:
     """Run over everything available in update mode; each key's newest state, so slots still open are there too.
 
-    A batch writes its changed rows into a folder of its own, which a repeated batch overwrites.
+    A batch writes its changed rows into a folder of its own, which a repeated batch overwrites. ``place`` is as in
+    ``run_to_table``.
     """
     spark = stream.sparkSession
-    out, state = work_dir(spark, name), work_dir(spark, f"{name}-state")
+    place = place or work_dir(spark, name)
+    out, state = f"{place}/table", f"{place}/state"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
