@@ -234,11 +234,11 @@ class DriftWindows:
 FITS = ["r2_s_center", "r2_s_right", "r2_l_center", "r2_l_right", "r2_l_right_exp", "r2_l_center_exp"]
 
 
-def time_drift(df: DataFrame, spec: Series, visit: Column | None = None, win: DriftWindows = DriftWindows(), value: str = "mean") -> DataFrame:
+def time_drift(df: DataFrame, spec: Series, visit: Column | None = None, win: DriftWindows = DriftWindows(), value: str = "mean", parameters: tuple[str, ...] | None = None) -> DataFrame:
     """Linear and exponential fits inside visit groups; falling FDOM and rising others count.
 
     Adds the fits and ``failed``; ``visit`` marks rows that start a new visit group (without it the
-    rows already carry ``visit_group``).
+    rows already carry ``visit_group``). With ``parameters``, others aren't fitted (their fits are 0).
     """
     grouped = df if visit is None else vz.visit_groups(df, spec, visit)
     linear = {
@@ -252,9 +252,11 @@ def time_drift(df: DataFrame, spec: Series, visit: Column | None = None, win: Dr
     ahead = max(a for _, a in [*linear.values(), *exponential.values()])
 
     def fit(table):
+        parameter, out = table["parameter"][0].as_py(), {}
+        if parameters is not None and parameter not in parameters:
+            return {name: np.zeros(len(table)) for name in FITS}
         y, group = table[value].to_numpy(), table["visit_group"].to_numpy()
-        fdom = table["parameter"][0].as_py() == "FDOM Fluorescence"
-        out = {}
+        fdom = parameter == "FDOM Fluorescence"
         for name, (before, after) in linear.items():
             slope, r2, present, rows = window_fit(y, before, after, group)
             good = (rows >= win.min_points) & (present >= np.ceil(0.9 * rows)) & ((slope <= 0) if fdom else (slope > 0))
@@ -412,7 +414,7 @@ def site_overrides(df: DataFrame, rules: DataFrame) -> DataFrame:
 class FlagSettings:
     do_noise: float = 2.0
     anomaly_half: int = 48
-    drift: DriftWindows | None = None
+    drift: DriftWindows | None = DriftWindows()  # None leaves the drift test out
     freezing: float = 0.0
     min_depth: float = 0.0
     min_conductivity: float = 10.0
@@ -452,7 +454,7 @@ def flag_pass(
     if s.drift is None:
         d = over_slots(d, spec, 3 + s.burial_half, 3 + s.burial_half, *first, *second)
     else:
-        d = time_drift(over_slots(d, spec, 3, 3, *first), spec, None, s.drift)
+        d = time_drift(over_slots(d, spec, 3, 3, *first), spec, None, s.drift, parameters=s.drift_parameters)
         drifting = (F.col("failed") == 1) & F.col("parameter").isin(*s.drift_parameters)
         d = d.withColumn("flags", tokens.add("flags", drifting, DRIFT))
         d = over_slots(d, spec, s.burial_half, s.burial_half, *second)

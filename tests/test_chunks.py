@@ -187,3 +187,20 @@ def test_dense_chunks_are_cut_in_nearest_and_covered(spark):
     both, chunk = joins._stacked(l, r, ["k"], 3600 * 6, lambda x: x.groupBy("k", "_t", "_side").agg(F.max("_r").alias("_r")), rows=40)
     largest = both.groupBy("k", chunk.alias("c")).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     assert largest <= 60  # of 900 left rows, half at one instant
+
+
+@pytest.mark.parametrize("frame", [(48, 48), (96, 0), (0, 31)])
+def test_fits_from_running_sums_equal_frames(frame):
+    from sensorqc.functions import fits
+
+    r = np.random.default_rng(4)
+    y = 20 + 8 * np.sin(np.arange(1500) / 15) + r.normal(size=1500)
+    y[300:600], y[700:760], y[900] = 7.25, 7.25 + np.arange(60) * 1e-7, 1e7  # flat, nearly flat, an outlier
+    y[r.random(1500) < 0.05] = np.nan
+    group = np.sort(r.integers(0, 6, 1500))
+    for g in (None, group):
+        own = np.zeros(1500, int) if g is None else g
+        got = fits.window_fit(y, *frame, g)
+        want = fits._fit_frames(y, *frame, own, np.arange(1500), False)
+        for a, b in zip(got, want, strict=True):
+            assert np.allclose(a, b, rtol=1e-7, atol=1e-9)

@@ -379,3 +379,9 @@ def test_station_replies(spark):
     got = replies.station_series(df).orderBy("ts").collect()
     assert [(r.rid, r.parameter, r.value, r.flag, r.ts and r.ts.minute) for r in got] == [(1, "p_cm", None, None, None), (1, "p_cm", 5.08, "E", 15)]
     assert got[0].station_elevation == 1.5 and got[0].station_longitude == 2.0
+
+
+def test_flag_pass_tests_drift_by_default():
+    from sensorqc.operators import flags as fl
+
+    assert fl.FlagSettings().drift == fl.DriftWindows()
