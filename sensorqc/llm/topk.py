@@ -7,10 +7,11 @@ rounds the range is a single value: the exact k-th score. A last pass keeps what
 equal scores, the smallest ids that are still needed. Per query and task at most k bins or rows leave a
 task, whatever the number of ties. Candidates are read where they lie and never shuffled.
 
-Defined results: vectors that are null, empty or hold a null or non-finite component take no part, nor do
-rows without an id; a query meets only vectors of its own length; all rows with the query's id are its own;
-an id that several query rows share is asked once, with its smallest vector; other columns are ignored.
-Components and scores are 64-bit integers.
+Defined results: vectors that are null, empty or hold a null or non-finite component take no part; a query
+meets only vectors of its own length; every row is a vector of its own, so rows that share a query's id are
+candidates like others, and each query row is asked for itself; a row without an id comes last among equal
+scores; other columns are ignored. Components and scores are 64-bit integers; a table whose scores could pass
+them is refused.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sensorqc.llm.base import arrow_map
+from sensorqc.llm.base import arrow_map, materialise
 
 
 @dataclass(frozen=True)
@@ -35,11 +36,11 @@ class SearchSettings:
 
 
 def integer_vectors(df: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """vec_id, v: the vectors that take part, as arrays of long."""
+    """vec_id, v, row: the vectors that take part, as arrays of long, written once with a number for each row."""
     v = F.col(vector_col)
-    fine = F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0)
-    fine &= F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return df.filter(fine).select(F.col(id_col).cast("long").alias("vec_id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
+    fine = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    whole = F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    return materialise(df.filter(fine).select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v"), F.monotonically_increasing_id().alias("row")), "vectors")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -54,19 +55,18 @@ def inner_products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return q @ c.T
 
 
-def _blocks(vectors: DataFrame, queries: DataFrame, cfg: SearchSettings) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, ids, matrix) of the queries, at most ``block`` at a time."""
-    asked = queries.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+def _blocks(queries: DataFrame, cfg: SearchSettings) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(length, ids, rows, matrix) of the queries, about ``block`` at a time."""
+    asked = materialise(queries.select("vec_id", "v", "row", F.size("v").alias("dim")), "queries")
     for dim, n in ((r["dim"], r["n"]) for r in _rows(asked.groupBy("dim").agg(F.count(F.lit(1)).alias("n")))):
         slots = -(-n // cfg.block)
-        slot = F.pmod(F.xxhash64("vec_id"), F.lit(2 * slots)) if slots > 1 else F.lit(0).cast("long")
-        of_dim = asked.filter(F.col("dim") == dim).withColumn("slot", slot)
-        for s in range(2 * slots if slots > 1 else 1):
-            row = of_dim.filter(F.col("slot") == s).agg(F.collect_list("vec_id").alias("ids"), F.flatten(F.collect_list("v")).alias("v")).first()
-            if row["ids"]:
-                ids, m = np.array(row["ids"], np.int64), np.array(row["v"], np.int64).reshape(-1, dim)
-                order = np.argsort(ids)
-                yield dim, ids[order], m[order]
+        of_dim = asked.filter(F.col("dim") == dim).withColumn("slot", F.pmod(F.xxhash64("row"), F.lit(slots)))
+        for s in range(slots):
+            got = of_dim.filter(F.col("slot") == s).agg(*[F.collect_list(c).alias(c) for c in ("vec_id", "row")], F.flatten(F.collect_list("v")).alias("v")).first()
+            if got["row"]:
+                ids, rows, m = np.array(got["vec_id"], np.int64), np.array(got["row"], np.int64), np.array(got["v"], np.int64).reshape(-1, dim)
+                order = np.argsort(rows)
+                yield dim, ids[order], rows[order], m[order]
 
 
 def _rows(small: DataFrame) -> list:
@@ -75,34 +75,46 @@ def _rows(small: DataFrame) -> list:
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, cfg: SearchSettings = SearchSettings()) -> DataFrame:
-    """query_id, rank, vec_id, score of the k best candidates of each query (vec_id, v), ties to smaller ids."""
-    found = [_search_block(vectors.filter(F.size("v") == dim), ids, m, cfg) for dim, ids, m in _blocks(vectors, queries, cfg)]
+    """query_id, rank, vec_id, score of the k best candidates of each query, ties to smaller vec_id.
+
+    Both are tables of ``integer_vectors``; a query with an id is a row of it, and no candidate for itself.
+    """
+    spark = vectors.sparkSession
+    found = []
+    for dim, ids, rows, m in _blocks(queries.filter("vec_id is not null"), cfg):
+        names = spark.createDataFrame(list(zip(rows.tolist(), ids.tolist(), strict=True)), "query long, query_id long")
+        # no more rows than a block has queries
+        found.append(_search_block(vectors.filter(F.size("v") == dim), rows, m, cfg).join(F.broadcast(names), "query"))
     if not found:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     rows = reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(best).cast("int"))
     return rows.filter(F.col("rank") <= cfg.k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search_block(vectors: DataFrame, ids: np.ndarray, queries: np.ndarray, cfg: SearchSettings) -> DataFrame:
-    spark, n, k = vectors.sparkSession, len(ids), cfg.k
+def _search_block(vectors: DataFrame, own: np.ndarray, queries: np.ndarray, cfg: SearchSettings) -> DataFrame:
+    """query (its row), vec_id, score: what each task can't rule out."""
+    spark, n, k = vectors.sparkSession, len(own), cfg.k
     most = vectors.agg(F.max(F.array_max(F.transform("v", lambda x: F.abs(x))))).first()[0] or 0
-    reach = int(np.abs(queries).sum(1).max()) * int(most) + 1
+    # as Python integers, which can't overflow
+    reach = max(sum(abs(x) for x in q) for q in queries.tolist()) * int(most) + 1
+    if reach >= 1 << 61:
+        raise ValueError("components are too large for scores of 64 bits")
     low = np.full(n, -reach, object)  # each query's range is [low, low + span), cut into bins of the same width
     span = 2 * reach
     above = np.zeros(n, np.int64)  # scores beyond the range
     while True:
         lows, width = low.astype(np.int64), -(-span // cfg.bins)
-        state = spark.sparkContext.broadcast((ids, queries, lows, span, width))
+        state = spark.sparkContext.broadcast((own, queries, lows, span, width))
 
         def count(batches: Iterator[pa.RecordBatch], state=state) -> Iterator[pa.RecordBatch]:
-            ids, queries, lows, span, width = state.value
-            total = np.zeros((len(ids), cfg.bins), np.int64)
-            rows = np.arange(len(ids))[:, None]
+            own, queries, lows, span, width = state.value
+            total = np.zeros((len(own), cfg.bins), np.int64)
+            rows = np.arange(len(own))[:, None]
             for b in batches:
-                c = b.column("vec_id").to_numpy()
+                c = b.column("row").to_numpy()
                 past = inner_products(queries, _matrix(b.column("v"))) - lows[:, None]
-                inside = (past >= 0) & (past < span) & (c[None, :] != ids[:, None])
+                inside = (past >= 0) & (past < span) & (c[None, :] != own[:, None])
                 at = past // width
                 total += np.bincount((rows * cfg.bins + at)[inside], minlength=total.size).reshape(total.shape)
             # bins below a task's own k-th score can't hold the k-th of all
@@ -121,27 +133,31 @@ def _search_block(vectors: DataFrame, ids: np.ndarray, queries: np.ndarray, cfg:
         if width == 1:
             break
         span = width
-    state = spark.sparkContext.broadcast((ids, queries, low.astype(np.int64), np.maximum(k - above, 0)))
+    state = spark.sparkContext.broadcast((own, queries, low.astype(np.int64), np.maximum(k - above, 0)))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, queries, kth, ties = state.value
+        own, queries, kth, ties = state.value
         equal: dict[int, np.ndarray] = {}
         for b in batches:
-            c = b.column("vec_id").to_numpy()
+            c, row = b.column("vec_id").fill_null(_NO_ID).to_numpy(), b.column("row").to_numpy()
             s = inner_products(queries, _matrix(b.column("v")))
-            other = c[None, :] != ids[:, None]
+            other = row[None, :] != own[:, None]
             q, at = np.nonzero((s > kth[:, None]) & other)
-            yield _found(ids[q], c[at], s[q, at])
+            yield _found(own[q], c[at], s[q, at])
             tied = (s == kth[:, None]) & other
             for q in np.flatnonzero(tied.any(1)):
                 both = np.concatenate([equal.get(q, np.zeros(0, np.int64)), c[tied[q]]])
                 equal[q] = np.sort(both)[: ties[q]]
         q = np.repeat(np.array(list(equal), np.int64), [len(x) for x in equal.values()])
         if len(q):
-            yield _found(ids[q], np.concatenate(list(equal.values())), kth[q])
+            yield _found(own[q], np.concatenate(list(equal.values())), kth[q])
 
-    return arrow_map(vectors, keep, "query_id long, vec_id long, score long")
+    return arrow_map(vectors, keep, "query long, vec_id long, score long")
+
+
+#: Stands for a missing id in sorting, behind all others.
+_NO_ID = np.iinfo(np.int64).max
 
 
 def _found(q: np.ndarray, c: np.ndarray, s: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (q, c, s)], ["query_id", "vec_id", "score"])
+    return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(c, pa.int64(), mask=c == _NO_ID), pa.array(s, pa.int64())], ["query", "vec_id", "score"])

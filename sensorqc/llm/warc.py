@@ -42,7 +42,6 @@ class WarcSettings:
     split_bytes: int = 8 << 20
     task_bytes: int = 64 << 20  # archive bytes a task reads, where there are many
     level: int = 5
-    most_header: int = 1 << 16
 
 
 def digest(payload: bytes) -> str:
@@ -131,15 +130,18 @@ class _Bytes:
         return self.data[pos - self.start : pos - self.start + n]
 
 
-def parse_member(window: _Bytes, pos: int, most_header: int) -> tuple[bytes, int] | None:
-    """(decoded record, end of its member), or None if no WARC record starts at ``pos``."""
+def parse_member(window: _Bytes, pos: int) -> tuple[bytes, int] | None:
+    """(decoded record, end of its member), or None if no WARC record starts at ``pos``.
+
+    What doesn't begin as a record is left after its first bytes; a header may have any length.
+    """
     z, out, at = zlib.decompressobj(31), bytearray(), pos
     try:
         while not z.eof and at < window.size:
             raw = window.at(at, min(1 << 14, window.size - at))
             at += len(raw)
             out += z.decompress(raw)
-            if not b"WARC/1.".startswith(bytes(out[:7])) or len(out) > most_header and b"\r\n\r\n" not in out[:most_header]:
+            if not b"WARC/1.".startswith(bytes(out[:7])):
                 return None
     except zlib.error:
         return None
@@ -170,7 +172,7 @@ def decode_record(raw: bytes) -> tuple | None:
     return _urn(f.get("warc-record-id")), None if url is None else _unclean(url), kind, _urn(f.get("warc-refers-to")), size, mine, payload if kind == "response" else None, mine == told
 
 
-def read_range(source, path: str, size: int, start: int, end: int, most_header: int) -> Iterator[tuple]:
+def read_range(source, path: str, size: int, start: int, end: int) -> Iterator[tuple]:
     """Records that start in [start, end)."""
     window, pos = _Bytes(source, size), start
     while pos < end:
@@ -184,7 +186,7 @@ def read_range(source, path: str, size: int, start: int, end: int, most_header:
         pos += hit
         if pos >= end:
             return
-        found = parse_member(window, pos, most_header)
+        found = parse_member(window, pos)
         parsed = decode_record(found[0]) if found else None
         if parsed is None:
             pos += 1
@@ -217,7 +219,7 @@ def read_warc(archives: DataFrame, cfg: WarcSettings = WarcSettings(), payloads:
                 fs, inner = pafs.FileSystem.from_uri(path)
                 rows, held = [], 0
                 with fs.open_input_file(inner) as source:
-                    for r in read_range(source, path, size, start, min(start + cfg.split_bytes, size), cfg.most_header):
+                    for r in read_range(source, path, size, start, min(start + cfg.split_bytes, size)):
                         rows.append(r if payloads else (*r[:8], None, r[9]))
                         held += len(rows[-1][8] or b"")
                         if held > 8 << 20:
