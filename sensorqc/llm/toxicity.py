@@ -3,11 +3,13 @@
 Logistic regression on the presence of words and their first letters. For every labelled text that
 names a group of people, the loss also holds the squared change of the score (before the logistic
 function) when that name, with its stem, is swapped for each other name of the same kind, so neutral
-mentions of a group do not raise a score.
+mentions of a group do not raise a score. Labelled texts seldom name a group, so every one also counts as a
+sentence into which a name is put and then swapped: all names are in the model, whether texts hold them or not, and
+what their stems share with ordinary words can't set one group apart from another.
 
 Fitting reads at most ``sample_rows`` labelled texts (the documented bound, chosen by a hash of the
 id); their features are drawn in parallel and one bounded task fits the weights. The model holds at
-most ``max_features`` weights. Scoring covers every row.
+most ``max_features`` weights and those of the listed names. Scoring covers every row.
 
 Defined results: a null or empty text gets the base rate of the labels; without any label the base
 rate is 0.25; rows of one id are scored one by one; labels that repeat an id count once (toxic if any
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorqc.llm.base import arrow_map, texts_of
 
-#: Names of groups of people by kind; a swap stays within its kind.
+#: Names of groups of people by language and kind; a swap stays within both.
 IDENTITY_TERMS = {
     "gender": "women men girls boys woman man female male transgender nonbinary".split(),
     "religion": "muslims christians jews hindus buddhists sikhs atheists muslim christian jewish hindu buddhist sikh atheist catholic protestant".split(),
@@ -35,6 +37,21 @@ IDENTITY_TERMS = {
     "orientation": "gay lesbian bisexual straight heterosexual homosexual queer".split(),
     "ability": "blind deaf disabled autistic".split(),
     "age": "old young elderly teenage".split(),
+    "gender de": "frauen männer mädchen jungen frau mann weiblich männlich".split(),
+    "religion de": "muslime christen juden hindus buddhisten atheisten katholiken protestanten".split(),
+    "origin de": "afrikaner amerikaner asiaten europäer araber türken polen inder chinesen einwanderer flüchtlinge".split(),
+    "orientation de": "schwule lesben bisexuelle heterosexuelle homosexuelle".split(),
+    "ability de": "blinde gehörlose behinderte autisten".split(),
+    "gender fr": "femmes hommes filles garçons femme homme".split(),
+    "religion fr": "musulmans chrétiens juifs hindous bouddhistes athées catholiques protestants".split(),
+    "origin fr": "africains américains asiatiques européens arabes indiens chinois immigrés réfugiés".split(),
+    "orientation fr": "homosexuels lesbiennes bisexuels hétérosexuels".split(),
+    "ability fr": "aveugles sourds handicapés autistes".split(),
+    "gender es": "mujeres hombres niñas niños mujer hombre".split(),
+    "religion es": "musulmanes cristianos judíos hindúes budistas ateos católicos protestantes".split(),
+    "origin es": "africanos americanos asiáticos europeos árabes indios chinos inmigrantes refugiados".split(),
+    "orientation es": "homosexuales lesbianas bisexuales heterosexuales".split(),
+    "ability es": "ciegos sordos discapacitados autistas".split(),
 }
 KIND_OF = {term: kind for kind, terms in IDENTITY_TERMS.items() for term in terms}
 
@@ -49,6 +66,7 @@ class ToxicitySettings:
     stem_letters: int = 4
     l2: float = 2e-4
     counterfactual: float = 1.0
+    inserted: float = 1.0  # weight of the names put into texts beside the names found there
     steps: int = 250
     held_out_modulus: int = 5
 
@@ -110,6 +128,9 @@ def fit_weights(samples: list[list[str]], labels: np.ndarray, cfg: ToxicitySetti
     strength = np.abs(rate - base) * np.sqrt(counts.sum(1))
     order = np.lexsort((np.array(names, dtype=object).astype(str), -strength))[: cfg.max_features]
     names = [names[i] for i in order]
+    of_term = {t: {t} | _stems({t}, cfg.stem_letters) for t in KIND_OF}
+    if cfg.inserted:
+        names += sorted(set().union(*of_term.values()) - set(names))
     index = {f: i for i, f in enumerate(names)}
     rows = [[index[f] for f in feats if f in index] for feats in samples]
     lengths = np.array([len(r) for r in rows])
@@ -125,6 +146,11 @@ def fit_weights(samples: list[list[str]], labels: np.ndarray, cfg: ToxicitySetti
                 gone, new = (tuple(sorted(index[x] for x in d if x in index)) for d in (feats - after, after - feats))
                 if other != f and (gone or new):
                     swaps[(gone, new)] = swaps.get((gone, new), 0) + 1
+    for terms in IDENTITY_TERMS.values() if cfg.inserted else ():
+        pairs = [(of_term[a] - of_term[b], of_term[b] - of_term[a]) for a in terms for b in terms if a < b]
+        for gone, new in pairs:
+            key = tuple(tuple(sorted(index[x] for x in d)) for d in (gone, new))
+            swaps[key] = swaps.get(key, 0) + cfg.inserted * n / len(pairs)
     weight = np.array(list(swaps.values()), float) / n
     pair_of = np.array([p for p, (gone, new) in enumerate(swaps) for _ in (*gone, *new)], np.int64)
     swap_col = np.array([i for gone, new in swaps for i in (*gone, *new)], np.int64)
