@@ -63,24 +63,35 @@ classed AS (
              length(regexp_replace(regexp_replace(text, '[a-zA-Z]', '', 'g'), '\P{L}', '', 'g'))] AS classes
   FROM judged),
 counted AS (SELECT * EXCLUDE (text, classes), list_append(classes, length(text) - list_sum(classes)::BIGINT) AS chars FROM classed),
-hist AS (
-  SELECT c.*, list_append(list_transform(words, lambda x: len(list_filter(w, lambda y: y = x OR y = upper(x[1]) || x[2:]))), n_words - list_sum(list_transform(words, lambda x: len(list_filter(w, lambda y: y = x OR y = upper(x[1]) || x[2:]))))) AS common
-  FROM counted c LEFT JOIN listed ON lang = lang_key),
-char_ref AS (SELECT lang_key, i, sum(chars[i]) AS r FROM hist, range(1, 9) t(i) WHERE NOT base_failed GROUP BY ALL),
-word_ref AS (SELECT lang_key, i, sum(common[i]) AS r FROM hist, range(1, 18) t(i) WHERE NOT base_failed AND common IS NOT NULL GROUP BY ALL),
-size_ref AS (SELECT lang_key, sum(n_words) AS ref_words FROM hist WHERE NOT base_failed GROUP BY lang_key),
+spoken AS (
+  SELECT c.doc_id, l.lang AS k, lang_key, n_words, base_failed,
+         list_transform(words, lambda x: len(list_filter(w, lambda y: y = x OR y = upper(x[1]) || x[2:]))) AS cw
+  FROM counted c, listed l),
+bins AS (SELECT *, list_append(cw, n_words - list_sum(cw)) AS common, list_sum(cw)::BIGINT AS n_common FROM spoken),
+char_ref AS (SELECT lang_key, i, sum(chars[i]) AS r FROM counted, range(1, 9) t(i) WHERE NOT base_failed GROUP BY ALL),
+word_ref AS (SELECT k, i, sum(common[i]) AS r FROM bins, range(1, 18) t(i) WHERE NOT base_failed AND k = lang_key GROUP BY ALL),
+size_ref AS (SELECT lang_key, sum(n_words) AS ref_words FROM counted WHERE NOT base_failed GROUP BY lang_key HAVING sum(n_words) >= 2000),
+share_ref AS (SELECT k, sum(r) FILTER (i < 17) AS rc, sum(r) AS rn FROM word_ref GROUP BY k),
 char_dist AS (
   SELECT doc_id, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / m) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / m) ELSE 0 END) / 2, 0)) AS d
-  FROM (SELECT *, (p + q) / 2 AS m FROM (SELECT doc_id, chars[i] / list_sum(chars) AS p, r / sum(r) OVER (PARTITION BY doc_id) AS q FROM hist JOIN char_ref USING (lang_key) WHERE word_chars >= 200))
+  FROM (SELECT *, (p + q) / 2 AS m FROM (SELECT doc_id, chars[i] / list_sum(chars) AS p, r / sum(r) OVER (PARTITION BY doc_id) AS q FROM counted JOIN size_ref USING (lang_key) JOIN char_ref USING (lang_key) WHERE word_chars >= 200))
   GROUP BY doc_id),
 word_dist AS (
-  SELECT doc_id, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / m) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / m) ELSE 0 END) / 2, 0)) AS d
-  FROM (SELECT *, (p + q) / 2 AS m FROM (SELECT doc_id, common[i] / n_words AS p, r / sum(r) OVER (PARTITION BY doc_id) AS q FROM hist JOIN word_ref USING (lang_key) WHERE n_words >= 60 AND common IS NOT NULL))
-  GROUP BY doc_id)
-SELECT h.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND (ref_words IS NULL OR ref_words < 2000 OR (coalesce(round(c.d, 6), 0) <= 0.30 AND coalesce(round(v.d, 6), 0) <= 0.42)) AS kept,
-       CASE WHEN ref_words >= 2000 THEN round(c.d, 6) END AS char_distance, CASE WHEN ref_words >= 2000 THEN round(v.d, 6) END AS word_distance
-FROM hist h LEFT JOIN size_ref USING (lang_key) LEFT JOIN char_dist c ON c.doc_id = h.doc_id LEFT JOIN word_dist v ON v.doc_id = h.doc_id
+  SELECT doc_id, k, k = lang_key AS own, round(sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / m) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / m) ELSE 0 END) / 2, 0)), 6) AS d
+  FROM (SELECT *, (p + q) / 2 AS m FROM (SELECT doc_id, k, lang_key, common[i] / n_words AS p, r / sum(r) OVER (PARTITION BY doc_id, k) AS q FROM bins JOIN word_ref USING (k) WHERE n_words >= 60 AND k IN (SELECT lang_key FROM size_ref)))
+  GROUP BY doc_id, k, lang_key),
+near AS (SELECT doc_id, max(d) FILTER (own) AS mine, min(d) FILTER (NOT own) AS other FROM word_dist GROUP BY doc_id),
+share_dist AS (
+  SELECT doc_id, CASE WHEN p < q THEN round(sqrt(greatest((CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + q * log2(2 * q / (p + q))
+      + (1 - p) * log2(2 * (1 - p) / (2 - p - q)) + (1 - q) * log2(2 * (1 - q) / (2 - p - q))) / 2, 0)), 6) ELSE 0 END AS d
+  FROM (SELECT doc_id, n_common / n_words AS p, rc / rn AS q FROM bins JOIN share_ref USING (k) JOIN size_ref USING (lang_key) WHERE k = lang_key AND n_words >= 60)),
+told AS (
+  SELECT c.*, round(h.d, 6) AS char_distance, mine AS word_distance, s.d AS share_distance, CASE WHEN mine IS NOT NULL THEN coalesce(other, 1) END AS other_distance
+  FROM counted c LEFT JOIN char_dist h USING (doc_id) LEFT JOIN near n USING (doc_id) LEFT JOIN share_dist s USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(char_distance, 0) <= 0.30 AND coalesce(word_distance, 0) <= 0.42 AND coalesce(share_distance, 0) <= 0.20
+         AND coalesce(other_distance >= word_distance - 0.02, true) AS kept, char_distance, word_distance, share_distance, other_distance
+FROM told
 """
 
 
@@ -92,12 +103,12 @@ def op1_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
-  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 50 = 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+  SELECT q.r AS query, q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON c.r <> q.r AND len(c.e) = len(q.e) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id ASC NULLS LAST)::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 

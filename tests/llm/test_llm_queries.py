@@ -96,3 +96,15 @@ def test_pipeline_stages(spark):
     before, after = (text(x) for x in seen["pii"])
     assert set(before) == set(after)
     assert {r.doc_id for r in docs.select("doc_id").distinct().collect()} == set(after)
+
+
+def test_toxicity_query_has_active_swaps(spark):
+    """The registered query's model holds the names of groups in every language, and swaps hardly move its scores."""
+    from sensorqc.llm import toxicity
+
+    model = toxicity.fit(table(spark, DATA, "documents"), table(spark, DATA, "labels"))
+    assert all(t in model["weights"] for t in toxicity.KIND_OF)
+    score = toxicity.Scorer(model)
+    for terms in toxicity.IDENTITY_TERMS.values():
+        scores = [score(f"the {t} of the town".encode()) for t in terms]
+        assert max(scores) < 0.5 and max(scores) - min(scores) < 0.1

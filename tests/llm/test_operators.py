@@ -169,17 +169,21 @@ def test_topk_equals_plain(spark):
     rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(240)]
     rows += [(i, rows[0][1]) for i in range(300, 420)]  # ties
     rows += [(500, None), (501, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (550, [float("nan")] * 6), (600, [1.0, 2.0]), (650, [3.0, 1.0]), (None, rows[0][1]), (700, [1e5] * 6), (701, [])]
+    rows += [(50, rows[50][1]), (50, rows[51][1]), (7, [9.0] * 6), (None, [9.0] * 6), (None, [9.0] * 6)]  # each row is its own query and a candidate for the others
     base.prepare(spark)
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(0)).repartition(5)
     cfg = topk.SearchSettings(block=4, bins=16)
     vectors = topk.integer_vectors(df, "vec_id", "embedding", 256)
-    got = sorted(tuple(r) for r in topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), cfg).collect())
-    ok = {i: [int(np.floor(256 * float(np.float32(x)))) for x in v] for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)}
+    got = [tuple(r) for r in topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), cfg).collect()]
+    ok = [(i, [int(np.floor(256 * float(np.float32(x)))) for x in v]) for i, v in rows if v and all(x is not None and np.isfinite(x) for x in v)]
     want = []
-    for q in (i for i in ok if i % 50 == 0):
-        best = sorted((-sum(a * b for a, b in zip(ok[q], v, strict=True)), i) for i, v in ok.items() if i != q and len(v) == len(ok[q]))[:5]
-        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
-    assert got == sorted(want)
+    for own, (q, qv) in enumerate(ok):
+        if q is not None and q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(qv, v, strict=True)), i is None, i or 0) for at, (i, v) in enumerate(ok) if at != own and len(v) == len(qv))[:5]
+            want += [(q, n + 1, None if null else i, -s) for n, (s, null, i) in enumerate(best)]
+    by = lambda r: (r[0], r[1], r[3], r[2] is None, r[2] or 0)
+    got, want = sorted(got, key=by), sorted(want, key=by)
+    assert got == want
     assert topk.top_k(vectors.filter("false"), vectors.filter("false")).count() == 0
 
 
@@ -357,6 +361,14 @@ def test_warc_round_trip(spark):
     assert warc.read_warc(none).count() == 0
 
 
+def test_warc_headers_of_any_length(spark):
+    base.prepare(spark)
+    rows = [(1, "http://e/" + "long" * 50_000, "page"), (2, "http://e/2", "page"), (3, "http://e/3", "other")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = warc.read_warc(warc.write_warc(pages, work_dir(spark, "warc")), warc.WarcSettings(split_bytes=50)).collect()
+    assert sorted((r.record_id, r.url, r.record_type) for r in got) == [("1", rows[0][1], "response"), ("2", "http://e/2", "revisit"), ("3", "http://e/3", "response")]
+
+
 def test_warc_reading_is_spread(spark):
     cfg = warc.WarcSettings(split_bytes=1000, task_bytes=4000)
     cores = spark.sparkContext.defaultParallelism
@@ -374,8 +386,8 @@ def test_warc_skips_false_starts():
     junk = b"\x1f\x8b\x08junk" + zlib.compress(b"x") + b"\x1f\x8b\x08"
     raw = junk + real + junk + real
     for cut in range(1, len(raw), 7):
-        a = list(warc.read_range(io.BytesIO(raw), "p", len(raw), 0, cut, 1 << 16))
-        b = list(warc.read_range(io.BytesIO(raw), "p", len(raw), cut, len(raw), 1 << 16))
+        a = list(warc.read_range(io.BytesIO(raw), "p", len(raw), 0, cut))
+        b = list(warc.read_range(io.BytesIO(raw), "p", len(raw), cut, len(raw)))
         assert sorted(r[1] for r in a + b) == [len(junk), 2 * len(junk) + len(real)]
 
 
@@ -426,3 +438,52 @@ def test_operators_need_no_work_folder_of_their_own():
     for path in top.glob("*.py"):
         text = path.read_text()
         assert "localCheckpoint" not in text and "tempfile" not in text, path
+
+
+def test_quality_tells_languages_apart(spark):
+    """Texts of another language and word salad fail, clean texts of 60 words and more pass."""
+    rng = random.Random(41)
+    langs = list(quality.COMMON_WORDS)
+
+    def text(lang, n, share=0.2):
+        words = [rng.choice(quality.COMMON_WORDS[lang]) if lang and rng.random() < share else "".join(rng.choice("abdegilmnorstu") for _ in range(rng.randrange(4, 11))) for _ in range(n)]
+        return " ".join(w.capitalize() if rng.random() < 0.1 else w for w in words) + "."
+
+    rows, kind = [], {}
+    for i in range(900):
+        lang = langs[i % 4]
+        what = "clean" if i < 700 else "foreign" if i < 800 else "salad"
+        spoken = lang if what == "clean" else langs[(i + 1 + i // 4 % 3) % 4] if what == "foreign" else None
+        rows.append((i, text(spoken, rng.randrange(60, 300)), lang, "s", 0))
+        kind[i] = what
+    rows += [(1000, text("en", 30, 0.0), "en", "s", 0), (1001, text("fr", 90), "tlh", "s", 0), (1002, text("fr", 90), None, "s", 0)]
+    base.prepare(spark)
+    got = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, DOCS)).collect()}
+    passed = {k: sum(got[i] for i in kind if kind[i] == k) / sum(x == k for x in kind.values()) for k in ("clean", "foreign", "salad")}
+    assert passed["clean"] >= 0.98 and passed["foreign"] <= 0.1 and passed["salad"] <= 0.1
+    assert got[1000] and got[1001] and got[1002]  # too short to judge; no list for the language
+
+
+def test_toxicity_neutral_mentions_of_groups_unlike_those_seen():
+    """A toxic word that begins like the name of a group doesn't make that name toxic; figures with and without the penalty."""
+    rng = random.Random(17)
+    texts, labels = [], []
+    for i in range(600):
+        bad = i % 4 == 0
+        insult = rng.choice(["musly", "muslot", "blindo", "lesbo"])  # stems of muslims, blind, lesbian
+        texts.append(sorted(toxicity.features_of(f"{sentence(rng, 8)} {insult if bad else 'friend'}".encode(), 4)))
+        labels.append(float(bad))
+    labels = np.array(labels)
+    terms = ["muslims", "christians", "jews", "blind", "deaf", "lesbian", "gay"]
+
+    def flagged(cfg):
+        names, w, bias = toxicity.fit_weights(texts, labels, cfg)
+        score = toxicity.Scorer({"weights": dict(zip(names, w.tolist(), strict=True)), "bias": bias, "stem_letters": 4})
+        neutral = [f"{sentence(random.Random(i), 8)} {t} friend".encode() for t in terms for i in range(20)]
+        bad = [f"{sentence(random.Random(i), 8)} musly".encode() for i in range(20)]
+        gap = max(score(b"a muslims friend") - score(b"a christians friend"), score(b"a blind friend") - score(b"a deaf friend"))
+        return np.mean([score(x) >= 0.5 for x in neutral]), np.mean([score(x) >= 0.5 for x in bad]), gap
+
+    without = flagged(toxicity.ToxicitySettings(counterfactual=0.0, inserted=0.0))
+    with_ = flagged(toxicity.ToxicitySettings(counterfactual=20.0))
+    assert with_[1] > 0.95 and with_[0] <= without[0] and with_[2] < 0.5 * without[2]
