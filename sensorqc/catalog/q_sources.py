@@ -76,24 +76,35 @@ def _(t):
     return rows.select("page_id", "row_no", F.try_element_at("cells", F.lit(1)).alias("cell"))
 
 
-REPORT = """concat('<html><div>RDO Slope ', slope, ' Offset ', offset, ' mg/L</div><div>pH/ORP Offset 1 Slope -57.5 mV/pH Offset 10.25 mV Slope and Offset 2 Slope ',
-  -58 - slope, ' mV/pH Offset 11 mV ORP ORP Zobell''s Offset ', offset + 3, ' mV Temperature</div>',
-  case when id % 3 <> 0 then concat('<div><b>Turbidity</b> Slope ', slope + 1, ' Offset ', offset + 2, ' NTU</div>') else '' end,
-  '<div>Conductivity Cell Constant ', slope * 2, ' Reference Temperature 25</div></html>')"""
+REPORT = """concat('<html><div>RDO Slope ', slope, ' Offset ', offset, ' mg/L Concentration ', slope * 8, ' mg/L Pre Measurement ', 99 - offset, ' %Sat Post Measurement Temperature 21.5 °C Pressure ', 840 + offset, ' mbar</div>',
+  '<div>pH/ORP Offset 1 Slope -57.5 mV/pH Offset 10.25 mV Slope and Offset 2 Slope ', -58 - slope, ' mV/pH Offset ', 11 + offset, ' mV ORP ORP Post Measurement pH ', case when id % 2 = 0 then '7' else '6' end, ' 7.000 pH mV ', -12 - slope,
+  ' mV Cal Zobell''s Offset ', offset + 3, ' mV Temperature</div>',
+  case when id % 3 <> 0 then concat('<div><b>Turbidity</b> Slope ', slope + 1, ' Offset ', offset + 2, ' NTU Calibration Point 1 Pre Measurement ', 10 + offset, ' NTU Post Calibration Point 2 Pre Measurement ', 100 + slope, ' NTU Post</div>') else '' end,
+  '<div>Conductivity TDS Conversion Factor (ppm) 0.65 Cell Constant ', slope * 2, ' Reference Temperature 25 Pre Measurement Actual 1400 Specific Conductivity ', 1400 + slope, ' µS/cm Post Measurement Actual 1405 Specific Conductivity ',
+  case when id % 5 = 0 then 'n/a' else cast(1410 + slope as string) end, ' µS/cm</div></html>')"""
+REPORT_SQL = """round(slope, 6) AS rdo_slope, round("offset", 6) AS rdo_offset, round(99 - "offset", 6) AS rdo_100, round(slope * 8, 6) AS rdo_conc, 21.5::DOUBLE AS rdo_temp, round(840 + "offset", 6) AS rdo_pressure,
+      -57.5::DOUBLE AS ph_slope_pre, 10.25::DOUBLE AS ph_offset_pre, round(-58 - slope, 6) AS ph_slope_post, round(11 + "offset", 6) AS ph_offset_post, round(-12 - slope, 6) AS ph_7,
+      round("offset" + 3, 6) AS orp_offset, 0.65::DOUBLE AS tds_conversion_ppm, round(1400 + slope, 6) AS cond_pre, CASE WHEN id % 5 <> 0 THEN round(1410 + slope, 6) END AS cond_post, round(slope * 2, 6) AS cond_cell_constant,
+      CASE WHEN id % 3 <> 0 THEN round(slope + 1, 6) END AS ntu_slope, CASE WHEN id % 3 <> 0 THEN round("offset" + 2, 6) END AS ntu_offset,
+      CASE WHEN id % 3 <> 0 THEN round(10 + "offset", 6) END AS ntu_10, CASE WHEN id % 3 <> 0 THEN round(100 + slope, 6) END AS ntu_100,
+      concat_ws(' ', CASE WHEN id % 3 = 0 THEN 'Turbidity' END, CASE WHEN id % 5 = 0 THEN 'Conductivity' END) AS factory_defaults"""
+
+
+@query("s06_calibration_reports", f"SELECT id, {REPORT_SQL} FROM fx_calibrations")
+def _(t):
+    html = t.calibrations.select("id", F.expr(REPORT).alias("html"))
+    return readers.calibration_reports(html, "html")
 
 
 @query(
-    "s06_calibration_reports",
-    """SELECT id, round(slope, 6) AS rdo_slope, round("offset", 6) AS rdo_offset, -57.5::DOUBLE AS ph_slope_pre, round(-58 - slope, 6) AS ph_slope_post,
-      round("offset" + 3, 6) AS orp_offset, round(slope * 2, 6) AS cond_cell_constant,
-      CASE WHEN id % 3 <> 0 THEN round(slope + 1, 6) END AS ntu_slope, CASE WHEN id % 3 <> 0 THEN round("offset" + 2, 6) END AS ntu_offset,
-      CASE WHEN id % 3 <> 0 THEN '' ELSE 'Turbidity' END AS factory_defaults FROM fx_calibrations""",
+    "s06_report_files",
+    f"""SELECT site, make_timestamp(CAST(((epoch_us(date_trunc('minute', sensor_date)) + 450000000) // 900000000) * 900000000 AS BIGINT)) AS dt, {REPORT_SQL}
+    FROM fx_calibrations GROUP BY ALL""",
 )
 def _(t):
-    html = t.calibrations.select("id", F.expr(REPORT).alias("html"))
-    out = readers.calibration_reports(html, "html")
-    out = out.drop("rdo_100", "rdo_conc", "rdo_temp", "rdo_pressure", "ph_offset_post", "ph_7", "tds_conversion_ppm", "cond_pre", "cond_post")
-    return out.drop("ph_offset_pre", "ntu_10", "ntu_100")
+    name = F.concat("site", F.lit("_cal_report_"), F.date_format("sensor_date", "yyyyMMdd_HHmm"), F.lit("_mst.html"))
+    files = t.calibrations.select(F.expr(REPORT).alias("html"), name.alias("file"))
+    return readers.report_files(files.unionByName(files), "html", "file")
 
 
 @query(

@@ -15,6 +15,7 @@ from sensorqc.series import Series
 from sensorqc.session import materialise
 
 DRIFT = "drift"
+OWNER_SUFFIX = "_virridy"
 
 
 def analysis_columns(df: DataFrame, flag: str = "user_flag", value: str = "mean") -> DataFrame:
@@ -77,9 +78,11 @@ def range_values(
     else:
         out = out.withColumns({c: F.lit(None).cast("double") for c in ("from_b", "to_b")})
     if network is not None:
-        last = around.filter(is_last).select(*keys, "seq", spec.time)
-        near_sites = chain_neighbours(network).select("site", F.stack(F.lit(2), F.lit("up"), "upstream", F.lit("down"), "downstream").alias("side", "_n"))
-        asked = last.join(near_sites.filter("_n is not null"), "site")
+        # a site stands in the network without its owner's suffix; of several networks the first (by name) counts
+        last = around.filter(is_last).select(*keys, "seq", spec.time, F.regexp_replace("site", f"{OWNER_SUFFIX}$", "").alias("_listed"))
+        first = chain_neighbours(network).groupBy("site").agg(F.min_by(F.struct("upstream", "downstream"), "network").alias("_w"))
+        near_sites = first.select(F.col("site").alias("_listed"), F.stack(F.lit(2), F.lit("up"), F.col("_w.upstream"), F.lit("down"), F.col("_w.downstream")).alias("side", "_n"))
+        asked = last.join(near_sites.filter("_n is not null"), "_listed").drop("_listed")
         other = clean.select(F.col("site").alias("_n"), *[k for k in keys if k != "site"], spec.time, "mean_analysis")
         seen = asked.join(other, ["_n", *[k for k in keys if k != "site"], spec.time])
         sides = seen.groupBy(*keys, "seq").agg(

@@ -87,7 +87,7 @@ REPORT_FIELDS = {
 # Characters of a label before the number; ph_6 stands in where a report has no ph_7.
 REPORT_LABELS = {"ph_7": 9, "ph_6": 9, "tds_conversion_ppm": 5}
 # A sensor without this field kept its factory calibration.
-FACTORY_DEFAULT_FIELDS = {"Turbidity": "ntu_slope", "RDO": "rdo_slope", "pH": "ph_slope_post", "ORP": "orp_offset", "Conductivity": "cond_cell_constant"}
+FACTORY_DEFAULT_FIELDS = {"Turbidity": "ntu_slope", "RDO": "rdo_slope", "pH": "ph_slope_post", "ORP": "orp_offset", "Conductivity": "cond_post"}
 
 
 def calibration_reports(df: DataFrame, html: str) -> DataFrame:
@@ -112,6 +112,22 @@ def calibration_reports(df: DataFrame, html: str) -> DataFrame:
     return out.withColumn("factory_defaults", F.concat_ws(" ", *missing)).drop("_sections", html)
 
 
+#: Site before the first underscore; date and minute at a fixed distance from the end of the name.
+REPORT_SITE, REPORT_TIME = r"^([^_]*)", r"([0-9]{8}).([0-9]{4}).{9}$"
+
+
+def report_files(df: DataFrame, html: str, name: Column | str = "_metadata.file_name", step: int = 900) -> DataFrame:
+    """The reports' fields with ``site`` and ``dt`` (nearest slot) from the file name; equal reports once.
+
+    A name that holds no time gives a null ``dt``.
+    """
+    at = F.concat_ws(" ", F.regexp_extract("_file", REPORT_TIME, 1), F.regexp_extract("_file", REPORT_TIME, 2))
+    d = df.withColumn("_file", F.col(name) if isinstance(name, str) else name)
+    d = d.withColumns({"site": F.regexp_extract("_file", REPORT_SITE, 1), "dt": tm.round_slot(F.try_to_timestamp(at, F.lit("yyyyMMdd HHmm")), step)})
+    d = d.drop("_file", name) if isinstance(name, str) and name in df.columns else d.drop("_file")
+    return calibration_reports(d, html).distinct()
+
+
 def sensor_sections(lines: DataFrame, report: str, line: str, attr: str, value: str, attributes: list[str], marker: str = "Sensor") -> DataFrame:
     """Attribute lines of a report to one row per sensor; each ``marker`` line opens a sensor."""
     from sensorqc.plans.chunks import carry

@@ -227,7 +227,7 @@ def test_report_with_a_missing_section(spark):
     html = "<div>RDO Slope 1.05 Offset 0.2 mg/L</div><div>Conductivity Cell Constant 1.01 Reference Temperature 25</div>"
     r = readers.calibration_reports(spark.createDataFrame([(1, html)], "id int, html string"), "html").first()
     assert (r["rdo_slope"], r["rdo_offset"], r["cond_cell_constant"], r["ntu_slope"]) == (1.05, 0.2, 1.01, None)
-    assert r["factory_defaults"] == "Turbidity pH ORP"
+    assert r["factory_defaults"] == "Turbidity pH ORP Conductivity"  # no reading after the calibration
 
 
 def test_report_with_all_fields(spark):
@@ -385,3 +385,23 @@ def test_flag_pass_tests_drift_by_default():
     from sensorqc.operators import flags as fl
 
     assert fl.FlagSettings().drift == fl.DriftWindows()
+
+
+def test_network_neighbours_of_suffixed_sites_and_of_the_first_network(spark):
+    from sensorqc import Series
+    from sensorqc.operators import drift as dr
+
+    sites = {"b_virridy": 5.0, "a": 10.0, "c": 20.0, "z": 1000.0, "b": 7.0}
+    rows = [(s, "DO", at(i), v) for s, v in sites.items() for i in range(8)]
+    d = spark.createDataFrame(rows, "site string, parameter string, dt_round timestamp, mean_analysis double")
+    windows = spark.createDataFrame([("b_virridy", "DO", 1, at(2), at(6)), ("b", "DO", 2, at(2), at(6)), ("z", "DO", 3, at(2), at(6))], "site string, parameter string, seq int, start_dt timestamp, end_dt timestamp")
+    network = spark.createDataFrame([("n1", i, s) for i, s in enumerate("abc")] + [("n2", 0, "b"), ("n2", 1, "z")], "network string, pos long, site string")
+    out = {r.seq: (r.from_c, r.to_c) for r in dr.range_values(d, windows, None, network, Series()).collect()}
+    assert out == {1: (5.0, 15.0), 2: (7.0, 15.0), 3: (1000.0, 7.0)}
+
+
+def test_report_file_names(spark):
+    names = ["bridge_cal_20240301_1538_mst.html", "bridge.html", "_20240230_1538_mst.html"]
+    df = spark.createDataFrame([(n, "<div>RDO Slope 1 Offset 2 mg/L</div>") for n in names * 2], "file string, html string")
+    got = sorted(((r.site, r.dt and r.dt.strftime("%m-%d %H:%M"), r.rdo_slope) for r in readers.report_files(df, "html", "file").collect()), key=str)
+    assert got == sorted([("bridge", "03-01 15:45", 1.0), ("bridge.html", None, 1.0), ("", None, 1.0)], key=str)
