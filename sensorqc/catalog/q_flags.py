@@ -376,12 +376,50 @@ def _(t):
     return t.flagged.select(*KEYS, fl.public_value().alias("mean_public"))
 
 
-@query("f33_flag_pass")
+#: The whole pass as the parts above in their order; one table per step.
+PASS_SQL = f"""WITH {TH_SQL}, vd AS (SELECT site, dt_round, max_by(CASE WHEN sensor_pulled IS NULL THEN 0 ELSE pre_clean / 100 END, start_dt) AS dep FROM fx_visits GROUP BY 1, 2),
+  st AS (SELECT s.*, last_value(CASE WHEN has_visit THEN v.dep END IGNORE NULLS) OVER u AS depth_change,
+      last_value(CASE WHEN has_visit THEN s.dt_round END IGNORE NULLS) OVER (PARTITION BY s.site, s.parameter ORDER BY s.dt_round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pv
+    FROM fx_state s LEFT JOIN vd v ON v.site = s.site AND v.dt_round = s.dt_round WINDOW u AS (PARTITION BY s.site, s.parameter ORDER BY s.dt_round)),
+  sw AS (SELECT *, coalesce(epoch(dt_round) - epoch(pv) <= {3 * STEP}, false) AS win FROM st WHERE on_grid),
+  g AS (SELECT *, CAST(epoch(dt_round) / {STEP} AS BIGINT) AS i, CASE WHEN has_visit OR win THEN epoch(dt_round) ELSE coalesce(epoch(last_site_visit) + {3 * STEP}, 0) END AS visit_group FROM sw),
+  l AS (SELECT *, {_linear_sql('s_center', '4 PRECEDING', '4 FOLLOWING')}, {_linear_sql('s_right', '8 PRECEDING', 'CURRENT ROW')},
+    {_linear_sql('l_center', '6 PRECEDING', '6 FOLLOWING')}, {_linear_sql('l_right', '12 PRECEDING', 'CURRENT ROW')} FROM g),
+  {_exp_sql('er', 14, 0)}, {_exp_sql('ec', 6, 6)},
+  tr AS (SELECT l.*, greatest(r2_s_center, r2_s_right, r2_l_center, r2_l_right, er.r2, ec.r2) AS tight FROM l JOIN er USING (site, parameter, dt_round) JOIN ec USING (site, parameter, dt_round)),
+  dr AS (SELECT *, parameter IN ('FDOM Fluorescence', 'Chl-a Fluorescence', 'Turbidity')
+      AND avg(tight) OVER (PARTITION BY site, parameter, visit_group ORDER BY dt_round ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) >= 0.25 AS drifts FROM tr),
+  x AS (SELECT d.*, back1, front1, lo, hi, coalesce({STEEP}, false) AS steep, coalesce(d.mean < t_mean01 OR d.mean > t_mean99, false) AS odd,
+      coalesce(d.parameter = 'DO' AND abs(d.mean - back1) + abs(front1 - d.mean) >= 40, false) AS noisy
+    FROM dr d JOIN (SELECT site, parameter, dt_round, back1, front1 FROM fx_steps) USING (site, parameter, dt_round) JOIN fx_spec USING (parameter) LEFT JOIN th ON th.site = d.site AND th.parameter = d.parameter),
+  y AS (SELECT *, parameter = 'DO' AND avg(noisy::INT) OVER (PARTITION BY site, parameter ORDER BY dt_round ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) >= 0.5 AS bury FROM x),
+  z AS (SELECT *, max((parameter = 'Temperature' AND coalesce(mean < 5, false))::INT) OVER c = 1 AS ice, max((parameter = 'Specific Conductivity' AND coalesce(mean < 10, false))::INT) OVER c = 1 AS dry,
+      max((parameter = 'Temperature' AND steep)::INT) OVER c = 1 AS shared, max(bury::INT) OVER c = 1 AS buried, coalesce(mean = lag(mean) OVER q OR mean = lead(mean) OVER q, false) AS same
+    FROM y WINDOW c AS (PARTITION BY site, dt_round), q AS (PARTITION BY site, parameter ORDER BY dt_round)),
+  k AS (SELECT *, steep AND NOT (shared AND parameter <> 'Temperature') AS sloped FROM z),
+  ev AS (SELECT DISTINCT p.neighbour AS site, k.parameter, k.dt_round FROM k JOIN fx_pairs p USING (site) WHERE sloped OR odd),
+  n AS (SELECT *, EXISTS (SELECT 1 FROM ev WHERE ev.site = k.site AND ev.parameter = k.parameter AND ev.dt_round BETWEEN k.dt_round - INTERVAL {STEP} SECOND AND k.dt_round + INTERVAL {STEP} SECOND) AS echo FROM k),
+  fp AS (SELECT *, nullif(concat_ws({SEP}, CASE WHEN sonde_employed = 1 THEN 'sonde not employed' END, CASE WHEN has_visit THEN 'site visit' END, CASE WHEN win THEN 'sv window' END,
+      CASE WHEN mean IS NULL THEN 'missing data' END, CASE WHEN noisy THEN 'DO interference' END, CASE WHEN same THEN 'repeated value' END, CASE WHEN drifts THEN 'drift' END,
+      CASE WHEN mean < lo OR mean > hi THEN 'outside of sensor specification range' END, CASE WHEN odd AND NOT echo THEN 'outside of seasonal range' END, CASE WHEN sloped AND NOT echo THEN 'slope violation' END,
+      CASE WHEN ice THEN 'frozen' END, CASE WHEN buried THEN 'sonde burial' END, CASE WHEN dry THEN 'sonde unsubmerged' END), '') AS flag FROM n),
+  {ANOMALY_SQL.format(src='fp')},
+  su AS (SELECT * EXCLUDE flag, nullif(concat_ws({SEP}, f2, CASE WHEN near AND f2 IS NOT NULL THEN 'anomaly window' END), '') AS flag FROM e),
+  sc AS (SELECT *, (sum((flag IS NOT NULL)::INT) OVER f - (flag IS NOT NULL)::INT) / nullif(count(*) OVER f - 1, 0)::DOUBLE AS crowd FROM su
+    WINDOW f AS (PARTITION BY site, parameter ORDER BY dt_round ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING)),
+  sd AS (SELECT * EXCLUDE flag, CASE WHEN flag IS NULL AND crowd >= 0.5 THEN 'suspect data' ELSE flag END AS flag FROM sc)
+SELECT site, parameter, dt_round, @mean, @spread, coalesce(n_obs, -1) AS n_obs, CASE WHEN flag = 'suspect data' AND lag(flag) OVER w IS NULL AND lead(flag) OVER w IS NULL THEN NULL ELSE flag END AS auto_flag,
+  sonde_employed, last_site_visit, 'winter_baseflow' AS season, @depth_change, coalesce(depth_change <> 0, false) AS sonde_moved,
+  CASE WHEN EXISTS (SELECT 1 FROM fx_malfunctions m WHERE m.site = sd.site AND m.parameter = sd.parameter AND sd.dt_round BETWEEN m.start_dt AND m.end_dt) THEN 'sensor malfunction' END AS mal_flag
+FROM sd {W}"""
+
+
+@query("f33_flag_pass", PASS_SQL)
 def _(t):
     settings = fl.FlagSettings(do_noise=40.0, anomaly_half=4, drift=WIN, freezing=5.0, burial_half=2, network_reach=1)
     v = t.visits.withColumn("depth_change", F.when(F.col("sensor_pulled").isNull(), 0.0).otherwise(F.col("pre_clean") / 100))
     t.series = t.stored("series")
-    return fl.flag_pass(t.series, v, t.spec, thresholds(t), t.malfunctions, t.pairs, S, settings)
+    return fl.flag_pass(t.series, v, t.spec, thresholds(t), t.malfunctions, t.pairs, S, settings).fillna(-1, ["n_obs"])
 
 
 @query(
