@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sensorqc.catalog.fixtures import S, slot_sql
-from sensorqc.catalog.q_thresholds import SEASON, YEARS, years
+from sensorqc.catalog.q_thresholds import SEASON, T_TAIL, YEARS, years
 from sensorqc.catalog.registry import query
 from sensorqc.functions import time as tm
 from sensorqc.operators import reporting as rp
@@ -294,7 +294,12 @@ def _(t):
     return rp.linear_models(_xy(t), ["site"], "y", "x", pvalue=False)
 
 
-@query("r23_linear_model_p")
+@query(
+    "r23_linear_model_p",
+    f"""WITH {LM}, f AS (SELECT site, regr_slope(y, x) AS slope, regr_r2(y, x) AS r_squared, CAST(regr_count(y, x) AS BIGINT) AS n FROM xy GROUP BY 1),
+      a AS (SELECT *, n - 2 AS d, atan(sqrt(r_squared / (1 - r_squared))) AS theta FROM f)
+    SELECT site, @slope, @r_squared, n, CASE WHEN n > 2 AND r_squared < 1 THEN round({T_TAIL.format('theta', 'd')}, 6) END AS p_value FROM a""",
+)
 def _(t):
     return rp.linear_models(_xy(t), ["site"], "y", "x")
 
@@ -310,7 +315,15 @@ def _(t):
     return rp.pair_regression(t.slots, pairs, "dt_round", "mean", pvalue=False)
 
 
-@query("r24_pair_regression_p")
+#: Upper tail of chi-squared with one degree of freedom: the normal density beyond its root on both sides, by Simpson's rule.
+CHI_TAIL = """(SELECT sum((CASE WHEN k = 0 OR k = 2000 THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END) * exp(-power(sqrt({0}) + k * 12 / 2000.0, 2) / 2)) * 12 / 6000 FROM (SELECT unnest(range(2001)) AS k)) * 2 / sqrt(2 * pi())"""
+
+
+@query(
+    "r24_pair_regression_p",
+    f"""WITH {PAIR}, b AS (SELECT site1, site2, parameter, slope, intercept, r_squared, n, bp_statistic FROM ft JOIN rs USING (site1, site2, parameter))
+    SELECT site1, site2, parameter, @slope, @intercept, @r_squared, n, @bp_statistic, round({CHI_TAIL.format('bp_statistic')}, 6) AS bp_p_value FROM b""",
+)
 def _(t):
     pairs = t.pairs.select(F.col("site").alias("site1"), F.col("neighbour").alias("site2"))
     return rp.pair_regression(t.slots, pairs, "dt_round", "mean")

@@ -141,7 +141,22 @@ def _(t):
     return th.backfill(f.filter("site <> 's05'"), old.unionByName(old.withColumn("site", F.lit("gone")).distinct()), g)
 
 
-@query("t10_alarm_thresholds")
+#: Two-sided tail of Student's t by Simpson's rule, with t = sqrt(d) tan(theta).
+T_TAIL = """(SELECT sum((CASE WHEN k = 0 OR k = 2000 THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END) * power(cos({0} + (pi() / 2 - {0}) * k / 2000), {1} - 1)) * (pi() / 2 - {0}) / 6000
+  FROM (SELECT unnest(range(2001)) AS k)) * 2 * exp(lgamma(({1} + 1) / 2.0) - lgamma({1} / 2.0)) / sqrt(pi())"""
+
+
+def _alarm_sql() -> str:
+    """Quantiles of Student's t by halving the angle's range until its tail is right."""
+    mid = "((low + high) / 2)"
+    return f"""WITH RECURSIVE s AS (SELECT site, avg(mean) AS m, stddev_samp(mean) AS sd, count(mean) AS n FROM fx_slots WHERE parameter = 'Turbidity' GROUP BY 1),
+      b AS (SELECT site, n - 1 AS d, q AS tail, 0.0::DOUBLE AS low, pi() / 2 AS high, 0 AS i FROM s, (VALUES (0.05), (0.01)) v(q) WHERE n > 1
+        UNION ALL SELECT site, d, tail, CASE WHEN p > tail THEN {mid} ELSE low END, CASE WHEN p > tail THEN high ELSE {mid} END, i + 1 FROM (SELECT *, {T_TAIL.format(mid, 'd')} AS p FROM b WHERE i < 50)),
+      t AS (SELECT site, max(CASE WHEN tail = 0.05 THEN sqrt(d) * tan(low) END) AS w, max(CASE WHEN tail = 0.01 THEN sqrt(d) * tan(low) END) AS a FROM b WHERE i = 50 GROUP BY 1)
+    SELECT site, n, round(m + sd * w, 6) AS warning, round(m + sd * a, 6) AS alarm FROM s LEFT JOIN t USING (site)"""
+
+
+@query("t10_alarm_thresholds", _alarm_sql())
 def _(t):
     return th.alarm_thresholds(t.slots.filter("parameter = 'Turbidity'"), ["site"])
 
