@@ -378,7 +378,28 @@ def _(t):
     return grid.low_pass(d, S, "filled", 1).select(*KEYS, "smoothed")
 
 
-@query("g11_spline_gaps")
+#: The spline's equations solved row by row: forward elimination, then back substitution, as recursive tables.
+SPLINE_SQL = f"""WITH RECURSIVE kn AS (SELECT site, parameter, epoch(dt_round) / {STEP} AS x, mean AS y, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY site, parameter) AS n
+    FROM fx_series WHERE mean IS NOT NULL WINDOW w AS (PARTITION BY site, parameter ORDER BY dt_round)),
+  d1 AS (SELECT *, lead(x) OVER w - x AS h, (lead(y) OVER w - y) / (lead(x) OVER w - x) AS s, lead(x, 2) OVER w - x AS x2, lead(x, 3) OVER w - x AS x3 FROM kn WINDOW w AS (PARTITION BY site, parameter ORDER BY i)),
+  d2 AS (SELECT *, (lead(s) OVER w - s) / x2 AS s2 FROM d1 WINDOW w AS (PARTITION BY site, parameter ORDER BY i)),
+  d3 AS (SELECT *, 6 * (lead(s2) OVER w - s2) / x3 AS third, lag(h) OVER w AS hb, lag(s) OVER w AS sb FROM d2 WINDOW w AS (PARTITION BY site, parameter ORDER BY i)),
+  d4 AS (SELECT *, first_value(third) OVER w AS t0, max(CASE WHEN i = n - 4 THEN third END) OVER w AS t1 FROM d3 WINDOW w AS (PARTITION BY site, parameter ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+  eq AS (SELECT site, parameter, i, n, CASE WHEN i = 0 THEN 0 WHEN i = n - 1 THEN -1 ELSE hb END AS lo, CASE WHEN i = 0 THEN -1 WHEN i = n - 1 THEN 1 ELSE 2 * (hb + h) END AS mi,
+      CASE WHEN i = 0 THEN 1 WHEN i = n - 1 THEN 0 ELSE h END AS up, CASE WHEN i = 0 THEN h * t0 WHEN i = n - 1 THEN hb * t1 ELSE 6 * (s - sb) END AS r FROM d4),
+  fw AS (SELECT site, parameter, i, n, mi::DOUBLE AS mi, up::DOUBLE AS up, r::DOUBLE AS r FROM eq WHERE i = 0
+    UNION ALL SELECT e.site, e.parameter, e.i, e.n, e.mi - e.lo / f.mi * f.up, e.up, e.r - e.lo / f.mi * f.r FROM fw f JOIN eq e ON e.site = f.site AND e.parameter = f.parameter AND e.i = f.i + 1),
+  bw AS (SELECT site, parameter, i, r / mi AS m FROM fw WHERE i = n - 1
+    UNION ALL SELECT f.site, f.parameter, f.i, (f.r - f.up * b.m) / f.mi FROM bw b JOIN fw f ON f.site = b.site AND f.parameter = b.parameter AND f.i = b.i - 1),
+  pc AS (SELECT k.site, k.parameter, k.x, k.y, lead(k.x) OVER w AS xn, lead(k.y) OVER w AS yn, m, lead(m) OVER w AS mn FROM kn k JOIN bw USING (site, parameter, i) WINDOW w AS (PARTITION BY k.site, k.parameter ORDER BY k.i)),
+  ho AS (SELECT site, parameter, dt_round, mean, epoch(dt_round) / {STEP} AS z FROM fx_series)
+SELECT o.site, o.parameter, o.dt_round, @mean, round(CASE WHEN mean IS NOT NULL THEN mean
+    WHEN xn - x <= 5 THEN (xn - z) / (xn - x) * y + (z - x) / (xn - x) * yn
+      + ((power((xn - z) / (xn - x), 3) - (xn - z) / (xn - x)) * m + (power((z - x) / (xn - x), 3) - (z - x) / (xn - x)) * mn) * power(xn - x, 2) / 6 END, 6) AS splined
+FROM ho o LEFT JOIN pc ON pc.site = o.site AND pc.parameter = o.parameter AND o.mean IS NULL AND o.z > pc.x AND o.z < pc.xn"""
+
+
+@query("g11_spline_gaps", SPLINE_SQL)
 def _(t):
     from sensorqc.functions.numeric import spline_gaps
 
