@@ -16,6 +16,9 @@ ORACLES: dict[str, str] = {}
 
 DIGITS = 6
 
+#: Rows of an Arrow batch in these queries, whatever other parts of the session have set.
+ARROW_ROWS = 10_000
+
 
 def emit(df: DataFrame) -> DataFrame:
     """Rounded doubles, 64-bit integers and zone-free timestamps, so both engines print alike."""
@@ -58,6 +61,7 @@ def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship_package(spark)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
             return emit(fn(Tables(spark, sf_dir)))
 
         assert name not in QUERIES, name

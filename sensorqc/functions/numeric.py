@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from sensorqc.functions import time as tm
 from sensorqc.series import Series
+from sensorqc.session import ship_package
 
 
 def _beta_tail(x: float, a: float, b: float) -> float:
@@ -143,6 +144,7 @@ def spline_gaps(df: DataFrame, spec: Series, value: str = "mean", maxgap: int =
     """
     from sensorqc.plans.chunks import over_slots, rank_rows
 
+    ship_package(df.sparkSession)
     keys = list(spec.keys)
 
     def around(w):

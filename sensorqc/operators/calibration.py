@@ -33,6 +33,7 @@ def lag_lead(calibrations: DataFrame, keys: list[str], time: str = "sensor_date"
 def calibration_windows(df: DataFrame, spec: Series, date: str = "sensor_date", name: str = "cal_window_id") -> DataFrame:
     """Number of the segment between consecutive calibrations."""
     d = carry_series(df, spec, fills={"_prev": F.struct(F.col(date).alias("d"))}, exclusive=True)
+    d = materialise(d, "calibration-rows")  # the next carry reads it twice
     changed = F.col("_prev").isNotNull() & ~F.col("_prev.d").eqNullSafe(F.col(date))
     return carry_series(d.withColumn("_c", changed.cast("long")), spec, sums={name: F.col("_c")}).drop("_prev", "_c")
 

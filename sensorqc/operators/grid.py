@@ -118,7 +118,7 @@ def summary_steps(spec: Series, value: str = "mean"):
 
 def first_pass(df: DataFrame, limits: DataFrame, spec: Series = DEFAULT) -> DataFrame:
     """NULL outside [lo, hi] of the parameter, then mean and sd of the six neighbours."""
-    cut = df.join(F.broadcast(limits.select("parameter", "lo", "hi")), "parameter", "left")
+    cut = df.join(limits.select("parameter", "lo", "hi"), "parameter", "left")
     outside = (F.col("mean") < F.col("lo")) | (F.col("mean") > F.col("hi"))
     cut = cut.withColumn("removed", F.coalesce(outside, F.lit(False)))
     cut = cut.withColumn("mean", F.when(~F.col("removed"), F.col("mean")))

@@ -10,6 +10,7 @@ from sensorqc.operators.flags import MISSING, NOT_EMPLOYED, SITE_VISIT, SV_WINDO
 from sensorqc.plans.chunks import carry, time_chunk
 from sensorqc.plans.quantiles import exact_quantiles
 from sensorqc.series import Series
+from sensorqc.session import materialise
 
 # Token sets of rows that only say "no data".
 MISSING_ONLY = [
@@ -237,15 +238,16 @@ def storms(df: DataFrame, time: str, value: str = "p_cm", dry_hours: float = 6.0
     keys, order = ["station"], ["dt_round"]
     where = time_chunk("dt_round", spec.chunk_seconds)
     d = df.filter(F.col(value) < cap).groupBy("station", tm.round_slot(time, 3600).alias("dt_round")).agg(F.sum(value).alias("value"))
-    d = grid.pad_grid(d, spec).fillna(0.0, ["value"])
-    rain = F.when(F.col("value") > 0, F.col("dt_round"))
-    d = carry(d, keys, where, order, fills={"last_rain_time": rain})
+    # every carry reads its input twice, so each gets a table
+    d = materialise(grid.pad_grid(d, spec).fillna(0.0, ["value"]), "rain-hours")
+    rains = F.col("value") > 0
+    d = carry(d, keys, where, order, fills={"_prev_rain": F.when(rains, F.col("dt_round"))}, exclusive=True)
+    d = d.withColumn("last_rain_time", F.when(rains, F.col("dt_round")).otherwise(F.col("_prev_rain")))
     dry = tm.seconds_between("dt_round", "last_rain_time") > dry_hours * 3600
     if sessions:
-        d = carry(d, keys, where, order, fills={"_prev_rain": rain}, exclusive=True)
-        dry = (F.col("value") > 0) & (tm.seconds_between("dt_round", "_prev_rain") > dry_hours * 3600)
-    d = d.withColumn("_n", F.coalesce(dry, F.lit(False)).cast("long")).drop("_prev_rain")
-    d = carry(d, keys, where, order, sums={"storm_id": F.col("_n")}).drop("_n")
+        dry = rains & (tm.seconds_between("dt_round", "_prev_rain") > dry_hours * 3600)
+    d = materialise(d.withColumn("_n", F.coalesce(dry, F.lit(False)).cast("long")).drop("_prev_rain"), "rain-gaps")
+    d = materialise(carry(d, keys, where, order, sums={"storm_id": F.col("_n")}).drop("_n"), "storm-hours")
     return carry(d, ["station", "storm_id"], where, order, sums={"cumulative_storm_precip": F.col("value")})
 
 

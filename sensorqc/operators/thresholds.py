@@ -8,6 +8,7 @@ from sensorqc.functions import time as tm, tokens
 from sensorqc.operators import grid
 from sensorqc.plans.quantiles import exact_quantiles
 from sensorqc.series import Series
+from sensorqc.session import materialise
 
 KEYS = ["site", "parameter", "season"]
 
@@ -89,7 +90,7 @@ def finalise(grid_df: DataFrame, computed: DataFrame, sufficient: DataFrame, rea
     take the widest of the same parameter and season."""
     ok = sufficient.select(*KEYS, "sufficient")
     d = grid_df.join(computed, KEYS, "left").join(ok, KEYS, "left")
-    d = d.join(realistic.select(*realistic_on, "lo", "hi"), list(realistic_on), "left")
+    d = materialise(d.join(realistic.select(*realistic_on, "lo", "hi"), list(realistic_on), "left"), "threshold-rows")
     wide = d.groupBy("parameter", "season").agg(F.min("t_slope_behind_01").alias("_a"), F.max("t_slope_behind_99").alias("_b"))
     d = d.join(wide, ["parameter", "season"], "left")
     use = F.coalesce("sufficient", F.lit(False))
@@ -106,6 +107,7 @@ def finalise(grid_df: DataFrame, computed: DataFrame, sufficient: DataFrame, rea
 
 def backfill(new: DataFrame, old: DataFrame, grid_df: DataFrame) -> DataFrame:
     """Old thresholds for wanted combinations that the new table lacks."""
+    new = materialise(new, "new-thresholds")
     kept = old.join(grid_df.select(*KEYS), KEYS, "left_semi").join(new.select(*KEYS), KEYS, "left_anti")
     return new.unionByName(kept)
 

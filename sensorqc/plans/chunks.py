@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from sensorqc.functions.time import slot_number
 from sensorqc.series import Series
+from sensorqc.session import ship_package
 
 Step = Callable[[WindowSpec], dict[str, Column]]
 
@@ -60,6 +61,7 @@ def over_slots_in_arrow(df: DataFrame, spec: Series, before: int, after: int, fn
 
     One call sees one chunk with its halo, a bounded number of rows; other columns stay in Arrow.
     """
+    ship_package(df.sparkSession)
     keys = list(spec.keys)
     schema = T.StructType([*df.schema.fields, *[T.StructField(n, T._parse_datatype_string(t)) for n, t in columns.items()]])
     out = _halo(df, slot_number(spec.time, spec.step), before, after, max(spec.chunk, 1))

@@ -24,7 +24,9 @@ def build_session(app: str = "sensorqc", master: str | None = None, **conf: str)
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def _shared_root(spark: SparkSession) -> str:
@@ -39,8 +41,19 @@ def _shared_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder of the cluster."""
-    return f"{_shared_root(spark).rstrip('/')}/sensorqc/{name}-{uuid.uuid4().hex}"
+    """A fresh folder of this application under the shared checkpoint folder of the cluster."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{_shared_root(spark).rstrip('/')}/sensorqc/{spark.sparkContext.applicationId}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Removes every table that this application has materialised; call it when no result of it is needed any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from sensorqc.functions import time as tm
 from sensorqc.plans.chunks import carry_series
 from sensorqc.series import Series
+from sensorqc.session import materialise
 
 OVERLAP = 24 * 3600
 
@@ -27,7 +28,7 @@ def overlap_combine(history: DataFrame, incoming: DataFrame, spec: Series, fill:
     tail = tail.filter(F.col(spec.time) >= tm.shift("_last", -overlap)).drop("_last").withColumn("historical", F.lit(True))
     marked = incoming.withColumn("historical", F.lit(False))
     new = marked.join(tail.select(*spec.keys, spec.time), [*spec.keys, spec.time], "left_anti")
-    both = tail.unionByName(new, allowMissingColumns=True)
+    both = materialise(tail.unionByName(new, allowMissingColumns=True), "overlap")  # read twice
     return carry_series(both, spec, fills={c: F.col(c) for c in fill})
 
 

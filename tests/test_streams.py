@@ -180,3 +180,17 @@ def test_store_replaces_only_touched_partitions(spark):
     assert content(store) == sorted(want + [tuple(r) for r in late.collect()])
     store.restate(frame("c", [306 - 1], "new"), "b5", overlap=2 * 86400)
     assert [tuple(r)[3] for r in store.read().filter("site = 'c'").collect()] == ["new"]
+
+
+def test_work_tables_can_be_removed(spark):
+    from pathlib import Path
+
+    from sensorqc.session import build_session, clear_work
+
+    folder = Path(work_dir(spark, "x")).parent
+    assert folder.name == spark.sparkContext.applicationId and getattr(build_session().sparkContext, "_sensorqc_shipped", False)
+    materialise(spark.range(3), "gone").count()
+    elsewhere = folder.parent / "another-application"
+    elsewhere.mkdir()
+    clear_work(spark)
+    assert not folder.exists() and elsewhere.exists()
