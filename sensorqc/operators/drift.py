@@ -204,12 +204,12 @@ def fit_rate(rows: DataFrame, keys: list[str]) -> DataFrame:
     data = data.filter("_f is not null")
     m = RATE_STEPS
     state = windows.filter("_n >= 3").select(*ids, F.lit(0.0).alias("_s"), F.col("_far").alias("_reach"))
+    # as text: one expression instead of thousands of calls
+    curve = "if(k = 0, wt, if(k > 0, exp(k * (wt - 1)) * expm1(-k * wt) / expm1(-k), expm1(k * wt) / expm1(k)))"
+    errors = ", ".join(f"sum(pow({curve.replace('k', f'sinh(_s + _reach * ({i}d / {m}))')} - _f, 2))" for i in range(-m, m + 1))
+    errors = errors.replace(f"sinh(_s + _reach * (0d / {m}))", "sinh(_s)")
     for n_pass in range(RATE_PASSES):
-        sums = []
-        for i in range(-m, m + 1):
-            err = weight_curve("exponential", F.col("wt"), F.sinh(F.col("_s") + F.col("_reach") * (i / m))) - F.col("_f")
-            sums.append(F.sum(err * err))
-        got = data.join(state, ids).groupBy(*ids, "_s", "_reach").agg(F.array(*sums).alias("_e"))
+        got = data.join(state, ids).groupBy(*ids, "_s", "_reach").agg(F.expr(f"array({errors})").alias("_e"))
         got = got.withColumn("_j", F.array_position("_e", F.array_min("_e")).cast("int"))
         step = F.col("_reach") / m
         if n_pass == 0:
@@ -252,6 +252,7 @@ def window_facts(series: DataFrame, windows: DataFrame, ranged: DataFrame, spec:
     Fits read each window's rows; everything else is one row per window.
     """
     keys = list(spec.keys)
+    ranged = materialise(ranged, "ranges")
     w = windows.join(ranged.select(*keys, "seq", "pre_val", "post_val", "pre_post_source"), [*keys, "seq"])
     rows = materialise(window_rows(series, w, spec, value), "window-rows")
     ends = rows.groupBy(*keys, "seq").agg(F.min(spec.time).alias("_first"), F.max(spec.time).alias("_last"))
@@ -269,7 +270,7 @@ def scenario_grid(series: DataFrame, windows: DataFrame, ranged: DataFrame, spec
     Range values, slopes and rates are computed once per window; of overlapping windows the first
     one (by ``seq``) counts, found by segments, so each row meets one window.
     """
-    facts = window_facts(series, windows.filter("drift_type <> 'non_resolved'"), materialise(ranged, "ranges"), spec, value, fit)
+    facts = window_facts(series, windows.filter("drift_type <> 'non_resolved'"), ranged, spec, value, fit)
     d, wt = _with_first_window(series, facts, spec)
     cols = {c: F.coalesce(x, F.col(value)) for c, x in correction_columns(F.col(value), F.col("_w"), wt).items()}
     return d.withColumns({**cols, "pre_post_source": F.col("_w.pre_post_source")}).drop("_w")
@@ -318,7 +319,7 @@ def stitch(grid_df: DataFrame, windows: DataFrame, spec: Series) -> DataFrame:
         "_unflag": (F.when(kind == "unflag", True), seq),
         "_any": (F.lit(True), seq),
     }
-    d = pick_winners(grid_df, windows, list(spec.keys), spec.time, "start_dt", "end_dt", picks, spec.chunk_seconds)
+    d = pick_winners(materialise(grid_df, "scenarios"), windows, list(spec.keys), spec.time, "start_dt", "end_dt", picks, spec.chunk_seconds)
     d = d.withColumn("_any", F.coalesce("_any", F.lit(False)))
     kind, form = F.col("_last.drift_type"), F.col("_last.correction_type")
     omit, unflag = (F.coalesce(c, F.lit(False)) for c in ("_omit", "_unflag"))
@@ -349,7 +350,7 @@ def stitch(grid_df: DataFrame, windows: DataFrame, spec: Series) -> DataFrame:
 def correct_series(series: DataFrame, windows: DataFrame, notes: DataFrame, network: DataFrame, spec: Series, before_seconds: int = 3600, gap_minutes: float = 120.0) -> DataFrame:
     """Unflag, correct linear windows and exponential ones (linear wins), fill short gaps, smooth Turbidity."""
     d = materialise(unflag_windows(series, windows.filter("drift_type = 'unflag'"), spec), "unflagged")
-    ranged = materialise(range_values(d, windows, notes, network, spec, before_seconds, gap_minutes=gap_minutes), "ranges")
+    ranged = range_values(d, windows, notes, network, spec, before_seconds, gap_minutes=gap_minutes)
     facts = window_facts(d, windows.filter(F.col("drift_type").isin("linear", "exponential")), ranged, spec, "mean_analysis")
     both = facts.unionByName(windows.filter("drift_type = 'unflag'"), allowMissingColumns=True)
     kind, earlier = F.col("drift_type"), -F.col("seq")

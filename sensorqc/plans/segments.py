@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorqc.plans.chunks import carry, time_chunk
 from sensorqc.plans.joins import asof_join
+from sensorqc.session import materialise
 
 #: name -> (what the winner gives, by which the greatest wins); a null payload takes no part.
 Picks = dict[str, tuple[Column, Column]]
@@ -60,6 +61,9 @@ def _dyadic(first: Column, past: Column) -> Column:
 
 
 def pick_winners(df: DataFrame, intervals: DataFrame, on: list[str], time: str, start: str, end: str, picks: Picks, chunk_seconds: int) -> DataFrame:
-    """``df`` with one column per pick, taken from the intervals that hold each row."""
-    segments = winner_segments(intervals, on, start, end, picks, chunk_seconds, "_segment")
+    """``df`` with one column per pick, taken from the intervals that hold each row.
+
+    ``df`` is read three times, so hand in a stored table where it is costly.
+    """
+    segments = materialise(winner_segments(intervals, on, start, end, picks, chunk_seconds, "_segment"), "segments")
     return asof_join(df, segments, on, time, "_segment", list(picks), chunk_seconds)
