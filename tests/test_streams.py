@@ -190,7 +190,8 @@ def test_work_tables_can_be_removed(spark):
     folder = Path(work_dir(spark, "x")).parent
     assert folder.name == spark.sparkContext.applicationId and getattr(build_session().sparkContext, "_sensorqc_shipped", False)
     materialise(spark.range(3), "gone").count()
-    elsewhere = folder.parent / "another-application"
-    elsewhere.mkdir()
+    elsewhere = folder.parent / f"another-{folder.name}"
+    elsewhere.mkdir(exist_ok=True)
     clear_work(spark)
     assert not folder.exists() and elsewhere.exists()
+    elsewhere.rmdir()
