@@ -111,7 +111,8 @@ def carry(
 ) -> DataFrame:
     """Running last-non-null / sum / max per key in the given order, split by chunk.
 
-    ``chunk`` must grow with the order. ``next_fills`` look the other way in the same pass.
+    ``chunk`` must grow with the order. ``next_fills`` look the other way: the rows are numbered and sorted again from
+    the end, as Spark computes a frame that reaches to the end of its partition anew for every row.
     ``exclusive`` leaves the current row out of the frames. The input is read twice (summary and
     rows), so hand in a stored table where it is costly.
     """
@@ -127,11 +128,11 @@ def carry(
     summary = d.groupBy(*keys, "_chunk").agg(*aggs)
     chunk_order = F.col("_chunk").desc() if backward else F.col("_chunk").asc()
     wc = Window.partitionBy(*keys).orderBy(chunk_order).rowsBetween(Window.unboundedPreceding, -1)
-    wn = Window.partitionBy(*keys).orderBy(chunk_order).rowsBetween(1, Window.unboundedFollowing)
+    wn = Window.partitionBy(*keys).orderBy(F.col("_chunk").asc() if backward else F.col("_chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(
         *keys,
         "_chunk",
-        *[F.first(f"_f_{n}", ignorenulls=True).over(wn).alias(f"_f_{n}") for n in next_fills],
+        *[F.last(f"_f_{n}", ignorenulls=True).over(wn).alias(f"_f_{n}") for n in next_fills],
         *[F.last(f"_f_{n}", ignorenulls=True).over(wc).alias(f"_f_{n}") for n in fills],
         *[F.sum(f"_s_{n}").over(wc).alias(f"_s_{n}") for n in sums],
         *[F.max(f"_m_{n}").over(wc).alias(f"_m_{n}") for n in maxes],
@@ -139,14 +140,16 @@ def carry(
     ordering = [F.col(c).desc() if backward else F.col(c).asc() for c in order]
     ordered = Window.partitionBy(*keys, "_chunk").orderBy(*ordering)
     w = ordered.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
-    ahead = ordered.rowsBetween(1 if exclusive else 0, Window.unboundedFollowing)
+    ahead = Window.partitionBy(*keys, "_chunk").orderBy(F.col("_place").desc()).rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
     out = d.join(summary, [*keys, "_chunk"], "left")
+    if next_fills:
+        out = out.withColumn("_place", F.row_number().over(ordered))
     cols = {n: F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"_f_{n}")) for n, c in fills.items()}
-    cols |= {n: F.coalesce(F.first(c, ignorenulls=True).over(ahead), F.col(f"_f_{n}")) for n, c in next_fills.items()}
+    cols |= {n: F.coalesce(F.last(c, ignorenulls=True).over(ahead), F.col(f"_f_{n}")) for n, c in next_fills.items()}
     cols |= {n: F.coalesce(F.sum(c).over(w), F.lit(0)) + F.coalesce(F.col(f"_s_{n}"), F.lit(0)) for n, c in sums.items()}
     cols |= {n: F.greatest(F.max(c).over(w), F.col(f"_m_{n}")) for n, c in maxes.items()}
     drop = [f"_f_{n}" for n in [*fills, *next_fills]] + [f"_s_{n}" for n in sums] + [f"_m_{n}" for n in maxes]
-    return out.withColumns(cols).drop("_chunk", *drop)
+    return out.withColumns(cols).drop("_chunk", "_place", *drop)
 
 
 def time_chunk(time: Column | str, seconds: int) -> Column:

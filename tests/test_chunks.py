@@ -46,6 +46,18 @@ def test_carry_backward_and_exclusive(spark):
     assert column(prev, "f") == [None, None, 1.0, 1.0, 1.0, 2.0]
 
 
+@pytest.mark.parametrize("backward", [False, True])
+@pytest.mark.parametrize("exclusive", [False, True])
+def test_next_fills_equal_a_frame_to_the_end_but_run_from_there(spark, backward, exclusive):
+    d = series(spark, noise(70, 0.6))
+    w = Window.partitionBy("site").orderBy(F.desc("dt_round") if backward else F.asc("dt_round")).rowsBetween(int(exclusive), Window.unboundedFollowing)
+    want = d.withColumn("f", F.first("mean", True).over(w))
+    got = carry_series(d, SMALL, next_fills={"f": F.col("mean")}, backward=backward, exclusive=exclusive)
+    assert column(got, "f") == column(want, "f") and got.columns == want.columns
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan  # the latter is quadratic in the rows of a chunk
+
+
 def test_rank_and_frame_totals(spark):
     d = rank_rows(series(spark, [1.0] * 23), SMALL)
     assert column(d, "row_index") == list(range(1, 24))
