@@ -180,15 +180,16 @@ def _(t):
 )
 def _(t):
     from sensorqc.plans.chunks import rank_rows
+    from sensorqc.session import materialise
 
     spec = S.at("ts")
-    ranked = rank_rows(t.events.select("site", "parameter", "id", "ts", "k", "value"), spec, ("id",))
+    ranked = materialise(rank_rows(t.events.select("site", "parameter", "id", "ts", "k"), spec, ("id",)), "ranked")
     later = ranked.select("site", "parameter", "row_index", F.col("ts").alias("_ts"))
     starts = ranked.filter("k between 30 and 37").select("site", "parameter", "row_index", F.col("id").alias("seq"), F.col("ts").alias("start_dt"), F.col("ts").alias("anchor1"))
     for name, ahead in (("anchor2", 1), ("end_dt", 6)):
         nth = later.select("site", "parameter", (F.col("row_index") - ahead).alias("row_index"), F.col("_ts").alias(name))
         starts = starts.join(nth, ["site", "parameter", "row_index"])
-    return nz.step_shifts(t.readings, starts, spec, bucket_seconds=86400).drop("ts")
+    return nz.step_shifts(t.readings, materialise(starts, "starts"), spec, bucket_seconds=86400).drop("ts")
 
 
 @query(

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from sensorqc.functions import time as tm
+from sensorqc.plans.chunks import carry, time_chunk
 from sensorqc.plans.joins import mark_covered, newest_per_key
 from sensorqc.plans.segments import pick_winners
 from sensorqc.series import Series
+from sensorqc.session import materialise, ship_package
 
 
 def localise(df: DataFrame, ts: str, step: int = 900, zone: str = "MST") -> DataFrame:
@@ -133,33 +139,26 @@ def step_shifts(df: DataFrame, shifts: DataFrame, spec: Series, value: str = "va
     """Add |v(anchor1) - v(anchor2)| inside each shift window [start, end); overlapping shifts add up.
 
     ``shifts`` has (keys, start_dt, end_dt, anchor1, anchor2, seq) with anchors on reading times; one without an end
-    stays open, one with an anchor that has no reading is left out. Shifts are made in the order of ``seq``, and an
-    anchor has the value that earlier shifts have given it. The steps of one series follow from each other, so
-    they are folded over its list of shifts (made by hand); the readings see the offsets as +/- events on their own
+    stays open, one without a start or ending at or before it holds no reading, one with an anchor that has no reading
+    is left out. Shifts are made in the order of ``seq``, and an anchor has the value that earlier shifts have given it.
+    Steps follow from each other only where windows and anchors lie over each other in time: such groups are found
+    first, and each is folded in n log n (``_chained_steps``). The readings see the offsets as +/- events on their own
     time line, so no row-by-window pairs are formed and a long series is split by time.
     """
-    from sensorqc.plans.chunks import carry, time_chunk
-
     keys = list(spec.keys)
-    anchors = df.groupBy(*keys, F.col(spec.time)).agg(F.avg(value).alias("_v")).filter("_v is not null")
-    one = anchors.select(*keys, F.col(spec.time).alias("anchor1"), F.col("_v").alias("_v1"))
-    two = anchors.select(*keys, F.col(spec.time).alias("anchor2"), F.col("_v").alias("_v2"))
-    s = shifts.join(one, [*keys, "anchor1"]).join(two, [*keys, "anchor2"])
-    row = F.struct("seq", "start_dt", "end_dt", "anchor1", "anchor2", F.col("_v1").cast(_UNIT).alias("v1"), F.col("_v2").cast(_UNIT).alias("v2"))
-    listed = s.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("_list"))
-    zero = F.lit(0).cast(_UNIT)
-
-    def moved(v: Column, at: Column, done: Column) -> Column:
-        inside = F.filter(done, lambda d: (d["start_dt"] <= at) & (d["end_dt"].isNull() | (at < d["end_dt"])))
-        return (v + F.aggregate(inside, zero, lambda a, d: (a + d["step"]).cast(_UNIT))).cast(_UNIT)
-
-    def fold(done: Column, x: Column) -> Column:
-        step = F.abs(moved(x["v1"], x["anchor1"], done) - moved(x["v2"], x["anchor2"], done)).cast(_UNIT)
-        return F.concat(done, F.array(F.struct(x["start_dt"].alias("start_dt"), x["end_dt"].alias("end_dt"), step.alias("step"))))
-
-    kind = shifts.schema["start_dt"].dataType.simpleString()
-    none = F.array().cast(f"array<struct<start_dt:{kind},end_dt:{kind},step:{_UNIT}>>")
-    steps = listed.select(*keys, F.inline(F.aggregate("_list", none, fold)))
+    s = shifts.filter(F.col("start_dt").isNotNull() & (F.col("end_dt").isNull() | (F.col("start_dt") < F.col("end_dt"))))
+    asked = s.select(*keys, F.explode(F.array("anchor1", "anchor2")).alias(spec.time)).distinct()
+    anchors = materialise(df.join(asked, [*keys, spec.time], "left_semi").groupBy(*keys, spec.time).agg(F.avg(value).cast(_UNIT).alias("_v")).filter("_v is not null"), "anchors")
+    for n in ("1", "2"):
+        s = s.join(anchors.withColumnsRenamed({spec.time: f"anchor{n}", "_v": f"_v{n}"}), [*keys, f"anchor{n}"])
+    at = {f"_{c}": F.unix_micros(F.col(c).cast("timestamp")) for c in ("start_dt", "end_dt", "anchor1", "anchor2")}
+    s = s.withColumns(at).withColumns({"_lo": F.least("_start_dt", "_anchor1", "_anchor2"), "_hi": F.greatest(F.coalesce("_end_dt", F.lit(2**62)), "_anchor1", "_anchor2")})
+    s = materialise(s, "shifts")
+    chunk = time_chunk(F.timestamp_micros("_lo"), bucket_seconds)
+    s = materialise(carry(s, keys, chunk, ["_lo", "seq"], maxes={"_before": F.col("_hi")}, exclusive=True), "shift-reach")
+    fresh = F.col("_before").isNull() | (F.col("_before") < F.col("_lo"))
+    s = carry(s, keys, chunk, ["_lo", "seq"], fills={"_group": F.when(fresh, F.col("_lo"))})
+    steps = _chained_steps(s, keys, time_chunk(F.timestamp_micros("_group"), bucket_seconds))
     edges = steps.select(
         *keys,
         F.inline(
@@ -169,13 +168,66 @@ def step_shifts(df: DataFrame, shifts: DataFrame, spec: Series, value: str = "va
             )
         ),
     ).filter("_t is not null")
+    edges = materialise(edges, "shift-edges")
     rows = df.select(*keys, F.col(spec.time).alias("_t"), F.lit(1).alias("_side"), F.struct(*df.columns).alias("_l"))
     both = rows.unionByName(edges, allowMissingColumns=True)
-    out = carry(both, keys, time_chunk("_t", bucket_seconds), ["_t", "_side"], sums={"_offset": F.coalesce("_d", zero)})
+    out = carry(both, keys, time_chunk("_t", bucket_seconds), ["_t", "_side"], sums={"_offset": F.coalesce("_d", F.lit(0).cast(_UNIT))})
     out = out.filter(F.col("_l").isNotNull()).select("_l.*", "_offset")
     return out.withColumn(value, F.when(F.col("_offset") == 0, F.col(value)).otherwise(F.col(value) + F.col("_offset").cast("double"))).drop("_offset")
 
 
+def _chained_steps(s: DataFrame, keys: list[str], bundle: Column) -> DataFrame:
+    """``keys``, start_dt, end_dt and step of every shift; groups that begin in one ``bundle`` share a call.
+
+    Offsets are sums over a binary indexed tree of the anchors' times, in whole units of the ninth decimal.
+    """
+    ship_package(s.sparkSession)
+    schema = T.StructType([*(s.schema[c] for c in [*keys, "start_dt", "end_dt"]), T.StructField("step", T._parse_datatype_string(_UNIT))])
+    columns = [*keys, "start_dt", "end_dt"]
+
+    def fold(table):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        order = ["seq", "_start_dt", "_end_dt", "_anchor1", "_anchor2", "_v1", "_v2"]
+        table = table.take(pc.sort_indices(table, sort_keys=[(c, "ascending") for c in order], null_placement="at_start"))
+        start, end, one, two = (table[f"_{c}"].to_pylist() for c in ("start_dt", "end_dt", "anchor1", "anchor2"))
+        v1, v2 = ([int(x.scaleb(9)) for x in table[c].to_pylist()] for c in ("_v1", "_v2"))
+        times = sorted({*one, *two})
+        steps = chained_steps(times, start, end, one, two, v1, v2)
+        return table.select(columns).append_column("step", pa.array([Decimal(x).scaleb(-9) for x in steps], pa.decimal128(27, 9)))
+
+    picked = s.select(*keys, bundle.alias("_bundle"), "seq", "start_dt", "end_dt", "_start_dt", "_end_dt", "_anchor1", "_anchor2", "_v1", "_v2")
+    return picked.groupBy(*keys, "_bundle").applyInArrow(fold, schema)
+
+
+def chained_steps(times: list[int], start: list[int], end: list[int | None], one: list[int], two: list[int], v1: list[int], v2: list[int]) -> list[int]:
+    """Steps of shifts in their order; ``times`` are the sorted times of all anchors."""
+    tree = [0] * (len(times) + 1)
+
+    def add(i: int, x: int) -> None:
+        i += 1
+        while i < len(tree):
+            tree[i] += x
+            i += i & -i
+
+    def offset(at: int) -> int:
+        i, total = bisect_right(times, at), 0
+        while i:
+            total += tree[i]
+            i -= i & -i
+        return total
+
+    steps = []
+    for a, e, t1, t2, x1, x2 in zip(start, end, one, two, v1, v2, strict=True):
+        step = abs(x1 + offset(t1) - x2 - offset(t2))
+        add(bisect_left(times, a), step)
+        if e is not None:
+            add(bisect_left(times, e), -step)
+        steps.append(step)
+    return steps
+
+
 def drop_where_wide(df: DataFrame, ids: list[str], parameters: list[str], condition: str, value: str = "value") -> DataFrame:
     """Pivot to one column per parameter, drop the rows that match ``condition``, unpivot again."""
     wide = df.groupBy(*ids).pivot("parameter", parameters).agg(F.avg(value))

@@ -351,6 +351,38 @@ def test_chained_step_shifts(spark):
     assert column(nz.step_shifts(df, shifts.filter("seq = 2"), Series()), "value")[4:] == [9.0, 13.0, 13.0, 8.0]
 
 
+def test_many_step_shifts_equal_a_plain_fold_and_no_series_is_gathered(spark):
+    import random
+
+    from sensorqc import Series
+    from sensorqc.operators import normalize as nz
+
+    r = random.Random(5)
+    values = [float(r.randrange(100)) for _ in range(300)]
+    df = series(spark, values).withColumnRenamed("mean", "value")
+    shifts = []
+    for seq in range(120):
+        a = r.randrange(290)
+        shifts.append((a, r.choice([None, a, a + r.randrange(1, 12), a - 3]), a + r.randrange(3), max(0, a - r.randrange(4)), seq))
+    shifts.sort(key=lambda x: (x[0] % 7, x[4]))
+    done, rows = [], []
+    for seq, (a, e, one, two, _) in enumerate(shifts):
+        seen = [values[i] + sum(d for b, f, d in done if b <= i and (f is None or i < f)) for i in (one, two)]
+        done.append((a, e, abs(seen[0] - seen[1])))
+        rows.append(("a", "DO", at(a), None if e is None else at(e), at(one), at(two), seq))
+    want = [v + sum(d for b, f, d in done if b <= i and (f is None or i < f)) for i, v in enumerate(values)]
+    made = spark.createDataFrame(rows, "site string, parameter string, start_dt timestamp, end_dt timestamp, anchor1 timestamp, anchor2 timestamp, seq int")
+    for part in (made, made.filter("end_dt is not null")):
+        steps = nz.step_shifts(df, part, Series(), bucket_seconds=3600)
+        assert "collect_list" not in steps._jdf.queryExecution().optimizedPlan().toString()
+        if part is made:
+            assert column(steps, "value") == want
+    # 40,000 windows over each other: a fold over the list of earlier ones would take 800 million looks
+    n = 40_000
+    steps = nz.chained_steps(list(range(n + 1)), list(range(n)), [None] * n, list(range(n)), list(range(1, n + 1)), [3] * n, [1] * n)
+    assert steps == [2] * n
+
+
 def test_prediction_windows_end_at_visits(spark):
     from sensorqc import Series
     from sensorqc.operators import drift as dr
