@@ -2,7 +2,7 @@
 
 State is a few numbers per key, kept by Spark in the query's checkpoint, so a stopped stream goes on where it was.
 Rows of a key are read as they come in Arrow batches; sessions keep no rows, alarms hold a key's rows of one
-micro-batch, which ``maxFilesPerTrigger`` bounds.
+micro-batch as Arrow columns, which ``maxFilesPerTrigger`` bounds.
 """
 
 from __future__ import annotations
@@ -18,6 +18,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from sensorqc.session import ship_package
 from sensorqc.streaming.live import WATERMARK
 
+#: Rows that alarms hand on at once.
+SLICE = 20_000
+
 Span = tuple[int, int, int]  # first and last instant, rows
 
 
@@ -78,20 +81,33 @@ def alarm_states(classified: DataFrame, keys: list[str], order: list[str], trigg
     """Adds ``trigger_reduced``: only the first Alarm of a run sends a message, across micro-batches.
 
     The state is a key's newest trigger. Batches are expected in the order of ``order``, as the batch form of this
-    operator does.
+    operator does. A key's rows of a micro-batch are held as Arrow columns without the key and leave in slices of
+    ``SLICE`` rows, so Python holds little more than the columns' own bytes.
     """
     ship_package(classified.sparkSession)
     out = T.StructType([*classified.schema.fields, T.StructField("trigger_reduced", T.StringType())])
+    rest = [c for c in classified.columns if c not in keys]
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches)).sort_values(order, kind="stable")
-        now = pdf[trigger].astype(object).where(pdf[trigger].notna(), None)
-        filled = now.ffill()
-        carried = state.get[0] if state.exists else None
-        previous = filled.shift(1).where(filled.shift(1).notna(), carried)
-        pdf["trigger_reduced"] = now.mask((now == "Alarm") & (previous == "Alarm"), "Alarm_no_message")
-        last = filled.iloc[-1]
-        state.update((carried if last is None or last != last else last,))
-        yield pdf
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        held, own = [], {}
+        for pdf in batches:
+            own = own or {k: pdf[k].iloc[0] for k in keys}
+            held.append(pa.Table.from_pandas(pdf[rest], preserve_index=False))
+        table = pa.concat_tables(held, promote_options="permissive")
+        place = pc.sort_indices(table, sort_keys=[(c, "ascending") for c in order]).to_numpy()
+        del held
+        last = state.get[0] if state.exists else None
+        for i in range(0, len(place), SLICE):
+            part = table.take(pa.array(place[i : i + SLICE])).to_pandas().assign(**own)
+            now = part[trigger].astype(object).where(part[trigger].notna(), None)
+            filled = now.ffill()
+            previous = filled.shift(1).where(filled.shift(1).notna(), last)
+            part["trigger_reduced"] = now.mask((now == "Alarm") & (previous == "Alarm"), "Alarm_no_message")
+            last = last if pd.isna(filled.iloc[-1]) else filled.iloc[-1]
+            yield part[out.names]
+        state.update((last,))
 
     return classified.groupBy(*keys).applyInPandasWithState(step, out, "trigger string", "append", GroupStateTimeout.NoTimeout)

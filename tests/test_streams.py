@@ -152,6 +152,36 @@ def test_alarms_from_state_go_on_after_a_restart(spark, files):
     assert rows(run(), "id", "trigger_reduced") == rows(want, "id", "trigger_reduced")
 
 
+def test_alarms_from_state_leave_in_slices_and_keep_gaps(spark):
+    """Rows come out of order and partly without a trigger; no more than a slice is a pandas table at a time."""
+    import random
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    made = {}
+    d = spark.createDataFrame([], "site string, id long, note string, trigger string")
+    catch = SimpleNamespace(applyInPandasWithState=lambda step, *_: made.setdefault("step", step))
+    stub = SimpleNamespace(sparkSession=spark, schema=d.schema, columns=d.columns, groupBy=lambda *_: catch)
+    stateful.alarm_states(stub, ["site"], ["id"])
+    r = random.Random(2)
+    n = 2 * stateful.SLICE + 5
+    triggers = [r.choice(["Alarm", "Alarm", "Warning", "None", None]) for _ in range(n)]
+    ids = r.sample(range(n), n)
+    whole = pd.DataFrame({"site": "a", "id": ids, "note": None, "trigger": [triggers[i] for i in ids]})
+    kept = []
+    state = SimpleNamespace(exists=True, get=("Alarm",), update=kept.append)
+    parts = list(made["step"](("a",), iter([whole[:100], whole[100:]]), state))
+    assert max(map(len, parts)) <= stateful.SLICE
+    got = pd.concat(parts)
+    last, want = "Alarm", []
+    for t in triggers:
+        want.append("Alarm_no_message" if t == last == "Alarm" else t)
+        last = t or last
+    assert got["id"].tolist() == list(range(n)) and list(got.columns) == [*d.columns, "trigger_reduced"]
+    assert [None if x is None or x != x else x for x in got["trigger_reduced"]] == want and kept == [(last,)]
+
+
 def test_store_replaces_only_touched_partitions(spark):
     def frame(sites, days, flag):
         return spark.createDataFrame([(s, "DO", at(d, 1440), flag) for s in sites for d in days], "site string, parameter string, dt_round timestamp, flag string")
