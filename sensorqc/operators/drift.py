@@ -270,12 +270,22 @@ def scenario_grid(series: DataFrame, windows: DataFrame, ranged: DataFrame, spec
     Range values, slopes and rates are computed once per window; of overlapping windows the first
     one (by ``seq``) counts, found by segments, so each row meets one window.
     """
-    facts = window_facts(series, windows.filter("drift_type <> 'non_resolved'"), ranged, spec, value, fit)
+    windows = windows.filter("drift_type <> 'non_resolved'")
+    facts = window_facts(series, _first_somewhere(series, windows, spec), ranged, spec, value, fit)
     d, wt = _with_first_window(series, facts, spec)
     cols = {c: F.coalesce(x, F.col(value)) for c, x in correction_columns(F.col(value), F.col("_w"), wt).items()}
     return d.withColumns({**cols, "pre_post_source": F.col("_w.pre_post_source")}).drop("_w")
 
 
+def _first_somewhere(series: DataFrame, windows: DataFrame, spec: Series) -> DataFrame:
+    """The windows that are the first one of some row; no other one's slope and rate are ever asked for."""
+    keys = list(spec.keys)
+    first = {"_seq": (F.col("seq"), -F.col("seq"))}
+    d = pick_winners(series.select(*keys, spec.time), windows, keys, spec.time, "start_dt", "end_dt", first, spec.chunk_seconds)
+    used = d.filter("_seq is not null").select(*keys, F.col("_seq").alias("seq")).distinct()
+    return materialise(windows.join(used, [*keys, "seq"], "left_semi"), "first-windows")
+
+
 def _with_first_window(series: DataFrame, facts: DataFrame, spec: Series) -> tuple[DataFrame, Column]:
     """Each row with the facts of the first window that holds it (``_w``, null outside), and its weight there."""
     first = {"_w": (F.struct(*FACTS), -F.col("seq"))}
@@ -288,7 +298,7 @@ def apply_corrections(series: DataFrame, windows: DataFrame, ranged: DataFrame,
 
     Overlapping windows give the value of the first one. ``kind`` forces one strategy.
     """
-    facts = window_facts(series, windows, ranged, spec, value)
+    facts = window_facts(series, _first_somewhere(series, windows, spec), ranged, spec, value)
     d, wt = _with_first_window(series, facts, spec)
     cols = correction_columns(F.col(value), F.col("_w"), wt)
     strategy = F.when(F.col("_w").isNotNull(), F.lit(kind)) if kind else F.col("_w.drift_type")

@@ -351,6 +351,16 @@ def test_chained_step_shifts(spark):
     assert column(nz.step_shifts(df, shifts.filter("seq = 2"), Series()), "value")[4:] == [9.0, 13.0, 13.0, 8.0]
 
 
+def test_windows_behind_earlier_ones_are_not_fitted(spark):
+    from sensorqc import Series
+    from sensorqc.operators import drift as dr
+
+    d = series(spark, [1.0] * 12)
+    rows = [("a", "DO", at(0), at(5), 1), ("a", "DO", at(1), at(4), 2), ("a", "DO", at(2), at(8), 3), ("a", "DO", at(6), at(8), 4), ("a", "DO", at(50), at(60), 5)]
+    windows = spark.createDataFrame(rows, "site string, parameter string, start_dt timestamp, end_dt timestamp, seq long")
+    assert column(dr._first_somewhere(d, windows, Series(chunk=5)), "seq", "seq") == [1, 3]
+
+
 def test_many_step_shifts_equal_a_plain_fold_and_no_series_is_gathered(spark):
     import random
 
